@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Six decimals hold every weight and calorie product; a decimal sum does not depend on task order.
 EXACT = "decimal(18,6)"
+# Means keep twelve decimals of each value, for hours that came from milliseconds.
+EXACT_MEAN = "decimal(28,12)"
 
 
 def blank_to_null(text: Column) -> Column:
@@ -71,11 +73,16 @@ def exact_sum(number: Column) -> Column:
     return F.sum(number.cast(EXACT))
 
 
+def exact_mean(number: Column) -> Column:
+    """Mean of the non-null values from a decimal sum, equal on every run; null if there are none."""
+    return F.sum(number.cast(EXACT_MEAN)).cast("double") / F.nullif(F.count(number), F.lit(0))
+
+
 def positive_mean(number: Column, when: Column | None = None) -> Column:
     """Mean over values above zero (and ``when``); 0 if there are none."""
     keep = number > 0 if when is None else (number > 0) & when
-    return F.coalesce(F.avg(F.when(keep, number)), F.lit(0.0))
+    return F.coalesce(exact_mean(F.when(keep, number)), F.lit(0.0))
 
 
 def mean_skip_zero(number: Column) -> Column:
-    return F.avg(zero_to_null(number))
+    return exact_mean(zero_to_null(number))

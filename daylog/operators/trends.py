@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import NO_DURATION, duration_minutes, hours_minutes_text
 from ..functions.effort import DEFAULT_BODY_KG, fallback_set_calories
 from ..functions.numbers import (
+    EXACT_MEAN,
     exact_sum,
     fixed,
     is_truthy_number,
@@ -126,7 +127,12 @@ def with_user_means(days: DataFrame, columns: Sequence[str] = CHARTED) -> DataFr
     """Each user's overall mean as a column: a user holds at most one row per calendar day, so the
     window needs the one shuffle that the rolling means already made."""
     window = Window.partitionBy("user_id")
-    return days.withColumns({f"{c}_total_average": F.avg(c).over(window) for c in columns})
+
+    def mean(name: str) -> Column:
+        total = F.sum(F.col(name).cast(EXACT_MEAN)).over(window).cast("double")
+        return total / F.nullif(F.count(name).over(window), F.lit(0))
+
+    return days.withColumns({f"{c}_total_average": mean(c) for c in columns})
 
 
 def reference_lines(days: DataFrame, columns: Sequence[str] = CHARTED) -> DataFrame:

@@ -101,29 +101,28 @@ Please generate today's workout plan, step goal, and macros.
 """
 
 BAD_PLAN = "_bad_plan"
-# Fields a plan must have one of; a text that parses to none of them is no plan.
-PLAN_FIELDS = tuple(field.split()[0] for field in PLAN.split(", ") if ":" not in field.split()[0])
 
 
-def parse_plans(rows: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``plan``: the record in the model text, null where the text holds no JSON object."""
-    cleaned = strip_code_fences(F.col(text))
-    schema = f"{PLAN}, {BAD_PLAN} string"
+def _plans_in(text: Column) -> Column:
+    """The plan in a model text as a list of one or none. The text is parsed once: every check refers
+    to the list element, not to the parse."""
+    cleaned = strip_code_fences(text)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_PLAN}
-    parsed = rows.withColumn("_parsed", F.from_json(cleaned, schema, options))
-    bad = F.col("_parsed").isNull() | F.col(f"_parsed.{BAD_PLAN}").isNotNull() | ~cleaned.startswith("{")
-    plan = F.when(~bad, F.col("_parsed").dropFields(BAD_PLAN))
-    return parsed.withColumn("plan", plan).drop("_parsed")
+    parsed = F.transform(
+        F.array(cleaned), lambda t: F.when(t.startswith("{"), F.from_json(t, f"{PLAN}, {BAD_PLAN} string", options))
+    )
+    good = F.filter(parsed, lambda p: p.isNotNull() & p.getField(BAD_PLAN).isNull())
+    return F.transform(good, lambda p: p.dropFields(BAD_PLAN))
 
 
 def plan_rows(rows: DataFrame, text: str = "text") -> DataFrame:
-    """Readable plans only."""
-    return parse_plans(rows, text).filter(F.col("plan").isNotNull())
+    """Rows whose text holds a JSON plan, with the record as ``plan``."""
+    return rows.select("*", F.explode(_plans_in(F.col(text))).alias("plan"))
 
 
 def unreadable_plans(rows: DataFrame, text: str = "text") -> DataFrame:
     """Quarantine: model texts that hold no plan."""
-    return parse_plans(rows, text).filter(F.col("plan").isNull()).drop("plan")
+    return rows.filter(F.size(_plans_in(F.col(text))) == 0)
 
 
 def _empty(items: Column) -> Column:
