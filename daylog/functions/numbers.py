@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Six decimals hold every weight and calorie product; a decimal sum does not depend on task order.
-EXACT = "decimal(18,6)"
+MILLIONTH = Decimal("0.000001")
 # Means keep twelve decimals of each value, for hours that came from milliseconds.
 EXACT_MEAN = "decimal(28,12)"
 
@@ -69,8 +70,14 @@ def float_text(number: Column) -> Column:
 
 
 def exact_sum(number: Column) -> Column:
-    """Sum in decimal: equal on every run, whatever order the partial sums arrive in."""
-    return F.sum(number.cast(EXACT))
+    """Sum to six decimals, equal on every run whatever order the partial sums arrive in.
+
+    Whole parts and millionths are summed as two long integers, which stay in the fast hash aggregate;
+    they meet in a decimal once per group.
+    """
+    whole = F.floor(number)
+    millionths = F.rint((number - whole) * 1_000_000).cast("bigint")
+    return F.sum(whole).cast("decimal(20,0)") + F.sum(millionths).cast("decimal(20,0)") * F.lit(MILLIONTH)
 
 
 def exact_mean(number: Column) -> Column:

@@ -10,28 +10,29 @@ from pyspark.sql import functions as F
 from ..functions.classify import low_sleep
 from ..functions.numbers import truthy_or
 from ..schemas import SUMMARY
-from .workouts import exercise_groups, summaries, training_days, workout_notes
+from .workouts import collect_parts, reduce_sets, summaries, training_days, workout_notes
 
 RECENT = 3
 
 
-def prior_day(daily: DataFrame, day: datetime.date) -> DataFrame:
+def prior_day(daily: DataFrame, day: datetime.date, every_user: bool = False) -> DataFrame:
     """Per user: sleep and heart rate of the day before, body weight of that day or of ``day``.
 
-    One aggregate over two days of data instead of a self join; a user without either day is absent.
+    One aggregate instead of a self join. It reads two days, or with ``every_user`` the whole table,
+    and then also lists users without either day.
     """
     before = day - datetime.timedelta(days=1)
-    two_days = daily.filter(F.col("date").isin(before, day))
-    is_before = F.col("date") == F.lit(before)
+    is_before, is_day = F.col("date") == F.lit(before), F.col("date") == F.lit(day)
+    rows = daily if every_user else daily.filter(is_before | is_day)
 
     def pick(name: str, when):
         return F.max(F.when(when, F.col(name)))
 
-    return two_days.groupBy("user_id").agg(
+    return rows.groupBy("user_id").agg(
         pick("sleep_hours", is_before).alias("hours"),
         pick("sleep_score", is_before).alias("score"),
         pick("resting_heart_rate", is_before).alias("resting_hr"),
-        truthy_or(pick("bodyweight", is_before), pick("bodyweight", ~is_before)).alias("bodyweight"),
+        truthy_or(pick("bodyweight", is_before), pick("bodyweight", is_day)).alias("bodyweight"),
     )
 
 
@@ -40,23 +41,24 @@ def recent_summaries(
 ) -> DataFrame:
     """Summaries of the last (or first) ``n`` training days of each user with their ``recency``.
 
-    Sets are reduced first; only the chosen days go on into the summary steps.
+    Sets are reduced before they meet the chosen days, so a hot day is small by then; every later
+    step sees the chosen days only.
     """
-    groups = exercise_groups(sets)
-    days = training_days(groups, n, newest, until)
-    chosen = groups.join(days, ["user_id", "date"]).drop("recency")
-    return summaries(chosen, workout_notes(sets, chosen), **classes).join(days, ["user_id", "date"])
+    days = training_days(sets, n, newest, until)
+    key = ["user_id", "date"]
+    chosen = collect_parts(reduce_sets(sets).join(days.select(*key), key))
+    noted = sets.filter(F.col("notes") != "").join(days.select(*key), key)
+    return summaries(chosen, workout_notes(noted, chosen), **classes).join(days, key)
 
 
 def coach_payload(
-    users: DataFrame,
     prior: DataFrame,
     week: DataFrame,
     recent: DataFrame,
     day: datetime.date,
     n: int = RECENT,
 ) -> DataFrame:
-    """One payload row per user, assembled from parts already grouped by user."""
+    """One payload row per user of ``prior``, assembled from parts already grouped by user."""
     pairs = F.array_sort(F.collect_list(F.struct("muscle", "sets")))
     volume = week.groupBy("user_id").agg(F.map_from_entries(pairs).alias("week_volume"))
     places = [F.first(F.when(F.col("recency") == i, F.col("summary")), ignorenulls=True) for i in range(1, n + 1)]
@@ -65,8 +67,7 @@ def coach_payload(
     no_workout = F.from_json(F.lit('{"had_workout": false}'), SUMMARY)
     summary_list = F.coalesce("workouts", F.array().cast(f"array<{SUMMARY}>"))
     return (
-        users.join(prior, "user_id", "left")
-        .join(volume, "user_id", "left")
+        prior.join(volume, "user_id", "left")
         .join(workouts, "user_id", "left")
         .select(
             "user_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import NO_DURATION, milliseconds_to_hours
 from ..functions.effort import DEFAULT_USER_LBS, WeightWords, effective_weight, set_calories
-from ..functions.numbers import EXACT, blank_to_null, cast_or, truncate, zero_to_null
+from ..functions.numbers import blank_to_null, cast_or, exact_sum, truncate, zero_to_null
 from ..schemas import DAY
 from .dims import attach_dim
 from .latest import first_row, pivot_latest
@@ -117,8 +117,8 @@ def canonical_sets(
 
 
 def day_calories(sets: DataFrame) -> DataFrame:
-    """Energy of a day's sets, summed in decimal and cut to a whole number."""
-    total = truncate(F.sum(F.col("calories").cast(EXACT)))
+    """Energy of a day's sets, summed exactly and cut to a whole number."""
+    total = truncate(exact_sum(F.col("calories")))
     return sets.groupBy(*DAY).agg(total.alias("calories_burned_from_workout"))
 
 

@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 13
 
 
+def with_keys(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows that have all their keys. Stating it once at the base keeps joins from adding the test to
+    one of two branches, which would stop Spark from sharing their shuffle."""
+    for key in keys:
+        rows = rows.filter(F.col(key).isNotNull())
+    return rows
+
+
 def position_block(pos: str = "pos") -> Column:
     """A block number that rises with the position and spans 8,192 positions."""
     return F.shiftright(F.col(pos).cast("bigint"), BLOCK_BITS)

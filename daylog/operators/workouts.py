@@ -1,7 +1,8 @@
 """Per-workout summaries: muscle counts, focus, key lifts, notes, recent days and workout text.
 
-Set rows are first reduced to one row per user, day, exercise and muscle list. Every figure of a
-workout is then derived from that small table; muscles are exploded after the reduction.
+Set rows are read once and reduced to one row per user, day and exercise (``exercise_groups``). Every
+figure of a workout comes from that table. Its measures sit in one collected column, so all consumers
+need the same columns and Spark reuses one shuffle for them.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from ..functions.classify import focus_of, muscle_key
 from ..functions.numbers import exact_sum, is_truthy_number, is_truthy_text, round_exact
 from ..functions.text import strip, strip_left
 from ..schemas import DAY
-from .ranking import number_rows, position_block, top_rows
+from .ranking import number_rows, position_block, top_rows, with_keys
 
 # How many lifts and notes a summary shows, how they are joined, the nameless exercise.
 KEY_LIFTS = 3
@@ -24,78 +25,108 @@ NOTE_SEPARATOR = " | "
 UNKNOWN_EXERCISE = "unknown"
 # Lines of one text part. A workout beyond it continues in further parts; nothing is cut.
 PART_LINES = 10_000
+# Group totals; partial sums of it stay within Spark's widest decimal.
+TOTAL = "decimal(38,6)"
 
 
-def exercise_groups(sets: DataFrame, keys: list[str] = DAY) -> DataFrame:
-    """Set rows -> one row per key, exercise and muscle list with order-free sums."""
+def _name(exercise: Column) -> Column:
+    named = F.when(is_truthy_text(exercise), exercise).otherwise(F.lit(UNKNOWN_EXERCISE))
+    return strip(named)
+
+
+def reduce_sets(sets: DataFrame) -> DataFrame:
+    """Set rows -> one row per user, day, exercise and muscle list, with sums that do not depend on
+    task order. The partial aggregate runs before the shuffle, so a hot day is reduced where it lies."""
     weight, reps = F.col("weight_lbs"), F.coalesce("reps", F.lit(0))
-    named = F.when(is_truthy_text(F.col("exercise")), F.col("exercise")).otherwise(F.lit(UNKNOWN_EXERCISE))
     weighted = is_truthy_number(weight)
     return (
-        sets.withColumn("exercise", strip(named))
-        .groupBy(*keys, "exercise", "muscle_groups")
+        with_keys(sets.withColumn("exercise", _name(F.col("exercise"))), *DAY, "exercise")
+        .groupBy(*DAY, "exercise", "muscle_groups")
         .agg(
-            F.count("*").alias("n_sets"),
-            F.sum(reps).cast("bigint").alias("reps_sum"),
-            exact_sum(F.when(weighted, weight)).alias("weight_sum"),
-            F.count(F.when(weighted, 1)).alias("weight_count"),
-            exact_sum(F.when(weighted, weight * reps)).alias("volume"),
+            F.count("*").alias("sets"),
+            F.sum(reps).cast("bigint").alias("reps"),
+            F.coalesce(exact_sum(F.when(weighted, weight)), F.lit(0)).cast(TOTAL).alias("weight"),
+            F.count(F.when(weighted, 1)).alias("weighted"),
+            F.coalesce(exact_sum(F.when(weighted, weight * reps)), F.lit(0)).cast(TOTAL).alias("volume"),
             F.min("pos").alias("first_pos"),
         )
     )
 
 
+def collect_parts(reduced: DataFrame) -> DataFrame:
+    """Reduced rows -> one row per user, day and exercise with ``parts``, one per muscle list: a single
+    part in a table built from the dimension."""
+    part = F.struct("muscle_groups", "sets", "reps", "weight", "weighted", "volume", "first_pos")
+    return reduced.groupBy(*DAY, "exercise").agg(F.collect_list(part).alias("parts"))
+
+
+def exercise_groups(sets: DataFrame) -> DataFrame:
+    """Set rows -> one row per user, day and exercise with the sums of its ``parts``."""
+    return collect_parts(reduce_sets(sets))
+
+
+def _total(field: str, type_name: str = "bigint") -> Column:
+    zero = F.lit(0).cast(type_name)
+    return F.aggregate("parts", zero, lambda acc, part: (acc + part.getField(field)).cast(type_name))
+
+
+def _listed(muscles: Column) -> Column:
+    return F.coalesce(muscles, F.array().cast("array<string>"))
+
+
+def exercise_opening() -> Column:
+    """Position of the first set of an exercise of ``exercise_groups``."""
+    return F.array_min(F.transform("parts", lambda part: part.first_pos))
+
+
 def exercise_stats(groups: DataFrame) -> DataFrame:
-    """Sets, reps, mean weight over weighted sets, mean reps over all sets, muscles and score."""
-    muscles = F.transform(F.col("muscle_groups"), muscle_key)
-    merged = groups.groupBy(*DAY, "exercise").agg(
-        F.sum("n_sets").alias("sets"),
-        F.sum("reps_sum").alias("reps_sum"),
-        F.sum("weight_sum").alias("weight_sum"),
-        F.sum("weight_count").alias("weight_count"),
-        F.sum("volume").alias("volume"),
-        F.min("first_pos").alias("first_pos"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(muscles)))).alias("muscles"),
+    """Sets, reps, mean weight over weighted sets, mean reps over all sets, muscles and score: a
+    projection, no shuffle."""
+    muscles = F.flatten(
+        F.transform("parts", lambda part: F.transform(_listed(part.muscle_groups), muscle_key))
     )
-    avg_weight = F.when(F.col("weight_count") > 0, F.col("weight_sum").cast("double") / F.col("weight_count"))
-    avg_reps = F.col("reps_sum") / F.col("sets")
-    return merged.select(
+    summed = groups.select(
         *DAY,
         "exercise",
-        "sets",
-        "reps_sum",
-        avg_weight.alias("avg_weight"),
-        avg_reps.alias("avg_reps"),
-        (F.coalesce(avg_weight, F.lit(0.0)) * avg_reps * F.col("sets")).alias("score"),
-        F.col("volume").cast("double").alias("volume"),
-        "muscles",
-        "first_pos",
+        _total("sets").alias("sets"),
+        _total("reps").alias("reps_sum"),
+        _total("weight", TOTAL).cast("double").alias("weight_sum"),
+        _total("weighted").alias("weighted"),
+        _total("volume", TOTAL).alias("volume"),
+        F.array_sort(F.array_distinct(muscles)).alias("muscles"),
+        exercise_opening().alias("first_pos"),
+    )
+    avg_weight = F.col("weight_sum") / F.nullif(F.col("weighted"), F.lit(0))
+    avg_reps = F.col("reps_sum") / F.col("sets")
+    score = F.coalesce("avg_weight", F.lit(0.0)) * F.col("avg_reps") * F.col("sets")
+    return (
+        summed.withColumns({"avg_weight": avg_weight, "avg_reps": avg_reps})
+        .withColumn("score", score)
+        .select(*DAY, "exercise", "sets", "reps_sum", "avg_weight", "avg_reps", "score", "volume", "muscles", "first_pos")
     )
 
 
-def workout_totals(groups: DataFrame) -> DataFrame:
-    volume = F.coalesce(F.sum("volume").cast("double"), F.lit(0.0))
-    return groups.groupBy(*DAY).agg(
-        F.sum("n_sets").alias("total_sets"),
+def _day_sums() -> list[Column]:
+    return [
+        F.sum("sets").alias("total_sets"),
         F.sum("reps_sum").alias("total_reps"),
-        round_exact(volume, 1).alias("estimated_volume"),
-    )
+        round_exact(F.sum("volume").cast("double"), 1).alias("estimated_volume"),
+    ]
 
 
-def explode_muscles(groups: DataFrame) -> DataFrame:
-    """One row per group and listed muscle, with the place in the list; empty lists give none."""
-    return groups.select("*", F.posexplode("muscle_groups").alias("muscle_place", "muscle_name"))
+def workout_totals(groups: DataFrame) -> DataFrame:
+    return exercise_stats(groups).groupBy(*DAY).agg(*_day_sums())
 
 
 def muscle_sets(groups: DataFrame) -> DataFrame:
     """Sets per muscle of a day, with where the muscle was first met."""
-    first_seen = Window.partitionBy(*DAY, "exercise")
-    opened = groups.withColumn("exercise_first", F.min("first_pos").over(first_seen))
-    met_at = F.struct("exercise_first", "exercise", "first_pos", "muscle_place")
-    return (
-        explode_muscles(opened)
-        .groupBy(*DAY, muscle_key(F.col("muscle_name")).alias("muscle"))
-        .agg(F.sum("n_sets").alias("sets"), F.min(met_at).alias("met_at"))
+    parts = groups.select(*DAY, "exercise", exercise_opening().alias("opening"), F.explode("parts").alias("part"))
+    named = parts.select(
+        *DAY, "exercise", "opening", "part", F.posexplode("part.muscle_groups").alias("place", "muscle")
+    )
+    met_at = F.struct("opening", "exercise", F.col("part.first_pos").alias("first_pos"), "place")
+    return named.groupBy(*DAY, muscle_key(F.col("muscle")).alias("muscle")).agg(
+        F.sum("part.sets").alias("sets"), F.min(met_at).alias("met_at")
     )
 
 
@@ -107,22 +138,33 @@ def _top_muscle() -> Column:
 def workout_focus(groups: DataFrame, **classes) -> DataFrame:
     """Focus of each day with sets: push, pull, legs or the top muscle; ``other`` without muscles."""
     best = muscle_sets(groups).groupBy(*DAY).agg(_top_muscle().alias("top_muscle"))
-    days = groups.select(*DAY).distinct()
+    days = _days(groups)
     return days.join(best, DAY, "left").select(*DAY, focus_of(F.col("top_muscle"), **classes).alias("focus"))
 
 
-def key_lifts(stats: DataFrame, n: int = KEY_LIFTS) -> DataFrame:
-    """Top ``n`` exercises of a day by score; of equals the one done first."""
-    order = [F.desc("score"), F.asc("first_pos"), F.asc("exercise")]
-    return top_rows(stats, DAY, order, n).select(
-        *DAY,
-        "rank",
+def _days(groups: DataFrame) -> DataFrame:
+    """Days with sets. The filter is always true; it keeps ``parts`` in use, so the shuffle of the
+    groups is shared instead of being built a second time with fewer columns."""
+    return groups.filter(F.size("parts") > 0).select(*DAY).distinct()
+
+
+def _lift_order() -> list[Column]:
+    return [F.desc("score"), F.asc("first_pos"), F.asc("exercise")]
+
+
+def _lift_fields() -> list[Column | str]:
+    return [
         "exercise",
         "sets",
         round_exact(F.col("avg_weight"), 1).alias("avg_weight"),
         round_exact(F.col("avg_reps"), 1).alias("avg_reps"),
         "muscles",
-    )
+    ]
+
+
+def key_lifts(stats: DataFrame, n: int = KEY_LIFTS) -> DataFrame:
+    """Top ``n`` exercises of a day by score; of equals the one done first."""
+    return top_rows(stats, DAY, _lift_order(), n).select(*DAY, "rank", *_lift_fields())
 
 
 def workout_notes(sets: DataFrame, groups: DataFrame, n: int = NOTES_SHOWN) -> DataFrame:
@@ -131,9 +173,8 @@ def workout_notes(sets: DataFrame, groups: DataFrame, n: int = NOTES_SHOWN) -> D
     Notes are limited per exercise before they are shuffled, then joined to the exercises of
     ``groups`` (which may hold chosen days only) and limited per day.
     """
-    named = F.when(is_truthy_text(F.col("exercise")), F.col("exercise")).otherwise(F.lit(UNKNOWN_EXERCISE))
-    rows = sets.select(*DAY, strip(named).alias("exercise"), "pos", F.col("notes").alias("note"))
-    opened = groups.groupBy(*DAY, "exercise").agg(F.min("first_pos").alias("exercise_first"))
+    rows = sets.select(*DAY, _name(F.col("exercise")).alias("exercise"), "pos", F.col("notes").alias("note"))
+    opened = groups.select(*DAY, "exercise", exercise_opening().alias("exercise_first"))
     noted = rows.filter(is_truthy_text(F.col("note")))
     per_exercise = top_rows(noted, [*DAY, "exercise"], [F.asc("pos"), F.asc("note")], n).drop("rank")
     order = [F.asc("exercise_first"), F.asc("exercise"), F.asc("pos"), F.asc("note")]
@@ -142,9 +183,12 @@ def workout_notes(sets: DataFrame, groups: DataFrame, n: int = NOTES_SHOWN) -> D
     return per_day.groupBy(*DAY).agg(F.array_join(F.transform(parts, lambda p: p.note), NOTE_SEPARATOR).alias("notes"))
 
 
-def training_days(groups: DataFrame, n: int, newest: bool = True, until: datetime.date | None = None) -> DataFrame:
-    """The last (or first) ``n`` days with sets per user, numbered; optionally not after ``until``."""
-    days = groups.select(*DAY).distinct()
+def training_days(sets: DataFrame, n: int, newest: bool = True, until: datetime.date | None = None) -> DataFrame:
+    """The last (or first) ``n`` days with sets per user, numbered; optionally not after ``until``.
+
+    Reads two columns. A user has at most one row per calendar day when days are ranked.
+    """
+    days = with_keys(sets.select(*DAY), *DAY).distinct()
     if until is not None:
         days = days.filter(F.col("date") <= F.lit(until))
     order = F.desc("date") if newest else F.asc("date")
@@ -154,9 +198,10 @@ def training_days(groups: DataFrame, n: int, newest: bool = True, until: datetim
 def summaries(groups: DataFrame, notes: DataFrame, **classes) -> DataFrame:
     """One summary struct per day with sets. Every collected list is bounded: three lifts, one entry
     per muscle."""
-    stats = exercise_stats(groups)
-    lift = F.struct("rank", "exercise", "sets", "avg_weight", "avg_reps", "muscles")
-    lifts = key_lifts(stats).groupBy(*DAY).agg(F.array_sort(F.collect_list(lift)).alias("lifts"))
+    rank = F.row_number().over(Window.partitionBy(*DAY).orderBy(*_lift_order()))
+    ranked = exercise_stats(groups).withColumn("rank", rank)
+    lift = F.when(F.col("rank") <= KEY_LIFTS, F.struct("rank", *_lift_fields()))
+    totals = ranked.groupBy(*DAY).agg(*_day_sums(), F.array_sort(F.collect_list(lift)).alias("lifts"))
     by_muscle = (
         muscle_sets(groups)
         .groupBy(*DAY)
@@ -167,9 +212,7 @@ def summaries(groups: DataFrame, notes: DataFrame, **classes) -> DataFrame:
     )
     entries = F.transform("counts", lambda c: F.struct(c.muscle, c.sets))
     no_entries = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
-    joined = (
-        workout_totals(groups).join(lifts, DAY).join(by_muscle, DAY, "left").join(notes, DAY, "left")
-    )
+    joined = totals.join(by_muscle, DAY, "left").join(notes, DAY, "left")
     summary = F.struct(
         F.col("date").cast("string").alias("date"),
         F.lit(True).alias("had_workout"),
@@ -184,13 +227,6 @@ def summaries(groups: DataFrame, notes: DataFrame, **classes) -> DataFrame:
     return joined.select(*DAY, summary.alias("summary"))
 
 
-def _set_line(number: Column) -> Column:
-    reps = F.coalesce(F.col("reps").cast("string"), F.lit("None"))
-    start = F.concat(F.lit("Set "), number.cast("string"), F.lit(": "))
-    loaded = F.concat(F.col("weight_lbs").cast("bigint").cast("string"), F.lit(" lbs x "), reps)
-    return F.concat(start, F.when(is_truthy_number(F.col("weight_lbs")), loaded).otherwise(F.concat(reps, F.lit(" reps"))))
-
-
 def set_order(sets: DataFrame) -> list[Column]:
     """Total order of a day's sets: position, then content where positions are equal."""
     ties = [c for c in ("tie", "weight_lbs", "reps", "notes") if c in sets.columns]
@@ -199,12 +235,12 @@ def set_order(sets: DataFrame) -> list[Column]:
 
 def numbered_sets(sets: DataFrame) -> DataFrame:
     """Set number within the exercise of a day, exact for exercises of any size."""
-    rows = sets.withColumn("block", position_block())
+    rows = with_keys(sets.withColumn("block", position_block()), *DAY, "exercise", "block")
     return number_rows(rows, [*DAY, "exercise"], set_order(sets), "set_number").drop("block")
 
 
 def exercise_last_note(sets: DataFrame) -> DataFrame:
-    """Last non-empty note of each exercise of a day, and where the exercise begins."""
+    """Last non-empty note of each exercise of a day, where the exercise begins, and its sets."""
     order = F.struct(*(c for c in ("pos", "tie", "notes") if c in sets.columns))
     noted = is_truthy_text(F.col("notes"))
     return sets.groupBy(*DAY, "exercise").agg(
@@ -214,43 +250,64 @@ def exercise_last_note(sets: DataFrame) -> DataFrame:
     )
 
 
-def workout_lines(sets: DataFrame) -> DataFrame:
-    """Workout text as numbered blocks of lines: a header per exercise and one line per set.
+def _set_text(number: Column, entry: Column) -> Column:
+    reps = F.coalesce(entry.reps.cast("string"), F.lit("None"))
+    start = F.concat(F.lit("Set "), number.cast("string"), F.lit(": "))
+    loaded = F.concat(entry.weight_lbs.cast("bigint").cast("string"), F.lit(" lbs x "), reps)
+    return F.concat(start, F.when(is_truthy_number(entry.weight_lbs), loaded).otherwise(F.concat(reps, F.lit(" reps"))))
 
-    ``line`` counts header blocks and sets through the day in print order. The starting line of an
-    exercise comes from the exercise sizes, so no task has to hold a whole day.
+
+def workout_pieces(sets: DataFrame) -> DataFrame:
+    """Workout text in pieces of bounded size: one per exercise and position block, in print order.
+
+    Sets meet once, in (day, exercise, block). The small table of piece sizes then tells each piece
+    its first set number and line; it reads the same collected column, so the one shuffle serves both.
     """
-    exercises = exercise_last_note(sets)
-    before = Window.partitionBy(*DAY).orderBy("exercise_first", "exercise").rowsBetween(Window.unboundedPreceding, -1)
-    starts = exercises.withColumn("start", F.coalesce(F.sum(F.col("n_sets") + 1).over(before), F.lit(0)))
-    quoted = F.concat(F.lit('\n"'), F.col("note"), F.lit('"'))
-    title = F.concat(F.col("exercise"), F.coalesce(quoted, F.lit("")))
-    gap = F.when(F.col("start") > 0, F.lit("\n")).otherwise(F.lit(""))
-    headers = starts.select(*DAY, F.col("start").alias("line"), F.concat(gap, title).alias("text"))
-
-    # The block of a set is bounded, so joining the small table on (exercise, block) has no hot key.
-    rows = sets.withColumn("block", position_block())
+    ties = [c for c in ("tie",) if c in sets.columns]
+    entry = F.struct("pos", *ties, "weight_lbs", "reps", "notes")
     cell = [*DAY, "exercise", "block"]
-    local = rows.withColumn("_local", F.row_number().over(Window.partitionBy(*cell).orderBy(*set_order(sets))))
-    earlier = Window.partitionBy(*DAY, "exercise").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     cells = (
-        rows.groupBy(*cell)
-        .agg(F.count("*").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .join(starts.select(*DAY, "exercise", "start"), [*DAY, "exercise"])
-        .drop("_size")
+        with_keys(sets.withColumn("block", position_block()), *cell)
+        .groupBy(*cell)
+        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    )
+    noted = F.filter("entries", lambda e: is_truthy_text(e.notes))
+    sized = cells.select(
+        *cell,
+        F.size("entries").cast("bigint").alias("size"),
+        F.element_at("entries", 1).pos.alias("first_pos"),
+        F.when(F.size(noted) > 0, F.element_at(noted, -1).notes).alias("note"),
     )
-    number = F.col("_before") + F.col("_local")
-    lines = local.join(cells, cell).select(*DAY, (F.col("start") + number).alias("line"), _set_line(number).alias("text"))
-    return headers.unionByName(lines)
+    exercise = Window.partitionBy(*DAY, "exercise")
+    earlier = exercise.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumns(
+        {
+            "before": F.coalesce(F.sum("size").over(earlier), F.lit(0)),
+            "opening": F.min("first_pos").over(exercise),
+            "note": F.max_by("note", F.when(F.col("note").isNotNull(), F.col("block"))).over(exercise),
+        }
+    )
+    # A piece that opens an exercise has one header line more than sets.
+    opens = F.col("before") == 0
+    lines = F.col("size") + F.when(opens, 1).otherwise(0)
+    above = Window.partitionBy(*DAY).orderBy("opening", "exercise", "block")
+    starts = placed.withColumn(
+        "line", F.coalesce(F.sum(lines).over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select(*cell, "before", "note", "line")
+
+    gap = F.when(F.col("line") > 0, F.lit("\n")).otherwise(F.lit(""))
+    quoted = F.coalesce(F.concat(F.lit('\n"'), F.col("note"), F.lit('"')), F.lit(""))
+    header = F.when(opens, F.concat(gap, F.col("exercise"), quoted, F.lit("\n"))).otherwise(F.lit(""))
+    texts = F.transform("entries", lambda e, i: _set_text(F.col("before") + i + 1, e))
+    return cells.join(starts, cell).select(*DAY, "line", F.concat(header, F.array_join(texts, "\n")).alias("text"))
 
 
 def workout_text(sets: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
-    """Text of each workout. A usual workout is part 0; a huge one goes on in parts 1, 2, ...,
-    whose texts joined by line breaks are the whole text."""
-    lines = workout_lines(sets).withColumn("part", F.floor(F.col("line") / part_lines).cast("int"))
+    """Text of each workout. A usual workout is part 0; a huge one goes on in further parts, whose
+    texts in order joined by line breaks are the whole text."""
+    pieces = workout_pieces(sets).withColumn("part", F.floor(F.col("line") / part_lines).cast("int"))
     ordered = F.array_sort(F.collect_list(F.struct("line", "text")))
-    parts = lines.groupBy(*DAY, "part").agg(F.array_join(F.transform(ordered, lambda p: p.text), "\n").alias("text"))
+    parts = pieces.groupBy(*DAY, "part").agg(F.array_join(F.transform(ordered, lambda p: p.text), "\n").alias("text"))
     # The text ends in a set line, so only its beginning can hold blanks to strip.
     text = F.when(F.col("part") == 0, strip_left(F.col("text"))).otherwise(F.col("text"))
     return parts.select(*DAY, "part", text.alias("text"))

@@ -74,9 +74,9 @@ def build_payload(
     combined: Combined, day: datetime.date, n: int = RECENT, until: datetime.date | None = None
 ) -> DataFrame:
     """Coach payload of every user with a day on record."""
-    users = combined.daily.select("user_id").distinct()
+    prior = prior_day(combined.daily, day, every_user=True)
     recent = recent_summaries(combined.sets, n, until=until)
-    return coach_payload(users, prior_day(combined.daily, day), week_volume(combined.sets, day), recent, day, n)
+    return coach_payload(prior, week_volume(combined.sets, day), recent, day, n)
 
 
 def run_payload(spark: SparkSession, store: Store, day: datetime.date, n: int = RECENT) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.numbers import exact_sum
 from ..plans.ingest import LOOKBACK_DAYS, store_series, store_workouts
 from ..plans.paths import Store
 from ..schemas import SET_LOG, WEARABLE_DOC
@@ -92,7 +93,7 @@ def weekly_totals(events: DataFrame, ts: str = "ts", keys: tuple[str, ...] = ("u
     """Calendar-week counts and sums, Monday to Sunday, of a stream or a batch of timed rows."""
     rows = events.withWatermark(ts, LATENESS) if events.isStreaming else events
     weeks = rows.groupBy(F.window(ts, WEEK, WEEK, MONDAY_OFFSET), *keys).agg(
-        F.count("*").alias("n"), F.sum(F.col(value).cast("decimal(18,6)")).alias("total")
+        F.count("*").alias("n"), exact_sum(F.col(value)).alias("total")
     )
     return weeks.select(F.col("window.start").cast("date").alias("week"), *keys, "n", "total")
 
