@@ -21,52 +21,46 @@ def _row(keep: Column, metric: str, label: Column, value: Column) -> Column:
     return F.when(keep, fields)
 
 
-def scalar_feed(daily: DataFrame) -> DataFrame:
-    """The five number metrics of a day, unpivoted without a shuffle; zero and null give no row."""
+def _scalar_rows(when: Column) -> list[Column]:
+    """The five number metrics; zero and null give no row."""
     steps, sleep = F.col("steps"), F.col("sleep_hours")
     calories, heart, weight = F.col("total_calories_burned"), F.col("resting_heart_rate"), F.col("bodyweight")
-    label = F.concat
-    rows = [
-        _row(is_truthy_number(steps), "Steps", label(F.lit(STEPS_SIGN), thousands(steps)), steps),
-        _row(
-            is_truthy_number(sleep),
-            "Sleep",
-            label(F.lit(SLEEP_SIGN), sleep_text(sleep)),
-            float_text(round_exact(sleep, 2)),
-        ),
-        _row(
-            is_truthy_number(calories),
+
+    def row(metric: str, number: Column, label: Column, value: Column) -> Column:
+        return _row(when & is_truthy_number(number), metric, label, value)
+
+    return [
+        row("Steps", steps, F.concat(F.lit(STEPS_SIGN), thousands(steps)), steps),
+        row("Sleep", sleep, F.concat(F.lit(SLEEP_SIGN), sleep_text(sleep)), float_text(round_exact(sleep, 2))),
+        row(
             "Calories",
-            label(F.lit(CALORIES_SIGN), short_number(calories), F.lit(" cal")),
+            calories,
+            F.concat(F.lit(CALORIES_SIGN), short_number(calories), F.lit(" cal")),
             truncate(calories),
         ),
-        _row(is_truthy_number(heart), "Heart Rate", label(F.lit(HEART_SIGN), heart, F.lit(" BPM")), heart),
-        _row(
-            is_truthy_number(weight),
-            "Weight",
-            label(F.lit(WEIGHT_SIGN), float_text(weight), F.lit(" lbs")),
-            float_text(weight),
-        ),
+        row("Heart Rate", heart, F.concat(F.lit(HEART_SIGN), heart, F.lit(" BPM")), heart),
+        row("Weight", weight, F.concat(F.lit(WEIGHT_SIGN), float_text(weight), F.lit(" lbs")), float_text(weight)),
     ]
-    present = F.filter(F.array(*rows), lambda row: row.isNotNull())
-    return daily.select(*DAY, F.inline(present)).withColumn("part", F.lit(0))
 
 
-def workout_feed(daily: DataFrame, texts: DataFrame) -> DataFrame:
-    """The workout metric: its duration as label and its text as value."""
-    worked = daily.filter(F.col("total_workout_duration") != NO_DURATION)
-    return worked.join(texts, DAY, "left").select(
-        *DAY,
-        F.lit("Workout").alias("metric_type"),
-        F.concat(F.lit(WORKOUT_SIGN), F.col("total_workout_duration")).alias("label"),
-        F.coalesce("text", F.lit("")).alias("value"),
-        F.coalesce("part", F.lit(0)).alias("part"),
-    )
+def _present(rows: list[Column]) -> Column:
+    return F.inline(F.filter(F.array(*rows), lambda row: row.isNotNull()))
+
+
+def scalar_feed(daily: DataFrame) -> DataFrame:
+    """The five number metrics of a day, unpivoted without a shuffle."""
+    return daily.select(*DAY, F.lit(0).alias("part"), _present(_scalar_rows(F.lit(True))))
 
 
 def metric_feed(daily: DataFrame, texts: DataFrame) -> DataFrame:
-    columns = [*DAY, "metric_type", "label", "part", "value"]
-    return scalar_feed(daily).select(*columns).unionByName(workout_feed(daily, texts).select(*columns))
+    """All six metrics of a day in one pass: the numbers, and the workout with its duration as label
+    and its text as value. A text in several parts gives a workout row per part, numbers only once."""
+    joined = daily.join(texts.select(*DAY, "part", "text"), DAY, "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    duration = F.col("total_workout_duration")
+    label = F.concat(F.lit(WORKOUT_SIGN), duration)
+    workout = _row(duration != NO_DURATION, "Workout", label, F.coalesce("text", F.lit("")))
+    rows = joined.select(*DAY, "part", _present([*_scalar_rows(F.col("part") == 0), workout]))
+    return rows.select(*DAY, "metric_type", "label", "part", "value")
 
 
 def on_day(rows: DataFrame, day: datetime.date) -> DataFrame:

@@ -280,7 +280,8 @@ def workout_pieces(sets: DataFrame) -> DataFrame:
     )
     exercise = Window.partitionBy(*DAY, "exercise")
     earlier = exercise.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumns(
+    # Spread by day once: both kinds of window below are satisfied by it.
+    placed = sized.repartition(*DAY).withColumns(
         {
             "before": F.coalesce(F.sum("size").over(earlier), F.lit(0)),
             "opening": F.min("first_pos").over(exercise),

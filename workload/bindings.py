@@ -29,7 +29,9 @@ FOCUS = {"push": ("red", "blue", "bolt"), "pull": ("hot", "cold", "gear"), "legs
 TRACKED = ("red", "hot", "plate")
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a lazy frame; its footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -141,9 +143,10 @@ def sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calories = day_calories(sets(spark, sf_dir))
-    return combine_days(wearable_days(series(spark, sf_dir)), workouts(spark, sf_dir), calories)
+    return combined(spark, sf_dir).daily
 
 
 def combined(spark: SparkSession, sf_dir: str) -> Combined:
-    return Combined(daily(spark, sf_dir), sets(spark, sf_dir))
+    training = sets(spark, sf_dir)
+    wearable = wearable_days(series(spark, sf_dir))
+    return Combined(combine_days(wearable, workouts(spark, sf_dir), day_calories(training)), training)
