@@ -56,8 +56,8 @@ def read_date_map(spark: SparkSession, path: str, value_type: str = "map<string,
 
     A key that is no ISO date is skipped. Such a document is one user's store, so it is one row.
     """
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json")
-    texts = _with_user(reader.text(path))
+    reader = spark.read.option("pathGlobFilter", "*.json")
+    texts = _with_user(reader.text(path, wholetext=True))
     entries = texts.select("user_id", F.explode(F.from_json("value", f"map<string,{value_type}>")))
     dated = entries.select("user_id", iso_date(F.col("key")).alias("date"), F.col("value").alias("record"))
     return dated.filter(F.col("date").isNotNull())
@@ -169,5 +169,5 @@ def read_json_docs(spark: SparkSession, path: str | Sequence[str], schema: str)
 
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files (templates, profiles), one row per file with its user."""
-    texts = spark.read.option("wholetext", True).text(path)
+    texts = spark.read.text(path, wholetext=True)
     return _with_user(texts.withColumn(SOURCE_FILE, F.col("_metadata.file_path")).withColumnRenamed("value", "text"))
