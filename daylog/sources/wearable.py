@@ -39,14 +39,16 @@ def _points(text: Column) -> Column:
     return F.when(_opens_with(text, "["), F.from_json(text, SERIES_POINTS))
 
 
-def _series(text: Column, every_member: bool) -> Column:
-    """Points of a list, or of the first member (or every member) of an object."""
-    members = F.map_values(_members(text))
+def _member_points(members: Column, every_member: bool) -> Column:
+    """Points of the first member, or of every member in turn."""
+    texts = F.map_values(members)
     if every_member:
-        lists = F.flatten(F.filter(F.transform(members, _points), lambda points: points.isNotNull()))
-    else:
-        lists = _points(F.get(members, F.lit(0)))
-    return F.coalesce(_points(text), lists)
+        return F.flatten(F.filter(F.transform(texts, _points), lambda points: points.isNotNull()))
+    return _points(F.get(texts, F.lit(0)))
+
+
+def _series(text: Column, every_member: bool) -> Column:
+    return F.coalesce(_points(text), _member_points(_members(text), every_member))
 
 
 def _named(metric: Column, points: Column) -> Column:
@@ -56,12 +58,17 @@ def _named(metric: Column, points: Column) -> Column:
 def _time_series(key: Column, body: Column, qualified: bool) -> Column:
     """Named series of one entry. ``qualified`` names every member ``key_member``, as the legacy store
     does; else only a series nested by intensity is named so and any other goes by its key."""
-    members = _members(body)
-    split = members.isNotNull() if qualified else F.coalesce(F.map_contains_key(members, NESTED_MARK), F.lit(False))
-    by_member = F.transform(
-        F.map_entries(members), lambda m: _named(key_path(key, m.key), _series(m.value, qualified))
-    )
-    return F.when(split, by_member).otherwise(F.array(_named(key, _series(body, qualified))))
+
+    def opened(members: Column) -> Column:
+        nested = F.coalesce(F.map_contains_key(members, NESTED_MARK), F.lit(False))
+        by_member = F.transform(
+            F.map_entries(members), lambda m: _named(key_path(key, m.key), _series(m.value, qualified))
+        )
+        by_key = _named(key, F.coalesce(_points(body), _member_points(members, qualified)))
+        return F.when(members.isNotNull() if qualified else nested, by_member).otherwise(F.array(by_key))
+
+    # A list of one binds the parsed members to a name, so the text is parsed once.
+    return F.flatten(F.transform(F.array(_members(body)), opened))
 
 
 def _sleep_series(sleep: Column) -> Column:
@@ -113,13 +120,14 @@ def flatten_documents(
     points = document_points(documents, carry, qualified)
     if not_before is not None:
         points = points.filter(F.col("date") >= F.col(not_before)).drop(not_before)
-    at = F.struct(order, "place")
-    latest = last_write_wins(points.withColumn("at", at).drop(order, "place"), [*DAY, "metric"], "at")
+    written = F.struct(F.col(order).alias("document"), "place")
+    marked = points.withColumn("_written", written).drop(order, "place")
+    latest = last_write_wins(marked, [*DAY, "metric"], "_written")
     if whole_days:
         # A day has as many rows as there are metric names, so this window stays small.
-        newest = F.max(f"at.{order}").over(Window.partitionBy(*DAY))
-        latest = latest.withColumn("newest", newest).filter(F.col(f"at.{order}") == F.col("newest"))
-    return latest.select(*DAY, "metric", "value", F.col("at.place").cast("bigint").alias("seq"))
+        newest = F.max("_written.document").over(Window.partitionBy(*DAY))
+        latest = latest.withColumn("_newest", newest).filter(F.col("_written.document") == F.col("_newest"))
+    return latest.select(*DAY, "metric", "value", F.col("_written.place").cast("bigint").alias("seq"))
 
 
 def basic_series(series: DataFrame, metrics: Sequence[str] = BASIC_METRICS) -> DataFrame:

@@ -1,0 +1,74 @@
+import json
+
+from pyspark.sql import functions as F
+
+from daylog.plans.ingest import ingest_set_log, ingest_wearable
+from daylog.plans.paths import Store
+from daylog.streaming.jobs import set_log_stream, wearable_stream, weekly_totals, weekly_totals_stream
+
+from .conftest import rows
+from .test_sources import CSV
+
+
+def document(fetched, *points):
+    series = [{"dateTime": d, "value": v} for d, v in points]
+    return {"date_fetched": f"{fetched} 08:00:00", "time_series": {"steps": {"activities-steps": series}}, "sleep": []}
+
+
+def stored(spark, path):
+    return rows(spark.read.parquet(path).drop("month", "pos", "seq"))
+
+
+def test_wearable_stream_equals_the_batch_and_drops_late_days(spark, put, tmp_path):
+    store = Store(str(tmp_path / "stream"))
+    checkpoint = str(tmp_path / "cp")
+    first = document("2025-01-10", ("2025-01-03", "1"), ("2025-01-04", "2"), ("2025-01-10", "3"))
+    folder = put("docs", 1, "a.json", first)
+    wearable_stream(spark, folder, store, checkpoint).awaitTermination()
+    steps = spark.read.parquet(store.series).select(F.dayofmonth("date").alias("d"), "value")
+    assert rows(steps, "d") == [(4, "2"), (10, "3")]
+
+    put("docs", 1, "b.json", document("2025-01-11", ("2025-01-04", "99"), ("2025-01-10", "30"), ("2025-01-11", "4")))
+    wearable_stream(spark, folder, store, checkpoint).awaitTermination()
+    wearable_stream(spark, folder, store, checkpoint).awaitTermination()  # nothing new
+    steps = spark.read.parquet(store.series).select(F.dayofmonth("date").alias("d"), "value")
+    assert rows(steps, "d") == [(4, "2"), (10, "30"), (11, "4")]
+
+    again = Store(str(tmp_path / "replay"))
+    wearable_stream(spark, folder, again, str(tmp_path / "cp2")).awaitTermination()
+    assert sorted(stored(spark, again.series)) == sorted(stored(spark, store.series))
+
+
+def test_wearable_stream_over_recent_days_equals_ingest(spark, put, tmp_path):
+    folder = put("docs", 2, "a.json", document("2025-01-10", ("2025-01-09", "1"), ("2025-01-10", "3")))
+    put("docs", 3, "a.json", document("2025-01-10", ("2025-01-09", "5")))
+    streamed, batch = Store(str(tmp_path / "s")), Store(str(tmp_path / "b"))
+    wearable_stream(spark, folder, streamed, str(tmp_path / "cp")).awaitTermination()
+    ingest_wearable(spark, folder, batch)
+    assert sorted(stored(spark, streamed.series)) == sorted(stored(spark, batch.series))
+
+
+def test_set_log_stream_equals_ingest_and_keeps_stored_days(spark, put, tmp_path):
+    folder = put("log", 1, "a.csv", CSV)
+    streamed, batch = Store(str(tmp_path / "s")), Store(str(tmp_path / "b"))
+    set_log_stream(spark, folder, streamed, str(tmp_path / "cp")).awaitTermination()
+    ingest_set_log(spark, folder, batch)
+    assert sorted(stored(spark, streamed.sets), key=repr) == sorted(stored(spark, batch.sets), key=repr)
+    put("log", 1, "b.csv", CSV.replace("Morning", "Changed"))
+    set_log_stream(spark, folder, streamed, str(tmp_path / "cp")).awaitTermination()
+    assert sorted(stored(spark, streamed.workouts)) == sorted(stored(spark, batch.workouts))
+
+
+def test_weekly_stream_equals_the_batch(spark, tmp_path):
+    source = tmp_path / "events"
+    source.mkdir()
+    records = [{"user_id": u, "ts": f"2024-01-{d:02d}T10:00:00", "value": d + 0.5} for u in (1, 2) for d in range(1, 29)]
+    (source / "a.json").write_text("\n".join(map(json.dumps, records)))
+    # A far later row moves the watermark past the weeks under test.
+    (source / "b.json").write_text(json.dumps({"user_id": 1, "ts": "2024-06-01T00:00:00", "value": 0.0}))
+    schema = "user_id bigint, ts timestamp, value double"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(source))
+    weekly_totals_stream(spark, stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    batch = weekly_totals(spark.read.schema(schema).json(str(source))).filter("week < '2024-05-01'")
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "week", "user_id") == rows(batch, "week", "user_id")
+    assert {r.week.weekday() for r in batch.collect()} == {0}
