@@ -51,19 +51,23 @@ def unreadable_values(series: DataFrame) -> DataFrame:
     return known.filter(blank_to_null(text).isNotNull() & _number(text).isNull())
 
 
-def wearable_days(series: DataFrame) -> DataFrame:
-    """Numeric long series -> one canonical row per user and day, absent metrics defaulted."""
+def wearable_days(series: DataFrame, missing_as_null: bool = False) -> DataFrame:
+    """Numeric long series -> one canonical row per user and day. Absent metrics take their default,
+    or stay null as in the first version of the table."""
+
+    def filled(column: Column, default) -> Column:
+        return column if missing_as_null else F.coalesce(column, F.lit(default))
+
     wide = pivot_latest(series, DAILY_METRICS)
-    zero = F.lit(0)
     return wide.select(
         *DAY,
-        F.coalesce(F.col("steps").cast("bigint"), zero).alias("steps"),
-        F.coalesce("distance", F.lit(0.0)).alias("distance"),
-        F.coalesce(F.col("calories_out").cast("bigint"), zero).alias("calories_burned_from_steps"),
-        milliseconds_to_hours(F.coalesce("sleep_duration", F.lit(0.0))).alias("sleep_hours"),
+        filled(F.col("steps").cast("bigint"), 0).alias("steps"),
+        filled(F.col("distance"), 0.0).alias("distance"),
+        filled(F.col("calories_out").cast("bigint"), 0).alias("calories_burned_from_steps"),
+        milliseconds_to_hours(filled(F.col("sleep_duration"), 0.0)).alias("sleep_hours"),
         F.col("sleep_efficiency").cast("int").alias("sleep_score"),
-        F.coalesce(F.col("heart").cast("int"), zero).alias("resting_heart_rate"),
-        F.coalesce("weight", F.lit(0.0)).alias("bodyweight"),
+        filled(F.col("heart").cast("int"), 0).alias("resting_heart_rate"),
+        filled(F.col("weight"), 0.0).alias("bodyweight"),
     )
 
 
@@ -133,25 +137,30 @@ def last_workout_wins(workouts: DataFrame) -> DataFrame:
     return workouts.groupBy(*DAY).agg(best, F.max("seq").alias("seq")).select(*DAY, "_row.*", "seq")
 
 
-def combine_days(wearable: DataFrame, workouts: DataFrame, calories: DataFrame) -> DataFrame:
+def combine_days(
+    wearable: DataFrame, workouts: DataFrame, calories: DataFrame, missing_as_null: bool = False
+) -> DataFrame:
     """Full outer merge on user and day. All three sides are already grouped by that key, so the
     joins reuse the partitioning of the aggregates."""
+
+    def filled(name: str, default) -> Column:
+        return F.col(name) if missing_as_null else F.coalesce(F.col(name), F.lit(default))
+
     trained = workouts.join(calories, DAY, "left")
     both = wearable.join(trained, DAY, "full_outer")
-    zero = F.lit(0)
-    from_steps = F.coalesce("calories_burned_from_steps", zero)
-    from_workout = F.coalesce("calories_burned_from_workout", zero)
+    from_steps = F.coalesce("calories_burned_from_steps", F.lit(0))
+    from_workout = F.coalesce("calories_burned_from_workout", F.lit(0))
     return both.select(
         *DAY,
-        F.coalesce("steps", zero).alias("steps"),
-        F.coalesce("distance", F.lit(0.0)).alias("distance"),
+        filled("steps", 0).alias("steps"),
+        filled("distance", 0.0).alias("distance"),
         (from_steps + from_workout).alias("total_calories_burned"),
-        F.coalesce("sleep_hours", F.lit(0.0)).alias("sleep_hours"),
+        filled("sleep_hours", 0.0).alias("sleep_hours"),
         "sleep_score",
         F.col("title").alias("workout_title"),
         F.coalesce("duration", F.lit(NO_DURATION)).alias("total_workout_duration"),
         from_workout.alias("calories_burned_from_workout"),
         from_steps.alias("calories_burned_from_steps"),
-        F.coalesce("resting_heart_rate", zero).alias("resting_heart_rate"),
-        F.coalesce("bodyweight", F.lit(0.0)).alias("bodyweight"),
+        filled("resting_heart_rate", 0).alias("resting_heart_rate"),
+        filled("bodyweight", 0.0).alias("bodyweight"),
     )

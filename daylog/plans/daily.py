@@ -3,21 +3,31 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..functions.effort import DEFAULT_USER_LBS, WeightWords
 from ..operators.coach import RECENT, coach_payload, prior_day, recent_summaries
-from ..operators.days import canonical_sets, combine_days, day_calories, typed_series, typed_sets, wearable_days
-from ..operators.dims import checked_broadcast, exercise_dim
+from ..operators.days import (
+    canonical_sets,
+    combine_days,
+    day_calories,
+    typed_series,
+    typed_sets,
+    unreadable_sets,
+    unreadable_values,
+    wearable_days,
+)
+from ..operators.dims import checked_broadcast, exercise_dim, unmapped_exercises
 from ..operators.feed import between_days, metric_feed, on_day
 from ..operators.trends import averages, dashboard_days, rolling_means, set_totals, with_user_means
 from ..operators.weeks import week_volume
 from ..operators.workouts import workout_text
-from ..schemas import DAILY, SERIES, SETS, WORKOUTS
+from ..schemas import AVERAGES, DAILY, SERIES, SETS, WORKOUTS
 from ..sources.readers import read_or_empty, read_required
-from ..sources.store import write_flat, write_table
+from ..sources.store import stored_months, write_flat, write_table
 from .paths import Store
 
 TRAINING_SETS = (
@@ -48,18 +58,35 @@ def combine(
 
 
 def run_combine(
-    spark: SparkSession, store: Store, dim: DataFrame | None = None, user_lbs: float = DEFAULT_USER_LBS
+    spark: SparkSession,
+    store: Store,
+    dim: DataFrame | None = None,
+    user_lbs: float = DEFAULT_USER_LBS,
+    months: Sequence[str] | None = None,
 ) -> None:
-    """Stored series, workouts and sets -> stored daily table and training sets."""
-    series = typed_series(read_or_empty(spark, store.series, SERIES))
-    workouts = read_or_empty(spark, store.workouts, WORKOUTS)
-    sets = typed_sets(read_or_empty(spark, store.sets, SETS))
+    """Stored series, workouts and sets -> stored daily table and training sets.
+
+    Days are independent, so a run may take only the ``months`` (``yyyy-MM``) its ingest touched.
+    """
+    series = typed_series(stored_months(spark, store.series, SERIES, months))
+    workouts = stored_months(spark, store.workouts, WORKOUTS, months)
+    sets = typed_sets(stored_months(spark, store.sets, SETS, months))
     dim = checked_broadcast(dim if dim is not None else exercise_dim(spark))
     combined = combine(series, workouts, sets, dim, user_lbs)
     write_table(combined.daily, store.daily)
     write_table(combined.sets, store.training_sets, ["user_id", "date", "pos"])
 
 
+def run_checks(spark: SparkSession, store: Store, dim: DataFrame | None = None) -> None:
+    """Data-quality tables: values and sets that do not read as numbers, exercises without muscles."""
+    dim = checked_broadcast(dim if dim is not None else exercise_dim(spark))
+    series = stored_months(spark, store.series, SERIES, None)
+    sets = stored_months(spark, store.sets, SETS, None)
+    write_flat(unreadable_values(series), f"{store.bad_rows}/series")
+    write_flat(unreadable_sets(sets), f"{store.bad_rows}/sets")
+    write_flat(unmapped_exercises(typed_sets(sets), dim), f"{store.bad_rows}/exercises")
+
+
 def load_combined(spark: SparkSession, store: Store) -> Combined:
     daily = read_required(spark, store.daily, f"{DAILY}, month string").drop("month")
     sets = read_or_empty(spark, store.training_sets, f"{TRAINING_SETS}, month string").drop("month")
@@ -70,6 +97,10 @@ def run_averages(spark: SparkSession, store: Store) -> None:
     write_flat(averages(load_combined(spark, store).daily), store.averages)
 
 
+def load_averages(spark: SparkSession, store: Store) -> DataFrame:
+    return read_required(spark, store.averages, AVERAGES)
+
+
 def build_payload(
     combined: Combined, day: datetime.date, n: int = RECENT, until: datetime.date | None = None
 ) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fill_template, strip_code_fences
 from ..schemas import PLAN
+from ..sources.store import write_flat
+from .paths import Store
 
 # The texts of the two mail layouts and of the prompt.
 WORKOUT_PAGE = """
@@ -125,6 +127,12 @@ def unreadable_plans(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.filter(F.size(_plans_in(F.col(text))) == 0)
 
 
+def store_plans(texts: DataFrame, store: Store, text: str = "text") -> None:
+    """Parse model texts into the plan table and set the unreadable ones aside."""
+    write_flat(plan_rows(texts, text).drop(text), store.plans)
+    write_flat(unreadable_plans(texts, text), f"{store.bad_rows}/plans")
+
+
 def _empty(items: Column) -> Column:
     return F.coalesce(F.size(items), F.lit(0)) <= 0
 

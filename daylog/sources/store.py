@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key
+from ..operators.ranking import top_rows
 from ..schemas import DAY
 from .readers import read_or_empty
 
@@ -54,9 +56,10 @@ def touched_months(batch: DataFrame) -> list[str]:
     return sorted(row[MONTH] for row in rows if row[MONTH] is not None)
 
 
-def stored_months(spark: SparkSession, path: str, schema: str, months: Sequence[str]) -> DataFrame:
+def stored_months(spark: SparkSession, path: str, schema: str, months: Sequence[str] | None) -> DataFrame:
+    """A stored table, or only the given months of it: other directories are not listed or read."""
     stored = read_or_empty(spark, path, f"{schema}, {MONTH} string")
-    return stored.filter(F.col(MONTH).isin(*months)).drop(MONTH)
+    return (stored if months is None else stored.filter(F.col(MONTH).isin(*months))).drop(MONTH)
 
 
 def new_wins(stored: DataFrame, batch: DataFrame, keys: Sequence[str] = DAY) -> DataFrame:
@@ -78,10 +81,15 @@ def merge_into(batch: DataFrame, path: str, schema: str, merge: Merge, order: Se
     """Merge a batch into a stored table, reading and writing only the months it touches."""
     spark = batch.sparkSession
     names = [field.split()[0] for field in schema.split(", ")]
-    batch = batch.select(*names)
-    months = touched_months(batch)
-    if months:
-        write_table(merge(stored_months(spark, path, schema, months), batch), path, order)
+    # The batch is used twice: for its months and for the merge. It may spill, and lost blocks are
+    # computed again from the landed files.
+    batch = batch.select(*names).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        months = touched_months(batch)
+        if months:
+            write_table(merge(stored_months(spark, path, schema, months), batch), path, order)
+    finally:
+        batch.unpersist()
 
 
 def union_rows(*parts: DataFrame) -> DataFrame:
@@ -110,8 +118,6 @@ def load_audit(rows: DataFrame, name: str) -> DataFrame:
 
 def preview(rows: DataFrame, n: int = 5) -> DataFrame:
     """First and last ``n`` dates of each user with their place, for a log line."""
-    from ..operators.ranking import top_rows
-
     days = rows.select(*DAY).distinct()
     head = top_rows(days, ["user_id"], [F.asc("date")], n, "place").withColumn("end", F.lit("head"))
     tail = top_rows(days, ["user_id"], [F.desc("date")], n, "place").withColumn("end", F.lit("tail"))

@@ -3,6 +3,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from daylog.plans import daily as jobs
+from daylog.plans import rendering
 from daylog.plans.ingest import ingest_set_log, ingest_wearable
 from daylog.plans.paths import Store
 from daylog.session import shared_folder
@@ -38,11 +39,45 @@ def test_daily_run_from_landed_files_to_feed(spark, put, tmp_path):
     )
 
 
+def test_combine_of_one_month_leaves_the_others(spark, put, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    ingest_wearable(spark, put("docs", 1, "a.json", DOC), store)
+    ingest_set_log(spark, put("log", 1, "log.csv", CSV), store)
+    jobs.run_combine(spark, store)
+    before = {f.name for f in (tmp_path / "store/daily/month=2025-01").iterdir()}
+    jobs.run_combine(spark, store, months=["2025-10"])
+    assert {f.name for f in (tmp_path / "store/daily/month=2025-01").iterdir()} == before
+    assert jobs.load_combined(spark, store).daily.count() == 4
+
+
+def test_checks_and_plans_are_stored(spark, put, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    ingest_wearable(spark, put("docs", 1, "a.json", DOC), store)
+    ingest_set_log(spark, put("log", 1, "log.csv", CSV.replace("Pull Up", "Juggling")), store)
+    jobs.run_checks(spark, store)
+    counts = {n: spark.read.parquet(f"{store.bad_rows}/{n}").count() for n in ("series", "sets", "exercises")}
+    # "Curl" and "Juggling" are in no table; one set has an unreadable weight.
+    assert counts == {"series": 0, "sets": 1, "exercises": 2}
+    texts = spark.createDataFrame([(1, '{"day_focus": "Push"}'), (2, "none")], "user_id bigint, text string")
+    rendering.store_plans(texts, store)
+    assert spark.read.parquet(store.plans).first().plan.day_focus == "Push"
+    assert spark.read.parquet(f"{store.bad_rows}/plans").first().user_id == 2
+
+
+def test_missing_metrics_may_stay_null(spark):
+    series = spark.createDataFrame(
+        [(1, datetime.date(2025, 1, 1), "steps", 5.0, 1)], "user_id bigint, date date, metric string, value double, seq bigint"
+    )
+    assert jobs.wearable_days(series).first().distance == 0.0
+    first = jobs.wearable_days(series, missing_as_null=True).first()
+    assert (first.steps, first.distance, first.sleep_hours) == (5, None, None)
+
+
 def test_runs_on_empty_stores(spark, tmp_path):
     store = Store(str(tmp_path / "empty"))
     series = spark.createDataFrame([], "user_id bigint, date date, metric string, value double, seq bigint")
     assert jobs.wearable_days(series).count() == 0
-    assert jobs.read_or_empty(spark, store.sets, jobs.SETS).count() == 0
+    jobs.run_combine(spark, store)
 
 
 def test_audit_and_preview(spark):
