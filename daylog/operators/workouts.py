@@ -227,10 +227,14 @@ def summaries(groups: DataFrame, notes: DataFrame, **classes) -> DataFrame:
     return joined.select(*DAY, summary.alias("summary"))
 
 
+def set_ties(sets: DataFrame) -> list[str]:
+    """Columns that order sets of equal position, so that every step sees the same total order."""
+    return [c for c in ("tie", "weight_lbs", "reps", "notes") if c in sets.columns]
+
+
 def set_order(sets: DataFrame) -> list[Column]:
     """Total order of a day's sets: position, then content where positions are equal."""
-    ties = [c for c in ("tie", "weight_lbs", "reps", "notes") if c in sets.columns]
-    return [F.asc("pos"), *(F.asc_nulls_first(c) for c in ties)]
+    return [F.asc("pos"), *(F.asc_nulls_first(c) for c in set_ties(sets))]
 
 
 def numbered_sets(sets: DataFrame) -> DataFrame:
@@ -241,7 +245,7 @@ def numbered_sets(sets: DataFrame) -> DataFrame:
 
 def exercise_last_note(sets: DataFrame) -> DataFrame:
     """Last non-empty note of each exercise of a day, where the exercise begins, and its sets."""
-    order = F.struct(*(c for c in ("pos", "tie", "notes") if c in sets.columns))
+    order = F.struct("pos", *set_ties(sets))
     noted = is_truthy_text(F.col("notes"))
     return sets.groupBy(*DAY, "exercise").agg(
         F.max_by(F.when(noted, F.col("notes")), F.when(noted, order)).alias("note"),
@@ -263,8 +267,7 @@ def workout_pieces(sets: DataFrame) -> DataFrame:
     Sets meet once, in (day, exercise, block). The small table of piece sizes then tells each piece
     its first set number and line; it reads the same collected column, so the one shuffle serves both.
     """
-    ties = [c for c in ("tie",) if c in sets.columns]
-    entry = F.struct("pos", *ties, "weight_lbs", "reps", "notes")
+    entry = F.struct("pos", *set_ties(sets))
     cell = [*DAY, "exercise", "block"]
     cells = (
         with_keys(sets.withColumn("block", position_block()), *cell)

@@ -171,7 +171,8 @@ b_numbered AS (
 ),
 b_last_note AS (
   SELECT user_id, date, exercise, notes AS note FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, date, exercise ORDER BY pos DESC, tie DESC, notes DESC) AS rn
+    SELECT *, row_number() OVER (PARTITION BY user_id, date, exercise ORDER BY pos DESC, tie DESC,
+      weight_lbs DESC, reps DESC NULLS LAST, notes DESC) AS rn
     FROM b_sets WHERE notes <> ''
   ) WHERE rn = 1
 ),
