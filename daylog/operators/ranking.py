@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one position block: the most that one task has to order at a time.
+# Positions of one block: the most that one task has to order at a time is what shares a block.
 BLOCK_BITS = 13
 
 
@@ -19,9 +19,15 @@ def with_keys(rows: DataFrame, *keys: str) -> DataFrame:
     return rows
 
 
-def position_block(pos: str = "pos") -> Column:
-    """A block number that rises with the position and spans 8,192 positions."""
-    return F.shiftright(F.col(pos).cast("bigint"), BLOCK_BITS)
+def position_block(rows: DataFrame) -> Column:
+    """A block key that rises with the position and spans 8,192 positions.
+
+    Where positions repeat, a ``tie`` column tells rows apart; blocks then span 8,192 ties as well, so
+    a position that holds a large part of all rows is split too.
+    """
+    return F.struct(
+        *(F.shiftright(F.col(c).cast("bigint"), BLOCK_BITS).alias(c) for c in ("pos", "tie") if c in rows.columns)
+    )
 
 
 def top_rows(rows: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str = "rank") -> DataFrame:

@@ -106,16 +106,12 @@ def exercise_stats(groups: DataFrame) -> DataFrame:
     )
 
 
-def _day_sums() -> list[Column]:
-    return [
+def workout_totals(groups: DataFrame) -> DataFrame:
+    return exercise_stats(groups).groupBy(*DAY).agg(
         F.sum("sets").alias("total_sets"),
         F.sum("reps_sum").alias("total_reps"),
         round_exact(F.sum("volume").cast("double"), 1).alias("estimated_volume"),
-    ]
-
-
-def workout_totals(groups: DataFrame) -> DataFrame:
-    return exercise_stats(groups).groupBy(*DAY).agg(*_day_sums())
+    )
 
 
 def muscle_sets(groups: DataFrame) -> DataFrame:
@@ -148,23 +144,18 @@ def _days(groups: DataFrame) -> DataFrame:
     return groups.filter(F.size("parts") > 0).select(*DAY).distinct()
 
 
-def _lift_order() -> list[Column]:
-    return [F.desc("score"), F.asc("first_pos"), F.asc("exercise")]
-
-
-def _lift_fields() -> list[Column | str]:
-    return [
+def key_lifts(stats: DataFrame, n: int = KEY_LIFTS) -> DataFrame:
+    """Top ``n`` exercises of a day by score; of equals the one done first."""
+    order = [F.desc("score"), F.asc("first_pos"), F.asc("exercise")]
+    return top_rows(stats, DAY, order, n).select(
+        *DAY,
+        "rank",
         "exercise",
         "sets",
         round_exact(F.col("avg_weight"), 1).alias("avg_weight"),
         round_exact(F.col("avg_reps"), 1).alias("avg_reps"),
         "muscles",
-    ]
-
-
-def key_lifts(stats: DataFrame, n: int = KEY_LIFTS) -> DataFrame:
-    """Top ``n`` exercises of a day by score; of equals the one done first."""
-    return top_rows(stats, DAY, _lift_order(), n).select(*DAY, "rank", *_lift_fields())
+    )
 
 
 def workout_notes(sets: DataFrame, groups: DataFrame, n: int = NOTES_SHOWN) -> DataFrame:
@@ -198,10 +189,8 @@ def training_days(sets: DataFrame, n: int, newest: bool = True, until: datetime.
 def summaries(groups: DataFrame, notes: DataFrame, **classes) -> DataFrame:
     """One summary struct per day with sets. Every collected list is bounded: three lifts, one entry
     per muscle."""
-    rank = F.row_number().over(Window.partitionBy(*DAY).orderBy(*_lift_order()))
-    ranked = exercise_stats(groups).withColumn("rank", rank)
-    lift = F.when(F.col("rank") <= KEY_LIFTS, F.struct("rank", *_lift_fields()))
-    totals = ranked.groupBy(*DAY).agg(*_day_sums(), F.array_sort(F.collect_list(lift)).alias("lifts"))
+    lift = F.struct("rank", "exercise", "sets", "avg_weight", "avg_reps", "muscles")
+    lifts = key_lifts(exercise_stats(groups)).groupBy(*DAY).agg(F.array_sort(F.collect_list(lift)).alias("lifts"))
     by_muscle = (
         muscle_sets(groups)
         .groupBy(*DAY)
@@ -212,7 +201,7 @@ def summaries(groups: DataFrame, notes: DataFrame, **classes) -> DataFrame:
     )
     entries = F.transform("counts", lambda c: F.struct(c.muscle, c.sets))
     no_entries = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
-    joined = totals.join(by_muscle, DAY, "left").join(notes, DAY, "left")
+    joined = workout_totals(groups).join(lifts, DAY).join(by_muscle, DAY, "left").join(notes, DAY, "left")
     summary = F.struct(
         F.col("date").cast("string").alias("date"),
         F.lit(True).alias("had_workout"),
@@ -228,24 +217,25 @@ def summaries(groups: DataFrame, notes: DataFrame, **classes) -> DataFrame:
 
 
 def set_ties(sets: DataFrame) -> list[str]:
-    """Columns that order sets of equal position, so that every step sees the same total order."""
+    """Columns that order sets of equal position, so that every step sees the same total order: block,
+    position, then these."""
     return [c for c in ("tie", "weight_lbs", "reps", "notes") if c in sets.columns]
 
 
 def set_order(sets: DataFrame) -> list[Column]:
-    """Total order of a day's sets: position, then content where positions are equal."""
+    """Order of sets within a block: position, then content where positions are equal."""
     return [F.asc("pos"), *(F.asc_nulls_first(c) for c in set_ties(sets))]
 
 
 def numbered_sets(sets: DataFrame) -> DataFrame:
     """Set number within the exercise of a day, exact for exercises of any size."""
-    rows = with_keys(sets.withColumn("block", position_block()), *DAY, "exercise", "block")
+    rows = with_keys(sets.withColumn("block", position_block(sets)), *DAY, "exercise", "block")
     return number_rows(rows, [*DAY, "exercise"], set_order(sets), "set_number").drop("block")
 
 
 def exercise_last_note(sets: DataFrame) -> DataFrame:
     """Last non-empty note of each exercise of a day, where the exercise begins, and its sets."""
-    order = F.struct("pos", *set_ties(sets))
+    order = F.struct(position_block(sets).alias("block"), "pos", *set_ties(sets))
     noted = is_truthy_text(F.col("notes"))
     return sets.groupBy(*DAY, "exercise").agg(
         F.max_by(F.when(noted, F.col("notes")), F.when(noted, order)).alias("note"),
@@ -270,7 +260,7 @@ def workout_pieces(sets: DataFrame) -> DataFrame:
     entry = F.struct("pos", *set_ties(sets))
     cell = [*DAY, "exercise", "block"]
     cells = (
-        with_keys(sets.withColumn("block", position_block()), *cell)
+        with_keys(sets.withColumn("block", position_block(sets)), *cell)
         .groupBy(*cell)
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     )

@@ -22,6 +22,8 @@ def local_session(cores: int | str = "*", app: str = "daylog", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Call sites are not recorded for every column: plans are built faster.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

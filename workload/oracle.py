@@ -165,14 +165,14 @@ b_summary AS (
 ),
 b_numbered AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, date, exercise
-      ORDER BY pos, tie, weight_lbs, reps NULLS FIRST, notes) AS set_number,
+      ORDER BY pos // 8192, tie // 8192, pos, tie, weight_lbs, reps NULLS FIRST, notes) AS set_number,
     min(pos) OVER (PARTITION BY user_id, date, exercise) AS first_pos
   FROM b_sets
 ),
 b_last_note AS (
   SELECT user_id, date, exercise, notes AS note FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, date, exercise ORDER BY pos DESC, tie DESC,
-      weight_lbs DESC, reps DESC NULLS LAST, notes DESC) AS rn
+    SELECT *, row_number() OVER (PARTITION BY user_id, date, exercise ORDER BY pos // 8192 DESC, tie // 8192 DESC,
+      pos DESC, tie DESC, weight_lbs DESC, reps DESC NULLS LAST, notes DESC) AS rn
     FROM b_sets WHERE notes <> ''
   ) WHERE rn = 1
 ),
