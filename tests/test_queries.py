@@ -82,3 +82,22 @@ def test_scans_read_only_needed_columns(spark):
     plan = executed(QUERIES["weekly_sets"](spark, SMALL))
     scan = re.search(r"FileScan parquet \[(l_[^\]]*)\]", plan).group(1)
     assert {c.split("#")[0] for c in scan.split(",")} <= {"l_orderkey", "l_partkey", "l_tax", "l_discount", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"}
+
+
+@pytest.mark.parametrize("name", ["key_lifts_top3", "workout_notes", "recent_workouts", "date_preview"])
+def test_top_rows_are_limited_before_the_shuffle(spark, name):
+    plan = executed(QUERIES[name](spark, SMALL))
+    assert re.search(r"WindowGroupLimit .*Partial", plan)
+
+
+def test_dimensions_are_broadcast_and_raw_sets_are_reduced_before_the_shuffle(spark):
+    plan = executed(QUERIES["workout_calories_day"](spark, SMALL))
+    assert "BroadcastHashJoin [exercise" in plan
+    above = plan[: plan.index("BroadcastHashJoin [exercise")]
+    assert above.index("Exchange hashpartitioning") < above.index("partial_sum")
+
+
+def test_the_week_is_filtered_below_the_join(spark):
+    plan = executed(QUERIES["week_volume"](spark, SMALL))
+    below = plan[plan.index("Join [l_orderkey") :]
+    assert re.search(r"Filter .*date_add\(2023-11-20[^>]*>= 2024-01-15", below)
