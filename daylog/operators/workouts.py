@@ -57,7 +57,9 @@ def collect_parts(reduced: DataFrame) -> DataFrame:
     """Reduced rows -> one row per user, day and exercise with ``parts``, one per muscle list: a single
     part in a table built from the dimension."""
     part = F.struct("muscle_groups", "sets", "reps", "weight", "weighted", "volume", "first_pos")
-    return reduced.groupBy(*DAY, "exercise").agg(F.collect_list(part).alias("parts"))
+    # Collecting does not shrink rows: placing them first saves the sort of a partial aggregate.
+    placed = reduced.repartition(*DAY, "exercise")
+    return placed.groupBy(*DAY, "exercise").agg(F.collect_list(part).alias("parts"))
 
 
 def exercise_groups(sets: DataFrame) -> DataFrame:
@@ -261,6 +263,7 @@ def workout_pieces(sets: DataFrame) -> DataFrame:
     cell = [*DAY, "exercise", "block"]
     cells = (
         with_keys(sets.withColumn("block", position_block(sets)), *cell)
+        .repartition(*cell)
         .groupBy(*cell)
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     )
