@@ -5,7 +5,6 @@ Merges are idempotent by key, so a batch that is replayed after a failure leaves
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
