@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from daylog.llm.bpe_tree import op6_bpe
 from daylog.llm.packing import op4_pack
+from daylog.llm.simhash import op9_simhash
+from daylog.llm.substring_dedup import SQL as SUBSTRING_SQL
+from daylog.llm.substring_dedup import op1_substring_dedup
 from daylog.llm.token_shards import op2_token_shards
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_token_shards": op2_token_shards,
     "op4_pack": op4_pack,
     "op6_bpe": op6_bpe,
+    "op9_simhash": op9_simhash,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_substring_dedup": SUBSTRING_SQL}
