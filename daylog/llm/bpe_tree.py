@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daylog.llm.chunks import Encoder, packed, vocabulary_path
-from daylog.llm.common import documents, texts_of
+from daylog.llm.common import documents, small_batches, texts_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Bytes up to which a piece is a leaf of the tree.
 LEAF = 4
 #: Bytes from which a window is encoded with a heap.
 HEAP = 48
-#: Pairs of tokens and pieces that a worker remembers; bounds memory, not results.
+#: Pairs of tokens that a worker remembers; bounds memory, not results.
 KEPT = 400_000
 
 
@@ -143,28 +143,15 @@ def tree_encoder(path: str) -> TreeEncoder:
 
 
 def text_encoder(path: str, pattern: str) -> Encoder:
-    """Encodes texts: split by ``pattern``, each match by the tree; a worker remembers the pieces and chunks it has met."""
+    """Encodes texts: split by ``pattern``, each match by the tree; a worker remembers the chunks it has met."""
     if (path, pattern) not in _TEXTS:
         import regex
 
         pieces = regex.compile(pattern).findall
-        tree, known = tree_encoder(path), {}
+        tree = tree_encoder(path)
 
         def many(strings: list[str]) -> list[bytes]:
-            out = []
-            for text in strings:
-                parts = []
-                for piece in pieces(text):
-                    ids = known.get(piece)
-                    if ids is None:
-                        ids = packed(tree.encode(piece.encode("utf-8", "surrogatepass")))
-                        if len(piece) <= 32:
-                            if len(known) > KEPT:
-                                known.clear()
-                            known[piece] = ids
-                    parts.append(ids)
-                out.append(b"".join(parts))
-            return out
+            return [b"".join([packed(tree.encode(x.encode("utf-8", "surrogatepass"))) for x in pieces(text)]) for text in strings]
 
         _TEXTS[path, pattern] = Encoder(many)
     return _TEXTS[path, pattern]
@@ -180,7 +167,7 @@ def bpe_encode(docs: DataFrame, ranks: str | None = None, pattern: str | None =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(path, pattern)
-        for batch in batches:
+        for batch in small_batches(batches):
             raw = encoder(texts_of(batch, "text"))
             ends = np.cumsum([0, *(len(x) // 4 for x in raw)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32)))
@@ -198,7 +185,8 @@ def bpe_decode(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
         tokens = tree_encoder(path).tokens
         for batch in batches:
             column = batch.column("ids")
-            raw = [b"".join(map(tokens.__getitem__, x)) for x in column.to_pylist()]
+            ends, ids = column.offsets.to_numpy(), column.values.to_numpy()
+            raw = [b"".join(map(tokens.__getitem__, ids[a:b].tolist())) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     names = ", ".join(f"`{k}` {v}" for k, v in encoded.dtypes)

@@ -15,9 +15,12 @@ CUT = re.compile(r" (?=\S)")
 #: A space that no such cut may take.
 ODD = re.compile(r" (?!\S)")
 #: Chunks kept in one worker; beyond it the worker starts afresh. Bounds memory, not results.
-KEPT = 700_000
+KEPT = 800_000
 #: Longer chunks are encoded whenever they occur, and not kept.
 KEPT_CHARS = 64
+#: Marks that, after an ASCII letter, start a piece of the pattern.
+MARKS = ".,;:!?#$%&*"
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 def chunks_of(text: str) -> list[str]:
@@ -30,29 +33,75 @@ def packed(ids) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def atoms_of(chunk: str) -> list[tuple[bool, str]]:
+    """A space-led chunk cut further where the pattern cuts for certain: (led by the space, text) of each part.
+
+    A line feed between two non-spaces is a piece of its own, and marks that follow an ASCII letter start a piece. Words
+    then recur without what happens to stand around them.
+    """
+    words = [chunk]
+    if "\n" in chunk:
+        parts = chunk.split("\n")
+        if all(parts) and "".join(chunk.split()) == "".join(parts):  # no other white space
+            words = parts
+    out = []
+    for i, word in enumerate(words):
+        if i:
+            out.append((False, "\n"))
+        base = word.rstrip(MARKS)
+        if base and len(base) < len(word) and base[-1] in LETTERS:
+            out += [(not i, base), (False, word[len(base) :])]
+        else:
+            out.append((not i, word))
+    return out
+
+
 class Encoder:
     """Ids of texts as packed bytes. ``many`` encodes a list of strings into a list of packed ids."""
 
     def __init__(self, many: Callable[[list[str]], list[bytes]]) -> None:
         self.many = many
-        self.known: dict[str, bytes] = {}
+        self.led: dict[str, bytes] = {}  # by the chunk without its space
+        self.bare: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.led) + len(self.bare) > KEPT:
+            self.led.clear()
+            self.bare.clear()
+        look_up = self.led.get
         parts = [chunks_of(x) for x in texts]
         heads = self.many([x[0] for x in parts])
-        need: set[str] = set()
-        for x in parts:
-            need.update(x[1:])
-        if len(self.known) > KEPT:
-            self.known.clear()
-        new = list(need.difference(self.known))
-        self.known.update(zip(new, self.many([" " + x for x in new]), strict=True))
-        known = self.known.__getitem__
-        out = [head + b"".join(map(known, x[1:])) for head, x in zip(heads, parts, strict=True)]
-        for x in new:
+        found = [list(map(look_up, x)) for x in parts]
+        gaps = []
+        for head, ids, x in zip(heads, found, parts, strict=True):
+            ids[0] = head
+            gaps.append([i for i, y in enumerate(ids) if y is None] if None in ids else [])
+        passing = self._learn(list({x[i] for own, x in zip(gaps, parts, strict=True) for i in own}))
+        for own, ids, x in zip(gaps, found, parts, strict=True):
+            for i in own:
+                ids[i] = look_up(x[i])
+        for x in passing:
+            self.led.pop(x, None)
+        return [b"".join(ids) for ids in found]
+
+    def _learn(self, new: list[str]) -> list[str]:
+        """Make ``new`` chunks known; returns those that are not worth keeping."""
+        cut = [atoms_of(x) for x in new]
+        led, bare = self.led, self.bare
+        led_new = list({t for atoms in cut for first, t in atoms if first and t not in led})
+        bare_new = list({t for atoms in cut for first, t in atoms if not first and t not in bare})
+        led.update(zip(led_new, self.many([" " + x for x in led_new]), strict=True))
+        bare.update(zip(bare_new, self.many(bare_new), strict=True))
+        passing = [x for x in led_new if len(x) > KEPT_CHARS]
+        for x, atoms in zip(new, cut, strict=True):
+            if len(atoms) > 1:
+                led[x] = b"".join([led[t] if first else bare[t] for first, t in atoms])
+                if len(atoms) > 2 or len(x) > KEPT_CHARS:
+                    passing.append(x)
+        for x in bare_new:
             if len(x) > KEPT_CHARS:
-                del self.known[x]
-        return out
+                del bare[x]
+        return passing
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,16 @@ def id_crc(col: Column) -> Column:
     return F.crc32(col.cast("string").cast("binary"))
 
 
+def small_batches(batches: Iterator, limit: int = 2 << 20) -> Iterator:
+    """Arrow batches cut so that their ``text`` column has about ``limit`` bytes at most (or one longer row)."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+        block = np.cumsum(sizes) // limit
+        edges = np.flatnonzero(np.diff(block, prepend=-1)) if len(block) else [0]
+        for a, b in zip(edges, [*edges[1:], batch.num_rows], strict=True):
+            yield batch.slice(a, b - a)
+
+
 def texts_of(batch, column: str) -> list[str]:
     """The texts of an Arrow batch; a null text is an empty one."""
     return [x or "" for x in batch.column(column).to_pylist()]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daylog.llm.chunks import library_encoder, packed, vocabulary_path
-from daylog.llm.common import documents, stored, texts_of
+from daylog.llm.common import documents, small_batches, stored, texts_of
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -190,7 +190,7 @@ def _cutter(tokenizer: str, end_id: int, capacity: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, met = library_encoder(tokenizer), TaskContext.get().partitionId(), Counter()
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch, "text")), strict=True):
                 ids += end

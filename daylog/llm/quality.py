@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylog.llm.common import documents, in_blocks, mix64, texts_of, word_hashes, word_starts, words_of
+from daylog.llm.common import documents, in_blocks, mix64, small_batches, texts_of, word_hashes, word_starts, words_of
 from daylog.llm.folds import held_out, labels, sample_of, sigmoid
 
 PASSAGE = 100
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, marked: DataFrame, rows: int = SAMPLE) -> BagModel | Co
     """A model of ``marked`` (doc_id, label), fitted on a sample of at most ``rows`` documents."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             x, owner = passages(texts_of(batch, "text"))
             kept = []
             for own in np.split(x, np.flatnonzero(np.diff(owner)) + 1) if len(owner) else []:
@@ -196,7 +196,7 @@ def score(docs: DataFrame, model: BagModel | Constant) -> DataFrame:
     """doc_id, text_hash and score (0 to 1) of every row of ``docs`` (doc_id, text)."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             scores = np.zeros(0)
             if batch.num_rows:
                 x, owner = passages(texts_of(batch, "text"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylog.llm.common import documents, stored, texts_of
+from daylog.llm.common import documents, small_batches, stored, texts_of
 
 SHINGLE = 3
 DISTANCE = 3
@@ -60,7 +60,7 @@ def simhashes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, text_hash and fp, the fingerprint as a signed long, of every row of ``docs`` (doc_id, text)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             prints = np.array([fingerprint(x, shingle) for x in texts_of(batch, "text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(prints)], names=["doc_id", "text_hash", "fp"])
 

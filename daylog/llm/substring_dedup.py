@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylog.llm.common import documents, in_blocks, mix64, stored, texts_of, word_hashes, word_starts, words_of
+from daylog.llm.common import documents, in_blocks, mix64, small_batches, stored, texts_of, word_hashes, word_starts, words_of
 
 WINDOW = 50
 MINIMISER = 4
@@ -88,7 +88,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _minimiser_rows(window: int, width: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = batch.column("doc_id").to_numpy()
             for number, keys, *_ in super_kmers(texts_of(batch, "text"), window, width):
                 keys = np.unique(keys)
@@ -130,7 +130,7 @@ def _cutter(bitmap, bits: int, window: int, width: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.frombuffer(bitmap.value, np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             ids, hashes = (batch.column(x).to_numpy() for x in ("doc_id", "text_hash"))
             for number, keys, starts, sizes, (words, offset) in super_kmers(texts_of(batch, "text"), window, width):
                 place = keys & (bits - 1)
@@ -224,7 +224,7 @@ def _least_documents(strings: DataFrame, window: int, bucket_strings: int) -> Da
 
 def _remover(window: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             total, gone, kept = [], [], []
             for text, starts, hits in zip(texts_of(batch, "text"), batch.column("starts").to_pylist(), batch.column("hits").to_pylist(), strict=True):
                 words = words_of(text)

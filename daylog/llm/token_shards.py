@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daylog.llm.chunks import library_encoder, vocabulary_path
-from daylog.llm.common import documents, mix64, new_folder, stored, texts_of
+from daylog.llm.common import documents, mix64, new_folder, small_batches, stored, texts_of
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
@@ -92,7 +92,7 @@ def _shard_writer(path: str, tokenizer: str, end_id: int, width: int):
         system, root = file_system(path)
         temporary = f"{root}/.shard-{shard:05d}-{context.taskAttemptId()}"
         out, offset, last, copy = None, 0, object(), 0
-        for batch in batches:
+        for batch in small_batches(batches):
             ids, texts = batch.column("doc_id").to_pylist(), texts_of(batch, "text")
             out = out or system.open_output_stream(temporary)
             rows = []

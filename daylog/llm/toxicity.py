@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylog.llm.common import documents, stored, texts_of
+from daylog.llm.common import documents, small_batches, stored, texts_of
 from daylog.llm.folds import held_out, labels, logistic_fit, sample_of, sigmoid
 
 SAMPLE = 12_000
@@ -231,7 +231,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, clean = Counter(), Counter()
-        for batch in batches:
+        for batch in small_batches(batches):
             for text, label in zip(texts_of(batch, "text"), batch.column("label").to_pylist(), strict=True):
                 (toxic if label else clean).update(_marks(text))
             # What this task has met goes on in parts, so that its counters stay small.
@@ -266,7 +266,7 @@ def fit(docs: DataFrame, marked: DataFrame, rows: int = SAMPLE) -> Model:
         model = Model(learn_lexicon(sample.where(half == own)), PRIOR)
 
         def measure(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in small_batches(batches):
                 rows_ = [model.measures(t).astype("<f8").tobytes() for t in texts_of(batch, "text")]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(rows_, pa.binary())], names=["doc_id", "label", "x"])
 
@@ -282,7 +282,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, text_hash and score (0 to 1) of every row of ``docs`` (doc_id, text)."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             scores = model.score(texts_of(batch, "text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(scores, pa.float64())], names=["doc_id", "text_hash", "score"])
 
