@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylog.llm.common import id_crc
+from daylog.llm.common import id_crc, small_batches, texts_of
 
 FOLDS, HELD_OUT = 3, 1
 
@@ -57,3 +60,13 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
         if np.abs(step).max() < 1e-8:
             break
     return w
+
+
+def rows_where(docs: DataFrame, test: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose texts pass ``test``; nothing is shuffled."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            yield batch.filter(pa.array(test(texts_of(batch, "text"))))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daylog.llm.common import documents, in_blocks, mix64, small_batches, texts_of, word_hashes, word_starts, words_of
-from daylog.llm.folds import held_out, labels, sample_of, sigmoid
+from daylog.llm.folds import held_out, labels, rows_where, sample_of, sigmoid
 
 PASSAGE = 100
 SAMPLE, SAMPLE_PASSAGES = 6_000, 48
@@ -208,6 +208,12 @@ def score(docs: DataFrame, model: BagModel | Constant) -> DataFrame:
     return given.mapInArrow(rate, "doc_id long, text_hash long, score double")
 
 
+def good_documents(docs: DataFrame, marked: DataFrame, keep: float = KEEP) -> DataFrame:
+    """The rows of ``docs`` that score ``keep`` or more by a model of ``marked``."""
+    model = fit(docs, marked)
+    return rows_where(docs, lambda texts: model.score(*passages(texts), len(texts)) >= keep if texts else np.zeros(0, bool))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     scored = score(docs, fit(docs, labels(spark, sf_dir, "quality")))

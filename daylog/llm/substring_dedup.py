@@ -222,43 +222,82 @@ def _least_documents(strings: DataFrame, window: int, bucket_strings: int) -> Da
     return least.unionByName(placed.select("digest", F.col("found.smallest").alias("least")))
 
 
-def _remover(window: int):
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            total, gone, kept = [], [], []
-            for text, starts, hits in zip(texts_of(batch, "text"), batch.column("starts").to_pylist(), batch.column("hits").to_pylist(), strict=True):
-                words = words_of(text)
-                cover = np.zeros(len(words) + 1, np.int32)
-                for start, flags in zip(starts or (), hits or (), strict=True):
-                    at = start + np.flatnonzero(flags)
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + window, -1)
-                stay = np.cumsum(cover)[: len(words)] == 0
-                left = [w for w, ok in zip(words, stay.tolist(), strict=True) if ok] if starts else words
-                total.append(len(words))
-                gone.append(len(words) - len(left))
-                kept.append(b" ".join(left).decode("utf-8", "surrogatepass"))
-            names = ["doc_id", "text_hash", "n_words", "n_removed", "kept"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=names)
-
-    return remove
-
-
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, width: int = MINIMISER, bitmap_bits: int = BITMAP_BITS, bucket_strings: int = BUCKET_STRINGS) -> DataFrame:
-    """For every row of ``docs`` (doc_id, text): doc_id, text_hash, n_words, n_removed and kept, the words left joined by a space."""
-    spark = docs.sparkSession
-    given = _keyed(docs)
-    bitmap = spark.sparkContext.broadcast(shared_bitmap(given, window, width, bitmap_bits))
+def left_words(text: str, starts: list[int] | None, hits: list | None, window: int) -> tuple[int, list[bytes]]:
+    """How many words a text has, and those that no removed window covers."""
+    words = words_of(text)
+    if not starts:
+        return len(words), words
+    cover = np.zeros(len(words) + 1, np.int32)
+    for start, flags in zip(starts, hits, strict=True):
+        at = start + np.flatnonzero(flags)
+        np.add.at(cover, at, 1)
+        np.add.at(cover, at + window, -1)
+    stay = np.cumsum(cover)[: len(words)] == 0
+    return len(words), [w for w, ok in zip(words, stay.tolist(), strict=True) if ok]
+
+
+def joined(words: list[bytes]) -> str:
+    return b" ".join(words).decode("utf-8", "surrogatepass")
+
+
+def repeated_windows(docs: DataFrame, window: int = WINDOW, width: int = MINIMISER, bitmap_bits: int = BITMAP_BITS, bucket_strings: int = BUCKET_STRINGS) -> DataFrame:
+    """doc_id, text_hash, starts, hits: where windows of a document begin that also start in a smaller one."""
+    given = _keyed(docs).where("doc_id is not null")
+    bitmap = docs.sparkSession.sparkContext.broadcast(shared_bitmap(given, window, width, bitmap_bits))
     cut = _cutter(bitmap, bitmap_bits, window, width)
-    strings = given.where("doc_id is not null").mapInArrow(lambda b: _gathered(cut(b), 2_000), "minimiser long, packed binary, digest binary, doc_id long, text_hash long, start int")
+    strings = given.mapInArrow(lambda b: _gathered(cut(b), 2_000), "minimiser long, packed binary, digest binary, doc_id long, text_hash long, start int")
     strings = stored(strings, "super-kmers")
     different = strings.groupBy("minimiser", "digest", "packed").agg(F.min("doc_id").alias("doc_id"))
     least = _least_documents(different, window, bucket_strings)
     met = strings.select("digest", "doc_id", "text_hash", "start").join(least, "digest")
     hits = met.select("doc_id", "text_hash", "start", F.transform("least", lambda x: x < F.col("doc_id")).alias("hits")).where(F.exists("hits", lambda x: x))
     # Bounded by the length of the one text.
-    spans = hits.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("starts"), F.collect_list("hits").alias("hits"))
-    return given.join(spans, ["doc_id", "text_hash"], "left").mapInArrow(_remover(window), "doc_id long, text_hash long, n_words long, n_removed long, kept string")
+    return hits.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("starts"), F.collect_list("hits").alias("hits"))
+
+
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, width: int = MINIMISER, bitmap_bits: int = BITMAP_BITS, bucket_strings: int = BUCKET_STRINGS) -> DataFrame:
+    """For every row of ``docs`` (doc_id, text): doc_id, text_hash, n_words, n_removed and kept, the words left joined by a space."""
+    spans = repeated_windows(docs, window, width, bitmap_bits, bucket_strings)
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            rows = zip(texts_of(batch, "text"), batch.column("starts").to_pylist(), batch.column("hits").to_pylist(), strict=True)
+            total, kept = [], []
+            for text, starts, hits in rows:
+                n, words = left_words(text, starts, hits, window)
+                total.append((n, n - len(words)))
+                kept.append(joined(words))
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array([x[0] for x in total], pa.int64()), pa.array([x[1] for x in total], pa.int64()), pa.array(kept, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_words", "n_removed", "kept"])
+
+    return _keyed(docs).join(spans, ["doc_id", "text_hash"], "left").mapInArrow(remove, "doc_id long, text_hash long, n_words long, n_removed long, kept string")
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW, **parameters: int) -> DataFrame:
+    """The rows of ``docs``, all columns as they are but for texts that lose words: those hold the words left, joined by a
+    space, and ``n_chars`` follows. A row that loses its last word goes."""
+    spans = repeated_windows(docs, window, **parameters).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"), F.col("hits").alias("__hits"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    met = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64(text)}).join(spans, ["__id", "__hash"], "left")
+    met = met.select(*docs.columns, "__starts", "__hits")
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            texts, gone = batch.column("text").to_pylist(), []
+            for i, (starts, hits) in enumerate(zip(batch.column("__starts").to_pylist(), batch.column("__hits").to_pylist(), strict=True)):
+                if starts:
+                    words = left_words(texts[i], starts, hits, window)[1]
+                    texts[i] = joined(words)
+                    if not words:
+                        gone.append(i)
+            batch = batch.drop_columns(["__starts", "__hits"])
+            batch = batch.set_column(batch.schema.get_field_index("text"), batch.schema.field("text"), pa.array(texts, pa.string()))
+            stay = np.ones(batch.num_rows, bool)
+            stay[gone] = False
+            yield batch.filter(pa.array(stay))
+
+    kept = met.mapInArrow(remove, docs.schema)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daylog.llm.common import documents, small_batches, stored, texts_of
-from daylog.llm.folds import held_out, labels, logistic_fit, sample_of, sigmoid
+from daylog.llm.folds import held_out, labels, logistic_fit, rows_where, sample_of, sigmoid
 
 SAMPLE = 12_000
 #: Entries of the learned lexicon; an entry needs so many toxic documents, and this share of all that have it.
@@ -291,6 +291,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return given.mapInArrow(rate, "doc_id long, text_hash long, score double")
 
 
+def harmless_documents(docs: DataFrame, marked: DataFrame, alarm: float = ALARM) -> DataFrame:
+    """The rows of ``docs`` that score below ``alarm`` by a model of ``marked``."""
+    model = fit(docs, marked)
+    return rows_where(docs, lambda texts: model.score(texts) < alarm)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     scored = score(docs, fit(docs, labels(spark, sf_dir, "toxic")))
