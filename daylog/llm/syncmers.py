@@ -127,8 +127,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return with_sketch(rows, "edited", "edited_sketch").select("doc_id", "text", "edited", "sketch", "edited_sketch", "next_sketch")
 
 
-def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fingerprints(documents(spark, sf_dir))
+def op7_rows(docs: DataFrame) -> DataFrame:
+    rows = fingerprints(docs)
     return rows.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
@@ -138,3 +138,7 @@ def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
         likeness("sketch", "edited_sketch").alias("near_edited"),
         likeness("sketch", "next_sketch").alias("near_next"),
     )
+
+
+def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_rows(documents(spark, sf_dir))

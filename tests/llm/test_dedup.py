@@ -15,7 +15,7 @@ from tests.llm.conftest import SCHEMA, TEXTS
 GAP = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def kept_words(rows, window):
+def kept_list(rows, window):
     first = {}
     split = [(i, GAP.findall(t or "")) for i, t, *_ in rows]
     for i, words in split:
@@ -30,7 +30,11 @@ def kept_words(rows, window):
             if i is not None and first[tuple(words[k : k + window])] < i:
                 gone.update(range(k, k + window))
         out.append((i, len(words), len(gone), " ".join(w for k, w in enumerate(words) if k not in gone)))
-    return Counter(out)
+    return out
+
+
+def kept_words(rows, window):
+    return Counter(kept_list(rows, window))
 
 
 def passages(seed, n):
