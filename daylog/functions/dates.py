@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .numbers import fixed, round_whole, truncate
@@ -60,6 +60,14 @@ def month_key(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM")
 
 
+def between_days(rows: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
+    """Rows of a range of days. A stored table also has its ``month``, whose range prunes folders."""
+    kept = rows.filter(F.col("date").between(F.lit(first), F.lit(last)))
+    if "month" in rows.columns:
+        kept = kept.filter(F.col("month").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
+    return kept
+
+
 def week_bounds(day: datetime.date) -> tuple[datetime.date, datetime.date]:
     """First and last day of the calendar week of ``day``: a date range the scan can prune by."""
     monday = day - datetime.timedelta(days=day.weekday())

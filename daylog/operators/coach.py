@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import low_sleep
+from ..functions.dates import between_days
 from ..functions.numbers import truthy_or
 from ..schemas import SUMMARY
 from .workouts import collect_parts, reduce_sets, summaries, training_days, workout_notes
@@ -18,22 +19,24 @@ RECENT = 3
 def prior_day(daily: DataFrame, day: datetime.date, every_user: bool = False) -> DataFrame:
     """Per user: sleep and heart rate of the day before, body weight of that day or of ``day``.
 
-    One aggregate instead of a self join. It reads two days, or with ``every_user`` the whole table,
-    and then also lists users without either day.
+    One aggregate over two days instead of a self join. With ``every_user`` it also lists users without
+    either day.
     """
     before = day - datetime.timedelta(days=1)
     is_before, is_day = F.col("date") == F.lit(before), F.col("date") == F.lit(day)
-    rows = daily if every_user else daily.filter(is_before | is_day)
+    rows = between_days(daily, before, day)
 
     def pick(name: str, when):
         return F.max(F.when(when, F.col(name)))
 
-    return rows.groupBy("user_id").agg(
+    found = rows.groupBy("user_id").agg(
         pick("sleep_hours", is_before).alias("hours"),
         pick("sleep_score", is_before).alias("score"),
         pick("resting_heart_rate", is_before).alias("resting_hr"),
         truthy_or(pick("bodyweight", is_before), pick("bodyweight", is_day)).alias("bodyweight"),
     )
+    # The users are read from one narrow column; the days from the folders of two.
+    return daily.select("user_id").distinct().join(found, "user_id", "left") if every_user else found
 
 
 def recent_summaries(

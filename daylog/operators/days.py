@@ -127,8 +127,8 @@ def day_calories(sets: DataFrame) -> DataFrame:
 
 
 def workouts_of_sets(log: DataFrame) -> DataFrame:
-    """One workout per user and day from set rows: title and duration of the first row."""
-    return first_row(log.select(*DAY, "title", "duration", F.col("pos").alias("seq")), DAY, "seq")
+    """One workout per user and day from set rows of one source: title and duration of the first row."""
+    return first_row(log.select(*DAY, "title", "duration", F.col("pos").alias("seq"), "source"), DAY, "seq")
 
 
 def last_workout_wins(workouts: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def combine_days(
     def filled(name: str, default) -> Column:
         return F.col(name) if missing_as_null else F.coalesce(F.col(name), F.lit(default))
 
-    trained = workouts.join(calories, DAY, "left")
+    trained = workouts.select(*DAY, "title", "duration").join(calories, DAY, "left")
     both = wearable.join(trained, DAY, "full_outer")
     from_steps = F.coalesce("calories_burned_from_steps", F.lit(0))
     from_workout = F.coalesce("calories_burned_from_workout", F.lit(0))

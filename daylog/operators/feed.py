@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import NO_DURATION, short_number, sleep_text
+from ..functions.dates import NO_DURATION, between_days, short_number, sleep_text
 from ..functions.numbers import float_text, is_truthy_number, round_exact, thousands, truncate
 from ..schemas import DAY
 
@@ -21,13 +21,13 @@ def _row(keep: Column, metric: str, label: Column, value: Column) -> Column:
     return F.when(keep, fields)
 
 
-def _scalar_rows(when: Column) -> list[Column]:
+def _scalar_rows() -> list[Column]:
     """The five number metrics; zero and null give no row."""
     steps, sleep = F.col("steps"), F.col("sleep_hours")
     calories, heart, weight = F.col("total_calories_burned"), F.col("resting_heart_rate"), F.col("bodyweight")
 
     def row(metric: str, number: Column, label: Column, value: Column) -> Column:
-        return _row(when & is_truthy_number(number), metric, label, value)
+        return _row(is_truthy_number(number), metric, label, value)
 
     return [
         row("Steps", steps, F.concat(F.lit(STEPS_SIGN), thousands(steps)), steps),
@@ -49,27 +49,22 @@ def _present(rows: list[Column]) -> Column:
 
 def scalar_feed(daily: DataFrame) -> DataFrame:
     """The five number metrics of a day, unpivoted without a shuffle."""
-    return daily.select(*DAY, F.lit(0).alias("part"), _present(_scalar_rows(F.lit(True))))
+    return daily.select(*DAY, _present(_scalar_rows()))
 
 
 def metric_feed(daily: DataFrame, texts: DataFrame) -> DataFrame:
     """All six metrics of a day in one pass: the numbers, and the workout with its duration as label
-    and its text as value. A text in several parts gives a workout row per part, numbers only once."""
-    joined = daily.join(texts.select(*DAY, "part", "text"), DAY, "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    and its text as value."""
+    joined = daily.join(texts.select(*DAY, "text"), DAY, "left")
     duration = F.col("total_workout_duration")
     label = F.concat(F.lit(WORKOUT_SIGN), duration)
     workout = _row(duration != NO_DURATION, "Workout", label, F.coalesce("text", F.lit("")))
-    rows = joined.select(*DAY, "part", _present([*_scalar_rows(F.col("part") == 0), workout]))
-    return rows.select(*DAY, "metric_type", "label", "part", "value")
+    return joined.select(*DAY, _present([*_scalar_rows(), workout]))
 
 
 def on_day(rows: DataFrame, day: datetime.date) -> DataFrame:
     """Rows of one day; no row for an absent day."""
-    return rows.filter(F.col("date") == F.lit(day))
-
-
-def between_days(rows: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
-    return rows.filter(F.col("date").between(F.lit(first), F.lit(last)))
+    return between_days(rows, day, day)
 
 
 def date_spine(users: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:

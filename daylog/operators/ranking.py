@@ -19,15 +19,10 @@ def with_keys(rows: DataFrame, *keys: str) -> DataFrame:
     return rows
 
 
-def position_block(rows: DataFrame) -> Column:
-    """A block key that rises with the position and spans 8,192 positions.
-
-    Where positions repeat, a ``tie`` column tells rows apart; blocks then span 8,192 ties as well, so
-    a position that holds a large part of all rows is split too.
-    """
-    return F.struct(
-        *(F.shiftright(F.col(c).cast("bigint"), BLOCK_BITS).alias(c) for c in ("pos", "tie") if c in rows.columns)
-    )
+def position_block() -> Column:
+    """A block key that spans 8,192 positions. Blocks are ranges of the one order of sets, position
+    first, so numbering by blocks gives the same numbers as ordering a whole group."""
+    return F.shiftright(F.col("pos").cast("bigint"), BLOCK_BITS)
 
 
 def top_rows(rows: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str = "rank") -> DataFrame:

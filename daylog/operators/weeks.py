@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import muscle_key
-from ..functions.dates import week_bounds, week_start
+from ..functions.dates import between_days, week_bounds, week_start
 from ..functions.numbers import exact_sum
 from ..schemas import DAY
 
@@ -45,7 +45,8 @@ def weekly_sets(sets: DataFrame) -> DataFrame:
 
 def weekly_sets_trailing(sets: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
     """Weekly sets of the trailing days, counted from the user's last day with a named muscle."""
-    per_day = muscle_days(sets)
+    per_day = muscle_days(sets).groupBy(*DAY, "muscle").agg(F.sum("sets").alias("sets"), F.sum("volume").alias("volume"))
+    # A user has at most one row per calendar day and muscle here, however many exercises they name.
     newest = F.max("date").over(Window.partitionBy("user_id"))
     recent = per_day.withColumn("newest", newest).filter(F.col("date") >= F.date_sub("newest", days))
     return _per_week(recent.drop("newest")).select("user_id", "week", "muscle", "sets")
@@ -73,7 +74,7 @@ def weekly_progress(sets: DataFrame, muscles: Sequence[str] = TRACKED, span: int
 def week_volume(sets: DataFrame, day: datetime.date) -> DataFrame:
     """Sets per normalised muscle in the calendar week of ``day``; the range prunes the scan."""
     monday, sunday = week_bounds(day)
-    week = sets.filter(F.col("date").between(F.lit(monday), F.lit(sunday)))
+    week = between_days(sets, monday, sunday)
     counts = week.groupBy("user_id", "exercise", "muscle_groups").agg(F.count("*").alias("sets"))
     opened = counts.select("user_id", F.explode("muscle_groups").alias("muscle"), "sets")
     return opened.groupBy("user_id", muscle_key(F.col("muscle")).alias("muscle")).agg(F.sum("sets").alias("sets"))

@@ -23,8 +23,6 @@ KEY_LIFTS = 3
 NOTES_SHOWN = 5
 NOTE_SEPARATOR = " | "
 UNKNOWN_EXERCISE = "unknown"
-# Lines of one text part. A workout beyond it continues in further parts; nothing is cut.
-PART_LINES = 10_000
 # Group totals; partial sums of it stay within Spark's widest decimal.
 TOTAL = "decimal(38,6)"
 
@@ -219,25 +217,25 @@ def summaries(groups: DataFrame, notes: DataFrame, **classes) -> DataFrame:
 
 
 def set_ties(sets: DataFrame) -> list[str]:
-    """Columns that order sets of equal position, so that every step sees the same total order: block,
+    """Columns that order sets of equal position, so that every step sees the same total order:
     position, then these."""
     return [c for c in ("tie", "weight_lbs", "reps", "notes") if c in sets.columns]
 
 
 def set_order(sets: DataFrame) -> list[Column]:
-    """Order of sets within a block: position, then content where positions are equal."""
+    """The order of sets: position, then content where positions are equal."""
     return [F.asc("pos"), *(F.asc_nulls_first(c) for c in set_ties(sets))]
 
 
 def numbered_sets(sets: DataFrame) -> DataFrame:
     """Set number within the exercise of a day, exact for exercises of any size."""
-    rows = with_keys(sets.withColumn("block", position_block(sets)), *DAY, "exercise", "block")
+    rows = with_keys(sets.withColumn("block", position_block()), *DAY, "exercise", "block")
     return number_rows(rows, [*DAY, "exercise"], set_order(sets), "set_number").drop("block")
 
 
 def exercise_last_note(sets: DataFrame) -> DataFrame:
     """Last non-empty note of each exercise of a day, where the exercise begins, and its sets."""
-    order = F.struct(position_block(sets).alias("block"), "pos", *set_ties(sets))
+    order = F.struct("pos", *set_ties(sets))
     noted = is_truthy_text(F.col("notes"))
     return sets.groupBy(*DAY, "exercise").agg(
         F.max_by(F.when(noted, F.col("notes")), F.when(noted, order)).alias("note"),
@@ -262,7 +260,7 @@ def workout_pieces(sets: DataFrame) -> DataFrame:
     entry = F.struct("pos", *set_ties(sets))
     cell = [*DAY, "exercise", "block"]
     cells = (
-        with_keys(sets.withColumn("block", position_block(sets)), *cell)
+        with_keys(sets.withColumn("block", position_block()), *cell)
         .repartition(*cell)
         .groupBy(*cell)
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
@@ -299,12 +297,9 @@ def workout_pieces(sets: DataFrame) -> DataFrame:
     return cells.join(starts, cell).select(*DAY, "line", F.concat(header, F.array_join(texts, "\n")).alias("text"))
 
 
-def workout_text(sets: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
-    """Text of each workout. A usual workout is part 0; a huge one goes on in further parts, whose
-    texts in order joined by line breaks are the whole text."""
-    pieces = workout_pieces(sets).withColumn("part", F.floor(F.col("line") / part_lines).cast("int"))
-    ordered = F.array_sort(F.collect_list(F.struct("line", "text")))
-    parts = pieces.groupBy(*DAY, "part").agg(F.array_join(F.transform(ordered, lambda p: p.text), "\n").alias("text"))
+def workout_text(sets: DataFrame) -> DataFrame:
+    """The text of each workout: one row per user and day, whatever its length."""
+    pieces = F.array_sort(F.collect_list(F.struct("line", "text")))
+    whole = workout_pieces(sets).groupBy(*DAY).agg(F.array_join(F.transform(pieces, lambda p: p.text), "\n").alias("text"))
     # The text ends in a set line, so only its beginning can hold blanks to strip.
-    text = F.when(F.col("part") == 0, strip_left(F.col("text"))).otherwise(F.col("text"))
-    return parts.select(*DAY, "part", text.alias("text"))
+    return whole.select(*DAY, strip_left(F.col("text")).alias("text"))

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.effort import DEFAULT_USER_LBS, WeightWords
-from ..operators.coach import RECENT, coach_payload, prior_day, recent_summaries
+from ..operators.coach import RECENT, coach_payload, payload_json, prior_day, recent_summaries
 from ..operators.days import (
     canonical_sets,
     combine_days,
@@ -21,13 +22,13 @@ from ..operators.days import (
     wearable_days,
 )
 from ..operators.dims import checked_broadcast, exercise_dim, unmapped_exercises
-from ..operators.feed import between_days, metric_feed, on_day
-from ..operators.trends import averages, dashboard_days, rolling_means, set_totals, with_user_means
-from ..operators.weeks import week_volume
+from ..operators.feed import between_days, metric_feed, missing_days, on_day
+from ..operators.trends import averages, averages_lines, dashboard_days, rolling_means, set_totals, with_user_means
+from ..operators.weeks import week_volume, weekly_progress, weekly_sets, weekly_sets_trailing, weekly_weight_ranked
 from ..operators.workouts import workout_text
-from ..schemas import AVERAGES, DAILY, SERIES, SETS, WORKOUTS
-from ..sources.readers import read_or_empty, read_required
-from ..sources.store import stored_months, write_flat, write_table
+from ..schemas import AVERAGES, DAILY, DAY, FEED, SERIES, SETS, WORKOUTS
+from ..sources.readers import read_required
+from ..sources.store import MONTH, ONE_DAY, read_table, replace_range, write_flat, write_json, write_partitions
 from .paths import Store
 
 TRAINING_SETS = (
@@ -68,33 +69,47 @@ def run_combine(
 
     Days are independent, so a run may take only the ``months`` (``yyyy-MM``) its ingest touched.
     """
-    series = typed_series(stored_months(spark, store.series, SERIES, months))
-    workouts = stored_months(spark, store.workouts, WORKOUTS, months)
-    sets = typed_sets(stored_months(spark, store.sets, SETS, months))
+    series = typed_series(_stored_series(spark, store, months))
+    workouts = read_table(spark, store.workouts, WORKOUTS, MONTH, months).drop(MONTH)
+    sets = typed_sets(read_table(spark, store.sets, SETS, MONTH, months).drop(MONTH))
     dim = checked_broadcast(dim if dim is not None else exercise_dim(spark))
     combined = combine(series, workouts, sets, dim, user_lbs)
-    write_table(combined.daily, store.daily)
-    write_table(combined.sets, store.training_sets, ["user_id", "date", "pos"])
+    replaced = months or ()
+    write_partitions(combined.sets, store.training_sets, ["user_id", "date", "pos"], MONTH, replaced)
+    # The energy of a day is summed from the sets just stored, not worked out a second time.
+    training = read_table(spark, store.training_sets, TRAINING_SETS, MONTH, months)
+    days = combine_days(wearable_days(series), workouts, day_calories(training))
+    write_partitions(days, store.daily, DAY, MONTH, replaced)
+
+
+def _stored_series(spark: SparkSession, store: Store, months: Sequence[str] | None) -> DataFrame:
+    """The stored series of all days, or of some months."""
+    rows = read_table(spark, store.series, SERIES, ONE_DAY)
+    kept = rows if months is None else rows.filter(F.substring(ONE_DAY, 1, 7).isin(*months))
+    return kept.drop(ONE_DAY)
 
 
 def run_checks(spark: SparkSession, store: Store, dim: DataFrame | None = None) -> None:
     """Data-quality tables: values and sets that do not read as numbers, exercises without muscles."""
     dim = checked_broadcast(dim if dim is not None else exercise_dim(spark))
-    series = stored_months(spark, store.series, SERIES, None)
-    sets = stored_months(spark, store.sets, SETS, None)
+    series = _stored_series(spark, store, None)
+    sets = read_table(spark, store.sets, SETS).drop(MONTH)
     write_flat(unreadable_values(series), f"{store.bad_rows}/series")
     write_flat(unreadable_sets(sets), f"{store.bad_rows}/sets")
     write_flat(unmapped_exercises(typed_sets(sets), dim), f"{store.bad_rows}/exercises")
 
 
 def load_combined(spark: SparkSession, store: Store) -> Combined:
-    daily = read_required(spark, store.daily, f"{DAILY}, month string").drop("month")
-    sets = read_or_empty(spark, store.training_sets, f"{TRAINING_SETS}, month string").drop("month")
-    return Combined(daily, sets)
+    """The stored tables with their ``month``, by which date ranges prune folders."""
+    return Combined(read_table(spark, store.daily, DAILY), read_table(spark, store.training_sets, TRAINING_SETS))
 
 
 def run_averages(spark: SparkSession, store: Store) -> None:
+    """Store the averages as a table, as JSON and as the published lines."""
     write_flat(averages(load_combined(spark, store).daily), store.averages)
+    means = load_averages(spark, store)
+    write_json(means, f"{store.documents}/averages", ["user_id"])
+    write_flat(averages_lines(means), f"{store.documents}/averages_text")
 
 
 def load_averages(spark: SparkSession, store: Store) -> DataFrame:
@@ -110,8 +125,14 @@ def build_payload(
     return coach_payload(prior, week_volume(combined.sets, day), recent, day, n)
 
 
-def run_payload(spark: SparkSession, store: Store, day: datetime.date, n: int = RECENT) -> None:
-    build_payload(load_combined(spark, store), day, n).write.mode("overwrite").parquet(store.payload)
+def run_payload(
+    spark: SparkSession, store: Store, day: datetime.date, n: int = RECENT, until: datetime.date | None = None
+) -> None:
+    """Store the payload of a day, as a table and as one JSON document per user. Recent workouts are
+    those up to ``until`` where it is given."""
+    write_flat(build_payload(load_combined(spark, store), day, n, until), store.payload)
+    payload = spark.read.parquet(store.payload)
+    write_json(payload_json(payload), f"{store.documents}/payload", ["user_id"])
 
 
 def feed_of_day(combined: Combined, day: datetime.date) -> DataFrame:
@@ -130,11 +151,28 @@ def feed_of_all(combined: Combined) -> DataFrame:
 
 
 def run_feed(spark: SparkSession, store: Store, first: datetime.date, last: datetime.date) -> None:
-    rows = feed_of_range(load_combined(spark, store), first, last)
-    write_table(rows, store.feed, ["user_id", "date", "metric_type", "part"])
+    """Store the feed of a range of days; stored days outside it stay. Days without a record are listed too."""
+    combined = load_combined(spark, store)
+    replace_range(feed_of_range(combined, first, last), store.feed, FEED, first, last, ["user_id", "date", "metric_type"])
+    write_flat(missing_days(combined.daily, first, last), store.missing_days)
 
 
 def dashboard(combined: Combined, dim: DataFrame) -> DataFrame:
     """Dashboard rows with rolling and overall means."""
     days = dashboard_days(combined.daily, set_totals(combined.sets, dim))
     return with_user_means(rolling_means(days))
+
+
+def run_dashboard(spark: SparkSession, store: Store, dim: DataFrame | None = None) -> None:
+    """Store the dashboard's days, with the intensities of the dashboard's own table (version 2)."""
+    dim = checked_broadcast(dim if dim is not None else exercise_dim(spark, 2))
+    write_partitions(dashboard(load_combined(spark, store), dim), store.dashboard)
+
+
+def run_weekly(spark: SparkSession, store: Store) -> None:
+    """Store the weekly tables: all weeks, the trailing days, ranked weights, and tracked muscles."""
+    sets = load_combined(spark, store).sets
+    write_flat(weekly_sets(sets), f"{store.weekly}/sets")
+    write_flat(weekly_sets_trailing(sets), f"{store.weekly}/sets_trailing")
+    write_flat(weekly_weight_ranked(sets), f"{store.weekly}/weight_ranked")
+    write_flat(weekly_progress(sets), f"{store.weekly}/progress")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..schemas import DAY, SERIES, SETS, WORKOUTS
 from ..sources.readers import read_daily_store, read_set_log, read_wearable_docs
 from ..sources.setlog import parse_set_log, split_log
-from ..sources.store import merge_into, new_wins, stored_wins
+from ..sources.store import ONE_DAY, Merge, first_source_wins, merge_into, new_wins
 from ..sources.wearable import flatten_documents
 from .paths import Store
 
@@ -19,9 +19,9 @@ LOOKBACK_DAYS = 7
 SET_ORDER = [*DAY, "pos"]
 
 
-def store_series(series: DataFrame, store: Store) -> None:
-    """Replace the days of ``series`` in the store."""
-    merge_into(series, store.series, SERIES, new_wins, [*DAY, "metric"])
+def store_series(series: DataFrame, store: Store, merge: Merge = new_wins) -> None:
+    """Replace the days of ``series`` in the store; partitions are days, so a re-fetch writes only its own."""
+    merge_into(series, store.series, SERIES, merge, [*DAY, "metric"], ONE_DAY)
 
 
 def within_lookback(series: DataFrame, run_date: datetime.date, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -52,10 +52,11 @@ def migrate_legacy(
 
 
 def store_workouts(workouts: DataFrame, sets: DataFrame, store: Store) -> None:
-    """Add days that are not stored yet. Sets go first: a run that stops between the two writes
-    leaves days without a workout row, which the next run of the same batch adds."""
-    merge_into(sets, store.sets, SETS, stored_wins, SET_ORDER)
-    merge_into(workouts, store.workouts, WORKOUTS, stored_wins)
+    """Add days that are not stored yet; a day stays with the export that landed first. Sets go first: a
+    run that stops between the two writes leaves days without a workout row, which the next run of the
+    same batch adds."""
+    merge_into(sets, store.sets, SETS, first_source_wins, SET_ORDER)
+    merge_into(workouts, store.workouts, WORKOUTS, first_source_wins)
 
 
 def ingest_set_log(spark: SparkSession, path: str | Sequence[str], store: Store) -> DataFrame:

@@ -46,6 +46,22 @@ class Store:
     def feed(self) -> str:
         return self._at("feed")
 
+    @property
+    def missing_days(self) -> str:
+        return self._at("missing_days")
+
+    @property
+    def dashboard(self) -> str:
+        return self._at("dashboard")
+
+    @property
+    def weekly(self) -> str:
+        return self._at("weekly")
+
+    @property
+    def documents(self) -> str:
+        return self._at("documents")
+
     @property
     def plans(self) -> str:
         return self._at("plans")

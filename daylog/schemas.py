@@ -59,11 +59,12 @@ PAYLOAD = (
 
 # --- tables -----------------------------------------------------------------------------
 
-SERIES = "user_id bigint, date date, metric string, value string, seq bigint"
-WORKOUTS = "user_id bigint, date date, title string, duration string, seq bigint"
+# ``source`` says which landed file a day came from, in the order in which they count.
+SERIES = "user_id bigint, date date, metric string, value string, seq bigint, source string"
+WORKOUTS = "user_id bigint, date date, title string, duration string, seq bigint, source string"
 SETS = (
     "user_id bigint, date date, pos bigint, exercise string, set_type string, weight_lbs string, reps string, "
-    "distance_miles string, duration_seconds string, rpe string, notes string"
+    "distance_miles string, duration_seconds string, rpe string, notes string, source string"
 )
 DAILY = (
     "user_id bigint, date date, steps bigint, distance double, total_calories_burned bigint, sleep_hours double, "
@@ -74,6 +75,6 @@ AVERAGES = (
     "user_id bigint, avg_steps double, avg_resting_hr double, avg_sleep_hours double, "
     "avg_workout_duration_minutes double, avg_calories_burned double"
 )
-FEED = "user_id bigint, date date, metric_type string, label string, part int, value string"
+FEED = "user_id bigint, date date, metric_type string, label string, value string"
 
 DAY = ["user_id", "date"]

@@ -8,13 +8,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_date
 from ..schemas import COMBINED_DAY, COMBINED_SET, DAY, LEGACY_SET_DOC, SET_LOG, WEARABLE_DOC, WORKOUT_DOC
 
 SOURCE_FILE = "source_file"
+SOURCE = "source"
+
+
+def landed() -> Column:
+    """When and as what a row's file landed: texts of it rise in the order of landing, then of names."""
+    time = F.date_format(F.col("_metadata.file_modification_time"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    return F.concat_ws(" ", time, F.col("_metadata.file_path"))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -66,7 +73,9 @@ def read_date_map(spark: SparkSession, path: str, value_type: str = "map<string,
 def read_daily_store(spark: SparkSession, path: str) -> DataFrame:
     """Date-keyed wearable stores -> the long text series. Values that are objects stay JSON text."""
     days = read_date_map(spark, path)
-    return days.select(*DAY, F.explode("record").alias("metric", "value")).withColumn("seq", F.lit(0).cast("bigint"))
+    return days.select(*DAY, F.explode("record").alias("metric", "value")).withColumns(
+        {"seq": F.lit(0).cast("bigint"), SOURCE: F.lit("")}
+    )
 
 
 def read_combined(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -119,7 +128,8 @@ def combined_sets(days: DataFrame) -> DataFrame:
 def read_set_log(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Exported set logs, all text, quotes doubled inside quoted fields, with row order ``pos``.
 
-    A multi-line export is read by one task, so the generated id rises with the lines of a file.
+    A multi-line export is read by one task, so the generated id rises with the lines of a file. It
+    says nothing about the order of files; ``source`` does.
     """
     reader = (
         spark.read.schema(SET_LOG)
@@ -132,13 +142,14 @@ def read_set_log(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
     paths = [path] if isinstance(path, str) else list(path)
     rows = reader.csv(paths).withColumn("pos", F.monotonically_increasing_id())
-    return _with_user(rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path")))
+    return _with_user(rows.withColumn(SOURCE, landed()))
 
 
 def read_workout_docs(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Workout documents (arrays of workouts) -> workouts and text sets.
 
-    Rows of one file keep their order; the record of a date that comes last replaces the others.
+    Files count in the order of their names, records of a file in their order; the record of a date that
+    comes last replaces the others.
     """
     docs = _json(spark, path, WORKOUT_DOC).withColumn("seq", F.monotonically_increasing_id())
     records = docs.select(
@@ -148,18 +159,21 @@ def read_workout_docs(spark: SparkSession, path: str | Sequence[str]) -> tuple[D
         F.coalesce("Workout_Duration", F.lit("0:00")).alias("duration"),
         "exercises",
         "seq",
+        F.col(SOURCE_FILE).alias(SOURCE),
     ).filter(F.col("date").isNotNull())
-    newest = records.groupBy(*DAY).agg(F.max("seq").alias("seq"))
-    kept = records.join(newest, [*DAY, "seq"], "left_semi")
-    sets = kept.select(*DAY, F.posexplode("exercises").alias("pos", "set"))
-    flat = sets.select(*DAY, F.col("pos").cast("bigint").alias("pos"), "set.*")
-    return kept.select(*DAY, "title", "duration", "seq"), flat
+    newest = records.groupBy(*DAY).agg(F.max(F.struct(SOURCE, "seq")).alias("last"))
+    newest = newest.select(*DAY, "last.*")
+    kept = records.join(newest, [*DAY, SOURCE, "seq"], "left_semi")
+    sets = kept.select(*DAY, SOURCE, F.posexplode("exercises").alias("pos", "set"))
+    flat = sets.select(*DAY, F.col("pos").cast("bigint").alias("pos"), "set.*", SOURCE)
+    return kept.select(*DAY, "title", "duration", "seq", SOURCE), flat
 
 
 def read_legacy_sets(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """First-version workout documents: one flat record per set, empty texts kept."""
+    """First-version workout documents: one flat record per set, empty texts kept. ``pos`` orders the sets of
+    a file, ``source`` the files."""
     rows = _json(spark, path, LEGACY_SET_DOC).withColumn("pos", F.monotonically_increasing_id())
-    return rows.withColumn("date", iso_date(F.col("date")))
+    return rows.withColumn("date", iso_date(F.col("date"))).withColumnRenamed(SOURCE_FILE, SOURCE)
 
 
 def read_json_docs(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:

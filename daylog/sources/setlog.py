@@ -9,6 +9,7 @@ from ..functions.dates import duration_text, log_timestamp, minutes_between
 from ..functions.numbers import blank_to_null
 from ..operators.days import workouts_of_sets
 from ..schemas import DAY
+from .store import first_source
 
 
 def parse_set_log(rows: DataFrame) -> DataFrame:
@@ -24,6 +25,7 @@ def parse_set_log(rows: DataFrame) -> DataFrame:
         "set_type",
         *(blank_to_null(F.col(c)).alias(c) for c in ("weight_lbs", "reps", "distance_miles", "duration_seconds", "rpe")),
         F.coalesce("exercise_notes", F.lit("")).alias("notes"),
+        "source",
     )
 
 
@@ -33,8 +35,11 @@ def unreadable_log_rows(rows: DataFrame) -> DataFrame:
 
 
 def split_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable log rows -> one workout per user and day, and its sets in log order."""
-    dated = log.filter(F.col("date").isNotNull())
+    """Readable log rows -> one workout per user and day, and its sets in log order.
+
+    Each export holds the whole history, so exports overlap: a day is taken from the one that landed first.
+    """
+    dated = first_source(log.filter(F.col("date").isNotNull()))
     return workouts_of_sets(dated), dated.drop("title", "duration")
 
 
@@ -49,4 +54,5 @@ def legacy_log(rows: DataFrame) -> DataFrame:
         "set_type",
         *(blank_to_null(F.col(c)).alias(c) for c in ("weight_lbs", "reps", "distance_miles", "duration_seconds", "rpe")),
         F.coalesce("notes", F.lit("")).alias("notes"),
+        "source",
     )

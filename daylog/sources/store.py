@@ -1,41 +1,128 @@
-"""Stored tables: Parquet by month, upserts that rewrite only the touched months, and JSON egress.
-
-Parquet has no MERGE. An upsert reads the months its batch touches, builds them anew and replaces
-them by a dynamic partition overwrite. Tasks write to a staging place that Spark moves in when the
-whole job has succeeded, so a lost executor or a failed run leaves the stored months as they were
-and the batch can be run again.
+"""Stored tables: versioned Parquet partitions behind one manifest, upserts, and JSON egress.
+
+Parquet has no MERGE. A table is a folder of partitions, ``version=V/month=M`` (or ``day=D``), and a manifest
+that names the version in force of every partition. An upsert reads the partitions its batch touches,
+writes them anew under a new version, and then replaces the manifest in one step. Until that step
+readers see the old rows, after it the new ones; a run that dies in between leaves files that nothing
+points to and can be run again. Nothing that is read is ever overwritten. ``drop_old_versions`` removes what no
+manifest names. One job writes a table at a time.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key
 from ..operators.ranking import top_rows
 from ..schemas import DAY
-from .readers import read_or_empty
 
-MONTH = "month"
-# A batch that touches more months than this is a reload: use write_table.
-MAX_TOUCHED_MONTHS = 2_400
+MONTH, ONE_DAY = "month", "day"
+VERSION = "version"
+MANIFEST = "manifest.json"
+
+
+def partition_key(by: str, date: Column) -> Column:
+    """The partition of a date: its month ``yyyy-MM``, or the day itself as text."""
+    return month_key(date) if by == MONTH else date.cast("string")
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of a path: the file context and the path, in whatever store it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    return hadoop.FileContext.getFileContext(where.toUri() if where.toUri().getScheme() else hadoop.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()), spark._jsc.hadoopConfiguration()), where
+
+
+def manifest(spark: SparkSession, path: str) -> dict[str, str]:
+    """Version in force of each partition; empty when nothing is stored. A few dozen bytes a partition."""
+    try:
+        rows = spark.read.text(f"{path}/{MANIFEST}", wholetext=True).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return json.loads(rows[0].value)
+
+
+def swap_manifest(spark: SparkSession, path: str, partitions: dict[str, str]) -> None:
+    """Write the manifest aside and rename it over the old one: the one step that changes what readers see."""
+    context, target = _files(spark, f"{path}/{MANIFEST}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    aside = hadoop.Path(f"{path}/.{uuid.uuid4().hex}.json")
+    system = aside.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(aside, True)
+    try:
+        out.write(json.dumps(partitions, sort_keys=True).encode())
+    finally:
+        out.close()
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    context.rename(aside, target, options)
+
+
+def read_table(spark: SparkSession, path: str, schema: str, by: str = MONTH, partitions: Sequence[str] | None = None) -> DataFrame:
+    """The rows in force, with their partition column, so that filters on it prune folders.
+
+    ``partitions`` narrows it further: other folders are not even listed.
+    """
+    names = [field.split()[0] for field in schema.split(", ")]
+    held = manifest(spark, path)
+    chosen = sorted(held if partitions is None else set(partitions) & set(held))
+    if not chosen:
+        return spark.createDataFrame([], f"{schema}, {by} string")
+    folders = [f"{path}/{VERSION}={held[x]}/{by}={x}" for x in chosen]
+    rows = spark.read.schema(f"{schema}, {VERSION} string, {by} string").option("basePath", path).parquet(*folders)
+    return rows.select(*names, by)
+
+
+def write_partitions(rows: DataFrame, path: str, order: Sequence[str] = DAY, by: str = MONTH, replaced: Sequence[str] = ()) -> None:
+    """Replace the partitions present in ``rows``, and empty those of ``replaced`` that are not.
+
+    The rebalance hint lets adaptive execution split a large partition over many files and join small ones.
+    """
+    spark = rows.sparkSession
+    version = uuid.uuid4().hex
+    keyed = rows.drop(by).withColumn(by, partition_key(by, F.col("date")))
+    folder = f"{path}/{VERSION}={version}"
+    keyed.hint("rebalance", by).sortWithinPartitions(by, *order).write.partitionBy(by).parquet(folder)
+    written = _partitions_in(spark, folder, by)
+    held = {k: v for k, v in manifest(spark, path).items() if k not in set(replaced)}
+    swap_manifest(spark, path, held | dict.fromkeys(written, version))
+
+
+def _partitions_in(spark: SparkSession, folder: str, by: str) -> list[str]:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    names = [status.getPath().getName() for status in listed if status.isDirectory()]
+    return [name.partition("=")[2] for name in names if name.startswith(f"{by}=")]
 
 
 def write_table(rows: DataFrame, path: str, order: Sequence[str] = DAY) -> None:
-    """Replace the months present in ``rows``. The rebalance hint lets adaptive execution split a
-    large month over many files and join small ones."""
-    monthly = rows.withColumn(MONTH, month_key(F.col("date")))
-    (
-        monthly.hint("rebalance", MONTH)
-        .sortWithinPartitions(MONTH, *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    """Replace the months present in ``rows``."""
+    write_partitions(rows, path, order)
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> int:
+    """Delete the folders of a table that its manifest no longer names; returns how many. For quiet hours: a
+    reader that planned on an older manifest would miss its files."""
+    held = {f"{VERSION}={v}/{k}" for k, v in manifest(spark, path).items()}
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = 0
+    for version in system.listStatus(root):
+        name = version.getPath().getName()
+        if not name.startswith(f"{VERSION}="):
+            continue
+        for part in system.listStatus(version.getPath()):
+            if part.isDirectory() and f"{name}/{part.getPath().getName().partition('=')[2]}" not in held:
+                gone += system.delete(part.getPath(), True)
+    return gone
 
 
 def write_flat(rows: DataFrame, path: str) -> None:
@@ -48,18 +135,10 @@ def write_json(rows: DataFrame, path: str, order: Sequence[str] = DAY) -> None:
     rows.sortWithinPartitions(*order).write.mode("overwrite").json(path)
 
 
-def touched_months(batch: DataFrame) -> list[str]:
-    """Months of a batch: a short list bounded by the calendar, used to prune the stored table."""
-    rows = batch.select(month_key(F.col("date")).alias(MONTH)).distinct().limit(MAX_TOUCHED_MONTHS + 1).collect()
-    if len(rows) > MAX_TOUCHED_MONTHS:
-        raise ValueError("batch touches too many months for an upsert")
-    return sorted(row[MONTH] for row in rows if row[MONTH] is not None)
-
-
-def stored_months(spark: SparkSession, path: str, schema: str, months: Sequence[str] | None) -> DataFrame:
-    """A stored table, or only the given months of it: other directories are not listed or read."""
-    stored = read_or_empty(spark, path, f"{schema}, {MONTH} string")
-    return (stored if months is None else stored.filter(F.col(MONTH).isin(*months))).drop(MONTH)
+def touched(batch: DataFrame, by: str = MONTH) -> list[str]:
+    """Partitions of a batch: a list bounded by the calendar, used to read only those of the stored table."""
+    rows = batch.select(partition_key(by, F.col("date")).alias(by)).distinct().collect()
+    return sorted(row[by] for row in rows if row[by] is not None)
 
 
 def new_wins(stored: DataFrame, batch: DataFrame, keys: Sequence[str] = DAY) -> DataFrame:
@@ -74,22 +153,59 @@ def stored_wins(stored: DataFrame, batch: DataFrame, keys: Sequence[str] = DAY)
     return stored.unionByName(batch.join(known, list(keys), "left_anti"))
 
 
+def _of_best_source(rows: DataFrame, pick) -> DataFrame:
+    """Rows of the one source that wins their day; a row for each day is all that is shuffled besides."""
+    best = rows.groupBy(*DAY).agg(pick("source").alias("source"))
+    return rows.join(best, [*DAY, "source"], "left_semi")
+
+
+def first_source(rows: DataFrame) -> DataFrame:
+    """Of several exports that hold a day, the rows of the one that landed first."""
+    return _of_best_source(rows, F.min)
+
+
+def first_source_wins(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """A day belongs to the export that landed first, whichever batch brings it. A replay changes nothing."""
+    known = stored.select(*DAY, "source").distinct()
+    return first_source(stored.unionByName(batch.join(known, [*DAY, "source"], "left_anti")))
+
+
+def last_source_wins(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """A day belongs to the document fetched last, whichever batch brings it. A replay changes nothing."""
+    known = stored.select(*DAY, "source").distinct()
+    return _of_best_source(stored.unionByName(batch.join(known, [*DAY, "source"], "left_anti")), F.max)
+
+
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def merge_into(batch: DataFrame, path: str, schema: str, merge: Merge, order: Sequence[str] = DAY) -> None:
-    """Merge a batch into a stored table, reading and writing only the months it touches."""
+def merge_into(batch: DataFrame, path: str, schema: str, merge: Merge, order: Sequence[str] = DAY, by: str = MONTH) -> None:
+    """Merge a batch into a stored table, reading and writing only the partitions it touches.
+
+    The batch itself is first written aside in the table's folder: it is used twice, and no executor's
+    memory or disk has to keep it.
+    """
     spark = batch.sparkSession
     names = [field.split()[0] for field in schema.split(", ")]
-    # The batch is used twice: for its months and for the merge. It may spill, and lost blocks are
-    # computed again from the landed files.
-    batch = batch.select(*names).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        months = touched_months(batch)
-        if months:
-            write_table(merge(stored_months(spark, path, schema, months), batch), path, order)
-    finally:
-        batch.unpersist()
+    aside = f"{path}/_batches/{uuid.uuid4().hex}"
+    batch.select(*names).write.parquet(aside)
+    batch = spark.read.schema(schema).parquet(aside)
+    parts = touched(batch, by)
+    if parts:
+        stored = read_table(spark, path, schema, by, parts).drop(by)
+        write_partitions(merge(stored, batch), path, order, by)
+    where = spark._jvm.org.apache.hadoop.fs.Path(aside)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def replace_range(rows: DataFrame, path: str, schema: str, first, last, order: Sequence[str] = DAY) -> None:
+    """Replace the rows from ``first`` to ``last`` by ``rows``; other days of the same months stay."""
+    spark = rows.sparkSession
+    months = [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first.year * 12 + first.month - 1, last.year * 12 + last.month)]
+    names = [field.split()[0] for field in schema.split(", ")]
+    stored = read_table(spark, path, schema, MONTH, months).drop(MONTH)
+    others = stored.filter(~F.col("date").between(F.lit(first), F.lit(last)))
+    write_partitions(others.unionByName(rows.select(*names)), path, order, MONTH, months)
 
 
 def union_rows(*parts: DataFrame) -> DataFrame:

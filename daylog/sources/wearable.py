@@ -127,7 +127,8 @@ def flatten_documents(
         # A day has as many rows as there are metric names, so this window stays small.
         newest = F.max("_written.document").over(Window.partitionBy(*DAY))
         latest = latest.withColumn("_newest", newest).filter(F.col("_written.document") == F.col("_newest"))
-    return latest.select(*DAY, "metric", "value", F.col("_written.place").cast("bigint").alias("seq"))
+    place, document = F.col("_written.place").cast("bigint"), F.col("_written.document").cast("string")
+    return latest.select(*DAY, "metric", "value", place.alias("seq"), document.alias("source"))
 
 
 def basic_series(series: DataFrame, metrics: Sequence[str] = BASIC_METRICS) -> DataFrame:

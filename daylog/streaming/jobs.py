@@ -14,7 +14,9 @@ from ..plans.ingest import LOOKBACK_DAYS, store_series, store_workouts
 from ..plans.paths import Store
 from ..schemas import SET_LOG, WEARABLE_DOC
 from ..session import shared_folder
+from ..sources.readers import SOURCE, landed
 from ..sources.setlog import parse_set_log, split_log
+from ..sources.store import last_source_wins
 from ..sources.wearable import flatten_documents
 
 WEEK, MONDAY_OFFSET, LATENESS = "7 days", "4 days", "7 days"
@@ -39,11 +41,12 @@ def wearable_stream(
         fetched = F.to_date(F.substring("date_fetched", 1, 10))
         marked = batch.withColumns(
             {
-                "at": F.struct("date_fetched", "source_file"),
+                "at": F.concat_ws(" ", "date_fetched", "source_file"),
                 "open_from": F.date_sub(fetched, lookback_days - 1),
             }
         )
-        store_series(flatten_documents(marked, order="at", not_before="open_from"), store)
+        # The document fetched last wins a day, in whichever batch it comes.
+        store_series(flatten_documents(marked, order="at", not_before="open_from"), store, last_source_wins)
 
     documents = (
         spark.readStream.schema(f"user_id bigint, {WEARABLE_DOC}")
@@ -78,6 +81,7 @@ def set_log_stream(
         .option("emptyValue", "")
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
+        .withColumn(SOURCE, landed())
     )
     return (
         rows.writeStream.foreachBatch(merge)

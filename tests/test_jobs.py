@@ -7,7 +7,8 @@ from daylog.plans import rendering
 from daylog.plans.ingest import ingest_set_log, ingest_wearable
 from daylog.plans.paths import Store
 from daylog.session import shared_folder
-from daylog.sources.store import load_audit, preview
+from daylog.schemas import DAILY, FEED
+from daylog.sources.store import load_audit, manifest, preview, read_table
 
 from .conftest import rows
 from .test_sources import CSV, DOC
@@ -31,7 +32,7 @@ def test_daily_run_from_landed_files_to_feed(spark, put, tmp_path):
     assert [w.date for w in payload.recent_workouts] == ["2025-10-10", "2025-10-09"]
     assert payload.week_volume["back"] == 1
     jobs.run_feed(spark, store, datetime.date(2025, 10, 9), datetime.date(2025, 10, 10))
-    feed = spark.read.parquet(store.feed)
+    feed = read_table(spark, store.feed, FEED)
     text = feed.filter((F.col("metric_type") == "Workout") & (F.col("date") == "2025-10-09")).first().value
     assert text == (
         'Squat (Barbell)\n"slow, "deep"\nand steady"\nSet 1: 145 lbs x 5\n\nPull Up\nSet 1: 160 lbs x None\n\n'
@@ -44,9 +45,10 @@ def test_combine_of_one_month_leaves_the_others(spark, put, tmp_path):
     ingest_wearable(spark, put("docs", 1, "a.json", DOC), store)
     ingest_set_log(spark, put("log", 1, "log.csv", CSV), store)
     jobs.run_combine(spark, store)
-    before = {f.name for f in (tmp_path / "store/daily/month=2025-01").iterdir()}
+    before = manifest(spark, store.daily)
     jobs.run_combine(spark, store, months=["2025-10"])
-    assert {f.name for f in (tmp_path / "store/daily/month=2025-01").iterdir()} == before
+    after = manifest(spark, store.daily)
+    assert after["2025-01"] == before["2025-01"] and after["2025-10"] != before["2025-10"]
     assert jobs.load_combined(spark, store).daily.count() == 4
 
 
@@ -91,3 +93,53 @@ def test_audit_and_preview(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_feeds_of_single_days_add_up(spark, put, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    points = [{"dateTime": f"2025-{m:02d}-{d:02d}", "value": str(100 * d)} for m, d in ((1, 30), (1, 31), (2, 1), (2, 3))]
+    ingest_wearable(spark, put("docs", 1, "a.json", {"date_fetched": "2025-02-04", "time_series": {"steps": points}, "sleep": []}), store)
+    jobs.run_combine(spark, store)
+
+    def days():
+        return [r.date.isoformat() for r in read_table(spark, store.feed, FEED).select("date").distinct().orderBy("date").collect()]
+
+    jobs.run_feed(spark, store, datetime.date(2025, 1, 30), datetime.date(2025, 1, 30))
+    jobs.run_feed(spark, store, datetime.date(2025, 2, 3), datetime.date(2025, 2, 3))
+    assert days() == ["2025-01-30", "2025-02-03"]
+    for _ in range(2):
+        jobs.run_feed(spark, store, datetime.date(2025, 1, 31), datetime.date(2025, 2, 2))
+        assert days() == ["2025-01-30", "2025-01-31", "2025-02-01", "2025-02-03"]
+    assert [r.date.isoformat() for r in spark.read.parquet(store.missing_days).collect()] == ["2025-02-02"]
+
+
+def test_date_ranges_prune_months(spark, put, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    ingest_wearable(spark, put("docs", 1, "a.json", DOC), store)
+    ingest_set_log(spark, put("log", 1, "log.csv", CSV), store)
+    jobs.run_combine(spark, store)
+    assert len(manifest(spark, store.daily)) > 1
+    combined, day = jobs.load_combined(spark, store), datetime.date(2025, 10, 10)
+    for frame in (jobs.feed_of_day(combined, day), jobs.week_volume(combined.sets, day), jobs.prior_day(combined.daily, day)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan" in line]
+        assert scans and all("PartitionFilters: [isnotnull(month" in line for line in scans), plan
+
+
+def test_dashboard_weekly_and_documents_are_stored(spark, put, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    ingest_wearable(spark, put("docs", 1, "a.json", DOC), store)
+    ingest_set_log(spark, put("log", 1, "log.csv", CSV), store)
+    jobs.run_combine(spark, store)
+    jobs.run_dashboard(spark, store)
+    assert sum(1 for _ in (tmp_path / "store/dashboard").rglob("*.parquet")) >= 2
+    jobs.run_weekly(spark, store)
+    for name in ("sets", "sets_trailing", "weight_ranked", "progress"):
+        assert spark.read.parquet(f"{store.weekly}/{name}").columns[:2] == ["user_id", "week"]
+    assert spark.read.parquet(f"{store.weekly}/sets").count() > 0
+    jobs.run_averages(spark, store)
+    jobs.run_payload(spark, store, datetime.date(2025, 10, 11), until=datetime.date(2025, 10, 9))
+    assert [w.date for w in spark.read.parquet(store.payload).first().recent_workouts] == ["2025-10-09"]
+    assert "date_for_plan" in spark.read.text(f"{store.documents}/payload").first().value
+    assert "avg_steps" in spark.read.text(f"{store.documents}/averages").first().value
+    assert spark.read.parquet(f"{store.documents}/averages_text").count() > 0

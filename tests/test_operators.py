@@ -153,7 +153,7 @@ def reference_text(entries):
     return "\n".join(lines).strip()
 
 
-def test_workout_text_equals_brute_force_over_blocks_and_parts(spark, monkeypatch):
+def test_workout_text_equals_brute_force_over_blocks(spark, monkeypatch):
     random.seed(11)
     entries = [
         (random.choice(["Squat", " Curl", "Row"]), random.choice([0.0, None, 20.5, -3.7]), random.choice([None, 5, 12]), random.choice(["", "", "n1", "n2"]))
@@ -163,8 +163,18 @@ def test_workout_text_equals_brute_force_over_blocks_and_parts(spark, monkeypatc
     whole = reference_text(entries)
     assert [r.text for r in workouts.workout_text(sets).collect()] == [whole]
     monkeypatch.setattr(ranking, "BLOCK_BITS", 4)
-    parts = workouts.workout_text(sets, part_lines=25).orderBy("part").collect()
-    assert len(parts) > 5 and "\n".join(p.text for p in parts) == whole
+    assert [r.text for r in workouts.workout_text(sets).collect()] == [whole]
+
+
+def test_position_comes_before_ties_of_any_size(spark):
+    entries = [(1, "2025-01-01", "Squat", w, 5, n) for w, n in ((1.0, "first"), (2.0, ""), (3.0, "second"))]
+    weight = F.col("weight_lbs")
+    tie = F.when(weight == 1.0, 9_000).when(weight == 2.0, 10).otherwise(20_000_000)
+    sets = training(spark, *entries).withColumns({"pos": weight.cast("bigint"), "tie": tie.cast("bigint")})
+    numbers = {r.weight_lbs: r.set_number for r in workouts.numbered_sets(sets).collect()}
+    assert numbers == {1.0: 1, 2.0: 2, 3.0: 3}
+    assert workouts.exercise_last_note(sets).first().note == "second"
+    assert workouts.workout_text(sets).first().text == 'Squat\n"second"\nSet 1: 1 lbs x 5\nSet 2: 2 lbs x 5\nSet 3: 3 lbs x 5'
 
 
 def test_row_numbers_equal_a_plain_window_in_a_hot_group(spark, monkeypatch):

@@ -10,7 +10,8 @@ from daylog.plans.paths import Store
 from daylog.schemas import PLAN, SERIES, SETS, WORKOUTS
 from daylog.sources import readers
 from daylog.sources.setlog import legacy_log, parse_set_log, split_log, unreadable_log_rows
-from daylog.sources.store import merge_into, new_wins, stored_wins, touched_months, write_json, write_table
+from daylog.sources import store as tables
+from daylog.sources.store import drop_old_versions, manifest, merge_into, new_wins, read_table, stored_wins, touched, write_json, write_table
 from daylog.sources.wearable import basic_series, flatten_documents
 
 from .conftest import rows
@@ -204,34 +205,36 @@ def day(text):
 
 
 def series_frame(spark, *values):
-    return spark.createDataFrame([(1, day(d), m, v, 0) for d, m, v in values], SERIES)
+    return spark.createDataFrame([(1, day(d), m, v, 0, "f") for d, m, v in values], SERIES)
 
 
 def test_upsert_replaces_days_whole_and_only_touched_months(spark, tmp_path):
     path = str(tmp_path / "series")
     merge_into(series_frame(spark, ("2025-01-31", "steps", "1"), ("2025-01-31", "distance", "2"), ("2025-02-01", "steps", "3")), path, SERIES, new_wins)
-    untouched = {f.name for f in (tmp_path / "series" / "month=2025-02").iterdir()}
+    before = manifest(spark, path)
     batch = series_frame(spark, ("2025-01-31", "steps", "9"), ("2025-01-30", "steps", "4"))
-    assert touched_months(batch) == ["2025-01"]
+    assert touched(batch) == ["2025-01"]
     for _ in range(2):  # a replay changes nothing
         merge_into(batch, path, SERIES, new_wins)
-        stored = spark.read.parquet(path).select(F.col("date").cast("string"), "metric", "value")
+        stored = read_table(spark, path, SERIES).select(F.col("date").cast("string"), "metric", "value")
         assert rows(stored, "date", "metric") == [
             ("2025-01-30", "steps", "4"), ("2025-01-31", "steps", "9"), ("2025-02-01", "steps", "3"),
         ]
-    assert {f.name for f in (tmp_path / "series" / "month=2025-02").iterdir()} == untouched
+    after = manifest(spark, path)
+    assert after["2025-02"] == before["2025-02"] and after["2025-01"] != before["2025-01"]
+    assert drop_old_versions(spark, path) == 2 and read_table(spark, path, SERIES).count() == 3
 
 
 def test_insert_if_absent_keeps_stored_days(spark, tmp_path):
     path = str(tmp_path / "workouts")
 
     def batch(*values):
-        return spark.createDataFrame([(1, day(d), t, "0:30", 0) for d, t in values], WORKOUTS)
+        return spark.createDataFrame([(1, day(d), t, "0:30", 0, "f") for d, t in values], WORKOUTS)
 
     merge_into(batch(("2025-01-01", "A")), path, WORKOUTS, stored_wins)
     for _ in range(2):
         merge_into(batch(("2025-01-01", "X"), ("2025-01-02", "B")), path, WORKOUTS, stored_wins)
-        assert [r.title for r in spark.read.parquet(path).orderBy("date").collect()] == ["A", "B"]
+        assert [r.title for r in read_table(spark, path, WORKOUTS).orderBy("date").collect()] == ["A", "B"]
 
 
 def test_json_egress(spark, tmp_path):
@@ -244,7 +247,7 @@ def test_ingest_jobs_end_to_end(spark, put, tmp_path):
     store = Store(str(tmp_path / "store"))
     folder = put("docs", 1, "a.json", DOC)
     ingest_wearable(spark, folder, store, day("2025-01-08"))
-    stored = spark.read.parquet(store.series)
+    stored = read_table(spark, store.series, SERIES, "day")
     assert {r.date.isoformat() for r in stored.select("date").distinct().collect()} == {"2025-01-02"}
     migrate_legacy(spark, folder, put("stores", 1, "s.json", STORE_DOC), store)
     steps = stored_value(spark, store, "2025-01-01", "steps_activities-steps")
@@ -252,16 +255,82 @@ def test_ingest_jobs_end_to_end(spark, put, tmp_path):
     log = put("log", 1, "log.csv", CSV)
     ingest_set_log(spark, log, store)
     ingest_set_log(spark, log, store)
-    assert spark.read.parquet(store.sets).count() == 4 and spark.read.parquet(store.workouts).count() == 2
-    assert readers.read_or_empty(spark, store.sets, SETS).filter("exercise = 'Pull Up'").first().duration_seconds == "60"
+    assert read_table(spark, store.sets, SETS).count() == 4 and read_table(spark, store.workouts, WORKOUTS).count() == 2
+    assert read_table(spark, store.sets, SETS).filter("exercise = 'Pull Up'").first().duration_seconds == "60"
 
 
 def stored_value(spark, store, date, metric):
-    return spark.read.parquet(store.series).filter((F.col("date") == date) & (F.col("metric") == metric)).first().value
+    return read_table(spark, store.series, SERIES, "day").filter((F.col("date") == date) & (F.col("metric") == metric)).first().value
 
 
 def test_write_table_keeps_other_months(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(series_frame(spark, ("2025-01-01", "steps", "1")), path)
     write_table(series_frame(spark, ("2025-02-01", "steps", "2")), path)
-    assert spark.read.parquet(path).count() == 2
+    assert read_table(spark, path, SERIES).count() == 2
+
+
+def test_a_write_that_fails_before_the_swap_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_table(series_frame(spark, ("2025-01-01", "steps", "1")), path)
+
+    def broken(*_):
+        raise RuntimeError("the driver dies here")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "swap_manifest", broken)
+        with pytest.raises(RuntimeError):
+            merge_into(series_frame(spark, ("2025-01-01", "steps", "2")), path, SERIES, new_wins)
+    assert [r.value for r in read_table(spark, path, SERIES).collect()] == ["1"]
+    merge_into(series_frame(spark, ("2025-01-01", "steps", "2")), path, SERIES, new_wins)
+    assert [r.value for r in read_table(spark, path, SERIES).collect()] == ["2"]
+
+
+def test_a_refetch_writes_only_its_days(spark, put, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    folder = put("docs", 1, "a.json", DOC)
+    ingest_wearable(spark, folder, store)
+    before = manifest(spark, store.series)
+    ingest_wearable(spark, folder, store, day("2025-01-08"))
+    after = manifest(spark, store.series)
+    assert after.keys() == before.keys()
+    assert {d for d in after if after[d] != before[d]} == {"2025-01-02"}
+
+
+HEADER = CSV.split("\n", 1)[0]
+
+
+def export(*sets):
+    """An export whose rows are (day of October, title, exercise, reps)."""
+    return HEADER + "\n" + "\n".join(f'"{t}","{d} Oct 2025, 18:00","{d} Oct 2025, 18:30","{e}","normal","10","{r}","","","",""' for d, t, e, r in sets) + "\n"
+
+
+OLD = export((9, "A", "Squat", 5))
+NEW = export(*((d, "B", f"Exercise {i}", 5) for d in (9, 10) for i in range(200)))
+
+
+@pytest.mark.parametrize("first, second", [("a.csv", "b.csv"), ("b.csv", "a.csv")])
+def test_overlapping_exports_count_once(spark, put, tmp_path, first, second):
+    import os
+
+    folder = put("log", 1, first, OLD)
+    put("log", 1, second, NEW)
+    for name, landed in ((first, 1_700_000_000), (second, 1_700_000_100)):
+        os.utime(tmp_path / "log" / "user_id=1" / name, (landed, landed))
+    store = Store(str(tmp_path / "store"))
+    for _ in range(2):
+        ingest_set_log(spark, folder, store)
+        days_ = read_table(spark, store.sets, SETS).groupBy("date").count()
+        assert rows(days_.select(F.dayofmonth("date"), "count"), "dayofmonth(date)") == [(9, 1), (10, 200)]
+        assert rows(read_table(spark, store.workouts, WORKOUTS).select("title"), "title") == [("A",), ("B",)]
+
+
+@pytest.mark.parametrize("large", ["a.json", "b.json"])
+def test_the_name_of_a_file_decides_which_record_is_last(spark, put, large):
+    def workout(title, n):
+        return [{"Date": "2025-01-01", "Workout_Title": title, "Workout_Duration": "0:10", "exercises": [{"exercise": f"E{i}", "notes": "x" * 50} for i in range(n)]}]
+
+    for name in ("a.json", "b.json"):
+        folder = put("w", 1, name, workout(f"from {name}", 400 if name == large else 1))
+    kept, sets = readers.read_workout_docs(spark, folder)
+    assert [r.title for r in kept.collect()] == ["from b.json"] and sets.count() == (400 if large == "b.json" else 1)

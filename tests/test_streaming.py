@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from daylog.plans.ingest import ingest_set_log, ingest_wearable
 from daylog.plans.paths import Store
+from daylog.schemas import SERIES, SETS, WORKOUTS
+from daylog.sources.store import read_table
 from daylog.streaming.jobs import set_log_stream, wearable_stream, weekly_totals, weekly_totals_stream
 
 from .conftest import rows
@@ -16,7 +18,9 @@ def document(fetched, *points):
 
 
 def stored(spark, path):
-    return rows(spark.read.parquet(path).drop("month", "pos", "seq"))
+    by = "day" if path.endswith("series") else "month"
+    schema = {"series": SERIES, "sets": SETS, "workouts": WORKOUTS}[path.rpartition("/")[2]]
+    return rows(read_table(spark, path, schema, by).drop("month", "day", "pos", "seq", "source"))
 
 
 def test_wearable_stream_equals_the_batch_and_drops_late_days(spark, put, tmp_path):
@@ -25,13 +29,13 @@ def test_wearable_stream_equals_the_batch_and_drops_late_days(spark, put, tmp_pa
     first = document("2025-01-10", ("2025-01-03", "1"), ("2025-01-04", "2"), ("2025-01-10", "3"))
     folder = put("docs", 1, "a.json", first)
     wearable_stream(spark, folder, store, checkpoint).awaitTermination()
-    steps = spark.read.parquet(store.series).select(F.dayofmonth("date").alias("d"), "value")
+    steps = read_table(spark, store.series, SERIES, "day").select(F.dayofmonth("date").alias("d"), "value")
     assert rows(steps, "d") == [(4, "2"), (10, "3")]
 
     put("docs", 1, "b.json", document("2025-01-11", ("2025-01-04", "99"), ("2025-01-10", "30"), ("2025-01-11", "4")))
     wearable_stream(spark, folder, store, checkpoint).awaitTermination()
     wearable_stream(spark, folder, store, checkpoint).awaitTermination()  # nothing new
-    steps = spark.read.parquet(store.series).select(F.dayofmonth("date").alias("d"), "value")
+    steps = read_table(spark, store.series, SERIES, "day").select(F.dayofmonth("date").alias("d"), "value")
     assert rows(steps, "d") == [(4, "2"), (10, "30"), (11, "4")]
 
     again = Store(str(tmp_path / "replay"))
@@ -72,3 +76,30 @@ def test_weekly_stream_equals_the_batch(spark, tmp_path):
     batch = weekly_totals(spark.read.schema(schema).json(str(source))).filter("week < '2024-05-01'")
     assert rows(spark.read.parquet(str(tmp_path / "out")), "week", "user_id") == rows(batch, "week", "user_id")
     assert {r.week.weekday() for r in batch.collect()} == {0}
+
+
+def test_streams_do_not_depend_on_files_per_batch(spark, put, tmp_path):
+    import os
+
+    header = CSV.split("\n", 1)[0]
+    row = '"{t}","{d} Oct 2025, 18:00","{d} Oct 2025, 18:30","{e}","normal","10","5","","","",""'
+    for k, (name, title, days) in enumerate((("b.csv", "A", (9,)), ("a.csv", "B", (9, 10)), ("c.csv", "C", (8, 9, 10, 11)))):
+        folder = put("log", 1, name, "\n".join([header, *(row.format(t=title, d=d, e="Squat") for d in days)]) + "\n")
+        os.utime(tmp_path / "log" / "user_id=1" / name, (1_700_000_000 + k, 1_700_000_000 + k))
+    batch = Store(str(tmp_path / "batch"))
+    ingest_set_log(spark, folder, batch)
+    for n in (1, 2, 100):
+        streamed = Store(str(tmp_path / f"s{n}"))
+        set_log_stream(spark, folder, streamed, str(tmp_path / f"cp{n}"), n).awaitTermination()
+        for path in ("sets", "workouts"):
+            assert sorted(stored(spark, getattr(streamed, path)), key=repr) == sorted(stored(spark, getattr(batch, path)), key=repr)
+
+    put("docs", 1, "z.json", document("2025-01-10", ("2025-01-09", "1"), ("2025-01-10", "1")))
+    put("docs", 1, "y.json", document("2025-01-11", ("2025-01-09", "2"), ("2025-01-11", "2")))
+    docs = put("docs", 1, "x.json", document("2025-01-09", ("2025-01-08", "3"), ("2025-01-09", "3")))
+    seen = []
+    for n in (1, 2, 100):
+        streamed = Store(str(tmp_path / f"w{n}"))
+        wearable_stream(spark, docs, streamed, str(tmp_path / f"wcp{n}"), files_per_batch=n).awaitTermination()
+        seen.append(sorted(stored(spark, streamed.series)))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 4

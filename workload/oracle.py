@@ -165,13 +165,13 @@ b_summary AS (
 ),
 b_numbered AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, date, exercise
-      ORDER BY pos // 8192, tie // 8192, pos, tie, weight_lbs, reps NULLS FIRST, notes) AS set_number,
+      ORDER BY pos, tie, weight_lbs, reps NULLS FIRST, notes) AS set_number,
     min(pos) OVER (PARTITION BY user_id, date, exercise) AS first_pos
   FROM b_sets
 ),
 b_last_note AS (
   SELECT user_id, date, exercise, notes AS note FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, date, exercise ORDER BY pos // 8192 DESC, tie // 8192 DESC,
+    SELECT *, row_number() OVER (PARTITION BY user_id, date, exercise ORDER BY
       pos DESC, tie DESC, weight_lbs DESC, reps DESC NULLS LAST, notes DESC) AS rn
     FROM b_sets WHERE notes <> ''
   ) WHERE rn = 1
@@ -260,7 +260,7 @@ POINTS = """
 BARE = POINTS.format(steps="'steps'", calories="'calories_out'")
 QUALIFIED = POINTS.format(steps="'steps_activities-steps'", calories="'calories_out_activities-calories'")
 
-FEED_SELECT = "SELECT user_id, date, metric_type, label, 0 AS part, value FROM b_feed"
+FEED_SELECT = "SELECT user_id, date, metric_type, label, value FROM b_feed"
 CHARTED = """, charted AS (
   SELECT user_id, date, steps, sleep_hours, total_calories_burned AS total_calories FROM b_daily
 )"""
@@ -368,7 +368,7 @@ BODIES: dict[str, str] = {
     "exercise_last_note": """SELECT s.user_id, s.date, s.exercise, any_value(n.note) AS note, count(*) AS n_sets
     FROM b_sets s LEFT JOIN b_last_note n ON s.user_id = n.user_id AND s.date = n.date AND s.exercise = n.exercise
     GROUP BY s.user_id, s.date, s.exercise""",
-    "workout_text": "SELECT user_id, date, 0 AS part, text FROM b_text",
+    "workout_text": "SELECT user_id, date, text FROM b_text",
     "week_volume": """SELECT user_id, muscle, count(*) AS sets FROM b_set_muscle
     WHERE isoyear(date) = 2024 AND weekofyear(date) = 3 GROUP BY user_id, muscle""",
     "prior_day_lookup": f"""SELECT coalesce(a.user_id, c.user_id) AS user_id, {six("hours", "a.sleep_hours")}, a.sleep_score AS score,
