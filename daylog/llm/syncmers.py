@@ -26,48 +26,53 @@ STRETCHES = 4
 LOWEST = -(1 << 63)
 
 
-def _shifted(array: Column, by: int) -> Column:
-    """All but the first ``by`` entries."""
-    return F.slice(array, F.lit(by + 1), F.greatest(F.size(array) - by, F.lit(0)))
+def _stretch(array: str, first: int, length: str) -> Column:
+    """``length`` entries from place ``first``, both columns or places of stored columns: nothing is worked out twice."""
+    return F.slice(F.col(array), F.lit(first + 1), F.greatest(F.col(length), F.lit(0)))
 
 
-def _paired(array: Column, by: int, join) -> Column:
-    """``join`` of every entry and the one ``by`` places on."""
-    n = F.greatest(F.size(array) - by, F.lit(0))
-    return F.zip_with(F.slice(array, F.lit(1), n), _shifted(array, by), join)
+def with_runs(df: DataFrame, text: str, runs: str) -> DataFrame:
+    """Adds ``runs``: an entry for every run of words of a text, its 48-bit hash if it is a closed syncmer, else null; and
+    ``runs`` + ``_whole``, the hash of the whole sequence of words.
+
+    Every step is a column of its own, so that Spark evaluates it once a row.
+    """
+    t = {k: f"__{runs}_{k}" for k in ("trimmed", "words", "hashes", "pairs", "n", "inner", "least", "edge", "chosen", "begin", "run")}
+    last, mask = RUN - INNER, (1 << (4 * DIGITS)) - 1
+    df = df.withColumn(t["trimmed"], F.regexp_replace(F.col(text), f"^{WORD_GAP}|{WORD_GAP}$", ""))
+    df = df.withColumn(t["words"], F.when(F.col(t["trimmed"]) == "", F.array().cast("array<string>")).otherwise(F.split(t["trimmed"], WORD_GAP)))
+    df = df.withColumn(f"{runs}_whole", F.xxhash64(F.concat_ws(" ", F.lit("whole"), F.col(t["words"]))).bitwiseAND(mask))
+    df = df.withColumn(t["hashes"], F.transform(t["words"], lambda w: F.xxhash64(w)))
+    df = df.withColumn(t["pairs"], F.size(t["hashes"]) - 1)
+    df = df.withColumn(t["inner"], F.zip_with(_stretch(t["hashes"], 0, t["pairs"]), _stretch(t["hashes"], 1, t["pairs"]), lambda a, b: F.xxhash64(a, b)))
+    # A run has the inner hashes i to i + 3. An edge is the least exactly if it is no more than the two between.
+    df = df.withColumn(t["n"], F.col(t["pairs"]) - last)
+    df = df.withColumn(t["least"], F.zip_with(_stretch(t["inner"], 1, t["n"]), _stretch(t["inner"], 2, t["n"]), lambda a, b: F.least(a, b)))
+    df = df.withColumn(t["edge"], F.zip_with(_stretch(t["inner"], 0, t["n"]), _stretch(t["inner"], last, t["n"]), lambda a, b: F.least(a, b)))
+    df = df.withColumn(t["begin"], F.zip_with(_stretch(t["inner"], 0, t["n"]), _stretch(t["inner"], 2, t["n"]), lambda a, b: F.xxhash64(a, b)))
+    df = df.withColumn(t["run"], F.zip_with(t["begin"], _stretch(t["inner"], last, t["n"]), lambda a, b: F.xxhash64(a, b).bitwiseAND(mask)))
+    df = df.withColumn(t["chosen"], F.zip_with(t["edge"], t["least"], lambda e, m: e <= m))
+    df = df.withColumn(runs, F.zip_with(t["chosen"], t["run"], lambda c, r: F.when(c, r)))
+    return df.drop(*t.values())
 
 
 def with_anchors(df: DataFrame, text: str, anchors: str) -> DataFrame:
     """Adds ``anchors``: an array of (position, anchor), the word numbers and 48-bit hashes of the closed syncmers of a text."""
-    t = {k: f"__{anchors}_{k}" for k in ("words", "inner", "least")}
-    trimmed = F.regexp_replace(F.col(text), f"^{WORD_GAP}|{WORD_GAP}$", "")
-    df = df.withColumn(t["words"], F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_GAP)))
-    hashes = F.transform(t["words"], lambda w: F.xxhash64(w))
-    df = df.withColumn(t["inner"], _paired(hashes, 1, lambda a, b: F.xxhash64(a, b)))
-    # RUN - INNER + 1 = 4 inner hashes a run: the least of two, then of two such pairs.
-    df = df.withColumn(t["least"], _paired(F.col(t["inner"]), 1, lambda a, b: F.least(a, b)))
-    inner, least = F.col(t["inner"]), F.col(t["least"])
-    last = RUN - INNER
-    edge = F.zip_with(F.slice(inner, F.lit(1), F.greatest(F.size(inner) - last, F.lit(0))), _shifted(inner, last), lambda a, b: F.least(a, b))
-    middle = F.slice(_shifted(least, 1), F.lit(1), F.greatest(F.size(inner) - last, F.lit(0)))
-    # An edge is the least of the run exactly if it is no more than the two inner hashes between.
-    chosen = F.zip_with(edge, middle, lambda e, m: e <= m)
-    mask = (1 << (4 * DIGITS)) - 1
-    runs = F.zip_with(F.slice(inner, F.lit(1), F.size(chosen)), _shifted(inner, 2), lambda a, c: F.struct(a.alias("a"), c.alias("c")))
-    runs = F.arrays_zip(chosen.alias("chosen"), F.slice(runs, F.lit(1), F.size(chosen)).alias("run"), F.slice(_shifted(inner, last), F.lit(1), F.size(chosen)).alias("end"))
-    picked = F.filter(F.transform(runs, lambda r, i: F.when(r["chosen"], F.struct(i.alias("position"), F.xxhash64(r["run"]["a"], r["run"]["c"], r["end"]).bitwiseAND(mask).alias("anchor")))), lambda x: x.isNotNull())
-    whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(F.concat_ws(" ", F.lit("whole"), F.col(t["words"]))).bitwiseAND(mask).alias("anchor")))
-    df = df.withColumn(anchors, picked)
-    return df.withColumn(anchors, F.when(F.size(anchors) > 0, F.col(anchors)).otherwise(whole)).drop(*t.values())
+    df = with_runs(df, text, "__runs")
+    entry = lambda r, i: F.when(r.isNotNull(), F.struct(i.alias("position"), r.alias("anchor")))
+    df = df.withColumn(anchors, F.array_compact(F.transform("__runs", entry)))
+    whole = F.array(F.struct(F.lit(0).alias("position"), F.col("__runs_whole").alias("anchor")))
+    return df.withColumn(anchors, F.when(F.size(anchors) > 0, F.col(anchors)).otherwise(whole)).drop("__runs", "__runs_whole")
 
 
 def with_sketch(df: DataFrame, text: str, sketch: str) -> DataFrame:
     """Adds ``sketch``: the least ``SKETCH`` different anchors of a text, in its order."""
-    every, limit = f"__{sketch}_all", f"__{sketch}_limit"
-    df = with_anchors(df, text, f"__{sketch}")
-    df = df.withColumn(every, F.array_distinct(F.col(f"__{sketch}")["anchor"]))
-    df = df.withColumn(limit, F.element_at(F.sort_array(every), F.least(F.size(every), F.lit(SKETCH))))
-    return df.withColumn(sketch, F.filter(every, lambda x: x <= F.col(limit))).drop(every, limit, f"__{sketch}")
+    every = f"__{sketch}_all"
+    df = with_runs(df, text, "__runs").withColumn(every, F.array_distinct(F.array_compact("__runs")))
+    df = df.withColumn(every, F.when(F.size(every) > 0, F.col(every)).otherwise(F.array("__runs_whole")))
+    # An intersection keeps the order of its first array. (A filter by the largest of the least would have
+    # Spark move that bound into the filter's function and sort once for every anchor.)
+    return df.withColumn(sketch, F.array_intersect(every, F.slice(F.sort_array(every), 1, SKETCH))).drop(every, "__runs", "__runs_whole")
 
 
 def as_text(sketch: str) -> Column:
