@@ -92,6 +92,22 @@ def unreadable_sets(sets: DataFrame) -> DataFrame:
     return sets.filter(bad("weight_lbs", "double") | bad("reps", "int") | bad("duration_seconds", "int"))
 
 
+def plain_sets(
+    sets: DataFrame, user_lbs: Column | float = DEFAULT_USER_LBS, words: WeightWords = WeightWords()
+) -> DataFrame:
+    """Typed sets with their effective weight, before any lookup: what the figures of a workout need."""
+    pounds = user_lbs if isinstance(user_lbs, Column) else F.lit(float(user_lbs))
+    order = [c for c in ("pos", "tie") if c in sets.columns]
+    return sets.select(
+        *DAY,
+        *order,
+        "exercise",
+        effective_weight(F.col("weight_lbs"), F.col("exercise"), F.col("notes"), pounds, words).alias("weight_lbs"),
+        zero_to_null(F.col("reps")).alias("reps"),
+        F.coalesce("notes", F.lit("")).alias("notes"),
+    )
+
+
 def canonical_sets(
     sets: DataFrame,
     dim: DataFrame,

@@ -9,94 +9,121 @@ from pyspark.sql import functions as F
 
 from ..functions.effort import DEFAULT_MET
 
-# Exercise | intensity | muscles. An empty intensity means the default applies.
-EXERCISES = """
-Pull Up | 8 | Back
-Pull Up (Assisted) | 6 | Back
-Neutral Grip Pull Up | | Back, Forearm
-Neutral Grip Pull Up (Assisted) | | Back, Forearm
-Chin Up | 8 | Biceps, Back
-Chin Up (Assisted) | 6 | Biceps, Back
-Bent Over Row (Barbell) | 6 | Back, Rear Delts
-Seated Row (Machine) | 5.5 | Back, Rear Delts
-Lat Pulldown (Cable) | 5.5 | Back, Biceps
-Lat Pulldown - Close Grip (Cable) | 5.5 | Back, Biceps
-lat pulldown Burn Outs | 5.5 | Back
-Negative Pull Up | 7 | Back, Biceps
-Bench Press | 6 | Chest, Triceps, Shoulders
-Incline Bench Press | 6 | Chest, Shoulders, Triceps
-Incline Bench Press (Barbell) | 6 | Chest, Shoulders, Triceps
-Incline Bench Press (Dumbbell) | 6 | Chest, Shoulders, Triceps
-Overhead Press | 5.5 | Shoulders
-Overhead Press (Barbell) | 5.5 | Shoulders
-Overhead Press (Smith Machine) | 5.5 | Shoulders
-Shoulder Press (Dumbbell) | 5.5 | Shoulders
-Seated Shoulder Press (Machine) | 5 | Shoulders
-Chest Dip | 6 | Chest, Triceps, Shoulders
-Chest Dip (Assisted) | 5 | Chest, Triceps, Shoulders
-Push Up | 5.5 | Chest, Triceps, Shoulders
-Face Pull | 4.5 | Rear Delts, Traps
-Triceps Extension (Barbell) | 4 | Triceps
-Triceps Extension (Cable) | 4 | Triceps
-Triceps Rope Pushdown | 4 | Triceps
-Overhead Triceps Extension (Cable) | | Triceps
-Hammer Curl (Dumbbell) | 4 | Biceps, Forearms
-Bicep Curl (Barbell) | 4 | Biceps
-EZ Bar Biceps Curl | 4 | Biceps
-Bicep Curl (Cable) | 4 | Biceps
-Reverse Curl (Barbell) | 4 | Biceps, Forearms
-Lateral Raise (Dumbbell) | 3.5 | Shoulders
-Single Arm Lateral Raise (Cable) | 3.5 | Shoulders
-Lateral Raise (Cable) | 3.5 | Shoulders
-Rear Delt Reverse Fly (Machine) | 4 | Rear Delts
-Squat | 7 | Quads, Glutes, Hamstrings
-Squat (Barbell) | 7 | Quads, Glutes, Hamstrings
-Front Squat | 7 | Quads, Glutes, Hamstrings
-Leg Press Horizontal (Machine) | 6.5 | Quads, Glutes
-Bulgarian Split Squat | 6.5 | Quads, Glutes, Hamstrings
-Deadlift | 7 | Hamstrings, Glutes, Back
-Deadlift (Barbell) | 7 | Hamstrings, Glutes, Back
-Romanian Deadlift (Barbell) | 6.5 | Hamstrings, Glutes, Back
-Hip Thrust (Barbell) | 6 | Glutes, Hamstrings
-Hanging Knee Raise | 3.5 | Abs
-Leg Raise Parallel Bars | 3.5 | Abs
-"""
-# What the second version lists instead (None: the exercise is not in it).
-V2_MUSCLES = {
-    "Neutral Grip Pull Up": None,
-    "Neutral Grip Pull Up (Assisted)": None,
-    "Overhead Press": ["Shoulders", "Triceps"],
-    "Overhead Press (Barbell)": ["Shoulders", "Triceps"],
-    "Overhead Press (Smith Machine)": ["Shoulders", "Triceps"],
-    "Shoulder Press (Dumbbell)": ["Shoulders", "Triceps"],
-    "Seated Shoulder Press (Machine)": ["Shoulders", "Triceps"],
-}
-V2_INTENSITY_NAMES = {"lat pulldown Burn Outs": "Lat Pulldown Burn Outs"}
+# Exercise, muscles, intensity. None: not in that table, the default applies.
+EXERCISES_V3 = [
+    ("Pull Up", ["Back"], 8.0),
+    ("Pull Up (Assisted)", ["Back"], 6.0),
+    ("Neutral Grip Pull Up", ["Back", "Forearm"], None),
+    ("Neutral Grip Pull Up (Assisted)", ["Back", "Forearm"], None),
+    ("Chin Up", ["Biceps", "Back"], 8.0),
+    ("Chin Up (Assisted)", ["Biceps", "Back"], 6.0),
+    ("Bent Over Row (Barbell)", ["Back", "Rear Delts"], 6.0),
+    ("Seated Row (Machine)", ["Back", "Rear Delts"], 5.5),
+    ("Lat Pulldown (Cable)", ["Back", "Biceps"], 5.5),
+    ("Lat Pulldown - Close Grip (Cable)", ["Back", "Biceps"], 5.5),
+    ("lat pulldown Burn Outs", ["Back"], 5.5),
+    ("Negative Pull Up", ["Back", "Biceps"], 7.0),
+    ("Bench Press", ["Chest", "Triceps", "Shoulders"], 6.0),
+    ("Incline Bench Press", ["Chest", "Shoulders", "Triceps"], 6.0),
+    ("Incline Bench Press (Barbell)", ["Chest", "Shoulders", "Triceps"], 6.0),
+    ("Incline Bench Press (Dumbbell)", ["Chest", "Shoulders", "Triceps"], 6.0),
+    ("Overhead Press", ["Shoulders"], 5.5),
+    ("Overhead Press (Barbell)", ["Shoulders"], 5.5),
+    ("Overhead Press (Smith Machine)", ["Shoulders"], 5.5),
+    ("Shoulder Press (Dumbbell)", ["Shoulders"], 5.5),
+    ("Seated Shoulder Press (Machine)", ["Shoulders"], 5.0),
+    ("Chest Dip", ["Chest", "Triceps", "Shoulders"], 6.0),
+    ("Chest Dip (Assisted)", ["Chest", "Triceps", "Shoulders"], 5.0),
+    ("Push Up", ["Chest", "Triceps", "Shoulders"], 5.5),
+    ("Face Pull", ["Rear Delts", "Traps"], 4.5),
+    ("Triceps Extension (Barbell)", ["Triceps"], 4.0),
+    ("Triceps Extension (Cable)", ["Triceps"], 4.0),
+    ("Triceps Rope Pushdown", ["Triceps"], 4.0),
+    ("Overhead Triceps Extension (Cable)", ["Triceps"], None),
+    ("Hammer Curl (Dumbbell)", ["Biceps", "Forearms"], 4.0),
+    ("Bicep Curl (Barbell)", ["Biceps"], 4.0),
+    ("EZ Bar Biceps Curl", ["Biceps"], 4.0),
+    ("Bicep Curl (Cable)", ["Biceps"], 4.0),
+    ("Reverse Curl (Barbell)", ["Biceps", "Forearms"], 4.0),
+    ("Lateral Raise (Dumbbell)", ["Shoulders"], 3.5),
+    ("Single Arm Lateral Raise (Cable)", ["Shoulders"], 3.5),
+    ("Lateral Raise (Cable)", ["Shoulders"], 3.5),
+    ("Rear Delt Reverse Fly (Machine)", ["Rear Delts"], 4.0),
+    ("Squat", ["Quads", "Glutes", "Hamstrings"], 7.0),
+    ("Squat (Barbell)", ["Quads", "Glutes", "Hamstrings"], 7.0),
+    ("Front Squat", ["Quads", "Glutes", "Hamstrings"], 7.0),
+    ("Leg Press Horizontal (Machine)", ["Quads", "Glutes"], 6.5),
+    ("Bulgarian Split Squat", ["Quads", "Glutes", "Hamstrings"], 6.5),
+    ("Deadlift", ["Hamstrings", "Glutes", "Back"], 7.0),
+    ("Deadlift (Barbell)", ["Hamstrings", "Glutes", "Back"], 7.0),
+    ("Romanian Deadlift (Barbell)", ["Hamstrings", "Glutes", "Back"], 6.5),
+    ("Hip Thrust (Barbell)", ["Glutes", "Hamstrings"], 6.0),
+    ("Hanging Knee Raise", ["Abs"], 3.5),
+    ("Leg Raise Parallel Bars", ["Abs"], 3.5),
+]
+# The same of the second version.
+EXERCISES_V2 = [
+    ("Pull Up", ["Back"], 8.0),
+    ("Pull Up (Assisted)", ["Back"], 6.0),
+    ("Chin Up", ["Biceps", "Back"], 8.0),
+    ("Chin Up (Assisted)", ["Biceps", "Back"], 6.0),
+    ("Bent Over Row (Barbell)", ["Back", "Rear Delts"], 6.0),
+    ("Seated Row (Machine)", ["Back", "Rear Delts"], 5.5),
+    ("Lat Pulldown (Cable)", ["Back", "Biceps"], 5.5),
+    ("Lat Pulldown - Close Grip (Cable)", ["Back", "Biceps"], 5.5),
+    ("lat pulldown Burn Outs", ["Back"], None),
+    ("Negative Pull Up", ["Back", "Biceps"], 7.0),
+    ("Bench Press", ["Chest", "Triceps", "Shoulders"], 6.0),
+    ("Incline Bench Press", ["Chest", "Shoulders", "Triceps"], 6.0),
+    ("Incline Bench Press (Barbell)", ["Chest", "Shoulders", "Triceps"], 6.0),
+    ("Incline Bench Press (Dumbbell)", ["Chest", "Shoulders", "Triceps"], 6.0),
+    ("Overhead Press", ["Shoulders", "Triceps"], 5.5),
+    ("Overhead Press (Barbell)", ["Shoulders", "Triceps"], 5.5),
+    ("Overhead Press (Smith Machine)", ["Shoulders", "Triceps"], 5.5),
+    ("Shoulder Press (Dumbbell)", ["Shoulders", "Triceps"], 5.5),
+    ("Seated Shoulder Press (Machine)", ["Shoulders", "Triceps"], 5.0),
+    ("Chest Dip", ["Chest", "Triceps", "Shoulders"], 6.0),
+    ("Chest Dip (Assisted)", ["Chest", "Triceps", "Shoulders"], 5.0),
+    ("Push Up", ["Chest", "Triceps", "Shoulders"], 5.5),
+    ("Face Pull", ["Rear Delts", "Traps"], 4.5),
+    ("Triceps Extension (Barbell)", ["Triceps"], 4.0),
+    ("Triceps Extension (Cable)", ["Triceps"], 4.0),
+    ("Triceps Rope Pushdown", ["Triceps"], 4.0),
+    ("Overhead Triceps Extension (Cable)", ["Triceps"], None),
+    ("Hammer Curl (Dumbbell)", ["Biceps", "Forearms"], 4.0),
+    ("Bicep Curl (Barbell)", ["Biceps"], 4.0),
+    ("EZ Bar Biceps Curl", ["Biceps"], 4.0),
+    ("Bicep Curl (Cable)", ["Biceps"], 4.0),
+    ("Reverse Curl (Barbell)", ["Biceps", "Forearms"], 4.0),
+    ("Lateral Raise (Dumbbell)", ["Shoulders"], 3.5),
+    ("Single Arm Lateral Raise (Cable)", ["Shoulders"], 3.5),
+    ("Lateral Raise (Cable)", ["Shoulders"], 3.5),
+    ("Rear Delt Reverse Fly (Machine)", ["Rear Delts"], 4.0),
+    ("Squat", ["Quads", "Glutes", "Hamstrings"], 7.0),
+    ("Squat (Barbell)", ["Quads", "Glutes", "Hamstrings"], 7.0),
+    ("Front Squat", ["Quads", "Glutes", "Hamstrings"], 7.0),
+    ("Leg Press Horizontal (Machine)", ["Quads", "Glutes"], 6.5),
+    ("Bulgarian Split Squat", ["Quads", "Glutes", "Hamstrings"], 6.5),
+    ("Deadlift", ["Hamstrings", "Glutes", "Back"], 7.0),
+    ("Deadlift (Barbell)", ["Hamstrings", "Glutes", "Back"], 7.0),
+    ("Romanian Deadlift (Barbell)", ["Hamstrings", "Glutes", "Back"], 6.5),
+    ("Hip Thrust (Barbell)", ["Glutes", "Hamstrings"], 6.0),
+    ("Hanging Knee Raise", ["Abs"], 3.5),
+    ("Leg Raise Parallel Bars", ["Abs"], 3.5),
+    ("Lat Pulldown Burn Outs", None, 5.5),
+]
 
 DIM_SCHEMA = "exercise string, muscle_groups array<string>, met double"
 # A lookup side with more rows than this is joined by shuffle instead of being broadcast.
 MAX_BROADCAST_ROWS = 100_000
 
 
-def _table_rows() -> list[tuple[str, list[str], float | None]]:
-    rows = []
-    for line in EXERCISES.strip().splitlines():
-        name, met, muscles = (part.strip() for part in line.split("|"))
-        rows.append((name, [m.strip() for m in muscles.split(",")], float(met) if met else None))
-    return rows
-
-
 def exercise_dim(spark: SparkSession, version: int = 3) -> DataFrame:
     """One row per exercise name: muscles and intensity of the given table version."""
-    rows = _table_rows()
-    if version == 2:
-        muscles = {name: V2_MUSCLES.get(name, listed) for name, listed, _ in rows}
-        mets = {V2_INTENSITY_NAMES.get(name, name): met for name, _, met in rows if met is not None}
-        names = [n for n, m in muscles.items() if m is not None] + [n for n in mets if n not in muscles]
-        rows = [(name, muscles.get(name), mets.get(name)) for name in names]
-    elif version != 3:
+    tables = {2: EXERCISES_V2, 3: EXERCISES_V3}
+    if version not in tables:
         raise ValueError(f"unknown table version {version}")
-    return spark.createDataFrame(rows, DIM_SCHEMA)
+    return spark.createDataFrame(tables[version], DIM_SCHEMA)
 
 
 def merge_dims(muscles: DataFrame, mets: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from ..functions.classify import focus_of, muscle_key
 from ..functions.numbers import exact_sum, is_truthy_number, is_truthy_text, round_exact
 from ..functions.text import strip, strip_left
 from ..schemas import DAY
+from .dims import attach_dim
 from .ranking import number_rows, position_block, top_rows, with_keys
 
 # How many lifts and notes a summary shows, how they are joined, the nameless exercise.
@@ -32,14 +33,18 @@ def _name(exercise: Column) -> Column:
     return strip(named)
 
 
-def reduce_sets(sets: DataFrame) -> DataFrame:
-    """Set rows -> one row per user, day, exercise and muscle list, with sums that do not depend on
-    task order. The partial aggregate runs before the shuffle, so a hot day is reduced where it lies."""
+def reduce_sets(sets: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Set rows -> one row per user, day, written exercise and muscle list, with sums that do not depend
+    on task order. The partial aggregate runs before the shuffle, so a hot day is reduced where it lies.
+
+    With ``dim`` the sets bring no muscles: they are looked up once per reduced row.
+    """
     weight, reps = F.col("weight_lbs"), F.coalesce("reps", F.lit(0))
     weighted = is_truthy_number(weight)
-    return (
-        with_keys(sets.withColumn("exercise", _name(F.col("exercise"))), *DAY, "exercise")
-        .groupBy(*DAY, "exercise", "muscle_groups")
+    muscles = [] if dim is not None else ["muscle_groups"]
+    reduced = (
+        with_keys(sets, *DAY)
+        .groupBy(*DAY, "exercise", *muscles)
         .agg(
             F.count("*").alias("sets"),
             F.sum(reps).cast("bigint").alias("reps"),
@@ -49,20 +54,24 @@ def reduce_sets(sets: DataFrame) -> DataFrame:
             F.min("pos").alias("first_pos"),
         )
     )
+    if dim is not None:
+        reduced = attach_dim(reduced, dim)
+    return reduced.withColumn("exercise", _name(F.col("exercise")))
 
 
 def collect_parts(reduced: DataFrame) -> DataFrame:
-    """Reduced rows -> one row per user, day and exercise with ``parts``, one per muscle list: a single
-    part in a table built from the dimension."""
+    """Reduced rows -> one row per user, day and exercise with ``parts``, one per written name.
+
+    The rows are placed by user and day, and every figure of a day is worked out where they lie: stats,
+    totals, muscles, focus and lifts share this one exchange.
+    """
     part = F.struct("muscle_groups", "sets", "reps", "weight", "weighted", "volume", "first_pos")
-    # Collecting does not shrink rows: placing them first saves the sort of a partial aggregate.
-    placed = reduced.repartition(*DAY, "exercise")
-    return placed.groupBy(*DAY, "exercise").agg(F.collect_list(part).alias("parts"))
+    return reduced.repartition(*DAY).groupBy(*DAY, "exercise").agg(F.collect_list(part).alias("parts"))
 
 
-def exercise_groups(sets: DataFrame) -> DataFrame:
+def exercise_groups(sets: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     """Set rows -> one row per user, day and exercise with the sums of its ``parts``."""
-    return collect_parts(reduce_sets(sets))
+    return collect_parts(reduce_sets(sets, dim))
 
 
 def _total(field: str, type_name: str = "bigint") -> Column:
@@ -116,32 +125,30 @@ def workout_totals(groups: DataFrame) -> DataFrame:
 
 def muscle_sets(groups: DataFrame) -> DataFrame:
     """Sets per muscle of a day, with where the muscle was first met."""
+    return _muscle_rows(groups).filter(F.col("muscle").isNotNull())
+
+
+def _muscle_rows(groups: DataFrame) -> DataFrame:
+    """``muscle_sets``, and a row without a muscle for exercises that have none."""
     parts = groups.select(*DAY, "exercise", exercise_opening().alias("opening"), F.explode("parts").alias("part"))
     named = parts.select(
-        *DAY, "exercise", "opening", "part", F.posexplode("part.muscle_groups").alias("place", "muscle")
+        *DAY, "exercise", "opening", "part", F.posexplode_outer("part.muscle_groups").alias("place", "muscle")
     )
     met_at = F.struct("opening", "exercise", F.col("part.first_pos").alias("first_pos"), "place")
-    return named.groupBy(*DAY, muscle_key(F.col("muscle")).alias("muscle")).agg(
+    return named.groupBy(*DAY, F.when(F.col("muscle").isNotNull(), muscle_key(F.col("muscle"))).alias("muscle")).agg(
         F.sum("part.sets").alias("sets"), F.min(met_at).alias("met_at")
     )
 
 
 def _top_muscle() -> Column:
     """The muscle with most sets; of equals the one met first."""
-    return F.min_by("muscle", F.struct(-F.col("sets"), F.col("met_at")))
+    return F.min_by("muscle", F.when(F.col("muscle").isNotNull(), F.struct(-F.col("sets"), F.col("met_at"))))
 
 
 def workout_focus(groups: DataFrame, **classes) -> DataFrame:
     """Focus of each day with sets: push, pull, legs or the top muscle; ``other`` without muscles."""
-    best = muscle_sets(groups).groupBy(*DAY).agg(_top_muscle().alias("top_muscle"))
-    days = _days(groups)
-    return days.join(best, DAY, "left").select(*DAY, focus_of(F.col("top_muscle"), **classes).alias("focus"))
-
-
-def _days(groups: DataFrame) -> DataFrame:
-    """Days with sets. The filter is always true; it keeps ``parts`` in use, so the shuffle of the
-    groups is shared instead of being built a second time with fewer columns."""
-    return groups.filter(F.size("parts") > 0).select(*DAY).distinct()
+    best = _muscle_rows(groups).groupBy(*DAY).agg(_top_muscle().alias("top_muscle"))
+    return best.select(*DAY, focus_of(F.col("top_muscle"), **classes).alias("focus"))
 
 
 def key_lifts(stats: DataFrame, n: int = KEY_LIFTS) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from daylog.functions.dates import duration_text
 from daylog.functions.effort import WeightWords
+from daylog.operators import days
+from daylog.operators import workouts as workouts_of
 from daylog.operators.days import canonical_sets, combine_days, day_calories, typed_sets, wearable_days
 from daylog.operators.dims import MAX_BROADCAST_ROWS
 from daylog.operators.latest import first_row
@@ -64,11 +66,11 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _user() -> F.Column:
+def user() -> F.Column:
     return F.expr(f"o_custkey DIV {USER_SHARE}")
 
 
-def _day() -> F.Column:
+def day() -> F.Column:
     return F.date_add(F.lit(FIRST_DAY), (F.col("o_orderkey") % LOG_DAYS).cast("int"))
 
 
@@ -76,8 +78,8 @@ def workout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: a session with its title and duration."""
     minutes = F.col("o_totalprice").cast("bigint") % 150
     return table(spark, sf_dir, "orders").select(
-        _user().alias("user_id"),
-        _day().alias("date"),
+        user().alias("user_id"),
+        day().alias("date"),
         F.col("o_orderpriority").alias("title"),
         duration_text(minutes).alias("duration"),
         F.col("o_orderkey").alias("seq"),
@@ -104,8 +106,8 @@ def raw_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts, lines.l_partkey == parts.p_partkey
     )
     return joined.select(
-        _user().alias("user_id"),
-        _day().alias("date"),
+        user().alias("user_id"),
+        day().alias("date"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pos"),
         F.col("l_partkey").alias("tie"),
         F.col("p_name").alias("exercise"),
@@ -142,6 +144,15 @@ def sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_sets(typed_sets(raw_sets(spark, sf_dir)), dims(spark, sf_dir), 160.0, WORDS)
 
 
+def plain_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets with their effective weight, without muscles and energy."""
+    return days.plain_sets(typed_sets(raw_sets(spark, sf_dir)), 160.0, WORDS)
+
+
+def exercise_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workouts_of.exercise_groups(plain_sets(spark, sf_dir), dims(spark, sf_dir))
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combined(spark, sf_dir).daily
 

@@ -305,15 +305,30 @@ BODIES: dict[str, str] = {
       SELECT *, row_number() OVER (PARTITION BY user_id, date ORDER BY stored DESC, seq DESC) AS rn FROM sessions
     ) SELECT user_id, date, title, duration, seq FROM picked WHERE rn = 1""",
     "series_union": """SELECT user_id, date, count(*) AS n_rows, count(DISTINCT metric) AS n_metrics FROM b_series
-    WHERE metric IN ('steps', 'distance') GROUP BY user_id, date""",
+    GROUP BY user_id, date""",
     "set_log_parsed": """SELECT o_custkey AS user_id, CAST(o_orderdate + to_minutes(o_orderkey % 1440) AS DATE) AS date,
       o_orderkey AS pos, o_orderpriority AS title,
       CAST((CAST(trunc(o_totalprice) AS BIGINT) % 200) // 60 AS VARCHAR) || ':'
         || lpad(CAST((CAST(trunc(o_totalprice) AS BIGINT) % 200) % 60 AS VARCHAR), 2, '0') AS duration,
       o_orderstatus AS exercise, CASE WHEN o_orderstatus <> 'F' THEN CAST(o_orderkey AS VARCHAR) END AS weight_lbs,
-      '5' AS reps, CAST(NULL AS VARCHAR) AS distance_miles,
+      'normal' AS set_type,
+      CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 100 AS VARCHAR) END AS reps,
+      CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey % 100 AS VARCHAR) END AS distance_miles,
+      CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 100 AS VARCHAR) END AS duration_seconds,
+      CASE WHEN o_orderkey % 2 <> 0 THEN CAST(o_orderkey % 100 AS VARCHAR) END AS rpe,
       CASE WHEN o_orderstatus = 'P' THEN 'steady' ELSE '' END AS notes FROM orders""",
     "workouts_first_session": "SELECT user_id, date, title, duration, seq FROM b_workouts",
+    "overlapping_exports": """, export AS (
+      SELECT user_id, date, title, minutes, seq, '2024-01-01 b.csv' AS source FROM b_sessions WHERE seq % 3 <> 0
+      UNION ALL SELECT user_id, date, title, minutes, seq, '2024-02-01 a.csv' FROM b_sessions
+    ), won AS (
+      SELECT *, min(source) OVER (PARTITION BY user_id, date) AS best FROM export
+    ) SELECT user_id, date, min_by(title, seq) AS title,
+      min_by(CAST(minutes // 60 AS VARCHAR) || ':' || lpad(CAST(minutes % 60 AS VARCHAR), 2, '0'), seq) AS duration,
+      min(seq) AS seq, any_value(source) AS source, count(*) AS n_sets FROM won WHERE source = best GROUP BY user_id, date""",
+    "legacy_sessions": """SELECT user_id, date, min_by(title, seq) AS title, '0:00' AS duration, min(seq) AS seq, count(*) AS n_sets,
+      count(*) FILTER (WHERE seq % 7 <> 0) AS n_numbers, count(*) FILTER (WHERE seq % 7 <> 0) AS n_weighted
+      FROM b_sessions WHERE seq % 11 <> 0 GROUP BY user_id, date""",
     "workouts_last_record": """SELECT user_id, date, max_by(title, seq) AS title,
       max_by(CAST(minutes // 60 AS VARCHAR) || ':' || lpad(CAST(minutes % 60 AS VARCHAR), 2, '0'), seq) AS duration,
       max(seq) AS seq FROM b_sessions GROUP BY user_id, date""",

@@ -13,13 +13,14 @@ from daylog.functions.dates import (
     duration_minutes,
     duration_text,
     hours_minutes_text,
+    iso_date,
     iso_week,
     iso_year,
     short_number,
     sleep_text,
     week_start,
 )
-from daylog.functions.effort import km_to_miles, pounds_to_kg
+from daylog.functions.effort import is_weighted, km_to_miles, pounds_to_kg
 from daylog.functions.numbers import fixed, float_text, round_exact, round_whole, thousands
 from daylog.functions.text import fill_template
 from daylog.operators import coach, days, dims, feed, trends, weeks, workouts
@@ -27,7 +28,7 @@ from daylog.operators.latest import last_write_wins, pivot_latest
 from daylog.plans import daily as jobs
 from daylog.plans import rendering
 from daylog.schemas import DAY
-from daylog.sources.setlog import parse_set_log, split_log
+from daylog.sources.setlog import legacy_log, parse_set_log, split_log
 from daylog.sources.store import load_audit, new_wins, preview, stored_wins, union_rows
 from daylog.sources.wearable import basic_series, flatten_documents
 from daylog.streaming.jobs import weekly_totals
@@ -90,20 +91,20 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flatten_series(spark, sf):
     documents = event_documents(spark, sf)
-    return flatten_documents(documents, order="event_id", whole_days=False).drop("seq")
+    return flatten_documents(documents, order="event_id", whole_days=False).drop("seq", "source")
 
 
 @query
 def flatten_legacy_series(spark, sf):
     documents = event_documents(spark, sf)
-    return flatten_documents(documents, order="event_id", qualified=True).drop("seq")
+    return flatten_documents(documents, order="event_id", qualified=True).drop("seq", "source")
 
 
 @query
 def basic_series_only(spark, sf):
     documents = event_documents(spark, sf)
     series = flatten_documents(documents, order="event_id", qualified=True, whole_days=False)
-    return basic_series(series).drop("seq")
+    return basic_series(series).drop("seq", "source")
 
 
 @query
@@ -156,13 +157,19 @@ def insert_if_absent(spark, sf):
 @query
 def series_union(spark, sf):
     series = b.series(spark, sf)
-    both = union_rows(series.filter(F.col("metric") == "steps"), series.filter(F.col("metric") == "distance"))
+    both = union_rows(*(series.filter(F.col("metric") == metric) for metric in days.DAILY_METRICS))
     return both.groupBy(*DAY).agg(F.count("*").alias("n_rows"), F.countDistinct("metric").alias("n_metrics"))
 
 
 @query
 def set_log_parsed(spark, sf):
     """Set-log texts as exported, parsed back: time, duration, empty fields."""
+
+    def every(n: int, name: str) -> Column:
+        """The last digits of the key as text, empty on each n-th row."""
+        text = (F.col("o_orderkey") % 100).cast("string")
+        return F.when(F.col("o_orderkey") % n == 0, "").otherwise(text).alias(name)
+
     start = F.col("o_orderdate") + F.expr("make_dt_interval(0, 0, o_orderkey % 1440, 0)")
     end = start + F.expr("make_dt_interval(0, 0, CAST(o_totalprice AS BIGINT) % 200, 0)")
     pattern = "d MMM yyyy, H:mm"
@@ -175,21 +182,49 @@ def set_log_parsed(spark, sf):
         F.col("o_orderstatus").alias("exercise_title"),
         F.lit("normal").alias("set_type"),
         F.when(F.col("o_orderstatus") == "F", "").otherwise(F.col("o_orderkey").cast("string")).alias("weight_lbs"),
-        F.lit("5").alias("reps"),
-        F.lit("").alias("distance_miles"),
-        F.lit("").alias("duration_seconds"),
-        F.lit("").alias("rpe"),
+        every(5, "reps"),
+        every(3, "distance_miles"),
+        every(7, "duration_seconds"),
+        every(2, "rpe"),
         F.when(F.col("o_orderstatus") == "P", F.lit("steady")).alias("exercise_notes"),
+        F.lit("one").alias("source"),
     )
-    return parse_set_log(rows).select(
-        "user_id", "date", "pos", "title", "duration", "exercise", "weight_lbs", "reps", "distance_miles", "notes"
-    )
+    return parse_set_log(rows).drop("source")
 
 
 @query
 def workouts_first_session(spark, sf):
-    log = b.workout_rows(spark, sf).withColumnRenamed("seq", "pos")
-    return split_log(log)[0]
+    log = b.workout_rows(spark, sf).withColumnRenamed("seq", "pos").withColumn("source", F.lit("one"))
+    return split_log(log)[0].drop("source")
+
+
+@query
+def overlapping_exports(spark, sf):
+    """Two exports of each user, one landed later and with all sessions: shared days count once."""
+    log = b.workout_rows(spark, sf).withColumnRenamed("seq", "pos").withColumn("exercise", F.col("title"))
+    early = log.filter(F.col("pos") % 3 != 0).withColumn("source", F.lit("2024-01-01 b.csv"))
+    late = log.withColumn("source", F.lit("2024-02-01 a.csv"))
+    sessions, rows = split_log(early.unionByName(late))
+    counts = rows.groupBy(*DAY).agg(F.count("*").alias("n_sets"))
+    return sessions.join(counts, DAY).select(*DAY, "title", "duration", "seq", "source", "n_sets")
+
+
+@query
+def legacy_sessions(spark, sf):
+    """First-version rows with unreadable dates among them: title of the first row, no duration."""
+    text = F.when(F.col("o_orderkey") % 11 == 0, "soon").otherwise(F.date_format(b.day(), "yyyy-MM-dd"))
+    digits = (F.col("o_orderkey") % 7).cast("string")
+    rows = b.table(spark, sf, "orders").select(
+        b.user().alias("user_id"), iso_date(text).alias("date"), F.col("o_orderkey").alias("pos"),
+        F.col("o_orderpriority").alias("title"), F.col("o_orderstatus").alias("exercise"), F.lit("normal").alias("set_type"),
+        F.when(digits == "0", "").otherwise(digits).alias("weight_lbs"), digits.alias("reps"), F.lit("").alias("distance_miles"),
+        F.lit("").alias("duration_seconds"), F.lit("").alias("rpe"), F.lit(None).cast("string").alias("notes"), F.lit("one").alias("source"),
+    )
+    log = legacy_log(rows)
+    first = days.workouts_of_sets(log)
+    weighted = F.count(F.when(is_weighted(F.col("weight_lbs").try_cast("double")), 1))
+    counts = log.groupBy(*DAY).agg(F.count("*").alias("n_sets"), F.count("weight_lbs").alias("n_numbers"), weighted.alias("n_weighted"))
+    return first.join(counts, DAY).select(*DAY, "title", "duration", "seq", "n_sets", "n_numbers", "n_weighted")
 
 
 @query
@@ -259,7 +294,7 @@ def averages_report(spark, sf):
 
 @query
 def exercise_stats(spark, sf):
-    stats = workouts.exercise_stats(workouts.exercise_groups(b.sets(spark, sf)))
+    stats = workouts.exercise_stats(b.exercise_groups(spark, sf))
     return stats.select(
         *DAY, "exercise", "sets", "reps_sum", six("avg_weight"), six("avg_reps"), round_exact(F.col("score"), 2).alias("score"),
         F.array_join("muscles", ",").alias("muscles"),
@@ -268,29 +303,28 @@ def exercise_stats(spark, sf):
 
 @query
 def day_totals(spark, sf):
-    return workouts.workout_totals(workouts.exercise_groups(b.sets(spark, sf)))
+    return workouts.workout_totals(b.exercise_groups(spark, sf))
 
 
 @query
 def muscle_sets_day(spark, sf):
-    return workouts.muscle_sets(workouts.exercise_groups(b.sets(spark, sf))).drop("met_at")
+    return workouts.muscle_sets(b.exercise_groups(spark, sf)).drop("met_at")
 
 
 @query
 def workout_focus(spark, sf):
-    return workouts.workout_focus(workouts.exercise_groups(b.sets(spark, sf)), **b.FOCUS)
+    return workouts.workout_focus(b.exercise_groups(spark, sf), **b.FOCUS)
 
 
 @query
 def key_lifts_top3(spark, sf):
-    lifts = workouts.key_lifts(workouts.exercise_stats(workouts.exercise_groups(b.sets(spark, sf))))
+    lifts = workouts.key_lifts(workouts.exercise_stats(b.exercise_groups(spark, sf)))
     return lifts.withColumn("muscles", F.array_join("muscles", ","))
 
 
 @query
 def workout_notes(spark, sf):
-    sets = b.sets(spark, sf)
-    return workouts.workout_notes(sets, workouts.exercise_groups(sets))
+    return workouts.workout_notes(b.plain_sets(spark, sf), b.exercise_groups(spark, sf))
 
 
 def _summary_rows(summaries: DataFrame) -> DataFrame:
