@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.classify import low_sleep
 from ..functions.dates import between_days
 from ..functions.numbers import truthy_or
-from ..schemas import SUMMARY
-from .workouts import collect_parts, reduce_sets, summaries, training_days, workout_notes
+from ..schemas import DAY, SUMMARY
+from .ranking import top_rows
+from .workouts import collect_parts, exercise_groups, reduce_sets, summaries, training_days, workout_notes
 
 RECENT = 3
 
@@ -54,6 +55,19 @@ def recent_summaries(
     return summaries(chosen, workout_notes(noted, chosen), **classes).join(days, key)
 
 
+def day_summaries(sets: DataFrame, **classes) -> DataFrame:
+    """The summary of every day with sets, to be stored by day: later runs rank these small rows."""
+    groups = exercise_groups(sets)
+    return summaries(groups, workout_notes(sets, groups), **classes)
+
+
+def recent_of(stored: DataFrame, n: int = 5, newest: bool = True, until: datetime.date | None = None) -> DataFrame:
+    """The last (or first) ``n`` stored summaries of each user with their ``recency``."""
+    rows = stored if until is None else stored.filter(F.col("date") <= F.lit(until))
+    order = F.desc("date") if newest else F.asc("date")
+    return top_rows(rows, ["user_id"], [order], n, "recency").select(*DAY, "summary", "recency")
+
+
 def coach_payload(
     prior: DataFrame,
     week: DataFrame,

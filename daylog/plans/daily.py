@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.effort import DEFAULT_USER_LBS, WeightWords
-from ..operators.coach import RECENT, coach_payload, payload_json, prior_day, recent_summaries
+from ..operators.coach import RECENT, coach_payload, day_summaries, payload_json, prior_day, recent_of, recent_summaries
 from ..operators.days import (
     canonical_sets,
     combine_days,
@@ -26,7 +26,7 @@ from ..operators.feed import between_days, metric_feed, missing_days, on_day
 from ..operators.trends import averages, averages_lines, dashboard_days, rolling_means, set_totals, with_user_means
 from ..operators.weeks import week_volume, weekly_progress, weekly_sets, weekly_sets_trailing, weekly_weight_ranked
 from ..operators.workouts import workout_text
-from ..schemas import AVERAGES, DAILY, DAY, FEED, SERIES, SETS, WORKOUTS
+from ..schemas import AVERAGES, DAILY, DAY, FEED, SERIES, SETS, SUMMARIES, WORKOUTS
 from ..sources.readers import read_required
 from ..sources.store import MONTH, ONE_DAY, read_table, replace_range, write_flat, write_json, write_partitions
 from .paths import Store
@@ -80,6 +80,7 @@ def run_combine(
     training = read_table(spark, store.training_sets, TRAINING_SETS, MONTH, months)
     days = combine_days(wearable_days(series), workouts, day_calories(training))
     write_partitions(days, store.daily, DAY, MONTH, replaced)
+    write_partitions(day_summaries(training), store.summaries, DAY, MONTH, replaced)
 
 
 def _stored_series(spark: SparkSession, store: Store, months: Sequence[str] | None) -> DataFrame:
@@ -117,11 +118,16 @@ def load_averages(spark: SparkSession, store: Store) -> DataFrame:
 
 
 def build_payload(
-    combined: Combined, day: datetime.date, n: int = RECENT, until: datetime.date | None = None
+    combined: Combined,
+    day: datetime.date,
+    n: int = RECENT,
+    until: datetime.date | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Coach payload of every user with a day on record."""
+    """Coach payload of every user with a day on record. With ``stored`` summaries the sets are read for
+    the week only."""
     prior = prior_day(combined.daily, day, every_user=True)
-    recent = recent_summaries(combined.sets, n, until=until)
+    recent = recent_summaries(combined.sets, n, until=until) if stored is None else recent_of(stored, n, until=until)
     return coach_payload(prior, week_volume(combined.sets, day), recent, day, n)
 
 
@@ -130,7 +136,8 @@ def run_payload(
 ) -> None:
     """Store the payload of a day, as a table and as one JSON document per user. Recent workouts are
     those up to ``until`` where it is given."""
-    write_flat(build_payload(load_combined(spark, store), day, n, until), store.payload)
+    stored = read_table(spark, store.summaries, SUMMARIES).drop(MONTH)
+    write_flat(build_payload(load_combined(spark, store), day, n, until, stored), store.payload)
     payload = spark.read.parquet(store.payload)
     write_json(payload_json(payload), f"{store.documents}/payload", ["user_id"])
 

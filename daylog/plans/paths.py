@@ -34,6 +34,10 @@ class Store:
     def training_sets(self) -> str:
         return self._at("training_sets")
 
+    @property
+    def summaries(self) -> str:
+        return self._at("summaries")
+
     @property
     def averages(self) -> str:
         return self._at("averages")

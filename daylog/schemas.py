@@ -75,6 +75,7 @@ AVERAGES = (
     "user_id bigint, avg_steps double, avg_resting_hr double, avg_sleep_hours double, "
     "avg_workout_duration_minutes double, avg_calories_burned double"
 )
+SUMMARIES = f"user_id bigint, date date, summary {SUMMARY}"
 FEED = "user_id bigint, date date, metric_type string, label string, value string"
 
 DAY = ["user_id", "date"]

@@ -143,3 +143,23 @@ def test_dashboard_weekly_and_documents_are_stored(spark, put, tmp_path):
     assert "date_for_plan" in spark.read.text(f"{store.documents}/payload").first().value
     assert "avg_steps" in spark.read.text(f"{store.documents}/averages").first().value
     assert spark.read.parquet(f"{store.documents}/averages_text").count() > 0
+
+
+def test_payload_ranks_stored_summaries_of_touched_months(spark, put, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    ingest_wearable(spark, put("docs", 1, "a.json", DOC), store)
+    ingest_set_log(spark, put("log", 1, "log.csv", CSV), store)
+    jobs.run_combine(spark, store)
+    day = datetime.date(2025, 10, 10)
+    jobs.run_payload(spark, store, day)
+    combined = jobs.load_combined(spark, store)
+    fresh = jobs.build_payload(combined, day)
+    assert rows(spark.read.parquet(store.payload).select("user_id", F.to_json(F.struct("*")))) == rows(fresh.select("user_id", F.to_json(F.struct("*"))))
+    before = manifest(spark, store.summaries)
+    more = CSV.replace("9 Oct 2025", "3 Nov 2025").replace("10 Oct 2025", "4 Nov 2025")
+    ingest_set_log(spark, put("log", 1, "more.csv", more), store)
+    jobs.run_combine(spark, store, months=["2025-11"])
+    after = manifest(spark, store.summaries)
+    assert after["2025-10"] == before["2025-10"] and "2025-11" in after
+    jobs.run_payload(spark, store, datetime.date(2025, 11, 5))
+    assert [w.date for w in spark.read.parquet(store.payload).first().recent_workouts] == ["2025-11-04", "2025-11-03", "2025-10-10"]
