@@ -392,17 +392,22 @@ BODIES: dict[str, str] = {
     FULL OUTER JOIN (SELECT * FROM b_daily WHERE date = DATE '2024-01-17') c ON a.user_id = c.user_id""",
     "low_sleep_flag": "SELECT user_id, date, sleep_hours < 6.0 AS low_sleep FROM b_daily",
     "payload_flat": f""", users AS (SELECT DISTINCT user_id FROM b_daily), week AS (
-      SELECT user_id, count(DISTINCT muscle) AS week_muscles, count(*) AS week_sets FROM b_set_muscle
-      WHERE date BETWEEN DATE '2024-01-15' AND DATE '2024-01-21' GROUP BY user_id
+      SELECT user_id, count(*) AS week_muscles, CAST(sum(n) AS BIGINT) AS week_sets,
+        string_agg(muscle || '=' || n, ',' ORDER BY muscle) AS week_text
+      FROM (SELECT user_id, muscle, count(*) AS n FROM b_set_muscle
+            WHERE date BETWEEN DATE '2024-01-15' AND DATE '2024-01-21' GROUP BY user_id, muscle) GROUP BY user_id
     ), recent AS (
-      SELECT user_id, count(*) AS n_recent, min_by(CAST(date AS VARCHAR), r) AS last_date, min_by(total_sets, r) AS last_sets,
+      SELECT user_id, string_agg(date || '|' || focus || '|' || volume_sets || '|' || total_sets || '|' || total_reps || '|'
+          || format('{{:.1f}}', estimated_volume) || '|' || coalesce(key_lifts, '') || '|' || notes, ';' ORDER BY r) AS recent_text,
+        count(*) AS n_recent, min_by(CAST(date AS VARCHAR), r) AS last_date, min_by(total_sets, r) AS last_sets,
         string_agg(CAST(date AS VARCHAR), ',' ORDER BY r) AS recent_dates
-      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS r FROM b_totals) WHERE r <= 3 GROUP BY user_id
+      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS r FROM b_summary) WHERE r <= 3 GROUP BY user_id
     ) SELECT u.user_id, '2024-01-17' AS date_for_plan, {six("hours", "a.sleep_hours")}, a.sleep_score AS score,
       coalesce(nullif(a.bodyweight, 0), c.bodyweight) AS bodyweight,
       CAST(coalesce(week_muscles, 0) AS INTEGER) AS week_muscles, coalesce(week_sets, 0) AS week_sets,
       CAST(coalesce(n_recent, 0) AS INTEGER) AS n_recent, n_recent IS NOT NULL AS had_workout, last_date, last_sets,
-      coalesce(recent_dates, '') AS recent_dates, coalesce(a.sleep_hours < 6.0, false) AS low_sleep_flag
+      coalesce(recent_dates, '') AS recent_dates, coalesce(week_text, '') AS week_text, coalesce(recent_text, '') AS recent_text,
+      coalesce(a.sleep_hours < 6.0, false) AS low_sleep_flag
     FROM users u LEFT JOIN (SELECT * FROM b_daily WHERE date = DATE '2024-01-16') a ON u.user_id = a.user_id
     LEFT JOIN (SELECT * FROM b_daily WHERE date = DATE '2024-01-17') c ON u.user_id = c.user_id
     LEFT JOIN week w ON u.user_id = w.user_id LEFT JOIN recent r ON u.user_id = r.user_id""",

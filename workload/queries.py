@@ -390,6 +390,20 @@ def low_sleep_flag(spark, sf):
     return b.daily(spark, sf).select(*DAY, low_sleep(F.col("sleep_hours")).alias("low_sleep"))
 
 
+def _counts_text(counts: Column) -> Column:
+    """A map of counts as sorted text."""
+    entries = F.array_sort(F.map_entries(counts))
+    return F.array_join(F.transform(entries, lambda e: F.concat(e.key, F.lit("="), e.value)), ",")
+
+
+def _summary_text(w: Column) -> Column:
+    """All parts of a nested summary in one line."""
+    return F.concat_ws(
+        "|", w.date, w.focus, _counts_text(w.volume_sets), w.total_sets, w.total_reps,
+        F.format_string("%.1f", w.estimated_volume), F.array_join(F.transform(w.key_lifts, lambda x: x.exercise), ","), w.notes,
+    )
+
+
 @query
 def payload_flat(spark, sf):
     payload = jobs.build_payload(b.combined(spark, sf), b.PLAN_DAY)
@@ -407,6 +421,8 @@ def payload_flat(spark, sf):
         F.col("last_workout_summary.date").alias("last_date"),
         F.col("last_workout_summary.total_sets").alias("last_sets"),
         F.array_join(F.transform("recent_workouts", lambda w: w.date), ",").alias("recent_dates"),
+        _counts_text(F.col("week_volume")).alias("week_text"),
+        F.array_join(F.transform("recent_workouts", _summary_text), ";").alias("recent_text"),
         "low_sleep_flag",
     )
 
