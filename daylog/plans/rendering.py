@@ -6,13 +6,14 @@ All of it is projection: a table of plans or payloads goes in, one text per row
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fill_template, strip_code_fences
-from ..schemas import PLAN
-from ..sources.store import write_flat
+from ..schemas import PLAN, STORED_PLAN
+from ..sources.store import WHOLE, drop_folder, merge_into, new_wins, write_flat
 from .paths import Store
 
 # The texts of the two mail layouts and of the prompt.
@@ -128,9 +129,22 @@ def unreadable_plans(rows: DataFrame, text: str = "text") -> DataFrame:
 
 
 def store_plans(texts: DataFrame, store: Store, text: str = "text") -> None:
-    """Parse model texts into the plan table and set the unreadable ones aside."""
-    write_flat(plan_rows(texts, text).drop(text), store.plans)
-    write_flat(unreadable_plans(texts, text), f"{store.bad_rows}/plans")
+    """Merge the plans of a batch of model texts (``user_id``) into the plan table, with their rendered pages; the
+    unreadable texts are set aside.
+
+    Each text is parsed once. The plan of a user replaces the one stored; other users' plans stay. A table without
+    days is one partition.
+    """
+    spark = texts.sparkSession
+    aside = f"{store.plans}_batches/{uuid.uuid4().hex}"
+    texts.withColumn("plans", _plans_in(F.col(text))).write.parquet(aside)
+    parsed = spark.read.parquet(aside)
+    plans = parsed.select("user_id", F.explode("plans").alias("plan"))
+    newest = plans.groupBy("user_id").agg(F.max_by("plan", F.to_json("plan")).alias("plan"))
+    pages = newest.select("user_id", "plan", workout_html().alias("workout_html"), card_html().alias("card_html"))
+    merge_into(pages, store.plans, STORED_PLAN, lambda old, new: new_wins(old, new, ["user_id"]), ["user_id"], WHOLE)
+    write_flat(parsed.filter(F.size("plans") == 0).drop("plans"), f"{store.bad_rows}/plans")
+    drop_folder(spark, aside)
 
 
 def _empty(items: Column) -> Column:

@@ -46,6 +46,9 @@ PLAN = (
     "conditioning string, step_goal string, macros struct<protein_target_g:int,notes:string>, notes string"
 )
 
+PLAN_STRUCT = "struct<" + ",".join(field.replace(" ", ":", 1) for field in PLAN.split(", ")) + ">"
+STORED_PLAN = f"user_id bigint, plan {PLAN_STRUCT}, workout_html string, card_html string"
+
 KEY_LIFT = "struct<exercise:string,sets:bigint,avg_weight:double,avg_reps:double,muscles:array<string>>"
 SUMMARY = (
     "struct<date:string,had_workout:boolean,focus:string,volume_sets:map<string,bigint>,total_sets:bigint,"

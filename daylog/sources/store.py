@@ -22,13 +22,15 @@ from ..functions.dates import month_key
 from ..operators.ranking import top_rows
 from ..schemas import DAY
 
-MONTH, ONE_DAY = "month", "day"
+MONTH, ONE_DAY, WHOLE = "month", "day", "whole"
 VERSION = "version"
 MANIFEST = "manifest.json"
 
 
 def partition_key(by: str, date: Column) -> Column:
-    """The partition of a date: its month ``yyyy-MM``, or the day itself as text."""
+    """The partition of a date: its month ``yyyy-MM``, the day itself as text, or the one of a table without days."""
+    if by == WHOLE:
+        return F.lit("all")
     return month_key(date) if by == MONTH else date.cast("string")
 
 
@@ -194,7 +196,11 @@ def merge_into(batch: DataFrame, path: str, schema: str, merge: Merge, order: Se
     if parts:
         stored = read_table(spark, path, schema, by, parts).drop(by)
         write_partitions(merge(stored, batch), path, order, by)
-    where = spark._jvm.org.apache.hadoop.fs.Path(aside)
+    drop_folder(spark, aside)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 

@@ -7,7 +7,7 @@ from daylog.plans import rendering
 from daylog.plans.ingest import ingest_set_log, ingest_wearable
 from daylog.plans.paths import Store
 from daylog.session import shared_folder
-from daylog.schemas import DAILY, FEED
+from daylog.schemas import FEED, STORED_PLAN
 from daylog.sources.store import load_audit, manifest, preview, read_table
 
 from .conftest import rows
@@ -62,7 +62,11 @@ def test_checks_and_plans_are_stored(spark, put, tmp_path):
     assert counts == {"series": 0, "sets": 1, "exercises": 2}
     texts = spark.createDataFrame([(1, '{"day_focus": "Push"}'), (2, "none")], "user_id bigint, text string")
     rendering.store_plans(texts, store)
-    assert spark.read.parquet(store.plans).first().plan.day_focus == "Push"
+    rendering.store_plans(spark.createDataFrame([(3, '{"day_focus": "Pull"}')], "user_id bigint, text string"), store)
+    rendering.store_plans(texts, store)
+    plans = read_table(spark, store.plans, STORED_PLAN, "whole").orderBy("user_id").collect()
+    assert [(p.user_id, p.plan.day_focus) for p in plans] == [(1, "Push"), (3, "Pull")]
+    assert "Push" in plans[0].workout_html and "Push" in plans[0].card_html
     assert spark.read.parquet(f"{store.bad_rows}/plans").first().user_id == 2
 
 
