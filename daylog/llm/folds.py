@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daylog.llm.common import id_crc, small_batches, texts_of
@@ -32,13 +32,15 @@ def training_rows(table: DataFrame) -> DataFrame:
 def sample_of(docs: DataFrame, marked: DataFrame, rows: int) -> DataFrame:
     """Texts and labels of at most ``rows`` labelled documents, chosen by a hash of the id.
 
-    Of documents that begin alike (copies) one is taken, so that a copied text does not count many times.
+    Of documents that begin alike (copies) that of the smallest id is taken, so that a copied text does not count
+    many times.
     """
     chosen = marked.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "label").limit(rows)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     both = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(chosen, "doc_id")
     both = both.withColumn("beginning", F.xxhash64(F.substring("text", 1, 200)))
-    return both.dropDuplicates(["beginning"]).select("doc_id", "text", "label")
+    first = F.row_number().over(Window.partitionBy("beginning").orderBy("doc_id", "text", "label"))
+    return both.withColumn("n", first).where("n = 1").select("doc_id", "text", "label")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
