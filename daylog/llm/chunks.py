@@ -15,7 +15,7 @@ CUT = re.compile(r" (?=\S)")
 #: A space that no such cut may take.
 ODD = re.compile(r" (?!\S)")
 #: Chunks kept in one worker; beyond it the worker starts afresh. Bounds memory, not results.
-KEPT = 800_000
+KEPT = 1_300_000
 #: Longer chunks are encoded whenever they occur, and not kept.
 KEPT_CHARS = 64
 #: Marks that, after an ASCII letter, start a piece of the pattern.
@@ -86,7 +86,7 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> list[str]:
         """Make ``new`` chunks known; returns those that are not worth keeping."""
-        cut = [atoms_of(x) for x in new]
+        cut = [((True, x),) if x.isalpha() else atoms_of(x) for x in new]  # most are plain words
         led, bare = self.led, self.bare
         led_new = list({t for atoms in cut for first, t in atoms if first and t not in led})
         bare_new = list({t for atoms in cut for first, t in atoms if not first and t not in bare})
