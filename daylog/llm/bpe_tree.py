@@ -31,7 +31,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 LEAF = 4
 #: Bytes from which a window is encoded with a heap.
 HEAP = 48
-#: Pairs of tokens that a worker remembers; bounds memory, not results.
+#: Pairs of tokens that a worker remembers, and half as many as its chunks; bounds memory, not results.
 KEPT = 400_000
 
 
@@ -153,7 +153,7 @@ def text_encoder(path: str, pattern: str) -> Encoder:
         def many(strings: list[str]) -> list[bytes]:
             return [b"".join([packed(tree.encode(x.encode("utf-8", "surrogatepass"))) for x in pieces(text)]) for text in strings]
 
-        _TEXTS[path, pattern] = Encoder(many)
+        _TEXTS[path, pattern] = Encoder(many, 2 * KEPT)
     return _TEXTS[path, pattern]
 
 

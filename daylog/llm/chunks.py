@@ -15,7 +15,7 @@ CUT = re.compile(r" (?=\S)")
 #: A space that no such cut may take.
 ODD = re.compile(r" (?!\S)")
 #: Chunks kept in one worker; beyond it the worker starts afresh. Bounds memory, not results.
-KEPT = 1_300_000
+KEPT = 1_200_000
 #: Longer chunks are encoded whenever they occur, and not kept.
 KEPT_CHARS = 64
 #: Marks that, after an ASCII letter, start a piece of the pattern.
@@ -59,13 +59,13 @@ def atoms_of(chunk: str) -> list[tuple[bool, str]]:
 class Encoder:
     """Ids of texts as packed bytes. ``many`` encodes a list of strings into a list of packed ids."""
 
-    def __init__(self, many: Callable[[list[str]], list[bytes]]) -> None:
-        self.many = many
+    def __init__(self, many: Callable[[list[str]], list[bytes]], kept: int = KEPT) -> None:
+        self.many, self.kept = many, kept
         self.led: dict[str, bytes] = {}  # by the chunk without its space
         self.bare: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.led) + len(self.bare) > KEPT:
+        if len(self.led) + len(self.bare) > self.kept:
             self.led.clear()
             self.bare.clear()
         look_up = self.led.get
