@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daylog.llm import folds, lm_mixing, quality, toxicity
+from daylog.llm import bit_stream, folds, lm_mixing, quality, toxicity
 from tests.llm.conftest import SCHEMA, TEXTS
 
 WORDS = "the river ran over stones while morning light fell across quiet fields and people walked home slowly".split()
@@ -211,3 +211,28 @@ def test_urn_terms_equal_the_product():
 
 def test_language_model_of_nothing(no_docs):
     assert lm_mixing.score_texts(no_docs).collect() == []
+
+
+def test_scores_depend_on_the_order_of_words(spark):
+    rng = random.Random(11)
+    phrase = [f"{rng.choice(WORDS)}{i}" for i in range(40)]
+    order = lambda i: " ".join(phrase[(i + k) % 40] for k in range(30))
+    held = [i for i in range(400) if crc(i) % 10 == 0][:2]
+    rows = [(i, order(i), None, None, None) for i in range(300) if i not in held]
+    words = order(7).split()
+    rows += [(held[0], " ".join(words), None, None, None), (held[1], " ".join(rng.sample(words, len(words))), None, None, None)]
+    score = {r.doc_id: r.score for r in lm_mixing.score_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert score[held[0]] > score[held[1]] + 10
+
+
+def test_weights_of_a_stream_adapt_within_it_and_bits_are_probabilities():
+    tables = [np.zeros(1 << bit_stream.LEAST_BITS, np.uint16)] * bit_stream.TABLES
+    start = bit_stream.start_weights()
+    logs, ends = bit_stream.mix([b"again and " * 200 + b"\n", b"\n"], tables, start)
+    assert -logs[0] / np.log10(2) < 0.7 * 2001 and not np.allclose(ends[:, 0], start)
+    # All streams of one byte are disjoint.
+    every = bit_stream.mix([bytes([b]) for b in range(256)], tables, start)[0]
+    assert abs((10.0**every).sum() - 1) < 1e-4
+    # Streams do not depend on those beside them.
+    alone = bit_stream.mix([b"again and " * 200 + b"\n"], tables, start)[0]
+    assert abs(alone[0] - logs[0]) < 1e-3
