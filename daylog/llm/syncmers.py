@@ -2,9 +2,9 @@
 
 Words are hashed, neighbouring words give the hashes of the inner substrings (2 words), and a run of 5 words is a closed
 syncmer if the least of its inner hashes is its first or its last. Whether a run is chosen depends on nothing but the run,
-so a passage keeps its anchors wherever it stands, and of any few neighbouring runs one is chosen. A fingerprint lists, in the
-order of the text, the 64 least of a text's different anchors; likeness is the estimate of the Jaccard index that two
-such lists give: the share of the least anchors of both together that both have.
+so a passage keeps its anchors wherever it stands, and of any few neighbouring runs one is chosen. A fingerprint lists all
+anchors of a text in its order, each with the number of its first word, so it grows with the text. For the likeness of two
+texts the positions with equal anchors are paired one to one; it is the share of pairs among pairs and unpaired positions.
 
 Defined cases: a null text is an empty one. A text without an anchor (fewer than 5 words, or by chance) has one for the whole
 sequence of words, so equal texts have equal fingerprints and two empty texts a likeness of 1. Rows follow each other by
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from daylog.llm.common import WORD_GAP, documents
 
 RUN, INNER = 5, 2
-SKETCH, DIGITS = 64, 12
+DIGITS, POSITION_DIGITS = 12, 8
 #: Stretches of ids for each shuffle partition; each is a few rows' work less than the next.
 STRETCHES = 4
 LOWEST = -(1 << 63)
@@ -65,24 +65,26 @@ def with_anchors(df: DataFrame, text: str, anchors: str) -> DataFrame:
     return df.withColumn(anchors, F.when(F.size(anchors) > 0, F.col(anchors)).otherwise(whole)).drop("__runs", "__runs_whole")
 
 
-def with_sketch(df: DataFrame, text: str, sketch: str) -> DataFrame:
-    """Adds ``sketch``: the least ``SKETCH`` different anchors of a text, in its order."""
-    every = f"__{sketch}_all"
-    df = with_runs(df, text, "__runs").withColumn(every, F.array_distinct(F.array_compact("__runs")))
-    df = df.withColumn(every, F.when(F.size(every) > 0, F.col(every)).otherwise(F.array("__runs_whole")))
-    # An intersection keeps the order of its first array. (A filter by the largest of the least would have
-    # Spark move that bound into the filter's function and sort once for every anchor.)
-    return df.withColumn(sketch, F.array_intersect(every, F.slice(F.sort_array(every), 1, SKETCH))).drop(every, "__runs", "__runs_whole")
+def as_text(anchors: str) -> Column:
+    """Eight digits of the position and twelve of the hash for each anchor, in hexadecimal."""
+    digits = lambda x, n: F.lpad(F.lower(F.hex(x)), n, "0")
+    return F.array_join(F.transform(anchors, lambda x: F.concat(digits(x["position"], POSITION_DIGITS), digits(x["anchor"], DIGITS))), "")
 
 
-def as_text(sketch: str) -> Column:
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), DIGITS, "0")), "")
+def likeness(a: str, b: str) -> Column:
+    """Of the positions of both lists, paired where their anchors are equal, the share of pairs among pairs and unpaired positions."""
+    # Twice the hash, and one more for the second list: sorted, the first list's copies of an anchor stand before the second's.
+    marked = F.sort_array(F.concat(F.transform(F.col(a)["anchor"], lambda x: x * 2), F.transform(F.col(b)["anchor"], lambda x: x * 2 + 1)))
+    none = F.struct(F.lit(-1).cast("long").alias("last"), F.lit(0).alias("open"), F.lit(0).alias("pairs"))
 
+    def step(state: Column, x: Column) -> Column:
+        anchor, second = F.shiftright(x, 1), x % 2 == 1
+        open_ = F.when(state["last"] == anchor, state["open"]).otherwise(0)
+        meets = second & (open_ > 0)
+        return F.struct(anchor.alias("last"), F.when(~second, open_ + 1).when(meets, open_ - 1).otherwise(0).alias("open"), F.when(meets, state["pairs"] + 1).otherwise(state["pairs"]).alias("pairs"))
 
-def likeness(a: str, b: str) -> Column:
-    """The share of the least anchors of both sketches together that both have."""
-    least = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    return F.size(F.array_intersect(F.array_intersect(a, b), least)) / F.size(least)
+    total = F.size(a) + F.size(b)
+    return F.aggregate(marked, none, step, lambda state: state["pairs"] / (total - state["pairs"]))
 
 
 def with_next(df: DataFrame, order: list[Column], key: str, columns: dict[str, str], stretch: str, guest: str) -> DataFrame:
@@ -119,17 +121,17 @@ def in_stretches(docs: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """For every row of ``docs`` (doc_id, text): its text, edited text and their sketches, and those of the next document."""
+    """For every row of ``docs`` (doc_id, text): its text, edited text and their anchors, and those of the next document."""
     rows = in_stretches(docs)
     rows = with_next(rows, [F.col("text")], "key", {"text": "next_text"}, "stretch", "guest")
     n = F.char_length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
     rows = rows.withColumn("edited", F.coalesce(edited, F.lit("")))
-    rows = with_sketch(rows, "text", "sketch")
-    rows = with_next(rows, [F.col("text")], "key", {"sketch": "next_sketch"}, "stretch", "guest")
+    rows = with_anchors(rows, "text", "anchors")
+    rows = with_next(rows, [F.col("text")], "key", {"anchors": "next_anchors"}, "stretch", "guest")
     rows = rows.where("guest = 0")
-    return with_sketch(rows, "edited", "edited_sketch").select("doc_id", "text", "edited", "sketch", "edited_sketch", "next_sketch")
+    return with_anchors(rows, "edited", "edited_anchors").select("doc_id", "text", "edited", "anchors", "edited_anchors", "next_anchors")
 
 
 def op7_rows(docs: DataFrame) -> DataFrame:
@@ -138,10 +140,10 @@ def op7_rows(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        as_text("sketch").alias("fingerprint"),
-        as_text("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
+        as_text("anchors").alias("fingerprint"),
+        as_text("edited_anchors").alias("edited_fingerprint"),
+        likeness("anchors", "edited_anchors").alias("near_edited"),
+        likeness("anchors", "next_anchors").alias("near_next"),
     )
 
 

@@ -123,3 +123,24 @@ def test_odd_texts_have_fingerprints(spark, docs, no_docs):
     assert syncmers.op7_rows(no_docs).collect() == []
     null = spark.createDataFrame([(None, "a b c"), (2, "d e f g")], "doc_id long, text string")
     assert {r.doc_id: r.edited_sha256 for r in syncmers.op7_rows(null).collect()} == {2: hashlib.sha256(b"d e fa ").hexdigest(), None: hashlib.sha256(b"a b d").hexdigest()}
+
+
+def test_long_texts_that_share_a_passage_are_alike_by_it(spark):
+    ship_code(spark)
+    rng = random.Random(12)
+    some = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    passage = some(25)
+    rows = [(2, " ".join(some(2000) + passage + some(1500))), (1, " ".join(some(700) + passage + some(2500)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    anchors = {r.doc_id: [tuple(a) for a in r.anchors] for r in syncmers.with_anchors(frame, "text", "anchors").collect()}
+    both = {a for _, a in anchors[1]} & {a for _, a in anchors[2]}
+    got = {r.doc_id: r for r in syncmers.op7_rows(frame).collect()}
+    assert len(both) > 5 and got[2].near_next == got[1].near_next == len(both) / (len(anchors[1]) + len(anchors[2]) - len(both))
+    for i, found in anchors.items():
+        assert got[i].fingerprint == "".join(f"{p:08x}{a:012x}" for p, a in found)
+
+
+def test_repeated_passages_are_paired_one_to_one(spark):
+    rows = [([(0, 5), (3, 9), (7, 5), (9, 5)], [(0, 5), (4, 8), (5, 5)])]
+    frame = spark.createDataFrame(rows, "a array<struct<position int, anchor long>>, b array<struct<position int, anchor long>>")
+    assert frame.select(syncmers.likeness("a", "b"), syncmers.likeness("b", "a"), syncmers.likeness("a", "a")).first()[:] == (2 / 5, 2 / 5, 1.0)
