@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daylog.llm.common import id_crc, small_batches, texts_of
@@ -30,17 +30,20 @@ def training_rows(table: DataFrame) -> DataFrame:
 
 
 def sample_of(docs: DataFrame, marked: DataFrame, rows: int) -> DataFrame:
-    """Texts and labels of at most ``rows`` labelled documents, chosen by a hash of the id.
+    """Texts and labels of at most ``rows`` labelled documents with different texts, chosen by a hash of the id.
 
-    Of documents that begin alike (copies) that of the smallest id is taken, so that a copied text does not count
-    many times.
+    Of copies (equal whole texts) that of the smallest id is taken, before the bound, so that a copied text neither counts
+    many times nor uses up the sample. Documents that merely begin alike are all taken.
     """
-    chosen = marked.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "label").limit(rows)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    both = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(chosen, "doc_id")
-    both = both.withColumn("beginning", F.xxhash64(F.substring("text", 1, 200)))
-    first = F.row_number().over(Window.partitionBy("beginning").orderBy("doc_id", "text", "label"))
-    return both.withColumn("n", first).where("n = 1").select("doc_id", "text", "label")
+    # Two hashes and the length stand for a text until the sample is chosen; then the texts of its rows alone are fetched.
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    copy = [F.xxhash64("text").alias("hash"), F.xxhash64(F.lit(1), F.col("text")).alias("hash_2"), F.char_length("text").alias("length")]
+    names = ["hash", "hash_2", "length"]
+    found = given.select("doc_id", *copy).join(marked.select("doc_id", "label"), "doc_id")
+    first = found.groupBy(*names).agg(F.min(F.struct("doc_id", "label")).alias("first")).select("first.*", *names)
+    chosen = first.orderBy(F.xxhash64("doc_id"), "label", *names).limit(rows)
+    alike = given.select("doc_id", "text", *copy).join(F.broadcast(chosen), ["doc_id", *names])  # at most ``rows`` rows
+    return alike.dropDuplicates(["doc_id", "label", *names]).select("doc_id", "text", "label")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

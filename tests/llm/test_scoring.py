@@ -236,3 +236,14 @@ def test_weights_of_a_stream_adapt_within_it_and_bits_are_probabilities():
     # Streams do not depend on those beside them.
     alone = bit_stream.mix([b"again and " * 200 + b"\n"], tables, start)[0]
     assert abs(alone[0] - logs[0]) < 1e-3
+
+
+def test_samples_keep_texts_that_begin_alike_and_count_copies_once(spark):
+    header = "The same licence. " * 20
+    texts = [header + f"ending {i}" for i in range(4)] + [header + "a copy"] * 30 + [None, ""]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)] + [(0, texts[0], None, None, None)], SCHEMA)
+    marked = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, label int")
+    want = [(i, texts[i] or "", i % 2) for i in (0, 1, 2, 3, 4, 34)]
+    # As many rows as there are different texts: copies use up none of them.
+    assert sorted(tuple(r) for r in folds.sample_of(docs, marked, 6).collect()) == want
+    assert folds.sample_of(docs, marked, 3).count() == 3
