@@ -247,3 +247,17 @@ def test_samples_keep_texts_that_begin_alike_and_count_copies_once(spark):
     # As many rows as there are different texts: copies use up none of them.
     assert sorted(tuple(r) for r in folds.sample_of(docs, marked, 6).collect()) == want
     assert folds.sample_of(docs, marked, 3).count() == 3
+
+
+def test_tables_grow_with_the_vocabulary(spark):
+    rng = random.Random(13)
+    words = sorted({bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(330_000)})
+    sizes = lm_mixing.sizes_of(len(words))
+    assert lm_mixing.sizes_of(1000) == lm_mixing.SLOTS and min(sizes[2:]) >= 2 * len(words)
+    assert lm_mixing.sizes_of(10**7)[-1] >= 2 * 10**7 and bit_stream.slot_bits(10**7) == 25
+    own = words[::30]
+    s = lm_mixing.spelling(own, sizes)
+    assert all(a <= x.min() and x.max() < a + n for x, a, n in zip(s["slots"], np.cumsum((0, *sizes)), sizes))
+    assert len(np.unique(s["slots"][-1])) > len(np.unique(lm_mixing.spelling(own)["slots"][-1]))
+    frame = spark.createDataFrame([(bytearray(w),) for w in own[:50]], "word binary")
+    assert lm_mixing.table_counts(frame, sizes).sum() == 5 * 8 * sum(len(w) + 1 for w in own[:50])
