@@ -139,10 +139,13 @@ def grammar() -> Transducer:
 # --- words and documents ---------------------------------------------------------------------------------------------
 
 
-def spelled(word: str) -> str:
-    """The letters of a word, in lower case, without what stands around them."""
-    found = LETTERS.search(word)
-    return found[0].lower().replace("’", "'") if found else ""
+def spelled(letters: str) -> str:
+    return letters.lower().replace("’", "'")
+
+
+def edge_of(marks: str) -> int:
+    """The boundary that marks make: STOP, END or 0."""
+    return STOP if any(m in STOPS for m in marks) else END if any(m in ENDS for m in marks) else 0
 
 
 CLOSED = {w: c for c, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for w in words}
@@ -157,19 +160,29 @@ class Model:
     _classes: dict = field(default_factory=dict, repr=False)
     _machine: Transducer | None = field(default=None, repr=False)
 
-    def classify(self, word: str) -> tuple[int, float, int]:
-        """Class and weight of a word, and the boundary after it: 0, END or STOP."""
-        tail = word[-1:]
-        edge = STOP if tail in STOPS else END if tail in ENDS else 0
-        plain = spelled(word)
+    def classify(self, token: str) -> list[tuple[int, float, int]]:
+        """Class and weight of every run of letters of a token, and the boundary after each: 0, END or STOP.
+
+        Marks before the first run, and a token without letters, are an other word with their boundary.
+        """
+        runs = list(LETTERS.finditer(token))
+        last = edge_of(token[-1:])
+        if not runs:
+            return [(OTHER, 0.0, last)]
+        edges = [*(edge_of(token[a.end() : b.start()]) for a, b in zip(runs, runs[1:])), last]
+        before = edge_of(token[: runs[0].start()])
+        return [(OTHER, 0.0, before)] * (before != 0) + [(*self.rate(spelled(run[0])), edge) for run, edge in zip(runs, edges, strict=True)]
+
+    def rate(self, plain: str) -> tuple[int, float]:
+        """Class and weight of a word."""
         weight = self.lexicon.get(plain, 0.0)
         for n in STEMS:
             if len(plain) >= n:
                 weight = max(weight, self.lexicon.get(plain[:n] + "*", 0.0))
         if weight and plain not in CLOSED:
-            return INSULT, weight, edge
+            return INSULT, weight
         kind = CLOSED.get(plain, OTHER)
-        return kind, START_WEIGHT if kind == THREAT else 0.0, edge
+        return kind, START_WEIGHT if kind == THREAT else 0.0
 
     def measures(self, text: str) -> np.ndarray:
         """For each kind of pattern the logarithm of the sum of its weights, and the largest weight."""
@@ -179,7 +192,7 @@ class Model:
             known.clear()
         for w in set(words).difference(known):
             known[w] = self.classify(w)
-        codes = [known[w] for w in words]
+        codes = [code for w in words for code in known[w]]
         out = np.zeros(2 * len(KINDS))
         heavy = [i for i, x in enumerate(codes) if x[1]]
         if not heavy:
@@ -221,8 +234,7 @@ class Model:
 
 
 def _marks(text: str) -> set[str]:
-    words = {spelled(w) for w in set(text.split())}
-    words.discard("")
+    words = {spelled(run) for w in set(text.split()) for run in LETTERS.findall(w)}
     return words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n}
 
 

@@ -261,3 +261,14 @@ def test_tables_grow_with_the_vocabulary(spark):
     assert len(np.unique(s["slots"][-1])) > len(np.unique(lm_mixing.spelling(own)["slots"][-1]))
     frame = spark.createDataFrame([(bytearray(w),) for w in own[:50]], "word binary")
     assert lm_mixing.table_counts(frame, sizes).sum() == 5 * 8 * sum(len(w) + 1 for w in own[:50])
+
+
+def test_every_run_of_letters_reaches_the_grammar():
+    model = toxicity.Model({"idiot": 2.0}, toxicity.PRIOR)
+    plain = model.measures("stop, idiot")
+    assert plain.any()
+    for text in ("stop,idiot", "you/idiot", "well...idiot", "x-idiot-y", "...idiot"):
+        assert model.measures(text).max() >= 2.0, text
+    assert np.array_equal(model.measures("stop,idiot"), plain)
+    assert np.array_equal(model.measures("well.You idiot"), model.measures("well. You idiot"))
+    assert {"idiot", "you"} <= toxicity._marks("well...idiot you/IDIOT")
