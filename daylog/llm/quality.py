@@ -3,8 +3,7 @@
 A document is a bag of passages of 100 words. Every passage is measured (shares of kinds of characters, lengths of words,
 repetition) and encoded; gated attention, tanh times sigmoid, gives each passage a weight; the document's score comes from
 the weighted mean of its encodings. Attention and encoder are learned from document labels alone, by Adam in numpy, on a
-sample of at most ``SAMPLE`` labelled documents and ``SAMPLE_PASSAGES`` evenly spaced passages of each. All passages of
-every document are scored, in one pass without a shuffle.
+sample of at most ``SAMPLE`` labelled documents with all their passages. All passages of every document are scored, in one pass without a shuffle.
 
 Defined cases: a null or empty text is one passage of zeros. Without labels of both kinds the score is the smoothed
 share of label 1 (0.5 without any). Rows with a null id are scored and not held out. Repeated rows get equal scores. Other
@@ -25,7 +24,7 @@ from daylog.llm.common import documents, in_blocks, mix64, small_batches, texts_
 from daylog.llm.folds import held_out, labels, rows_where, sample_of, sigmoid
 
 PASSAGE = 100
-SAMPLE, SAMPLE_PASSAGES = 6_000, 48
+SAMPLE = 6_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 16, 40, 256, 0.01, 1e-4
 KEEP = 0.5
 #: Bytes measured at a time.
@@ -179,13 +178,10 @@ def fit(docs: DataFrame, marked: DataFrame, rows: int = SAMPLE) -> BagModel | Co
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             x, owner = passages(texts_of(batch, "text"))
-            kept = []
-            for own in np.split(x, np.flatnonzero(np.diff(owner)) + 1) if len(owner) else []:
-                at = np.unique(np.linspace(0, len(own) - 1, min(len(own), SAMPLE_PASSAGES)).astype(int))
-                kept.append(own[at].astype("<f4").tobytes())
+            kept = [own.astype("<f4").tobytes() for own in np.split(x, np.flatnonzero(np.diff(owner)) + 1)] if len(owner) else []
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(kept, pa.binary())], names=["doc_id", "label", "bag"])
 
-    # At most ``rows`` documents of ``SAMPLE_PASSAGES`` passages: bounded whatever the corpus.
+    # At most ``rows`` documents, some 90 bytes for each of their passages.
     table = sample_of(docs, marked, rows).mapInArrow(measure, "doc_id long, label int, bag binary").toPandas()
     table["size"] = table["bag"].map(len)
     table = table.sort_values(["doc_id", "label", "size"], kind="stable")

@@ -272,3 +272,14 @@ def test_every_run_of_letters_reaches_the_grammar():
     assert np.array_equal(model.measures("stop,idiot"), plain)
     assert np.array_equal(model.measures("well.You idiot"), model.measures("well. You idiot"))
     assert {"idiot", "you"} <= toxicity._marks("well...idiot you/IDIOT")
+
+
+def test_long_documents_teach_by_all_their_passages(spark, monkeypatch):
+    long = " ".join(WORDS[i % len(WORDS)] for i in range(100 * 130))
+    docs = spark.createDataFrame([(0, long, None, None, None), (2, "short", None, None, None), (3, None, None, None, None)], SCHEMA)
+    marked = spark.createDataFrame([(0, 1), (2, 0), (3, 0)], "doc_id long, label int")
+    met = []
+    monkeypatch.setattr(quality, "train", lambda bags, y: met.extend(bags))
+    quality.fit(docs, marked)
+    assert [len(x) for x in met] == [130, 1, 1]
+    assert np.allclose(met[0], quality.passages([long])[0], atol=1e-5)
