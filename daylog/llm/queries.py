@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from daylog.llm.ann import op5_neighbours
 from daylog.llm.bpe_tree import op6_bpe
+from daylog.llm.centroids import SQL as CENTROIDS_SQL
+from daylog.llm.centroids import op11_centroids
 from daylog.llm.lm_mixing import op10_lm_mixing
 from daylog.llm.packing import op4_pack
 from daylog.llm.quality import op8_quality
@@ -25,6 +27,10 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_lm_mixing": op10_lm_mixing,
+    "op11_centroids": op11_centroids,
 }
 
-SQL: dict[str, str] = {"op1_substring_dedup": SUBSTRING_SQL}
+SQL: dict[str, str] = {
+    "op1_substring_dedup": SUBSTRING_SQL,
+    "op11_centroids": CENTROIDS_SQL,
+}
