@@ -27,8 +27,7 @@ from ..operators.trends import averages, averages_lines, dashboard_days, rolling
 from ..operators.weeks import week_volume, weekly_progress, weekly_sets, weekly_sets_trailing, weekly_weight_ranked
 from ..operators.workouts import workout_text
 from ..schemas import AVERAGES, DAILY, DAY, FEED, SERIES, SETS, SUMMARIES, WORKOUTS
-from ..sources.readers import read_required
-from ..sources.store import MONTH, ONE_DAY, read_table, replace_range, write_flat, write_json, write_partitions
+from ..sources.store import MONTH, ONE_DAY, read_flat, read_table, replace_range, write_flat, write_json, write_partitions
 from .paths import Store
 
 TRAINING_SETS = (
@@ -74,7 +73,7 @@ def run_combine(
     sets = typed_sets(read_table(spark, store.sets, SETS, MONTH, months).drop(MONTH))
     dim = checked_broadcast(dim if dim is not None else exercise_dim(spark))
     combined = combine(series, workouts, sets, dim, user_lbs)
-    replaced = months or ()
+    replaced = months  # without months, stored ones that have no input any more are emptied
     write_partitions(combined.sets, store.training_sets, ["user_id", "date", "pos"], MONTH, replaced)
     # The energy of a day is summed from the sets just stored, not worked out a second time.
     training = read_table(spark, store.training_sets, TRAINING_SETS, MONTH, months)
@@ -114,7 +113,7 @@ def run_averages(spark: SparkSession, store: Store) -> None:
 
 
 def load_averages(spark: SparkSession, store: Store) -> DataFrame:
-    return read_required(spark, store.averages, AVERAGES)
+    return read_flat(spark, store.averages, AVERAGES)
 
 
 def build_payload(
@@ -138,7 +137,7 @@ def run_payload(
     those up to ``until`` where it is given."""
     stored = read_table(spark, store.summaries, SUMMARIES).drop(MONTH)
     write_flat(build_payload(load_combined(spark, store), day, n, until, stored), store.payload)
-    payload = spark.read.parquet(store.payload)
+    payload = read_flat(spark, store.payload)
     write_json(payload_json(payload), f"{store.documents}/payload", ["user_id"])
 
 
@@ -173,7 +172,7 @@ def dashboard(combined: Combined, dim: DataFrame) -> DataFrame:
 def run_dashboard(spark: SparkSession, store: Store, dim: DataFrame | None = None) -> None:
     """Store the dashboard's days, with the intensities of the dashboard's own table (version 2)."""
     dim = checked_broadcast(dim if dim is not None else exercise_dim(spark, 2))
-    write_partitions(dashboard(load_combined(spark, store), dim), store.dashboard)
+    write_partitions(dashboard(load_combined(spark, store), dim), store.dashboard, replaced=None)
 
 
 def run_weekly(spark: SparkSession, store: Store) -> None:

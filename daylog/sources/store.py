@@ -1,80 +1,59 @@
-"""Stored tables: versioned Parquet partitions behind one manifest, upserts, and JSON egress.
-
-Parquet has no MERGE. A table is a folder of partitions, ``version=V/month=M`` (or ``day=D``), and a manifest
-that names the version in force of every partition. An upsert reads the partitions its batch touches,
-writes them anew under a new version, and then replaces the manifest in one step. Until that step
-readers see the old rows, after it the new ones; a run that dies in between leaves files that nothing
-points to and can be run again. Nothing that is read is ever overwritten. ``drop_old_versions`` removes what no
-manifest names. One job writes a table at a time.
+"""Stored tables: versioned Parquet partitions behind a snapshot log, upserts, and JSON egress.
+
+Parquet has no MERGE. A table is a folder of partitions, ``version=V/month=M`` (or ``day=D``), and a log whose newest
+entry names the version in force of every partition (``snapshots``). An upsert reads the partitions its batch touches, writes
+them anew under a new version, and then puts the next entry. Until that step readers see the old rows, after it the new
+ones; a run that dies in between leaves files that nothing points to and can be run again. Nothing that is read is ever
+overwritten. Two jobs may write one table: a merge that meets another writer's change of its partitions starts again on it.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key
 from ..operators.ranking import top_rows
 from ..schemas import DAY
+from .snapshots import VERSION, ConcurrentWrite, Snapshot, begin, commit, drop_folder, names_in, newest
 
 MONTH, ONE_DAY, WHOLE = "month", "day", "whole"
-VERSION = "version"
-MANIFEST = "manifest.json"
+#: Name of the one partition of a table without days.
+ALL = "all"
+#: Times a merge is done anew when another writer was faster.
+MERGES = 3
 
 
 def partition_key(by: str, date: Column) -> Column:
     """The partition of a date: its month ``yyyy-MM``, the day itself as text, or the one of a table without days."""
     if by == WHOLE:
-        return F.lit("all")
+        return F.lit(ALL)
     return month_key(date) if by == MONTH else date.cast("string")
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's view of a path: the file context and the path, in whatever store it lies."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    where = hadoop.Path(path)
-    return hadoop.FileContext.getFileContext(where.toUri() if where.toUri().getScheme() else hadoop.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()), spark._jsc.hadoopConfiguration()), where
-
-
 def manifest(spark: SparkSession, path: str) -> dict[str, str]:
-    """Version in force of each partition; empty when nothing is stored. A few dozen bytes a partition."""
-    try:
-        rows = spark.read.text(f"{path}/{MANIFEST}", wholetext=True).collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    return json.loads(rows[0].value)
-
-
-def swap_manifest(spark: SparkSession, path: str, partitions: dict[str, str]) -> None:
-    """Write the manifest aside and rename it over the old one: the one step that changes what readers see."""
-    context, target = _files(spark, f"{path}/{MANIFEST}")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    aside = hadoop.Path(f"{path}/.{uuid.uuid4().hex}.json")
-    system = aside.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = system.create(aside, True)
-    try:
-        out.write(json.dumps(partitions, sort_keys=True).encode())
-    finally:
-        out.close()
-    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
-    context.rename(aside, target, options)
-
-
-def read_table(spark: SparkSession, path: str, schema: str, by: str = MONTH, partitions: Sequence[str] | None = None) -> DataFrame:
+    """Version in force of each partition; empty when nothing is stored."""
+    return dict(newest(spark, path).partitions)
+
+
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    by: str = MONTH,
+    partitions: Sequence[str] | None = None,
+    snapshot: Snapshot | None = None,
+) -> DataFrame:
     """The rows in force, with their partition column, so that filters on it prune folders.
 
-    ``partitions`` narrows it further: other folders are not even listed.
+    ``partitions`` narrows it further: other folders are not even listed. ``snapshot`` is the entry to read, the newest one
+    if none is given.
     """
     names = [field.split()[0] for field in schema.split(", ")]
-    held = manifest(spark, path)
+    held = (snapshot or newest(spark, path)).partitions
     chosen = sorted(held if partitions is None else set(partitions) & set(held))
     if not chosen:
         return spark.createDataFrame([], f"{schema}, {by} string")
@@ -83,26 +62,28 @@ def read_table(spark: SparkSession, path: str, schema: str, by: str = MONTH, par
     return rows.select(*names, by)
 
 
-def write_partitions(rows: DataFrame, path: str, order: Sequence[str] = DAY, by: str = MONTH, replaced: Sequence[str] = ()) -> None:
-    """Replace the partitions present in ``rows``, and empty those of ``replaced`` that are not.
+def write_partitions(
+    rows: DataFrame,
+    path: str,
+    order: Sequence[str] = DAY,
+    by: str = MONTH,
+    replaced: Sequence[str] | None = (),
+    base: Snapshot | None = None,
+) -> None:
+    """Replace the partitions present in ``rows``, and empty those of ``replaced`` that are not (None: all others).
 
-    The rebalance hint lets adaptive execution split a large partition over many files and join small ones.
+    ``base`` is the entry that ``rows`` were made from. The rebalance hint lets adaptive execution split a large partition
+    over many files and join small ones.
     """
     spark = rows.sparkSession
+    base = base or begin(spark, path)
     version = uuid.uuid4().hex
     keyed = rows.drop(by).withColumn(by, partition_key(by, F.col("date")))
     folder = f"{path}/{VERSION}={version}"
     keyed.hint("rebalance", by).sortWithinPartitions(by, *order).write.partitionBy(by).parquet(folder)
-    written = _partitions_in(spark, folder, by)
-    held = {k: v for k, v in manifest(spark, path).items() if k not in set(replaced)}
-    swap_manifest(spark, path, held | dict.fromkeys(written, version))
-
-
-def _partitions_in(spark: SparkSession, folder: str, by: str) -> list[str]:
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
-    names = [status.getPath().getName() for status in listed if status.isDirectory()]
-    return [name.partition("=")[2] for name in names if name.startswith(f"{by}=")]
+    written = [name.partition("=")[2] for name in names_in(spark, folder) if name.startswith(f"{by}=")]
+    emptied = set(base.partitions if replaced is None else replaced) & set(base.partitions)
+    commit(spark, path, base, dict.fromkeys(emptied, None) | dict.fromkeys(written, version))
 
 
 def write_table(rows: DataFrame, path: str, order: Sequence[str] = DAY) -> None:
@@ -110,31 +91,35 @@ def write_table(rows: DataFrame, path: str, order: Sequence[str] = DAY) -> None:
     write_partitions(rows, path, order)
 
 
-def drop_old_versions(spark: SparkSession, path: str) -> int:
-    """Delete the folders of a table that its manifest no longer names; returns how many. For quiet hours: a
-    reader that planned on an older manifest would miss its files."""
-    held = {f"{VERSION}={v}/{k}" for k, v in manifest(spark, path).items()}
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    gone = 0
-    for version in system.listStatus(root):
-        name = version.getPath().getName()
-        if not name.startswith(f"{VERSION}="):
-            continue
-        for part in system.listStatus(version.getPath()):
-            if part.isDirectory() and f"{name}/{part.getPath().getName().partition('=')[2]}" not in held:
-                gone += system.delete(part.getPath(), True)
-    return gone
+def current_folder(spark: SparkSession, path: str) -> str | None:
+    """Where the files in force of a table without partitions lie; None when nothing is stored."""
+    held = newest(spark, path).partitions
+    return f"{path}/{VERSION}={held[ALL]}" if held else None
+
+
+def _replace_whole(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    base, version = begin(spark, path), uuid.uuid4().hex
+    write(f"{path}/{VERSION}={version}")
+    commit(spark, path, base, {ALL: version})
 
 
 def write_flat(rows: DataFrame, path: str) -> None:
-    """Replace a small table without dates, such as averages."""
-    rows.write.mode("overwrite").parquet(path)
+    """Replace a small table without dates, such as averages; readers see the old one until the new one is whole."""
+    _replace_whole(rows.sparkSession, path, lambda folder: rows.write.parquet(folder))
+
+
+def read_flat(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The rows in force of a table without dates. Without a ``schema`` the table must be there."""
+    folder = current_folder(spark, path)
+    if folder is None and schema is not None:
+        return spark.createDataFrame([], schema)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(folder or path)
 
 
 def write_json(rows: DataFrame, path: str, order: Sequence[str] = DAY) -> None:
-    """JSON egress, one line per row, in order within each file."""
-    rows.sortWithinPartitions(*order).write.mode("overwrite").json(path)
+    """JSON egress, one line per row, in order within each file; the files in force lie in ``current_folder``."""
+    _replace_whole(rows.sparkSession, path, lambda folder: rows.sortWithinPartitions(*order).write.json(folder))
 
 
 def touched(batch: DataFrame, by: str = MONTH) -> list[str]:
@@ -181,27 +166,37 @@ def last_source_wins(stored: DataFrame, batch: DataFrame) -> DataFrame:
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def merge_into(batch: DataFrame, path: str, schema: str, merge: Merge, order: Sequence[str] = DAY, by: str = MONTH) -> None:
-    """Merge a batch into a stored table, reading and writing only the partitions it touches.
+def merge_into(batch: DataFrame, path: str, schema: str, merge: Merge, order: Sequence[str] = DAY, by: str = MONTH) -> list[str]:
+    """Merge a batch into a stored table, reading and writing only the partitions it touches; returns these.
 
     The batch itself is first written aside in the table's folder: it is used twice, and no executor's
-    memory or disk has to keep it.
+    memory or disk has to keep it. Where another writer changed one of the partitions meanwhile, the merge starts again on
+    what that one left.
     """
     spark = batch.sparkSession
     names = [field.split()[0] for field in schema.split(", ")]
     aside = f"{path}/_batches/{uuid.uuid4().hex}"
     batch.select(*names).write.parquet(aside)
-    batch = spark.read.schema(schema).parquet(aside)
-    parts = touched(batch, by)
-    if parts:
-        stored = read_table(spark, path, schema, by, parts).drop(by)
-        write_partitions(merge(stored, batch), path, order, by)
-    drop_folder(spark, aside)
+    try:
+        return merge_stored(spark.read.schema(schema).parquet(aside), path, schema, merge, order, by)
+    finally:
+        drop_folder(spark, aside)
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def merge_stored(batch: DataFrame, path: str, schema: str, merge: Merge, order: Sequence[str] = DAY, by: str = MONTH) -> list[str]:
+    """``merge_into`` for a batch that lies in files of its own already."""
+    spark = batch.sparkSession
+    parts = touched(batch, by)
+    for left in range(MERGES - 1, -1, -1) if parts else ():
+        base = begin(spark, path)
+        stored = read_table(spark, path, schema, by, parts, base).drop(by)
+        try:
+            write_partitions(merge(stored, batch), path, order, by, base=base)
+            break
+        except ConcurrentWrite:
+            if not left:
+                raise
+    return parts
 
 
 def replace_range(rows: DataFrame, path: str, schema: str, first, last, order: Sequence[str] = DAY) -> None:
@@ -209,9 +204,10 @@ def replace_range(rows: DataFrame, path: str, schema: str, first, last, order: S
     spark = rows.sparkSession
     months = [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first.year * 12 + first.month - 1, last.year * 12 + last.month)]
     names = [field.split()[0] for field in schema.split(", ")]
-    stored = read_table(spark, path, schema, MONTH, months).drop(MONTH)
+    base = begin(spark, path)
+    stored = read_table(spark, path, schema, MONTH, months, base).drop(MONTH)
     others = stored.filter(~F.col("date").between(F.lit(first), F.lit(last)))
-    write_partitions(others.unionByName(rows.select(*names)), path, order, MONTH, months)
+    write_partitions(others.unionByName(rows.select(*names)), path, order, MONTH, months, base)
 
 
 def union_rows(*parts: DataFrame) -> DataFrame:

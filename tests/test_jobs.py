@@ -8,7 +8,7 @@ from daylog.plans.ingest import ingest_set_log, ingest_wearable
 from daylog.plans.paths import Store
 from daylog.session import shared_folder
 from daylog.schemas import FEED, STORED_PLAN
-from daylog.sources.store import load_audit, manifest, preview, read_table
+from daylog.sources.store import current_folder, load_audit, manifest, preview, read_flat, read_table
 
 from .conftest import rows
 from .test_sources import CSV, DOC
@@ -26,9 +26,9 @@ def test_daily_run_from_landed_files_to_feed(spark, put, tmp_path):
     assert (squat.weight_lbs, squat.raw_weight_lbs, squat.muscle_groups) == (145.0, 50.0, ["Quads", "Glutes", "Hamstrings"])
     assert combined.sets.filter("exercise = 'Pull Up'").first().weight_lbs == 160.0
     jobs.run_averages(spark, store)
-    assert spark.read.parquet(store.averages).first().avg_steps == 175.0
+    assert read_flat(spark, store.averages).first().avg_steps == 175.0
     jobs.run_payload(spark, store, datetime.date(2025, 10, 10))
-    payload = spark.read.parquet(store.payload).first()
+    payload = read_flat(spark, store.payload).first()
     assert [w.date for w in payload.recent_workouts] == ["2025-10-10", "2025-10-09"]
     assert payload.week_volume["back"] == 1
     jobs.run_feed(spark, store, datetime.date(2025, 10, 9), datetime.date(2025, 10, 10))
@@ -57,7 +57,7 @@ def test_checks_and_plans_are_stored(spark, put, tmp_path):
     ingest_wearable(spark, put("docs", 1, "a.json", DOC), store)
     ingest_set_log(spark, put("log", 1, "log.csv", CSV.replace("Pull Up", "Juggling")), store)
     jobs.run_checks(spark, store)
-    counts = {n: spark.read.parquet(f"{store.bad_rows}/{n}").count() for n in ("series", "sets", "exercises")}
+    counts = {n: read_flat(spark, f"{store.bad_rows}/{n}").count() for n in ("series", "sets", "exercises")}
     # "Curl" and "Juggling" are in no table; one set has an unreadable weight.
     assert counts == {"series": 0, "sets": 1, "exercises": 2}
     texts = spark.createDataFrame([(1, '{"day_focus": "Push"}'), (2, "none")], "user_id bigint, text string")
@@ -67,7 +67,7 @@ def test_checks_and_plans_are_stored(spark, put, tmp_path):
     plans = read_table(spark, store.plans, STORED_PLAN, "whole").orderBy("user_id").collect()
     assert [(p.user_id, p.plan.day_focus) for p in plans] == [(1, "Push"), (3, "Pull")]
     assert "Push" in plans[0].workout_html and "Push" in plans[0].card_html
-    assert spark.read.parquet(f"{store.bad_rows}/plans").first().user_id == 2
+    assert read_flat(spark, f"{store.bad_rows}/plans").first().user_id == 2
 
 
 def test_missing_metrics_may_stay_null(spark):
@@ -114,7 +114,7 @@ def test_feeds_of_single_days_add_up(spark, put, tmp_path):
     for _ in range(2):
         jobs.run_feed(spark, store, datetime.date(2025, 1, 31), datetime.date(2025, 2, 2))
         assert days() == ["2025-01-30", "2025-01-31", "2025-02-01", "2025-02-03"]
-    assert [r.date.isoformat() for r in spark.read.parquet(store.missing_days).collect()] == ["2025-02-02"]
+    assert [r.date.isoformat() for r in read_flat(spark, store.missing_days).collect()] == ["2025-02-02"]
 
 
 def test_date_ranges_prune_months(spark, put, tmp_path):
@@ -139,14 +139,14 @@ def test_dashboard_weekly_and_documents_are_stored(spark, put, tmp_path):
     assert sum(1 for _ in (tmp_path / "store/dashboard").rglob("*.parquet")) >= 2
     jobs.run_weekly(spark, store)
     for name in ("sets", "sets_trailing", "weight_ranked", "progress"):
-        assert spark.read.parquet(f"{store.weekly}/{name}").columns[:2] == ["user_id", "week"]
-    assert spark.read.parquet(f"{store.weekly}/sets").count() > 0
+        assert read_flat(spark, f"{store.weekly}/{name}").columns[:2] == ["user_id", "week"]
+    assert read_flat(spark, f"{store.weekly}/sets").count() > 0
     jobs.run_averages(spark, store)
     jobs.run_payload(spark, store, datetime.date(2025, 10, 11), until=datetime.date(2025, 10, 9))
-    assert [w.date for w in spark.read.parquet(store.payload).first().recent_workouts] == ["2025-10-09"]
-    assert "date_for_plan" in spark.read.text(f"{store.documents}/payload").first().value
-    assert "avg_steps" in spark.read.text(f"{store.documents}/averages").first().value
-    assert spark.read.parquet(f"{store.documents}/averages_text").count() > 0
+    assert [w.date for w in read_flat(spark, store.payload).first().recent_workouts] == ["2025-10-09"]
+    assert "date_for_plan" in spark.read.text(current_folder(spark, f"{store.documents}/payload")).first().value
+    assert "avg_steps" in spark.read.text(current_folder(spark, f"{store.documents}/averages")).first().value
+    assert read_flat(spark, f"{store.documents}/averages_text").count() > 0
 
 
 def test_payload_ranks_stored_summaries_of_touched_months(spark, put, tmp_path):
@@ -158,7 +158,7 @@ def test_payload_ranks_stored_summaries_of_touched_months(spark, put, tmp_path):
     jobs.run_payload(spark, store, day)
     combined = jobs.load_combined(spark, store)
     fresh = jobs.build_payload(combined, day)
-    assert rows(spark.read.parquet(store.payload).select("user_id", F.to_json(F.struct("*")))) == rows(fresh.select("user_id", F.to_json(F.struct("*"))))
+    assert rows(read_flat(spark, store.payload).select("user_id", F.to_json(F.struct("*")))) == rows(fresh.select("user_id", F.to_json(F.struct("*"))))
     before = manifest(spark, store.summaries)
     more = CSV.replace("9 Oct 2025", "3 Nov 2025").replace("10 Oct 2025", "4 Nov 2025")
     ingest_set_log(spark, put("log", 1, "more.csv", more), store)
@@ -166,4 +166,4 @@ def test_payload_ranks_stored_summaries_of_touched_months(spark, put, tmp_path):
     after = manifest(spark, store.summaries)
     assert after["2025-10"] == before["2025-10"] and "2025-11" in after
     jobs.run_payload(spark, store, datetime.date(2025, 11, 5))
-    assert [w.date for w in spark.read.parquet(store.payload).first().recent_workouts] == ["2025-11-04", "2025-11-03", "2025-10-10"]
+    assert [w.date for w in read_flat(spark, store.payload).first().recent_workouts] == ["2025-11-04", "2025-11-03", "2025-10-10"]

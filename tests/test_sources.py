@@ -1,4 +1,5 @@
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,7 +12,8 @@ from daylog.schemas import PLAN, SERIES, SETS, WORKOUTS
 from daylog.sources import readers
 from daylog.sources.setlog import legacy_log, parse_set_log, split_log, unreadable_log_rows
 from daylog.sources import store as tables
-from daylog.sources.store import drop_old_versions, manifest, merge_into, new_wins, read_table, stored_wins, touched, write_json, write_table
+from daylog.sources.snapshots import drop_old_versions
+from daylog.sources.store import current_folder, manifest, merge_into, new_wins, read_table, stored_wins, touched, write_json, write_table
 from daylog.sources.wearable import basic_series, flatten_documents
 
 from .conftest import rows
@@ -222,7 +224,7 @@ def test_upsert_replaces_days_whole_and_only_touched_months(spark, tmp_path):
         ]
     after = manifest(spark, path)
     assert after["2025-02"] == before["2025-02"] and after["2025-01"] != before["2025-01"]
-    assert drop_old_versions(spark, path) == 2 and read_table(spark, path, SERIES).count() == 3
+    assert drop_old_versions(spark, path, hours=0) == 2 and read_table(spark, path, SERIES).count() == 3
 
 
 def test_insert_if_absent_keeps_stored_days(spark, tmp_path):
@@ -239,7 +241,7 @@ def test_insert_if_absent_keeps_stored_days(spark, tmp_path):
 
 def test_json_egress(spark, tmp_path):
     write_json(series_frame(spark, ("2025-01-02", "steps", "2"), ("2025-01-01", "steps", "1")).coalesce(1), str(tmp_path / "j"))
-    lines = "".join(f.read_text() for f in (tmp_path / "j").glob("*.json")).splitlines()
+    lines = "".join(f.read_text() for f in Path(current_folder(spark, str(tmp_path / "j"))).glob("*.json")).splitlines()
     assert ['"2025-01-01"' in lines[0], '"2025-01-02"' in lines[1]] == [True, True]
 
 
@@ -278,7 +280,7 @@ def test_a_write_that_fails_before_the_swap_leaves_the_old_rows(spark, tmp_path,
         raise RuntimeError("the driver dies here")
 
     with monkeypatch.context() as patched:
-        patched.setattr(tables, "swap_manifest", broken)
+        patched.setattr(tables, "commit", broken)
         with pytest.raises(RuntimeError):
             merge_into(series_frame(spark, ("2025-01-01", "steps", "2")), path, SERIES, new_wins)
     assert [r.value for r in read_table(spark, path, SERIES).collect()] == ["1"]
