@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import duration_text, log_timestamp, minutes_between
 from ..functions.numbers import blank_to_null
-from ..operators.days import workouts_of_sets
 from ..schemas import DAY
-from .store import first_source
 
 
 def parse_set_log(rows: DataFrame) -> DataFrame:
@@ -34,13 +32,26 @@ def unreadable_log_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(log_timestamp(F.col("start_time")).isNull() | log_timestamp(F.col("end_time")).isNull())
 
 
+def first_sessions(log: DataFrame) -> DataFrame:
+    """One workout per user and day: title and duration of the first row of the export that landed first.
+
+    One scan and one partial aggregate ordered by (source, position) choose the export and its first row at once.
+    """
+    order, row = F.struct("source", "pos"), F.struct("title", "duration")
+    best = log.groupBy(*DAY).agg(F.min_by(row, order).alias("_row"), F.min(order).alias("_first"))
+    return best.select(*DAY, "_row.*", F.col("_first.pos").alias("seq"), F.col("_first.source").alias("source"))
+
+
 def split_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readable log rows -> one workout per user and day, and its sets in log order.
 
-    Each export holds the whole history, so exports overlap: a day is taken from the one that landed first.
+    Each export holds the whole history, so exports overlap: a day is taken from the one that landed first. The sets are the
+    rows whose export is that of their workout.
     """
-    dated = first_source(log.filter(F.col("date").isNotNull()))
-    return workouts_of_sets(dated), dated.drop("title", "duration")
+    dated = log.filter(F.col("date").isNotNull())
+    sessions = first_sessions(dated)
+    sets = dated.join(sessions.select(*DAY, "source"), [*DAY, "source"], "left_semi")
+    return sessions, sets.drop("title", "duration")
 
 
 def legacy_log(rows: DataFrame) -> DataFrame:

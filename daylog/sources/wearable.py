@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_date
@@ -83,24 +83,88 @@ def _sleep_series(sleep: Column) -> Column:
     return F.array(*(_named(F.lit(metric), points(field)) for field, metric in SLEEP_KEYS.items()))
 
 
-def document_points(documents: DataFrame, carry: Sequence[str] = (), qualified: bool = False) -> DataFrame:
-    """Documents -> rows (user, date, metric, value, carried columns, place), each document parsed once.
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: a list of one binds it to a name."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    Points without a readable date fall out, and with them sleep entries without a day.
+
+def _placed(series: Column) -> Column:
+    """Points of named series as structs (day, metric, place, value); ``day`` is still the text that was written."""
+
+    def of_series(one: Column) -> Column:
+        def placed(p: Column, i: Column) -> Column:
+            day = F.coalesce(p.dateTime, F.lit(""))
+            return F.struct(day.alias("day"), one.metric.alias("metric"), i.alias("place"), p.value.alias("value"))
+
+        return F.transform(F.coalesce(one.points, F.array().cast(SERIES_POINTS)), placed)
+
+    return F.flatten(F.transform(series, of_series))
+
+
+def _days(points: Column) -> Column:
+    """Points of one document as days: structs (day, points) with the last point of each metric.
+
+    A document of one day that names each metric once is a day as it is. Else its points are ordered once by date, metric and
+    place; the last point of a metric is the one before a change, and a day is the stretch from one change of date to the next.
     """
+
+    def last_ones(ordered: Column) -> Column:
+        def is_last(p: Column, i: Column) -> Column:
+            after = F.get(ordered, i + 1)
+            return after.isNull() | (after.day != p.day) | (after.metric != p.metric)
+
+        return F.filter(ordered, is_last)
+
+    def stretches(kept: Column) -> Column:
+        def begins(i: Column) -> Column:
+            return (i == 0) | (F.get(kept, i).day != F.get(kept, i - 1).day)
+
+        def cut(starts: Column) -> Column:
+            def day(start: Column, n: Column) -> Column:
+                end = F.coalesce(F.get(starts, n + 1), F.size(kept))
+                return F.struct(F.get(kept, start).day.alias("day"), F.slice(kept, start + 1, end - start).alias("points"))
+
+            return F.transform(starts, day)
+
+        return _bound(F.filter(F.transform(kept, lambda _, i: i), begins), cut)
+
+    def days(all_points: Column) -> Column:
+        one_day = (F.size(F.array_distinct(all_points.day)) == 1) & (F.size(F.array_distinct(all_points.metric)) == F.size(all_points))
+        whole = F.struct(F.get(all_points, F.lit(0)).day.alias("day"), all_points.alias("points"))
+        return F.when((F.size(all_points) == 1) | one_day, F.array(whole)).otherwise(
+            _bound(_bound(F.sort_array(all_points), last_ones), stretches)
+        )
+
+    return _bound(points, days)
+
+
+def _everything(qualified: bool) -> Column:
+    """All named series of a document, sleep included; its texts are parsed once."""
     entries = F.map_entries(F.coalesce("time_series", F.create_map().cast("map<string,string>")))
     timed = F.flatten(F.transform(entries, lambda e: _time_series(e.key, e.value, qualified)))
-    everything = F.concat(timed.cast(NAMED_SERIES), _sleep_series(F.col("sleep")).cast(NAMED_SERIES))
-    named = documents.select("user_id", *carry, F.inline(everything))
+    return F.concat(timed.cast(NAMED_SERIES), _sleep_series(F.col("sleep")).cast(NAMED_SERIES))
+
+
+def document_points(documents: DataFrame, carry: Sequence[str] = (), qualified: bool = False) -> DataFrame:
+    """Documents -> rows (user, date, metric, value, carried columns, place).
+
+    Points without a readable date fall out, and with them sleep entries without a day.
+    """
+    named = documents.select("user_id", *carry, F.inline(_everything(qualified)))
     points = named.select("user_id", *carry, "metric", F.posexplode("points").alias("place", "point"))
-    return points.select(
-        "user_id",
-        iso_date(F.col("point.dateTime")).alias("date"),
-        "metric",
-        F.col("point.value").alias("value"),
-        *carry,
-        "place",
-    ).filter(F.col("date").isNotNull())
+    dated = points.select("user_id", iso_date(F.col("point.dateTime")).alias("date"), "metric", F.col("point.value").alias("value"), *carry, "place")
+    return dated.filter(F.col("date").isNotNull())
+
+
+def document_days(documents: DataFrame, carry: Sequence[str] = (), qualified: bool = False) -> DataFrame:
+    """Documents -> one row per document and day (user, date, carried columns, points), reduced inside the document.
+
+    Of several points of a metric on a day the later stays; points without a readable date fall out, and with them sleep
+    entries without a day. What is shuffled afterwards are days, not points.
+    """
+    days = documents.select("user_id", *carry, F.inline(_days(_placed(_everything(qualified)))))
+    dated = days.select("user_id", iso_date(F.col("day")).alias("date"), *carry, "points")
+    return dated.filter(F.col("date").isNotNull())
 
 
 def flatten_documents(
@@ -113,22 +177,23 @@ def flatten_documents(
     """Documents -> the text series with one value per user, date and metric.
 
     Within a document the later point of a metric stays. A later document replaces a day whole, or
-    with ``whole_days`` off only the metrics it brings. ``not_before`` names a date column of the
-    documents; days before it are late data and fall out.
+    with ``whole_days`` off only the metrics it brings. Whole days are nested inside the document, so one exchange of
+    document days decides; else points meet by metric. ``not_before`` names a date column of the documents; days before it
+    are late data and fall out.
     """
     carry = [order] if not_before is None else [order, not_before]
-    points = document_points(documents, carry, qualified)
+    found = (document_days if whole_days else document_points)(documents, carry, qualified)
     if not_before is not None:
-        points = points.filter(F.col("date") >= F.col(not_before)).drop(not_before)
-    written = F.struct(F.col(order).alias("document"), "place")
-    marked = points.withColumn("_written", written).drop(order, "place")
-    latest = last_write_wins(marked, [*DAY, "metric"], "_written")
+        found = found.filter(F.col("date") >= F.col(not_before)).drop(not_before)
     if whole_days:
-        # A day has as many rows as there are metric names, so this window stays small.
-        newest = F.max("_written.document").over(Window.partitionBy(*DAY))
-        latest = latest.withColumn("_newest", newest).filter(F.col("_written.document") == F.col("_newest"))
-    place, document = F.col("_written.place").cast("bigint"), F.col("_written.document").cast("string")
-    return latest.select(*DAY, "metric", "value", place.alias("seq"), document.alias("source"))
+        newest = last_write_wins(found, DAY, order)
+        latest = newest.select(*DAY, order, F.inline("points").alias("_day", "metric", "place", "value"))
+        place, document = F.col("place"), F.col(order)
+    else:
+        marked = found.withColumn("_written", F.struct(F.col(order).alias("document"), "place")).drop(order, "place")
+        latest = last_write_wins(marked, [*DAY, "metric"], "_written")
+        place, document = F.col("_written.place"), F.col("_written.document")
+    return latest.select(*DAY, "metric", "value", place.cast("bigint").alias("seq"), document.cast("string").alias("source"))
 
 
 def basic_series(series: DataFrame, metrics: Sequence[str] = BASIC_METRICS) -> DataFrame:

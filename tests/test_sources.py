@@ -336,3 +336,32 @@ def test_the_name_of_a_file_decides_which_record_is_last(spark, put, large):
         folder = put("w", 1, name, workout(f"from {name}", 400 if name == large else 1))
     kept, sets = readers.read_workout_docs(spark, folder)
     assert [r.title for r in kept.collect()] == ["from b.json"] and sets.count() == (400 if large == "b.json" else 1)
+
+
+def test_a_document_of_many_days_is_reduced_inside_the_document(spark, put):
+    from daylog.sources.wearable import document_days, document_points
+
+    days_of = [f"2025-01-{d:02d}" for d in range(1, 29)]
+    both = {m: series_of(m, *((d, f"{m}{d}{turn}") for turn in "ab" for d in days_of)) for m in ("steps", "distance", "floors")}
+    odd = {"weight": [{"dateTime": "soon", "value": "1"}, {"value": "2"}, {"dateTime": "2025-01-05", "value": None}]}
+    docs = readers.read_wearable_docs(spark, put("docs", 1, "a.json", {"date_fetched": "x", "time_series": both | odd, "sleep": None}))
+    nested = document_days(docs, ["source_file"])
+    assert document_points(docs, ["source_file"]).count() == 3 * 2 * 28 + 1 and nested.count() == 28
+    found = as_map(flatten_documents(docs))
+    assert found == as_map(flatten_documents(docs, whole_days=False))
+    assert found[1, "2025-01-05", "weight"] is None and found[1, "2025-01-05", "steps"] == "steps2025-01-05b"
+    assert len(found) == 3 * 28 + 1
+
+
+def test_whole_days_are_exchanged_once(spark, put):
+    docs = readers.read_wearable_docs(spark, put("docs", 1, "a.json", DOC))
+    plan = flatten_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_session_is_chosen_in_one_scan(spark, put):
+    from daylog.sources.setlog import first_sessions
+
+    log = parse_set_log(readers.read_set_log(spark, put("log", 1, "a.csv", CSV)))
+    plan = first_sessions(log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
