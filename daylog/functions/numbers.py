@@ -85,10 +85,9 @@ def exact_mean(number: Column) -> Column:
     return F.sum(number.cast(EXACT_MEAN)).cast("double") / F.nullif(F.count(number), F.lit(0))
 
 
-def positive_mean(number: Column, when: Column | None = None) -> Column:
-    """Mean over values above zero (and ``when``); 0 if there are none."""
-    keep = number > 0 if when is None else (number > 0) & when
-    return F.coalesce(exact_mean(F.when(keep, number)), F.lit(0.0))
+def above_zero(number: Column, when: Column | None = None) -> Column:
+    """The value where it is above zero (and ``when`` holds), else null."""
+    return F.when(number > 0 if when is None else (number > 0) & when, number)
 
 
 def mean_skip_zero(number: Column) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import low_sleep
@@ -15,6 +16,8 @@ from .ranking import top_rows
 from .workouts import collect_parts, exercise_groups, reduce_sets, summaries, training_days, workout_notes
 
 RECENT = 3
+#: Summaries of a user that the stored state holds; it answers for so many recent workouts.
+KEPT = 8
 
 
 def prior_day(daily: DataFrame, day: datetime.date, every_user: bool = False) -> DataFrame:
@@ -68,6 +71,31 @@ def recent_of(stored: DataFrame, n: int = 5, newest: bool = True, until: datetim
     return top_rows(rows, ["user_id"], [order], n, "recency").select(*DAY, "summary", "recency")
 
 
+def newest_state(stored: DataFrame, changed: DataFrame, months: Sequence[str] | None, keep: int = KEPT) -> tuple[DataFrame, DataFrame]:
+    """The newest ``keep`` summaries of each user after the ``months`` of ``changed`` were replaced, and the users for whom
+    the stored state cannot tell.
+
+    A state of ``keep`` rows knows every day from its oldest one on; a shorter one knows all days. A user who lost days so
+    that fewer than ``keep`` known ones are left has to be read from the summaries.
+    """
+    if months is None:
+        return newest_summaries(changed, keep), stored.select("user_id").limit(0)
+    own = Window.partitionBy("user_id")
+    known = stored.withColumn("known_from", F.when(F.count(F.lit(1)).over(own) >= keep, F.min("date").over(own)))
+    left = known.filter(~F.date_format("date", "yyyy-MM").isin(*months))
+    edge = known.groupBy("user_id").agg(F.min("known_from").alias("known_from"))
+    fresh = changed.select(*DAY, "summary").join(edge, "user_id", "left")
+    rows = left.unionByName(fresh).filter(F.col("known_from").isNull() | (F.col("date") >= F.col("known_from")))
+    counts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    short = edge.filter(F.col("known_from").isNotNull()).join(counts, "user_id", "left").filter(F.coalesce("n", F.lit(0)) < keep)
+    return newest_summaries(rows, keep), short.select("user_id")
+
+
+def newest_summaries(rows: DataFrame, keep: int = KEPT) -> DataFrame:
+    """The newest ``keep`` summaries of each user."""
+    return top_rows(rows.select(*DAY, "summary"), ["user_id"], [F.desc("date")], keep, "place").drop("place")
+
+
 def coach_payload(
     prior: DataFrame,
     week: DataFrame,

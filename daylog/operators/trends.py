@@ -11,11 +11,12 @@ from ..functions.dates import NO_DURATION, duration_minutes, hours_minutes_text
 from ..functions.effort import DEFAULT_BODY_KG, fallback_set_calories
 from ..functions.numbers import (
     EXACT_MEAN,
+    above_zero,
+    exact_mean,
     exact_sum,
     fixed,
     is_truthy_number,
     mean_skip_zero,
-    positive_mean,
     round_exact,
     round_whole,
     truncate,
@@ -30,18 +31,24 @@ CHARTED = ("steps", "sleep_hours", "total_calories")
 VALID_CALORIES = 100
 
 
-def averages(daily: DataFrame) -> DataFrame:
-    """Five means over valid days of each user in one pass."""
+def averaged_values() -> dict[str, Column]:
+    """What each of the five means is taken over: the value of a valid day, null on other days."""
     calories_valid = F.col("calories_burned_from_steps") != 0
     worked = F.col("total_workout_duration") != NO_DURATION
     minutes = duration_minutes(F.col("total_workout_duration"))
-    return daily.groupBy("user_id").agg(
-        positive_mean(F.col("steps")).alias("avg_steps"),
-        positive_mean(F.col("resting_heart_rate")).alias("avg_resting_hr"),
-        positive_mean(F.col("sleep_hours")).alias("avg_sleep_hours"),
-        positive_mean(minutes, worked).alias("avg_workout_duration_minutes"),
-        positive_mean(F.col("total_calories_burned"), calories_valid).alias("avg_calories_burned"),
-    )
+    return {
+        "avg_steps": above_zero(F.col("steps")),
+        "avg_resting_hr": above_zero(F.col("resting_heart_rate")),
+        "avg_sleep_hours": above_zero(F.col("sleep_hours")),
+        "avg_workout_duration_minutes": above_zero(minutes, worked),
+        "avg_calories_burned": above_zero(F.col("total_calories_burned"), calories_valid),
+    }
+
+
+def averages(daily: DataFrame) -> DataFrame:
+    """Five means over valid days of each user in one pass; 0 where no day is valid."""
+    means = [F.coalesce(exact_mean(value), F.lit(0.0)).alias(name) for name, value in averaged_values().items()]
+    return daily.groupBy("user_id").agg(*means)
 
 
 def averages_lines(means: DataFrame) -> DataFrame:
@@ -150,16 +157,17 @@ def reference_labels(lines: DataFrame) -> DataFrame:
     )
 
 
+def valid_value(name: str, zero_is_valid: bool = False) -> Column:
+    """Whether a day counts for a charted column."""
+    if zero_is_valid:
+        return F.col(name).isNotNull()
+    return F.col(name) > VALID_CALORIES if name == "total_calories" else is_truthy_number(F.col(name))
+
+
 def valid_ranges(days: DataFrame, columns: Sequence[str] = CHARTED, zero_is_valid: bool = False) -> DataFrame:
     """First and last valid date per user and charted column, all columns in one pass."""
     found = []
     for name in columns:
-        if zero_is_valid:
-            valid = F.col(name).isNotNull()
-        elif name == "total_calories":
-            valid = F.col(name) > VALID_CALORIES
-        else:
-            valid = is_truthy_number(F.col(name))
-        found.append(F.min(F.when(valid, F.col("date"))).alias(f"{name}_from"))
-        found.append(F.max(F.when(valid, F.col("date"))).alias(f"{name}_to"))
+        dates = F.when(valid_value(name, zero_is_valid), F.col("date"))
+        found += [F.min(dates).alias(f"{name}_from"), F.max(dates).alias(f"{name}_to")]
     return days.groupBy("user_id").agg(*found)

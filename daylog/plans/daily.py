@@ -6,11 +6,21 @@ import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.effort import DEFAULT_USER_LBS, WeightWords
-from ..operators.coach import RECENT, coach_payload, day_summaries, payload_json, prior_day, recent_of, recent_summaries
+from ..operators.coach import (
+    KEPT,
+    RECENT,
+    coach_payload,
+    day_summaries,
+    newest_state,
+    payload_json,
+    prior_day,
+    recent_of,
+    recent_summaries,
+)
 from ..operators.days import (
     canonical_sets,
     combine_days,
@@ -23,11 +33,24 @@ from ..operators.days import (
 )
 from ..operators.dims import checked_broadcast, exercise_dim, unmapped_exercises
 from ..operators.feed import between_days, metric_feed, missing_days, on_day
-from ..operators.trends import averages, averages_lines, dashboard_days, rolling_means, set_totals, with_user_means
+from ..operators.month_parts import MONTH_PARTS, averages_of, merged, month_parts, user_means_of
+from ..operators.trends import ROLLING_ROWS, averages_lines, dashboard_days, rolling_means, set_totals, with_user_means
 from ..operators.weeks import week_volume, weekly_progress, weekly_sets, weekly_sets_trailing, weekly_weight_ranked
 from ..operators.workouts import workout_text
-from ..schemas import AVERAGES, DAILY, DAY, FEED, SERIES, SETS, SUMMARIES, WORKOUTS
-from ..sources.store import MONTH, ONE_DAY, read_flat, read_table, replace_range, write_flat, write_json, write_partitions
+from ..schemas import AVERAGES, DAILY, DASHBOARD, DAY, FEED, SERIES, SETS, SUMMARIES, WORKOUTS
+from ..sources.snapshots import begin, newest
+from ..sources.store import (
+    MONTH,
+    ONE_DAY,
+    WHOLE,
+    manifest,
+    read_flat,
+    read_table,
+    replace_range,
+    write_flat,
+    write_json,
+    write_partitions,
+)
 from .paths import Store
 
 TRAINING_SETS = (
@@ -80,6 +103,26 @@ def run_combine(
     days = combine_days(wearable_days(series), workouts, day_calories(training))
     write_partitions(days, store.daily, DAY, MONTH, replaced)
     write_partitions(day_summaries(training), store.summaries, DAY, MONTH, replaced)
+    write_recent(spark, store, months)
+
+
+def write_recent(spark: SparkSession, store: Store, months: Sequence[str] | None = None) -> None:
+    """Bring each user's newest summaries up to date with the ``months`` that were replaced (None: all).
+
+    Only these months are read, but for users who lost so many days that older ones move up; months before are read for
+    them alone.
+    """
+    if not newest(spark, store.recent).partitions:
+        months = None
+    base = begin(spark, store.recent)
+    stored = read_table(spark, store.recent, SUMMARIES, WHOLE, snapshot=base).drop(WHOLE)
+    changed = read_table(spark, store.summaries, SUMMARIES, MONTH, months).drop(MONTH)
+    rows, short = newest_state(stored, changed, months)
+    if months is not None and not short.isEmpty():
+        everything = read_table(spark, store.summaries, SUMMARIES).drop(MONTH)
+        again, _ = newest_state(stored, everything.join(short, "user_id", "left_semi"), None)
+        rows = rows.join(short, "user_id", "left_anti").unionByName(again)
+    write_partitions(rows, store.recent, DAY, WHOLE, None, base)
 
 
 def _stored_series(spark: SparkSession, store: Store, months: Sequence[str] | None) -> DataFrame:
@@ -104,9 +147,21 @@ def load_combined(spark: SparkSession, store: Store) -> Combined:
     return Combined(read_table(spark, store.daily, DAILY), read_table(spark, store.training_sets, TRAINING_SETS))
 
 
-def run_averages(spark: SparkSession, store: Store) -> None:
-    """Store the averages as a table, as JSON and as the published lines."""
-    write_flat(averages(load_combined(spark, store).daily), store.averages)
+def write_month_parts(spark: SparkSession, store: Store, months: Sequence[str] | None = None) -> DataFrame:
+    """Replace the stored parts of the ``months`` (None: all) and return every user's parts merged."""
+    daily = read_table(spark, store.daily, DAILY, MONTH, months).drop(MONTH)
+    write_partitions(month_parts(daily), store.month_parts, DAY, MONTH, months)
+    return merged(read_table(spark, store.month_parts, MONTH_PARTS).drop(MONTH))
+
+
+def run_averages(spark: SparkSession, store: Store, months: Sequence[str] | None = None) -> None:
+    """Store the averages as a table, as JSON and as the published lines, and the overall means of the dashboard.
+
+    Days are read of the ``months`` that changed alone (None: all); other months come from their stored sums and counts.
+    """
+    users = write_month_parts(spark, store, months)
+    write_flat(averages_of(users), store.averages)
+    write_flat(user_means_of(users), store.user_means)
     means = load_averages(spark, store)
     write_json(means, f"{store.documents}/averages", ["user_id"])
     write_flat(averages_lines(means), f"{store.documents}/averages_text")
@@ -124,7 +179,7 @@ def build_payload(
     stored: DataFrame | None = None,
 ) -> DataFrame:
     """Coach payload of every user with a day on record. With ``stored`` summaries the sets are read for
-    the week only."""
+    the week only; these may be each user's newest ones alone."""
     prior = prior_day(combined.daily, day, every_user=True)
     recent = recent_summaries(combined.sets, n, until=until) if stored is None else recent_of(stored, n, until=until)
     return coach_payload(prior, week_volume(combined.sets, day), recent, day, n)
@@ -134,8 +189,12 @@ def run_payload(
     spark: SparkSession, store: Store, day: datetime.date, n: int = RECENT, until: datetime.date | None = None
 ) -> None:
     """Store the payload of a day, as a table and as one JSON document per user. Recent workouts are
-    those up to ``until`` where it is given."""
-    stored = read_table(spark, store.summaries, SUMMARIES).drop(MONTH)
+    those up to ``until`` where it is given: then, or for many workouts, all summaries are ranked; else the stored
+    newest ones of each user are enough."""
+    if until is None and n <= KEPT and newest(spark, store.recent).partitions:
+        stored = read_table(spark, store.recent, SUMMARIES, WHOLE).drop(WHOLE)
+    else:
+        stored = read_table(spark, store.summaries, SUMMARIES).drop(MONTH)
     write_flat(build_payload(load_combined(spark, store), day, n, until, stored), store.payload)
     payload = read_flat(spark, store.payload)
     write_json(payload_json(payload), f"{store.documents}/payload", ["user_id"])
@@ -163,16 +222,64 @@ def run_feed(spark: SparkSession, store: Store, first: datetime.date, last: date
     write_flat(missing_days(combined.daily, first, last), store.missing_days)
 
 
+def run_feed_months(spark: SparkSession, store: Store, months: Sequence[str]) -> None:
+    """Store the feed of whole months; other stored months stay."""
+    daily = read_table(spark, store.daily, DAILY, MONTH, months).drop(MONTH)
+    sets = read_table(spark, store.training_sets, TRAINING_SETS, MONTH, months).drop(MONTH)
+    write_partitions(feed_of_all(Combined(daily, sets)), store.feed, ["user_id", "date", "metric_type"], MONTH, months)
+
+
 def dashboard(combined: Combined, dim: DataFrame) -> DataFrame:
     """Dashboard rows with rolling and overall means."""
     days = dashboard_days(combined.daily, set_totals(combined.sets, dim))
     return with_user_means(rolling_means(days))
 
 
-def run_dashboard(spark: SparkSession, store: Store, dim: DataFrame | None = None) -> None:
-    """Store the dashboard's days, with the intensities of the dashboard's own table (version 2)."""
+def dashboard_months(days: DataFrame, months: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Months whose rolling means depend on ``months``, and the months that have to be read for them.
+
+    Decided on user and day alone. A row depends on the rows of its window, so a change reaches six rows on, in whatever
+    month they lie, and each of those needs the six rows before it.
+    """
+    month = F.date_format("date", "yyyy-MM")
+    own = Window.partitionBy("user_id").orderBy("date")
+    before, after = own.rowsBetween(1 - ROLLING_ROWS, 0), own.rowsBetween(0, ROLLING_ROWS - 1)
+    rows = days.select(*DAY, month.alias("m"))
+
+    def found(marked: DataFrame) -> list[str]:
+        return sorted(r.m for r in marked.filter("hit").select("m").distinct().collect())  # bounded by the calendar
+
+    stale = found(rows.withColumn("hit", F.max(F.col("m").isin(*months)).over(before)))
+    if not stale:
+        return [], []
+    return stale, found(rows.withColumn("hit", F.max(F.col("m").isin(*stale)).over(after)))
+
+
+def run_dashboard(spark: SparkSession, store: Store, dim: DataFrame | None = None, months: Sequence[str] | None = None) -> None:
+    """Store the dashboard's days with rolling means, with the intensities of the dashboard's own table (version 2).
+
+    With ``months`` only rows that depend on them are made anew. Overall means of a user change with every day, so they
+    are stored by user (``run_averages``) and joined by ``load_dashboard``.
+    """
     dim = checked_broadcast(dim if dim is not None else exercise_dim(spark, 2))
-    write_partitions(dashboard(load_combined(spark, store), dim), store.dashboard, replaced=None)
+    stale = needed = None
+    if months is not None:
+        emptied = sorted(set(months) & set(manifest(spark, store.dashboard)))
+        stale, needed = dashboard_months(read_table(spark, store.daily, DAILY).drop(MONTH), months)
+        stale = sorted({*stale, *emptied})
+    daily = read_table(spark, store.daily, DAILY, MONTH, needed).drop(MONTH)
+    sets = read_table(spark, store.training_sets, TRAINING_SETS, MONTH, needed).drop(MONTH)
+    rows = rolling_means(dashboard_days(daily, set_totals(sets, dim)))
+    if stale is not None:
+        rows = rows.filter(F.date_format("date", "yyyy-MM").isin(*stale))
+    write_partitions(rows, store.dashboard, replaced=stale)
+
+
+def load_dashboard(spark: SparkSession, store: Store) -> DataFrame:
+    """The stored dashboard with each user's overall means."""
+    means = read_flat(spark, store.user_means)
+    rows = read_table(spark, store.dashboard, DASHBOARD).drop(MONTH)
+    return rows.join(means, "user_id", "left")
 
 
 def run_weekly(spark: SparkSession, store: Store) -> None:

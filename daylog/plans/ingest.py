@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import DAY, SERIES, SETS, WORKOUTS
+from ..schemas import DAY, LOG_ROW, SERIES, SETS, WORKOUTS
 from ..sources.readers import read_daily_store, read_set_log, read_wearable_docs
-from ..sources.setlog import parse_set_log, split_log
-from ..sources.store import ONE_DAY, Merge, first_source_wins, merge_into, new_wins
+from ..sources.setlog import parse_set_log, split_log, unreadable_log_rows
+from ..sources.snapshots import drop_folder
+from ..sources.store import ONE_DAY, WHOLE, Merge, first_source_wins, merge_into, new_wins
 from ..sources.wearable import flatten_documents
 from .paths import Store
 
@@ -59,9 +61,29 @@ def store_workouts(workouts: DataFrame, sets: DataFrame, store: Store) -> None:
     merge_into(workouts, store.workouts, WORKOUTS, first_source_wins)
 
 
+def store_log(rows: DataFrame, store: Store) -> None:
+    """Text rows of exported logs -> workouts, sets and, for rows without a readable time, the quarantine table.
+
+    A multi-line export cannot be split, so its text is parsed once: all steps read the rows written aside.
+    """
+    spark = rows.sparkSession
+    aside = f"{store.sets}/_batches/{uuid.uuid4().hex}"
+    rows.select(*(field.split()[0] for field in LOG_ROW.split(", "))).write.parquet(aside)
+    try:
+        kept = spark.read.schema(LOG_ROW).parquet(aside)
+        store_workouts(*split_log(parse_set_log(kept)), store)
+        merge_into(unreadable_log_rows(kept), f"{store.bad_rows}/log", LOG_ROW, same_rows_once, ["user_id", "source", "pos"], WHOLE)
+    finally:
+        drop_folder(spark, aside)
+
+
+def same_rows_once(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of an export that was set aside before replace those rows, so a replay changes nothing."""
+    return new_wins(stored, batch, ["user_id", "source"])
+
+
 def ingest_set_log(spark: SparkSession, path: str | Sequence[str], store: Store) -> DataFrame:
     """Exported set logs -> workouts and sets, stored days staying as they are."""
-    log = parse_set_log(read_set_log(spark, path))
-    workouts, sets = split_log(log)
-    store_workouts(workouts, sets, store)
-    return log
+    rows = read_set_log(spark, path)
+    store_log(rows, store)
+    return parse_set_log(rows)

@@ -38,6 +38,21 @@ class Store:
     def summaries(self) -> str:
         return self._at("summaries")
 
+    @property
+    def recent(self) -> str:
+        return self._at("recent")
+
+    @property
+    def month_parts(self) -> str:
+        return self._at("month_parts")
+
+    @property
+    def user_means(self) -> str:
+        return self._at("user_means")
+
+    def journal(self, job: str) -> str:
+        return self._at(f"journal/{job}")
+
     @property
     def averages(self) -> str:
         return self._at("averages")

@@ -8,12 +8,13 @@ from __future__ import annotations
 import datetime
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import fill_template, strip_code_fences
-from ..schemas import PLAN, STORED_PLAN
-from ..sources.store import WHOLE, drop_folder, merge_into, new_wins, write_flat
+from ..operators.ranking import top_rows
+from ..schemas import BAD_PLAN_ROW, DAY, PLAN, STORED_PLAN
+from ..sources.store import WHOLE, drop_folder, merge_into, read_table
 from .paths import Store
 
 # The texts of the two mail layouts and of the prompt.
@@ -128,23 +129,49 @@ def unreadable_plans(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.filter(F.size(_plans_in(F.col(text))) == 0)
 
 
+def last_landed(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Of several answers for a user's plan date the one that landed last stays, whichever batch brings it."""
+    rows = stored.unionByName(batch)
+    rest = [c for c in rows.columns if c not in DAY]
+    # Answers that landed at once are ordered by their text, so that every run keeps the same one.
+    best = F.max_by(F.struct(*rest), F.struct("landed", F.to_json("plan"))).alias("_row")
+    return rows.groupBy(*DAY).agg(best).select(*DAY, "_row.*")
+
+
 def store_plans(texts: DataFrame, store: Store, text: str = "text") -> None:
-    """Merge the plans of a batch of model texts (``user_id``) into the plan table, with their rendered pages; the
-    unreadable texts are set aside.
+    """Merge the plans of a batch of model texts into the plan history, with their rendered pages.
 
-    Each text is parsed once. The plan of a user replaces the one stored; other users' plans stay. A table without
-    days is one partition.
+    ``texts`` has user_id, the ``date`` a plan is for, and ``landed``, a text or time that rises in the order of landing. The
+    history keeps one plan a user and date; ``latest_plans`` is the newest of each user. Each text is parsed once. Texts
+    without a plan, and plans without a user or date, go to the quarantine table, where a text that lands again counts once.
     """
     spark = texts.sparkSession
-    aside = f"{store.plans}_batches/{uuid.uuid4().hex}"
-    texts.withColumn("plans", _plans_in(F.col(text))).write.parquet(aside)
-    parsed = spark.read.parquet(aside)
-    plans = parsed.select("user_id", F.explode("plans").alias("plan"))
-    newest = plans.groupBy("user_id").agg(F.max_by("plan", F.to_json("plan")).alias("plan"))
-    pages = newest.select("user_id", "plan", workout_html().alias("workout_html"), card_html().alias("card_html"))
-    merge_into(pages, store.plans, STORED_PLAN, lambda old, new: new_wins(old, new, ["user_id"]), ["user_id"], WHOLE)
-    write_flat(parsed.filter(F.size("plans") == 0).drop("plans"), f"{store.bad_rows}/plans")
-    drop_folder(spark, aside)
+    aside = f"{store.plans}/_batches/{uuid.uuid4().hex}"
+    given = texts.select("user_id", F.col("date").cast("date").alias("date"), F.col("landed").cast("string").alias("landed"), F.col(text).alias("text"))
+    given.withColumn("plans", _plans_in(F.col("text"))).write.parquet(aside)
+    try:
+        parsed = spark.read.parquet(aside)
+        keyed = F.col("user_id").isNotNull() & F.col("date").isNotNull()
+        plans = parsed.filter(keyed).select(*DAY, "landed", F.explode("plans").alias("plan"))
+        pages = plans.select(*DAY, "landed", "plan", workout_html().alias("workout_html"), card_html().alias("card_html"))
+        merge_into(pages, store.plans, STORED_PLAN, last_landed)
+        bad = parsed.filter(~keyed | (F.size("plans") == 0)).drop("plans")
+        merge_into(bad, f"{store.bad_rows}/plans", BAD_PLAN_ROW, lambda old, new: old.unionByName(new).distinct(), by=WHOLE)
+    finally:
+        drop_folder(spark, aside)
+
+
+def plan_history(spark: SparkSession, store: Store) -> DataFrame:
+    """Every stored plan by user and plan date, with its ``month``, by which date ranges prune folders."""
+    return read_table(spark, store.plans, STORED_PLAN)
+
+
+def latest_plans(spark: SparkSession, store: Store, until: datetime.date | None = None) -> DataFrame:
+    """The newest plan of each user, not after ``until`` where it is given."""
+    rows = plan_history(spark, store).drop("month")
+    if until is not None:
+        rows = rows.filter(F.col("date") <= F.lit(until))
+    return top_rows(rows, ["user_id"], [F.desc("date")], 1, "place").drop("place")
 
 
 def _empty(items: Column) -> Column:

@@ -15,6 +15,8 @@ SET_LOG_COLUMNS = (
     "distance_miles duration_seconds rpe exercise_notes"
 ).split()
 SET_LOG = ", ".join(f"{name} string" for name in SET_LOG_COLUMNS)
+# A row of an export as it was read, with its place and its export.
+LOG_ROW = f"user_id bigint, {SET_LOG}, pos bigint, source string"
 
 WORKOUT_DOC = (
     "Date string, Workout_Title string, Workout_Duration string, "
@@ -47,7 +49,9 @@ PLAN = (
 )
 
 PLAN_STRUCT = "struct<" + ",".join(field.replace(" ", ":", 1) for field in PLAN.split(", ")) + ">"
-STORED_PLAN = f"user_id bigint, plan {PLAN_STRUCT}, workout_html string, card_html string"
+# ``landed`` orders the answers for one plan date; the last one counts.
+STORED_PLAN = f"user_id bigint, date date, landed string, plan {PLAN_STRUCT}, workout_html string, card_html string"
+BAD_PLAN_ROW = "user_id bigint, date date, landed string, text string"
 
 KEY_LIFT = "struct<exercise:string,sets:bigint,avg_weight:double,avg_reps:double,muscles:array<string>>"
 SUMMARY = (
@@ -78,6 +82,11 @@ AVERAGES = (
     "user_id bigint, avg_steps double, avg_resting_hr double, avg_sleep_hours double, "
     "avg_workout_duration_minutes double, avg_calories_burned double"
 )
+DASHBOARD = (
+    "user_id bigint, date date, steps bigint, distance double, wearable_calories bigint, workout_calories double, "
+    "total_calories bigint, sleep_hours double, sleep_score int, workout_title string, total_sets bigint, total_reps bigint, "
+    "total_weight_lifted double, steps_rolling double, sleep_hours_rolling double, total_calories_rolling double"
+)
 SUMMARIES = f"user_id bigint, date date, summary {SUMMARY}"
 FEED = "user_id bigint, date date, metric_type string, label string, value string"
 

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import exact_sum
-from ..plans.ingest import LOOKBACK_DAYS, store_series, store_workouts
+from ..plans.ingest import LOOKBACK_DAYS, store_log, store_series
 from ..plans.paths import Store
 from ..schemas import SET_LOG, WEARABLE_DOC
 from ..session import shared_folder
 from ..sources.readers import SOURCE, landed
-from ..sources.setlog import parse_set_log, split_log
 from ..sources.store import last_source_wins
 from ..sources.wearable import flatten_documents
 
@@ -69,8 +68,7 @@ def set_log_stream(
     """New set-log exports -> workouts and sets; stored days are immutable."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        log = parse_set_log(batch.withColumn("pos", F.monotonically_increasing_id()))
-        store_workouts(*split_log(log), store)
+        store_log(batch.withColumn("pos", F.monotonically_increasing_id()), store)
 
     rows = (
         spark.readStream.schema(f"{SET_LOG}, user_id bigint")

@@ -1,4 +1,5 @@
 import datetime
+import json
 
 from pyspark.sql import functions as F
 
@@ -7,7 +8,7 @@ from daylog.plans import rendering
 from daylog.plans.ingest import ingest_set_log, ingest_wearable
 from daylog.plans.paths import Store
 from daylog.session import shared_folder
-from daylog.schemas import FEED, STORED_PLAN
+from daylog.schemas import BAD_PLAN_ROW, FEED
 from daylog.sources.store import current_folder, load_audit, manifest, preview, read_flat, read_table
 
 from .conftest import rows
@@ -52,7 +53,7 @@ def test_combine_of_one_month_leaves_the_others(spark, put, tmp_path):
     assert jobs.load_combined(spark, store).daily.count() == 4
 
 
-def test_checks_and_plans_are_stored(spark, put, tmp_path):
+def test_checks_are_stored(spark, put, tmp_path):
     store = Store(str(tmp_path / "store"))
     ingest_wearable(spark, put("docs", 1, "a.json", DOC), store)
     ingest_set_log(spark, put("log", 1, "log.csv", CSV.replace("Pull Up", "Juggling")), store)
@@ -60,14 +61,39 @@ def test_checks_and_plans_are_stored(spark, put, tmp_path):
     counts = {n: read_flat(spark, f"{store.bad_rows}/{n}").count() for n in ("series", "sets", "exercises")}
     # "Curl" and "Juggling" are in no table; one set has an unreadable weight.
     assert counts == {"series": 0, "sets": 1, "exercises": 2}
-    texts = spark.createDataFrame([(1, '{"day_focus": "Push"}'), (2, "none")], "user_id bigint, text string")
-    rendering.store_plans(texts, store)
-    rendering.store_plans(spark.createDataFrame([(3, '{"day_focus": "Pull"}')], "user_id bigint, text string"), store)
-    rendering.store_plans(texts, store)
-    plans = read_table(spark, store.plans, STORED_PLAN, "whole").orderBy("user_id").collect()
-    assert [(p.user_id, p.plan.day_focus) for p in plans] == [(1, "Push"), (3, "Pull")]
-    assert "Push" in plans[0].workout_html and "Push" in plans[0].card_html
-    assert read_flat(spark, f"{store.bad_rows}/plans").first().user_id == 2
+
+
+def answers(spark, *rows_of):
+    text = "user_id bigint, date string, landed string, text string"
+    return spark.createDataFrame([(u, d, at, focus and json.dumps({"day_focus": focus})) for u, d, at, focus in rows_of], text)
+
+
+def test_plan_history_keeps_the_answer_that_landed_last(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    # The earlier answer has the larger text, and the batches come in the wrong order.
+    first = answers(spark, (1, "2025-03-01", "09:00", "Zzz Push"), (1, "2025-03-01", "10:00", "Pull"), (1, "2025-04-02", "08:00", "Legs"))
+    rendering.store_plans(first, store)
+    rendering.store_plans(answers(spark, (1, "2025-03-01", "08:00", "Old"), (3, "2025-03-05", "08:00", "Rest"), (2, "2025-03-05", "1", None)), store)
+    rendering.store_plans(first, store)  # a replay changes nothing
+    rendering.store_plans(answers(spark, (None, "2025-03-05", "1", "Nobody"), (4, None, "1", "Never")), store)
+    plans = rendering.plan_history(spark, store).orderBy("user_id", "date").collect()
+    assert [(p.user_id, p.date.isoformat(), p.landed, p.plan.day_focus) for p in plans] == [
+        (1, "2025-03-01", "10:00", "Pull"), (1, "2025-04-02", "08:00", "Legs"), (3, "2025-03-05", "08:00", "Rest")
+    ]
+    assert "Pull" in plans[0].workout_html and "Pull" in plans[0].card_html
+    newest = {p.user_id: p.plan.day_focus for p in rendering.latest_plans(spark, store).collect()}
+    assert newest == {1: "Legs", 3: "Rest"}
+    early = rendering.latest_plans(spark, store, datetime.date(2025, 3, 31)).collect()
+    assert {p.user_id: p.plan.day_focus for p in early} == {1: "Pull", 3: "Rest"}
+    bad = read_table(spark, f"{store.bad_rows}/plans", BAD_PLAN_ROW, "whole").collect()
+    assert sorted(str(r.user_id) for r in bad) == ["2", "4", "None"]
+
+
+def test_answers_that_land_at_once_are_decided_alike(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    for order in (("A", "B"), ("B", "A")):
+        rendering.store_plans(answers(spark, *((1, "2025-03-01", "1", x) for x in order)), store)
+    assert rendering.latest_plans(spark, store).first().plan.day_focus == "B"
 
 
 def test_missing_metrics_may_stay_null(spark):

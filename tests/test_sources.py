@@ -365,3 +365,16 @@ def test_a_session_is_chosen_in_one_scan(spark, put):
     log = parse_set_log(readers.read_set_log(spark, put("log", 1, "a.csv", CSV)))
     plan = first_sessions(log)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_an_export_is_read_once_and_its_unreadable_rows_are_kept(spark, put, tmp_path):
+    from daylog.schemas import LOG_ROW
+
+    store = Store(str(tmp_path / "store"))
+    text = export((9, "A", "Squat", 5), (10, "B", "Curl", 5)).replace("10 Oct 2025, 18:00", "some day")
+    folder = put("log", 1, "a.csv", text)
+    for _ in range(2):
+        ingest_set_log(spark, folder, store)
+    bad = read_table(spark, f"{store.bad_rows}/log", LOG_ROW, "whole").collect()
+    assert [(r.user_id, r.start_time, r.exercise_title) for r in bad] == [(1, "some day", "Curl")]
+    assert read_table(spark, store.sets, SETS).count() == 1 and read_table(spark, store.workouts, WORKOUTS).count() == 1
