@@ -82,7 +82,8 @@ def test_newest_state_takes_in_months_and_names_users_it_cannot_tell(spark):
 
 @pytest.fixture(scope="module")
 def filled(spark, tmp_path_factory):
-    """One store for all tests of the module, which only add to it."""
+    """One store for all tests of the module, which only add to it. Its many small plans are not worth compiling."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
     root = tmp_path_factory.mktemp("updates")
 
     def landed(kind, user, content):
@@ -96,7 +97,8 @@ def filled(spark, tmp_path_factory):
     ingest_wearable(spark, landed("docs", 2, document(span("2025-01-03", 12, 13))), store)
     ingest_set_log(spark, landed("log", 1, CSV), store)
     run_updates(spark, store, DAY)
-    return store
+    yield store
+    spark.conf.unset("spark.sql.codegen.wholeStage")
 
 
 def whole(spark, store):
