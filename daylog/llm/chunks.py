@@ -104,16 +104,17 @@ class Encoder:
         return passing
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
 
 
-def library_encoder(path: str) -> Encoder:
-    """The encoder of a tokenizer file, kept for the life of the worker."""
+def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Packed ids of texts by a tokenizer file, as the library's ``encode`` gives them without special tokens around; kept for
+    the life of the worker. A text that holds the string of an added token goes to the library whole."""
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
         def many(strings: list[str]) -> list[bytes]:
             out: list[bytes] = []
@@ -122,7 +123,17 @@ def library_encoder(path: str) -> Encoder:
                 out += [packed(x.ids) for x in part]
             return out
 
-        _ENCODERS[path] = Encoder(many)
+        by_chunks = Encoder(many)
+
+        def encode(texts: list[str]) -> list[bytes]:
+            marked = [i for i, x in enumerate(texts) if any(t in x for t in added)]
+            if not marked:
+                return by_chunks(texts)
+            whole = dict(zip(marked, many([texts[i] for i in marked]), strict=True))
+            plain = iter(by_chunks([x for i, x in enumerate(texts) if i not in whole]))
+            return [whole[i] if i in whole else next(plain) for i in range(len(texts))]
+
+        _ENCODERS[path] = encode
     return _ENCODERS[path]
 
 

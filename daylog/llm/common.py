@@ -54,6 +54,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame, *without: str) -> Column:
+    """All columns of a frame, but for some, as one struct: beside it other columns may have any name."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c not in without))
+
+
 def id_crc(col: Column) -> Column:
     """crc32 of an id written as text, unsigned."""
     return F.crc32(col.cast("string").cast("binary"))

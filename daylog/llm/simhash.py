@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daylog.llm.common import documents, small_batches, stored, texts_of
+from daylog.llm.common import documents, small_batches, stored, texts_of, whole_row
 
 SHINGLE = 3
 DISTANCE = 3
@@ -248,12 +248,18 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     """The rows of ``docs``, all columns as they are, with one of each group: that of the smallest id (null ids last)."""
     groups = near_duplicates(docs, shingle, distance)
     first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")).alias("first"))
-    first = first.select(F.col("first.no_id").alias("__no_id"), F.col("first.id").alias("__id"), F.col("first.text_hash").alias("__text_hash"))
-    keys = ["__no_id", "__id", "__text_hash"]
-    rows = docs.withColumns({"__no_id": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__text_hash": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    keys = ["no_id", "id", "text_hash"]
+    first = first.select("first.*")
+    # The columns given travel as one struct, so that no name of theirs meets a key.
+    rows = docs.select(
+        whole_row(docs).alias("row"),
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash"),
+    )
     # Rows that repeat an id and its text are alike in this; the first is taken.
     again = F.row_number().over(Window.partitionBy(keys).orderBy(keys))
-    return rows.join(first, keys, "left_semi").withColumn("__n", again).where("__n = 1").select(docs.columns)
+    return rows.join(first, keys, "left_semi").withColumn("n", again).where("n = 1").select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

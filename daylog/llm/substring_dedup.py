@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from daylog.llm.common import documents, in_blocks, mix64, small_batches, stored, texts_of, word_hashes, word_starts, words_of
+from daylog.llm.common import documents, in_blocks, mix64, small_batches, stored, texts_of, whole_row, word_hashes, word_starts, words_of
 
 WINDOW = 50
 MINIMISER = 4
@@ -251,8 +252,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, width: int = MINIMIS
     least = _least_documents(different, window, bucket_strings)
     met = strings.select("digest", "doc_id", "text_hash", "start").join(least, "digest")
     hits = met.select("doc_id", "text_hash", "start", F.transform("least", lambda x: x < F.col("doc_id")).alias("hits")).where(F.exists("hits", lambda x: x))
-    # Bounded by the length of the one text.
-    return hits.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("starts"), F.collect_list("hits").alias("hits"))
+    # Bounded by the length of the one text: rows that repeat an id and its text give the same places once.
+    places = hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "hits")).alias("places"))
+    return places.select("doc_id", "text_hash", F.col("places.start").alias("starts"), F.col("places.hits").alias("hits"))
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, width: int = MINIMISER, bitmap_bits: int = BITMAP_BITS, bucket_strings: int = BUCKET_STRINGS) -> DataFrame:
@@ -276,28 +278,26 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, width: int = MINIMIS
 def without_repeats(docs: DataFrame, window: int = WINDOW, **parameters: int) -> DataFrame:
     """The rows of ``docs``, all columns as they are but for texts that lose words: those hold the words left, joined by a
     space, and ``n_chars`` follows. A row that loses its last word goes."""
-    spans = repeated_windows(docs, window, **parameters).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"), F.col("hits").alias("__hits"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    met = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64(text)}).join(spans, ["__id", "__hash"], "left")
-    met = met.select(*docs.columns, "__starts", "__hits")
+    spans = repeated_windows(docs, window, **parameters)
+    text = F.col("text").cast("string")
+    # The other columns travel as one struct, so that no name of theirs meets a key.
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), text.alias("text"), whole_row(docs, "text").alias("rest"))
+    met = given.join(spans, ["doc_id", "text_hash"], "left").select("rest", "text", "starts", "hits")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            texts, gone = batch.column("text").to_pylist(), []
-            for i, (starts, hits) in enumerate(zip(batch.column("__starts").to_pylist(), batch.column("__hits").to_pylist(), strict=True)):
+            texts, stay = batch.column("text").to_pylist(), np.ones(batch.num_rows, bool)
+            for i, (starts, hits) in enumerate(zip(batch.column("starts").to_pylist(), batch.column("hits").to_pylist(), strict=True)):
                 if starts:
                     words = left_words(texts[i], starts, hits, window)[1]
-                    texts[i] = joined(words)
-                    if not words:
-                        gone.append(i)
-            batch = batch.drop_columns(["__starts", "__hits"])
-            batch = batch.set_column(batch.schema.get_field_index("text"), batch.schema.field("text"), pa.array(texts, pa.string()))
-            stay = np.ones(batch.num_rows, bool)
-            stay[gone] = False
-            yield batch.filter(pa.array(stay))
-
-    kept = met.mapInArrow(remove, docs.schema)
-    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
+                    texts[i], stay[i] = joined(words), bool(words)
+            columns = [batch.column("rest"), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rest", "text"]).filter(pa.array(stay))
+
+    kept = met.mapInArrow(remove, StructType([met.schema["rest"], met.schema["text"]]))
+    n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    own = {"text": F.col("text"), "n_chars": n_chars}
+    return kept.select(*((own[c] if c in own else F.col("rest").getField(c)).alias(c) for c in docs.columns))
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,3 +163,17 @@ def test_near_duplicates_of_odd_rows(spark, docs, no_docs):
 def test_links_refuse_a_radius_the_keys_miss(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 4)
+
+
+def test_rows_that_repeat_an_id_and_its_text_count_once_in_the_places(spark):
+    from daylog.llm.common import ship_code
+
+    ship_code(spark)
+    rng = random.Random(5)
+    text = " ".join(rng.choice(["ab", "cd", "e", "the", "g,", "h"]) + str(rng.randint(0, 99)) for _ in range(300))
+    rows = [(1, text)] + [(2, text)] * 400 + [(3, "short")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    places = substring_dedup.repeated_windows(frame, 50).collect()
+    assert [r.doc_id for r in places] == [2] and len(places[0].starts) == len(set(places[0].starts)) <= 300
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring_dedup.dedup_substrings(frame, 50).collect())
+    assert got == kept_words(rows, 50)

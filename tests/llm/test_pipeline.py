@@ -57,7 +57,6 @@ def test_pipeline_equals_plain_stages(spark):
             left.append((i, mine[3]))
     assert any(t not in {x for _, x in single} for _, t in left)
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for i, text in left:
         ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
@@ -65,15 +64,19 @@ def test_pipeline_equals_plain_stages(spark):
     assert Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in got) == want
 
 
+CLASHES = "__id __n __no_id __hash __text_hash __starts __hits starts hits label rest row id n no_id text_hash group fp score".split()
+
+
 def test_stages_keep_the_columns_and_take_empty_tables(spark):
     ship_code(spark)
     rows, marks = corpus(13, 60)
     for given in (rows, []):
         folder = written(spark, given, marks)
-        docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("starts", F.lit("clash")).withColumn("label", F.lit(3))
+        docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns({name: F.lit(f"clash {name}") for name in CLASHES})
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, folder)
             if name != "packing":
                 assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+                assert all(r[name] == f"clash {name}" for r in out.collect() for name in CLASHES), name
             assert (out.count() > 0) == bool(given)
             docs = out

@@ -22,7 +22,6 @@ from tests.llm.conftest import TEXTS
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -44,6 +43,12 @@ def test_chunked_encoding_equals_whole_encoding(library):
     assert library_encoder(public_tokenizers.path("byte_bpe_50k.json"))(texts) == [packed(library(x)) for x in texts]
 
 
+def test_added_tokens_are_those_of_the_plain_call(library):
+    texts = ["a <|endoftext|> b", "plain words", "<|endoftext|><|endoftext|>x <|endoftext|", "", "more plain words"]
+    assert library(texts[0]) == [64, 220, 50256, 275]
+    assert library_encoder(public_tokenizers.path("byte_bpe_50k.json"))(texts) == [packed(library(x)) for x in texts]
+
+
 def test_store_round_trip(spark, docs, library):
     path = token_shards.write_tokens(docs.withColumn("start", F.lit("clash")), new_folder(spark, "t"), bucket_keys=3)
     rows = token_shards.read_tokens(spark, path, token_shards.all_keys(docs)).collect()
