@@ -574,5 +574,26 @@ def _rendered() -> dict[str, str]:
     }
 
 
+# Figures merged from months are those of one pass.
+BODIES["averages_by_month"] = BODIES["averages"]
+BODIES["nonzero_means_by_month"] = BODIES["nonzero_means"]
+BODIES["valid_range_by_month"] = BODIES["valid_date_range"]
+BODIES |= {
+    "newest_days_after_update": """, per_day AS (
+      SELECT DISTINCT o_custkey // 10 AS user_id, CAST(DATE '2023-11-20' + CAST(o_orderkey % 71 AS INTEGER) AS DATE) AS date FROM orders
+    ) SELECT user_id, date, CAST(date AS VARCHAR) AS summary FROM per_day
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY date DESC) <= 8""",
+    "nested_heart_rate": """SELECT user_id, CAST(ts AS DATE) AS date, event_id AS seq,
+      CASE WHEN event_id % 4 = 0 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS value FROM events""",
+    "malformed_sets_skipped": """, entries AS (
+      SELECT *, 0 AS pos, o_orderpriority AS exercise FROM orders
+      UNION ALL SELECT *, 1, CASE WHEN o_orderkey % 3 <> 0 THEN 'B' END FROM orders
+      UNION ALL SELECT *, 2, CASE WHEN o_orderkey % 2 = 0 THEN 'C' END FROM orders
+    ) SELECT o_custkey // 10 AS user_id, CAST(DATE '2023-11-20' + CAST(o_orderkey % 71 AS INTEGER) AS DATE) AS date,
+      CAST(pos AS BIGINT) AS pos, exercise, o_totalprice AS weight_lbs, CAST(o_orderkey % 20 AS INTEGER) AS reps, '' AS notes, 0 AS n_muscles
+    FROM entries WHERE exercise IS NOT NULL AND o_orderkey % 7 <> 0""",
+}
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: VIEWS + body for name, body in {**BODIES, **_rendered()}.items()}

@@ -24,10 +24,13 @@ from daylog.functions.effort import is_weighted, km_to_miles, pounds_to_kg
 from daylog.functions.numbers import fixed, float_text, round_exact, round_whole, thousands
 from daylog.functions.text import fill_template
 from daylog.operators import coach, days, dims, feed, trends, weeks, workouts
+from daylog.operators.coach import newest_state, newest_summaries
 from daylog.operators.latest import last_write_wins, pivot_latest
+from daylog.operators.month_parts import averages_of, merged, month_parts, reference_lines_of, valid_ranges_of
 from daylog.plans import daily as jobs
 from daylog.plans import rendering
-from daylog.schemas import DAY
+from daylog.schemas import COMBINED_SET, DAY
+from daylog.sources.readers import combined_sets
 from daylog.sources.setlog import legacy_log, parse_set_log, split_log
 from daylog.sources.store import load_audit, new_wins, preview, stored_wins, union_rows
 from daylog.sources.wearable import basic_series, flatten_documents
@@ -279,6 +282,39 @@ def averages(spark, sf):
     return means.select("user_id", *(six(c) for c in means.columns if c != "user_id"))
 
 
+def _merged_months(spark, sf):
+    return merged(month_parts(b.daily(spark, sf)))
+
+
+@query
+def averages_by_month(spark, sf):
+    """The averages from stored sums and counts of months."""
+    means = averages_of(_merged_months(spark, sf))
+    return means.select("user_id", *(six(c) for c in means.columns if c != "user_id"))
+
+
+@query
+def nonzero_means_by_month(spark, sf):
+    lines = reference_lines_of(_merged_months(spark, sf))
+    return lines.select("user_id", *(six(f"avg_{c}") for c in trends.CHARTED))
+
+
+@query
+def valid_range_by_month(spark, sf):
+    return valid_ranges_of(_merged_months(spark, sf))
+
+
+@query
+def newest_days_after_update(spark, sf):
+    """The eight newest days of each user when January is replaced by a fuller January beside a stored state."""
+    days = b.workout_rows(spark, sf).select(*DAY).distinct().withColumn("summary", F.col("date").cast("string"))
+    january = F.date_format("date", "yyyy-MM") == "2024-01"
+    stored = newest_summaries(days.filter(~january | (F.dayofmonth("date") % 3 != 0)))
+    kept, short = newest_state(stored, days.filter(january), ["2024-01"])
+    again = newest_summaries(days.join(short, "user_id", "left_semi"))
+    return kept.join(short, "user_id", "left_anti").unionByName(again)
+
+
 @query
 def averages_text(spark, sf):
     return trends.averages_lines(trends.averages(b.daily(spark, sf)))
@@ -661,3 +697,38 @@ def prompt_text(spark, sf):
         }
     )
     return rendering.prompt_text(bare, profiles, b.PLAN_DAY)
+
+
+@query
+def nested_heart_rate(spark, sf):
+    """Heart values as nested records: some without the rate, some no record at all, some absent."""
+    k = F.get_json_object("props", "$.k")
+    kind = F.col("event_id") % 4
+    text = (
+        F.when(kind == 0, F.concat(F.lit('{"restingHeartRate": '), k, F.lit(', "zones": []}')))
+        .when(kind == 1, F.lit('{"zones": []}'))
+        .when(kind == 2, F.concat(F.lit('"'), k, F.lit('"')))
+    )
+    rows = b.table(spark, sf, "events").select(
+        "user_id", F.col("ts").cast("date").alias("date"), F.lit("heart").alias("metric"), text.alias("value"), F.col("event_id").alias("seq")
+    )
+    return days.typed_series(rows).select(*DAY, "seq", "value")
+
+
+@query
+def malformed_sets_skipped(spark, sf):
+    """Sets of combined records whose lists hold null and nameless entries."""
+    key = F.col("o_orderkey")
+
+    def entry(name: Column) -> Column:
+        fields = {"exercise": name, "set_type": F.lit("normal"), "weight_lbs": F.col("o_totalprice"), "reps": key % 20}
+        none = {"distance": F.lit(None), "notes": F.lit(None), "muscle_groups": F.lit(None)}
+        return F.struct(*(c.alias(n) for n, c in (fields | none).items())).cast(COMBINED_SET)
+
+    entries = F.array(
+        entry(F.col("o_orderpriority")), F.when(key % 3 != 0, entry(F.lit("B"))), entry(F.when(key % 2 == 0, F.lit("C")))
+    )
+    records = b.table(spark, sf, "orders").select(
+        b.user().alias("user_id"), b.day().alias("date"), F.struct(F.when(key % 7 != 0, entries).alias("exercises")).alias("record")
+    )
+    return combined_sets(records).select(*DAY, "pos", "exercise", "weight_lbs", "reps", "notes", F.size("muscle_groups").alias("n_muscles"))
