@@ -39,8 +39,13 @@ def _per_week(days: DataFrame) -> DataFrame:
     )
 
 
+def week_figures(sets: DataFrame) -> DataFrame:
+    """Sets and weight x reps per user, week and muscle: what is stored by week, and what the weekly views are made of."""
+    return _per_week(muscle_days(sets))
+
+
 def weekly_sets(sets: DataFrame) -> DataFrame:
-    return _per_week(muscle_days(sets)).select("user_id", "week", "muscle", "sets")
+    return week_figures(sets).select("user_id", "week", "muscle", "sets")
 
 
 def weekly_sets_trailing(sets: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
@@ -54,7 +59,10 @@ def weekly_sets_trailing(sets: DataFrame, days: int = TRAILING_DAYS) -> DataFram
 
 def weekly_weight_ranked(sets: DataFrame, weeks: int = TRAILING_WEEKS) -> DataFrame:
     """Weekly weight x reps per muscle of the trailing weeks, ranked within the week."""
-    weekly = _per_week(muscle_days(sets))
+    return ranked_of(week_figures(sets), weeks)
+
+
+def ranked_of(weekly: DataFrame, weeks: int = TRAILING_WEEKS) -> DataFrame:
     newest = F.max("week").over(Window.partitionBy("user_id"))
     recent = weekly.withColumn("newest", newest).filter(F.col("week") >= F.date_sub("newest", 7 * weeks))
     order = Window.partitionBy("user_id", "week").orderBy(F.desc("volume"), F.asc("muscle"))
@@ -65,10 +73,13 @@ def weekly_weight_ranked(sets: DataFrame, weeks: int = TRAILING_WEEKS) -> DataFr
 
 def weekly_progress(sets: DataFrame, muscles: Sequence[str] = TRACKED, span: int = TREND_WEEKS) -> DataFrame:
     """Weekly volume of the tracked muscles with the mean of the last ``span`` training weeks."""
-    tracked = muscle_days(sets.filter(F.arrays_overlap("muscle_groups", F.array(*map(F.lit, muscles)))))
-    weekly = _per_week(tracked.filter(F.col("muscle").isin(*muscles)))
+    return progress_of(week_figures(sets.filter(F.arrays_overlap("muscle_groups", F.array(*map(F.lit, muscles))))), muscles, span)
+
+
+def progress_of(weekly: DataFrame, muscles: Sequence[str] = TRACKED, span: int = TREND_WEEKS) -> DataFrame:
     trend = Window.partitionBy("user_id", "muscle").orderBy("week").rowsBetween(1 - span, 0)
-    return weekly.select("user_id", "week", "muscle", "volume", F.avg("volume").over(trend).alias("volume_rolling"))
+    rows = weekly.filter(F.col("muscle").isin(*muscles))
+    return rows.select("user_id", "week", "muscle", "volume", F.avg("volume").over(trend).alias("volume_rolling"))
 
 
 def week_volume(sets: DataFrame, day: datetime.date) -> DataFrame:

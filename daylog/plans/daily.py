@@ -35,9 +35,9 @@ from ..operators.dims import checked_broadcast, exercise_dim, unmapped_exercises
 from ..operators.feed import between_days, metric_feed, missing_days, on_day
 from ..operators.month_parts import MONTH_PARTS, averages_of, merged, month_parts, user_means_of
 from ..operators.trends import ROLLING_ROWS, averages_lines, dashboard_days, rolling_means, set_totals, with_user_means
-from ..operators.weeks import week_volume, weekly_progress, weekly_sets, weekly_sets_trailing, weekly_weight_ranked
+from ..operators.weeks import progress_of, ranked_of, week_figures, week_volume, weekly_sets_trailing
 from ..operators.workouts import workout_text
-from ..schemas import AVERAGES, DAILY, DASHBOARD, DAY, FEED, SERIES, SETS, SUMMARIES, WORKOUTS
+from ..schemas import AVERAGES, DAILY, DASHBOARD, DAY, FEED, SERIES, SETS, SUMMARIES, WEEKS, WORKOUTS
 from ..sources.snapshots import begin, newest
 from ..sources.store import (
     MONTH,
@@ -282,10 +282,50 @@ def load_dashboard(spark: SparkSession, store: Store) -> DataFrame:
     return rows.join(means, "user_id", "left")
 
 
-def run_weekly(spark: SparkSession, store: Store) -> None:
-    """Store the weekly tables: all weeks, the trailing days, ranked weights, and tracked muscles."""
-    sets = load_combined(spark, store).sets
-    write_flat(weekly_sets(sets), f"{store.weekly}/sets")
-    write_flat(weekly_sets_trailing(sets), f"{store.weekly}/sets_trailing")
-    write_flat(weekly_weight_ranked(sets), f"{store.weekly}/weight_ranked")
-    write_flat(weekly_progress(sets), f"{store.weekly}/progress")
+def weeks_of(months: Sequence[str]) -> list[datetime.date]:
+    """The Mondays of all weeks that have a day in one of the months."""
+    found = set()
+    for month in months:
+        day = datetime.date.fromisoformat(f"{month}-01")
+        while day.isoformat()[:7] == month:
+            found.add(day - datetime.timedelta(days=day.weekday()))
+            day += datetime.timedelta(days=1)
+    return sorted(found)
+
+
+def write_weeks(spark: SparkSession, store: Store, months: Sequence[str] | None = None) -> list[str]:
+    """Bring the stored weeks up to date with the ``months`` that changed (None: all); returns the weeks written.
+
+    Weeks that straddle months are partitions like others, made from the days of both. Of the weeks that may have changed
+    only those whose figures differ from the stored ones are written.
+    """
+    mondays = None if months is None else weeks_of(months)
+    base = begin(spark, store.weeks)
+    needed = None if mondays is None else sorted({(d + datetime.timedelta(days=k)).isoformat()[:7] for d in mondays for k in (0, 6)})
+    sets = read_table(spark, store.training_sets, TRAINING_SETS, MONTH, needed).drop(MONTH)
+    fresh = week_figures(sets).withColumnRenamed("week", "date").select(*(x.split()[0] for x in WEEKS.split(", ")))
+    if mondays is not None:
+        fresh = fresh.filter(F.col("date").isin(*mondays))
+    stored = read_table(spark, store.weeks, WEEKS, ONE_DAY, None if mondays is None else [d.isoformat() for d in mondays], base).drop(ONE_DAY)
+    both = fresh.withColumn("side", F.lit(1)).unionByName(stored.withColumn("side", F.lit(-1)))
+    differing = both.groupBy(*stored.columns).agg(F.sum("side").alias("side")).filter("side <> 0")
+    weeks = sorted(r.date.isoformat() for r in differing.select("date").distinct().collect())  # bounded by the calendar
+    if weeks:
+        rows = fresh.filter(F.date_format("date", "yyyy-MM-dd").isin(*weeks))
+        write_partitions(rows, store.weeks, ["user_id", "muscle"], ONE_DAY, weeks, base)
+    return weeks
+
+
+def run_weekly(spark: SparkSession, store: Store, months: Sequence[str] | None = None) -> list[str]:
+    """Store the weekly tables: all weeks, the trailing days, ranked weights, and tracked muscles.
+
+    The views come from the stored weeks, for which sets are read of the weeks that the ``months`` touch (None: all). The
+    trailing days begin at each user's own last day, so they are taken from all sets.
+    """
+    weeks = write_weeks(spark, store, months)
+    weekly = read_table(spark, store.weeks, WEEKS, ONE_DAY).drop(ONE_DAY).withColumnRenamed("date", "week")
+    write_flat(weekly.select("user_id", "week", "muscle", "sets"), f"{store.weekly}/sets")
+    write_flat(weekly_sets_trailing(load_combined(spark, store).sets), f"{store.weekly}/sets_trailing")
+    write_flat(ranked_of(weekly), f"{store.weekly}/weight_ranked")
+    write_flat(progress_of(weekly), f"{store.weekly}/progress")
+    return weeks

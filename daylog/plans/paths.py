@@ -77,6 +77,10 @@ class Store:
     def weekly(self) -> str:
         return self._at("weekly")
 
+    @property
+    def weeks(self) -> str:
+        return self._at("weeks")
+
     @property
     def documents(self) -> str:
         return self._at("documents")

@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.snapshots import begin, commit, newest
-from .daily import run_averages, run_combine, run_dashboard, run_feed_months, run_payload
+from .daily import run_averages, run_combine, run_dashboard, run_feed_months, run_payload, run_weekly
 from .paths import Store
 
 
@@ -34,7 +34,7 @@ def changed_months(spark: SparkSession, store: Store, job: str, sources: Mapping
 
 
 def run_updates(spark: SparkSession, store: Store, day: datetime.date, dim: DataFrame | None = None, dashboard_dim: DataFrame | None = None) -> list[str]:
-    """Bring days, averages, feed, dashboard and the payload of ``day`` up to date with every ingest so far.
+    """Bring days, averages, feed, dashboard, weeks and the payload of ``day`` up to date with every ingest so far.
 
     Returns the months whose days were made anew. ``dim`` is the exercise table; a new one asks for ``run_combine`` over
     all months.
@@ -47,5 +47,6 @@ def run_updates(spark: SparkSession, store: Store, day: datetime.date, dim: Data
             run_averages(spark, store, derived)
             run_feed_months(spark, store, derived)
             run_dashboard(spark, store, dashboard_dim, derived)
+            run_weekly(spark, store, derived)
     run_payload(spark, store, day)
     return months

@@ -88,6 +88,8 @@ DASHBOARD = (
     "total_weight_lifted double, steps_rolling double, sleep_hours_rolling double, total_calories_rolling double"
 )
 SUMMARIES = f"user_id bigint, date date, summary {SUMMARY}"
+# ``date`` is the Monday of the week; a week is one partition, whichever months it lies in.
+WEEKS = "user_id bigint, date date, muscle string, sets bigint, volume double"
 FEED = "user_id bigint, date date, metric_type string, label string, value string"
 
 DAY = ["user_id", "date"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daylog.operators.coach import day_summaries, newest_state, newest_summaries
 from daylog.operators.month_parts import averages_of, merged, month_parts, reference_lines_of, user_means_of, valid_ranges_of
 from daylog.operators.trends import averages, reference_lines, valid_ranges, with_user_means
+from daylog.operators.weeks import weekly_progress, weekly_sets, weekly_weight_ranked
 from daylog.plans import daily as jobs
 from daylog.plans.ingest import ingest_set_log, ingest_wearable
 from daylog.plans.paths import Store
@@ -59,6 +60,11 @@ def test_merged_month_parts_equal_one_pass(spark):
     assert rows(user_means_of(users), "user_id") == rows(overall, "user_id")
 
 
+def test_weeks_of_a_month_include_those_that_straddle_it():
+    found = [d.isoformat() for d in jobs.weeks_of(["2025-02"])]
+    assert found == ["2025-01-27", "2025-02-03", "2025-02-10", "2025-02-17", "2025-02-24"]
+
+
 def state(spark, **days):
     text = "user_id bigint, date date, summary string"
     return spark.createDataFrame([(int(u[1:]), d, f"{u} {d}") for u, dd in days.items() for d in dd], text)
@@ -109,6 +115,9 @@ def whole(spark, store):
         "averages": rows(averages(combined.daily), "user_id"),
         "dashboard": rows(jobs.dashboard(jobs.Combined(combined.daily, combined.sets), dim), "user_id", "date"),
         "feed": sorted(map(tuple, jobs.feed_of_all(combined).collect())),
+        "weeks": sorted(map(tuple, weekly_sets(combined.sets).collect())),
+        "ranked": sorted(map(tuple, weekly_weight_ranked(combined.sets).collect())),
+        "progress": sorted(map(tuple, weekly_progress(combined.sets).collect())),
         "recent": sorted((r.user_id, r.date) for r in newest_summaries(day_summaries(combined.sets)).collect()),
     }
 
@@ -119,6 +128,9 @@ def stored(spark, store):
         "averages": rows(read_flat(spark, store.averages), "user_id"),
         "dashboard": rows(jobs.load_dashboard(spark, store).select(names), "user_id", "date"),
         "feed": sorted(map(tuple, read_table(spark, store.feed, FEED).drop("month").collect())),
+        "weeks": sorted(map(tuple, read_flat(spark, f"{store.weekly}/sets").collect())),
+        "ranked": sorted(map(tuple, read_flat(spark, f"{store.weekly}/weight_ranked").collect())),
+        "progress": sorted(map(tuple, read_flat(spark, f"{store.weekly}/progress").collect())),
         "recent": sorted((r.user_id, r.date) for r in read_table(spark, store.recent, SUMMARIES, WHOLE).collect()),
     }
 
@@ -146,7 +158,7 @@ def test_averages_read_touched_months_only(spark, filled, monkeypatch):
 
 def test_a_late_day_reaches_every_table_without_naming_months(spark, put, filled):
     assert stored(spark, filled) == whole(spark, filled)
-    before = {name: manifest(spark, getattr(filled, name)) for name in ("daily", "feed", "dashboard", "month_parts", "summaries")}
+    before = {name: manifest(spark, getattr(filled, name)) for name in ("daily", "feed", "dashboard", "month_parts", "summaries", "weeks")}
     ingest_wearable(spark, put("late", 1, "b.json", document(span("2025-02-10", 1), 77, "2025-07-02")), filled)
     ingest_set_log(spark, put("late_log", 1, "more.csv", export((1, "New", "Squat", 5)).replace("Oct 2025", "Feb 2025")), filled)
     assert run_updates(spark, filled, DAY) == ["2025-02"]
@@ -154,6 +166,7 @@ def test_a_late_day_reaches_every_table_without_naming_months(spark, put, filled
     after = {name: manifest(spark, getattr(filled, name)) for name in before}
     for name in ("daily", "feed", "month_parts", "summaries"):
         assert {m for m in after[name] if after[name][m] != before[name].get(m)} == {"2025-02"}
+    assert {w for w in after["weeks"] if after["weeks"][w] != before["weeks"].get(w)} == {"2025-01-27"}  # 1 February is a Saturday
     moved = {m for m in after["dashboard"] if after["dashboard"][m] != before["dashboard"].get(m)}
     assert "2025-02" in moved and "2025-01" not in moved and "2025-10" not in moved
     assert run_updates(spark, filled, DAY) == []
