@@ -143,12 +143,24 @@ def _lots(conversations: DataFrame) -> DataFrame:
     rows = turns_of(conversations).withColumn("lot", lot)
     late = F.col("turn").bitwiseAND((1 << LOT_BITS) - 1) >= (1 << LOT_BITS) - HISTORY_TURNS
     before = rows.where(late).withColumn("lot", F.col("lot") + 1).withColumn("kind", F.lit(BEFORE))
-    several = rows.groupBy(F.col("conv_id").alias("id")).agg(F.min("lot").alias("lo"), F.max("lot").alias("hi")).where("lo < hi")
-    long = rows.join(several.drop("hi"), F.col("conv_id").eqNullSafe(F.col("id")))
-    begins = long.where("lot = lo").groupBy("id").agg(F.min(F.struct(*ORDER, "text")).alias("first"))
+    return rows.withColumn("kind", F.lit(OWN)).unionByName(before).unionByName(_first_turns(rows))
+
+
+def _first_turns(rows: DataFrame) -> DataFrame:
+    """The first turn of every conversation of several lots, for each of its later lots; its text only if it is a system turn.
+
+    Found without texts; those are read of system turns alone.
+    """
+    slim = rows.select("conv_id", "lot", *ORDER)
+    several = slim.groupBy(F.col("conv_id").alias("id")).agg(F.min("lot").alias("lo"), F.max("lot").alias("hi")).where("lo < hi")
+    long = slim.join(several.drop("hi"), F.col("conv_id").eqNullSafe(F.col("id")))
+    begins = long.where("lot = lo").groupBy("id").agg(F.min(F.struct(*ORDER)).alias("first"))
+    said = rows.where(F.col("role") == SYSTEM).select("conv_id", F.struct(*ORDER).alias("first_of"), "text")
+    same = F.col("conv_id").eqNullSafe(F.col("id")) & F.col("first_of").eqNullSafe(F.col("first"))
+    found = begins.join(said, same, "left").groupBy("id", "first").agg(F.min("text").alias("text"))  # repeated rows have one text
     lots = long.where("lot > lo").select("conv_id", "lot").distinct()
-    first = lots.join(begins, F.col("conv_id").eqNullSafe(F.col("id"))).select("conv_id", "first.*", "lot", F.lit(FIRST).alias("kind"))
-    return rows.withColumn("kind", F.lit(OWN)).unionByName(before).unionByName(first)
+    met = lots.join(found, F.col("conv_id").eqNullSafe(F.col("id")))
+    return met.select("conv_id", "first.*", F.coalesce("text", F.lit("")).alias("text"), "lot", F.lit(FIRST).alias("kind"))
 
 
 def chat_windows(
