@@ -1,31 +1,45 @@
 """Byte-level BPE of whole texts with the tokenizers library, each distinct space-led chunk encoded once per worker.
 
 The split pattern of byte-level BPE always starts a new piece at a space that is followed by a non-space, so a text may be
-cut there and the ids of the parts joined. Words repeat, so a worker keeps the ids of the chunks it has met.
+cut there and the ids of the parts joined. A line feed between two non-spaces is a piece of its own, so a text may be cut
+there as well. Words repeat, so a worker keeps the ids of the chunks it has met.
 """
 
 from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from itertools import chain
 
 #: A space before a non-space: the pattern starts a piece there.
 CUT = re.compile(r" (?=\S)")
 #: A space that no such cut may take.
 ODD = re.compile(r" (?!\S)")
-#: Chunks kept in one worker; beyond it the worker starts afresh. Bounds memory, not results.
-KEPT = 1_200_000
+#: A line feed beside other white space, or at an end.
+ODD_FEED = re.compile(r"\n(?:(?!\S)|(?<!\S\n))")
+#: Chunks met lately in one worker; as many that were met before them are kept too. Bounds memory, not results.
+KEPT = 300_000
 #: Longer chunks are encoded whenever they occur, and not kept.
 KEPT_CHARS = 64
 #: Marks that, after an ASCII letter, start a piece of the pattern.
 MARKS = ".,;:!?#$%&*"
+#: Letters by every version of Unicode in use, so that a word of them, led by a space or not, is one piece of the pattern.
+ONE_PIECE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁぁ-ゖァ-ヺ一-龥가-힣]+").fullmatch
 LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 def chunks_of(text: str) -> list[str]:
-    """The text cut before every space that leads a word; all chunks but the first have lost that space."""
-    return CUT.split(text) if ODD.search(text) else text.split(" ")
+    """The text cut before every space that leads a word; all chunks but the first have lost that space.
+
+    Where each line feed stands between two non-spaces the text is cut before them too; those chunks keep the line feed.
+    No other chunk but the first starts with one.
+    """
+    if ODD.search(text):
+        return CUT.split(text)
+    if "\n" in text and not ODD_FEED.search(text):
+        text = text.replace("\n", " \n")
+    return text.split(" ")
 
 
 def packed(ids) -> bytes:
@@ -33,75 +47,106 @@ def packed(ids) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def atoms_of(chunk: str) -> list[tuple[bool, str]]:
-    """A space-led chunk cut further where the pattern cuts for certain: (led by the space, text) of each part.
+class Memory:
+    """Values by key. Once ``kept`` new keys have come, those that were not asked for since the last time are forgotten."""
 
-    A line feed between two non-spaces is a piece of its own, and marks that follow an ASCII letter start a piece. Words
-    then recur without what happens to stand around them.
-    """
-    words = [chunk]
-    if "\n" in chunk:
-        parts = chunk.split("\n")
-        if all(parts) and "".join(chunk.split()) == "".join(parts):  # no other white space
-            words = parts
-    out = []
-    for i, word in enumerate(words):
-        if i:
-            out.append((False, "\n"))
-        base = word.rstrip(MARKS)
-        if base and len(base) < len(word) and base[-1] in LETTERS:
-            out += [(not i, base), (False, word[len(base) :])]
-        else:
-            out.append((not i, word))
-    return out
+    def __init__(self, kept: int) -> None:
+        self.kept = kept
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def __len__(self) -> int:
+        return len(self.new) + len(self.old)
+
+    def turn(self) -> None:
+        if len(self.new) > self.kept:
+            self.old, self.new = self.new, {}
+
+    def missing(self, keys: Iterable[str]) -> list[str]:
+        """The keys that are not known; those that are will be found in ``new``."""
+        absent, new, old = [], self.new, self.old
+        for key in set(keys).difference(new):
+            value = old.pop(key, None)
+            if value is None:
+                absent.append(key)
+            else:
+                new[key] = value
+        return absent
 
 
 class Encoder:
     """Ids of texts as packed bytes. ``many`` encodes a list of strings into a list of packed ids."""
 
     def __init__(self, many: Callable[[list[str]], list[bytes]], kept: int = KEPT) -> None:
-        self.many, self.kept = many, kept
-        self.led: dict[str, bytes] = {}  # by the chunk without its space
-        self.bare: dict[str, bytes] = {}
+        self.many = many
+        self.led = Memory(kept)  # by the chunk without its space
+        self.bare = Memory(kept // 4)
+        self.feed = many(["\n"])[0]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.led) + len(self.bare) > self.kept:
-            self.led.clear()
-            self.bare.clear()
-        look_up = self.led.get
+        self.led.turn()
+        self.bare.turn()
         parts = [chunks_of(x) for x in texts]
         heads = self.many([x[0] for x in parts])
-        found = [list(map(look_up, x)) for x in parts]
-        gaps = []
-        for head, ids, x in zip(heads, found, parts, strict=True):
-            ids[0] = head
-            gaps.append([i for i, y in enumerate(ids) if y is None] if None in ids else [])
-        passing = self._learn(list({x[i] for own, x in zip(gaps, parts, strict=True) for i in own}))
-        for own, ids, x in zip(gaps, found, parts, strict=True):
-            for i in own:
-                ids[i] = look_up(x[i])
-        for x in passing:
-            self.led.pop(x, None)
-        return [b"".join(ids) for ids in found]
-
-    def _learn(self, new: list[str]) -> list[str]:
-        """Make ``new`` chunks known; returns those that are not worth keeping."""
-        cut = [((True, x),) if x.isalpha() else atoms_of(x) for x in new]  # most are plain words
-        led, bare = self.led, self.bare
-        led_new = list({t for atoms in cut for first, t in atoms if first and t not in led})
-        bare_new = list({t for atoms in cut for first, t in atoms if not first and t not in bare})
-        led.update(zip(led_new, self.many([" " + x for x in led_new]), strict=True))
-        bare.update(zip(bare_new, self.many(bare_new), strict=True))
-        passing = [x for x in led_new if len(x) > KEPT_CHARS]
-        for x, atoms in zip(new, cut, strict=True):
-            if len(atoms) > 1:
-                led[x] = b"".join([led[t] if first else bare[t] for first, t in atoms])
-                if len(atoms) > 2 or len(x) > KEPT_CHARS:
-                    passing.append(x)
-        for x in bare_new:
+        for x in parts:
+            del x[0]
+        new = self.led.missing(chain.from_iterable(parts))
+        self._learn(new)
+        found = self.led.new
+        out = [head + b"".join(map(found.__getitem__, x)) for head, x in zip(heads, parts, strict=True)]
+        for x in new:
             if len(x) > KEPT_CHARS:
-                del bare[x]
-        return passing
+                del found[x]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        """Make ``new`` chunks known: a line feed, the word, and marks after it are pieces of their own."""
+        words, composed = [], []
+        for x in new:
+            if x.isalpha():
+                words.append(x)
+                continue
+            fed = x[0] == "\n"
+            word = x[1:] if fed else x
+            base = word.rstrip(MARKS)
+            if not base or len(base) == len(word) or base[-1] not in LETTERS:
+                base = word
+            if fed or len(base) < len(word):
+                composed.append((x, fed, base, word[len(base) :]))
+            else:
+                words.append(x)
+        led, bare = self.led, self.bare
+        words += led.missing({base for _, fed, base, _ in composed if not fed}.difference(words))
+        led.new.update(zip(words, self.many([" " + x for x in words]), strict=True))
+        others = bare.missing({base for _, fed, base, _ in composed if fed} | {marks for *_, marks in composed if marks})
+        bare.new.update(zip(others, self.many(others), strict=True))
+        for x, fed, base, marks in composed:
+            ids = self.feed + bare.new[base] if fed else led.new[base]
+            led.new[x] = ids + bare.new[marks] if marks else ids
+        for memory, keys in ((led, {base for _, fed, base, _ in composed if not fed}.difference(new)), (bare, others)):
+            for x in keys:
+                if len(x) > KEPT_CHARS:
+                    del memory.new[x]
+
+
+def byte_pieces(tokenizer) -> Callable[[str], bytes] | None:
+    """For a plain byte-level BPE file: packed ids of a string that the pattern leaves whole, straight from the library's model.
+
+    That skips the library's splitting and its alignments. None for files with other parts.
+    """
+    from tokenizers import models, pre_tokenizers
+
+    split = tokenizer.pre_tokenizer
+    if tokenizer.normalizer is not None or not isinstance(tokenizer.model, models.BPE) or not isinstance(split, pre_tokenizers.ByteLevel):
+        return None
+    if split.add_prefix_space or not split.use_regex:
+        return None
+    # The letter that stands for each byte: the byte's own where that prints, else the next from U+0100 on.
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    table = {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+    tokenize = tokenizer.model.tokenize
+    return lambda text: packed([x.id for x in tokenize(text.encode("utf-8").decode("latin-1").translate(table))])
 
 
 _ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
@@ -115,23 +160,30 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
         tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        one_piece = byte_pieces(tokenizer)
 
-        def many(strings: list[str]) -> list[bytes]:
+        def whole(strings: list[str]) -> list[bytes]:
             out: list[bytes] = []
             for at in range(0, len(strings), 4096):
                 part = tokenizer.encode_batch_fast(strings[at : at + 4096], add_special_tokens=False)
                 out += [packed(x.ids) for x in part]
             return out
 
+        def many(strings: list[str]) -> list[bytes]:
+            if one_piece is None:
+                return whole(strings)
+            others = iter(whole([x for x in strings if not ONE_PIECE(x)]))
+            return [one_piece(x) if ONE_PIECE(x) else next(others) for x in strings]
+
         by_chunks = Encoder(many)
 
         def encode(texts: list[str]) -> list[bytes]:
             marked = [i for i, x in enumerate(texts) if any(t in x for t in added)]
             if not marked:
                 return by_chunks(texts)
-            whole = dict(zip(marked, many([texts[i] for i in marked]), strict=True))
-            plain = iter(by_chunks([x for i, x in enumerate(texts) if i not in whole]))
-            return [whole[i] if i in whole else next(plain) for i in range(len(texts))]
+            apart = dict(zip(marked, whole([texts[i] for i in marked]), strict=True))
+            others = iter(by_chunks([x for i, x in enumerate(texts) if i not in apart]))
+            return [apart[i] if i in apart else next(others) for i in range(len(texts))]
 
         _ENCODERS[path] = encode
     return _ENCODERS[path]

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daylog.llm import packing, token_shards
-from daylog.llm.bpe_tree import TreeEncoder, bpe_decode, bpe_encode, read_ranks
-from daylog.llm.chunks import library_encoder, packed
+from daylog.llm.bpe_tree import TreeEncoder, bpe_decode, bpe_encode, read_ranks, text_encoder
+from daylog.llm.chunks import Encoder, library_encoder, packed
 from daylog.llm.common import new_folder
 from tests.llm.conftest import TEXTS
 
@@ -43,6 +43,19 @@ def test_chunked_encoding_equals_whole_encoding(library):
     assert library_encoder(public_tokenizers.path("byte_bpe_50k.json"))(texts) == [packed(library(x)) for x in texts]
 
 
+def test_feeds_marks_and_forgotten_chunks(library, plain, tree):
+    rng = random.Random(7)
+    parts = ["\n", "\n\n", " ", "  ", "\t", ". ", "!?\n", "###", "a", "Über", "ñandú", "été.", "слово", "語", "x" * 70, "'s", "42", "…", "\x85"]
+    texts = ["".join(rng.choice([" ", " ", "\n", ""]) + rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    expected = [packed(library(x)) for x in texts]
+    assert library_encoder(public_tokenizers.path("byte_bpe_50k.json"))(texts) == expected
+    few = Encoder(lambda strings: [packed(library(x)) for x in strings], kept=4)  # forgets nearly all after each call
+    assert [ids for i in range(0, 3000, 10) for ids in few(texts[i : i + 10])] == expected
+    assert not any(len(x) > 64 for memory in (few.led, few.bare) for x in (*memory.new, *memory.old))
+    trees = text_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert trees(texts) == [packed(plain.encode_ordinary(x)) for x in texts]
+
+
 def test_added_tokens_are_those_of_the_plain_call(library):
     texts = ["a <|endoftext|> b", "plain words", "<|endoftext|><|endoftext|>x <|endoftext|", "", "more plain words"]
     assert library(texts[0]) == [64, 220, 50256, 275]
