@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylog.llm.chunks import Encoder, packed, vocabulary_path
+from daylog.llm.chunks import ONE_PIECE, Encoder, packed, vocabulary_path
 from daylog.llm.common import documents, small_batches, texts_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -31,8 +31,12 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 LEAF = 4
 #: Bytes from which a window is encoded with a heap.
 HEAP = 48
-#: Pairs of tokens that a worker remembers, and half as many as its chunks; bounds memory, not results.
-KEPT = 400_000
+#: Pairs of tokens that a worker remembers, encodings of short parts, and chunks met lately; bounds memory, not results.
+KEPT = 100_000
+#: Rows decoded at a time.
+DECODED = 512
+#: Bytes up to which the encoding of a part is remembered.
+KEPT_BYTES = 8
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,8 +51,20 @@ class TreeEncoder:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.short: dict[bytes, tuple[int, ...]] = {}
 
     def merged(self, data: bytes) -> tuple[int, ...]:
+        """What ``_merged`` gives, remembered for short strings."""
+        if len(data) > KEPT_BYTES:
+            return self._merged(data)
+        known = self.short.get(data)
+        if known is None:
+            if len(self.short) > KEPT:
+                self.short.clear()
+            known = self.short[data] = self._merged(data)
+        return known
+
+    def _merged(self, data: bytes) -> tuple[int, ...]:
         """The defining procedure: merge the pair of lowest rank, leftmost first, until none is left."""
         ranks = self.ranks
         whole = ranks.get(data)
@@ -122,10 +138,16 @@ class TreeEncoder:
 
     def encode(self, data: bytes) -> tuple[int, ...]:
         """The encoding of one piece: halves first, then their join."""
+        known = self.short.get(data)
+        if known is not None:
+            return known
         if len(data) <= LEAF:
             return self.merged(data) if data else ()
         middle = len(data) // 2
-        return self.join(self.encode(data[:middle]), self.encode(data[middle:]))
+        ids = self.join(self.encode(data[:middle]), self.encode(data[middle:]))
+        if len(data) <= KEPT_BYTES and len(self.short) < KEPT:
+            self.short[data] = ids
+        return ids
 
     def decode(self, ids) -> bytes:
         """The bytes of all tokens; joining byte strings is the monoid of the decoding tree."""
@@ -145,15 +167,22 @@ def tree_encoder(path: str) -> TreeEncoder:
 def text_encoder(path: str, pattern: str) -> Encoder:
     """Encodes texts: split by ``pattern``, each match by the tree; a worker remembers the chunks it has met."""
     if (path, pattern) not in _TEXTS:
+        import public_tokenizers
         import regex
 
+        own = pattern == public_tokenizers.PATTERN
         pieces = regex.compile(pattern).findall
         tree = tree_encoder(path)
 
         def many(strings: list[str]) -> list[bytes]:
-            return [b"".join([packed(tree.encode(x.encode("utf-8", "surrogatepass"))) for x in pieces(text)]) for text in strings]
-
-        _TEXTS[path, pattern] = Encoder(many, 2 * KEPT)
+            out = []
+            for text in strings:
+                # A word of letters alone is one match of the pattern.
+                split = (text,) if own and ONE_PIECE(text) else pieces(text)
+                out.append(b"".join([packed(tree.encode(x.encode("utf-8", "surrogatepass"))) for x in split]))
+            return out
+
+        _TEXTS[path, pattern] = Encoder(many, KEPT)
     return _TEXTS[path, pattern]
 
 
@@ -184,10 +213,11 @@ def bpe_decode(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tree_encoder(path).tokens
         for batch in batches:
-            column = batch.column("ids")
-            ends, ids = column.offsets.to_numpy(), column.values.to_numpy()
-            raw = [b"".join(map(tokens.__getitem__, ids[a:b].tolist())) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=[*batch.schema.names, "decoded"])
+            for part in (batch.slice(at, DECODED) for at in range(0, batch.num_rows, DECODED)):
+                column = part.column("ids")
+                ends, ids = column.offsets.to_numpy(), column.values.to_numpy()
+                raw = [b"".join(map(tokens.__getitem__, ids[a:b].tolist())) for a, b in zip(ends, ends[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], names=[*part.schema.names, "decoded"])
 
     names = ", ".join(f"`{k}` {v}" for k, v in encoded.dtypes)
     return encoded.mapInArrow(decode, f"{names}, decoded binary")
