@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,17 +44,24 @@ def prior_day(daily: DataFrame, day: datetime.date, every_user: bool = False) ->
 
 
 def recent_summaries(
-    sets: DataFrame, n: int = 5, newest: bool = True, until: datetime.date | None = None, **classes
+    sets: DataFrame,
+    n: int = 5,
+    newest: bool = True,
+    until: datetime.date | None = None,
+    sets_of: Callable[[DataFrame], DataFrame] | None = None,
+    **classes,
 ) -> DataFrame:
     """Summaries of the last (or first) ``n`` training days of each user with their ``recency``.
 
-    Sets are reduced before they meet the chosen days, so a hot day is small by then; every later
-    step sees the chosen days only.
+    Only sets of the chosen days go on. ``sets_of`` gives the sets of a table of days (user_id, date): where sets
+    are made by joins, it can choose before them, and all other sets need not be made a second time.
     """
     days = training_days(sets, n, newest, until)
     key = ["user_id", "date"]
-    chosen = collect_parts(reduce_sets(sets).join(days.select(*key), key))
-    noted = sets.filter(F.col("notes") != "").join(days.select(*key), key)
+    chosen_days = days.select(*key)
+    kept = sets.join(chosen_days, key, "left_semi") if sets_of is None else sets_of(chosen_days)
+    chosen = collect_parts(reduce_sets(kept))
+    noted = kept.filter(F.col("notes") != "")
     return summaries(chosen, workout_notes(noted, chosen), **classes).join(days, key)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -65,6 +65,8 @@ class Combined:
 
     daily: DataFrame
     sets: DataFrame
+    #: The sets of a table of days, where they can be had for less than a join of ``sets``.
+    sets_of: Callable[[DataFrame], DataFrame] | None = None
 
 
 def combine(
@@ -181,7 +183,7 @@ def build_payload(
     """Coach payload of every user with a day on record. With ``stored`` summaries the sets are read for
     the week only; these may be each user's newest ones alone."""
     prior = prior_day(combined.daily, day, every_user=True)
-    recent = recent_summaries(combined.sets, n, until=until) if stored is None else recent_of(stored, n, until=until)
+    recent = recent_summaries(combined.sets, n, until=until, sets_of=combined.sets_of) if stored is None else recent_of(stored, n, until=until)
     return coach_payload(prior, week_volume(combined.sets, day), recent, day, n)
 
 

@@ -205,6 +205,20 @@ def test_recent_and_oldest_workouts(spark):
     assert [r.date.day for r in until] == [4, 3]
 
 
+def test_recent_workouts_make_only_the_sets_of_chosen_days(spark):
+    sets, asked = many_days(spark).unionByName(many_days(spark, 2)), []
+
+    def sets_of(chosen):
+        asked.append(sorted(rows(chosen)))
+        return sets.join(chosen, ["user_id", "date"], "left_semi")
+
+    for newest, last in ((True, [9, 20]), (False, [1, 3])):
+        plain = coach.recent_summaries(sets, 2, newest=newest)
+        given = coach.recent_summaries(sets, 2, newest=newest, sets_of=sets_of)
+        assert rows(given, "user_id", "date") == rows(plain, "user_id", "date")
+        assert asked.pop() == [(user, datetime.date(2025, 1, d)) for user in (1, 2) for d in last]
+
+
 DAILY = (
     "user_id bigint, date date, steps bigint, distance double, total_calories_burned bigint, sleep_hours double, "
     "sleep_score int, workout_title string, total_workout_duration string, calories_burned_from_workout bigint, "

@@ -7,7 +7,7 @@ the exercise dimension. Every view reads its tables whole.
 from __future__ import annotations
 
 import datetime
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,8 +90,11 @@ def workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_row(workout_rows(spark, sf_dir), DAY, "seq")
 
 
-def raw_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One set per line item; missing weights, repetitions, times and notes are all present."""
+def raw_sets(spark: SparkSession, sf_dir: str, of_days: DataFrame | None = None) -> DataFrame:
+    """One set per line item; missing weights, repetitions, times and notes are all present.
+
+    With ``of_days`` (user_id, date) the sets of those days alone: orders are chosen before line items meet them.
+    """
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     notes = (
         F.when(flag == "R", F.concat(F.lit("gear "), status))
@@ -101,6 +104,9 @@ def raw_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    if of_days is not None:
+        wanted = of_days.select(F.col("user_id").alias("of_user"), F.col("date").alias("of_date"))
+        orders = orders.join(wanted, (user() == F.col("of_user")) & (day() == F.col("of_date")), "left_semi")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
         parts, lines.l_partkey == parts.p_partkey
@@ -139,9 +145,9 @@ def _few_names(spark: SparkSession, sf_dir: str) -> bool:
     return names.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
 
 
-def sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sets(spark: SparkSession, sf_dir: str, of_days: DataFrame | None = None) -> DataFrame:
     """Canonical sets: muscles, effective weight and energy attached."""
-    return canonical_sets(typed_sets(raw_sets(spark, sf_dir)), dims(spark, sf_dir), 160.0, WORDS)
+    return canonical_sets(typed_sets(raw_sets(spark, sf_dir, of_days)), dims(spark, sf_dir), 160.0, WORDS)
 
 
 def plain_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,4 +166,4 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def combined(spark: SparkSession, sf_dir: str) -> Combined:
     training = sets(spark, sf_dir)
     wearable = wearable_days(series(spark, sf_dir))
-    return Combined(combine_days(wearable, workouts(spark, sf_dir), day_calories(training)), training)
+    return Combined(combine_days(wearable, workouts(spark, sf_dir), day_calories(training)), training, partial(sets, spark, sf_dir))
