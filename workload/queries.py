@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -388,7 +389,7 @@ def recent_workouts(spark, sf):
 
 @query
 def oldest_workouts(spark, sf):
-    return _summary_rows(coach.recent_summaries(b.sets(spark, sf), 2, newest=False))
+    return _summary_rows(coach.recent_summaries(b.sets(spark, sf), 2, newest=False, sets_of=partial(b.sets, spark, sf)))
 
 
 @query
