@@ -384,7 +384,7 @@ def _summary_rows(summaries: DataFrame) -> DataFrame:
 
 @query
 def recent_workouts(spark, sf):
-    return _summary_rows(coach.recent_summaries(b.sets(spark, sf), 3))
+    return _summary_rows(coach.recent_summaries(b.sets(spark, sf), 3, sets_of=partial(b.sets, spark, sf)))
 
 
 @query
