@@ -238,6 +238,13 @@ def test_weights_of_a_stream_adapt_within_it_and_bits_are_probabilities():
     assert abs(alone[0] - logs[0]) < 1e-3
 
 
+def test_starting_weights_are_learned_on_every_document(spark):
+    tables = spark.sparkContext.broadcast([np.zeros(1 << bit_stream.LEAST_BITS, np.uint16)] * bit_stream.TABLES)
+    for i in range(12):
+        one = spark.createDataFrame([(i, "again and again " * 20)], "doc_id long, text string")
+        assert not np.allclose(bit_stream.learn_weights(one, lm_mixing.words_in, tables), bit_stream.start_weights())
+
+
 def test_samples_keep_texts_that_begin_alike_and_count_copies_once(spark):
     header = "The same licence. " * 20
     texts = [header + f"ending {i}" for i in range(4)] + [header + "a copy"] * 30 + [None, ""]
