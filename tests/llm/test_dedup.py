@@ -77,6 +77,21 @@ def test_long_texts_are_hashed_in_segments(monkeypatch):
     assert joined == each(*whole) and len(joined) == 491
 
 
+def test_windows_travel_only_where_half_of_them_is_shared(spark, docs):
+    rng = random.Random(11)
+    some = lambda n: [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+    short, long, copy = some(12), some(70), " ".join(some(200))
+    # Each text with the short passage alone shares some minimisers with the others, but no window.
+    rows = [(i, " ".join(some(60) + short + some(60))) for i in range(8)] + [(20, " ".join(some(30) + long)), (21, " ".join(long + some(200)))] + [(i, copy) for i in range(30, 36)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = substring_dedup.shared_strings(frame).collect()
+    assert {r.doc_id for r in found} == {20, 21, *range(30, 36)}
+    assert {r.doc_id for r in found if r.doc_id >= 30 and r.packed is not None} == {30}  # a string leaves its task once
+    assert max(len(r.packed.split()) for r in found if r.packed is not None and r.doc_id < 30) <= 70 + 23  # the windows that hold half of the passage
+    got = substring_dedup.dedup_substrings(frame).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == kept_words(rows, 50)
+
+
 def plain_fingerprint(text):
     words = GAP.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     if not words:
