@@ -5,7 +5,8 @@ query opens a window around its own projection in every array; a vector collides
 are wide in proportion to a radius, and the radius grows by ``GROWTH`` (virtual rehashing: the same arrays serve every
 radius). Vectors that collide in at least ``THRESHOLD`` arrays are verified by their exact cosine; the search of a block ends
 when ``k`` verified vectors lie within the radius, or when all are verified. A vector within the radius fails to collide
-often enough about once in a thousand times; a smaller radius is never skipped.
+often enough about once in a thousand times; the radius is the smallest that ends the search. Cosines in single precision
+tell which of the verified may be among the ``k`` largest; only those are computed in double precision.
 
 The vectors are dealt by a hash of their id into blocks of about ``BLOCK``, the queries into blocks of about ``QUERIES``; each
 pair of blocks is one group with its own arrays, and the nearest of all blocks are merged by rank. All rows are indexed.
@@ -56,54 +57,80 @@ class Block:
         self.ids, self.vectors = ids, vectors
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         self.directions = directions(vectors.shape[1])
-        values = (vectors / self.norms[:, None]) @ self.directions.T
-        self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32)
-        self.sorted = np.take_along_axis(values.T, self.order.astype(np.int64), axis=1)
+        units = vectors / self.norms[:, None]
+        self.rough = units.astype(np.float32)
+        #: Rough cosines are off by less than half of this.
+        self.margin = 8 * (vectors.shape[1] + 4) * 2.0**-24
+        values = (units @ self.directions.T).T
+        order = np.argsort(values, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(values, order, axis=1)
+        #: The place of every vector in every array.
+        self.places = np.empty(order.shape, np.uint16 if len(ids) < 1 << 16 else np.uint32)
+        np.put_along_axis(self.places, order, np.arange(len(ids), dtype=self.places.dtype)[None, :], axis=1)
 
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, float]]:
         """(query id, vector id, cosine) of up to ``k`` nearest found of each query, its own id left out."""
         norms = np.sqrt((queries * queries).sum(axis=1))
-        centres = (queries / norms[:, None]) @ self.directions.T
+        units = queries / norms[:, None]
+        centres = units @ self.directions.T
+        rough = units.astype(np.float32)
         radii = [FIRST_RADIUS]
         while radii[-1] < 2:
             radii.append(radii[-1] * GROWTH)
-        edges = np.empty((len(radii), 2, PROJECTIONS, len(queries)), np.int32)
-        for r, radius in enumerate(radii):
-            for j in range(PROJECTIONS):
-                edges[r, 0, j] = np.searchsorted(self.sorted[j], centres[:, j] - REACH * radius, "left")
-                edges[r, 1, j] = np.searchsorted(self.sorted[j], centres[:, j] + REACH * radius, "right")
-        out = []
+        edges: dict[int, np.ndarray] = {}
+        out, guess = [], 0
         for i, (own, query) in enumerate(zip(query_ids.tolist(), queries, strict=True)):
-            found, scores = self._search(own, query, norms[i], edges[..., i], radii, k)
-            best = np.lexsort((self.ids[found], -scores))[:k]
-            out += [(own, int(self.ids[found[b]]), float(scores[b])) for b in best]
+            # The first radius that ends the search; as a larger one ends it too, it is looked for from where the last query's was.
+            at, best = guess, None
+            while True:
+                if at not in edges:
+                    edges[at] = self._edges(centres, radii[at])
+                counts = self._collisions(edges[at][..., i])
+                others = self.ids != own
+                found, scores = self._verified(np.flatnonzero((counts >= THRESHOLD) & others), query, norms[i], rough[i], k)
+                if len(found) == k and 2 - 2 * scores[-1] <= radii[at] ** 2:
+                    best = found, scores
+                    # What a smaller radius verifies is among this, so none ends the search that is less than the k-th distance.
+                    if at == 0 or 2 - 2 * scores[-1] > radii[at - 1] ** 2:
+                        break
+                    at -= 1
+                elif best is not None:
+                    at += 1
+                    break
+                elif at + 1 < len(radii):
+                    at += 1
+                else:
+                    if len(found) < k:
+                        found, scores = self._verified(np.flatnonzero(others), query, norms[i], rough[i], k)
+                    best = found, scores
+                    break
+            guess = at
+            out += [(own, int(self.ids[b]), float(x)) for b, x in zip(*best, strict=True)]
         return out
 
-    def _search(self, own: int, query: np.ndarray, norm: float, edges: np.ndarray, radii: list[float], k: int) -> tuple[np.ndarray, np.ndarray]:
-        counts = np.zeros(len(self.ids), np.int16)
-        counts[self.ids == own] = -PROJECTIONS - 1  # never reaches the threshold
-        others = int((self.ids != own).sum())
-        found, scores = np.zeros(0, np.int64), np.zeros(0)
-        for r, radius in enumerate(radii):
-            low, high = edges[r].tolist()
-            if r:
-                old_low, old_high = edges[r - 1].tolist()
-            else:
-                old_low = old_high = low
-            for j in range(PROJECTIONS):
-                row = self.order[j]
-                if r:
-                    counts[row[low[j] : old_low[j]]] += 1
-                counts[row[old_high[j] : high[j]]] += 1
-            new = np.flatnonzero(counts >= THRESHOLD)
-            if len(new):
-                counts[new] = -PROJECTIONS - 1  # verified once
-                found = np.concatenate([found, new])
-                scores = np.concatenate([scores, cosines(self.vectors[new], self.norms[new], query, norm)])
-            if len(found) == others or (2 - 2 * scores <= radius * radius).sum() >= k:
-                return found, scores
-        rest = np.flatnonzero(counts >= 0) if len(found) < k else np.zeros(0, np.int64)
-        return np.concatenate([found, rest]), np.concatenate([scores, cosines(self.vectors[rest], self.norms[rest], query, norm)])
+    def _edges(self, centres: np.ndarray, radius: float) -> np.ndarray:
+        """First and last place (exclusive) of every query's window in every array."""
+        out = np.empty((2, PROJECTIONS, len(centres)), np.int64)
+        for j in range(PROJECTIONS):
+            out[0, j] = np.searchsorted(self.sorted[j], centres[:, j] - REACH * radius, "left")
+            out[1, j] = np.searchsorted(self.sorted[j], centres[:, j] + REACH * radius, "right")
+        return out
+
+    def _collisions(self, edges: np.ndarray) -> np.ndarray:
+        """In how many arrays each vector lies in the window."""
+        kind = self.places.dtype
+        low, width = edges[0].astype(kind)[:, None], (edges[1] - edges[0]).astype(kind)[:, None]
+        return (self.places - low < width).view(np.uint8).sum(axis=0, dtype=np.uint8)  # places before the window wrap around
+
+    def _verified(self, found: np.ndarray, query: np.ndarray, norm: float, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` of ``found`` with the largest exact cosines, ties to the smaller id; only those that rough cosines leave open are computed."""
+        if len(found) > k:
+            about = (self.rough @ rough)[found] if 2 * len(found) > len(self.ids) else self.rough[found] @ rough
+            least = np.partition(about, len(found) - k)[len(found) - k] - self.margin
+            found = found[~(about < least)]
+        scores = cosines(self.vectors[found], self.norms[found], query, norm)
+        best = np.lexsort((self.ids[found], -scores))[:k]
+        return found[best], scores[best]
 
 
 def _arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -66,6 +66,24 @@ def test_few_or_no_candidates(spark):
     assert ann.nearest_neighbours(empty, empty).collect() == []
 
 
+def test_few_cosines_are_computed_exactly(monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(3_000, 64))
+    vectors[::7] = vectors[0] * 3
+    done, exact = [], ann.cosines
+    monkeypatch.setattr(ann, "cosines", lambda v, *rest: done.append(len(v)) or exact(v, *rest))
+    ids = np.arange(3_000) * 2
+    got = ann.Block(ids, vectors).nearest(ids[1:2_000:50], vectors[1:2_000:50], 5)
+    assert sum(done) <= 40 * 5 * 10 + 40 * 429  # copies are open together; before, nearly all of 40 x 3,000 were computed
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    hits = 0
+    for n, at in enumerate(range(1, 2_000, 50)):
+        near = unit @ unit[at]
+        near[at] = -2
+        hits += len({i for q, i, _ in got if q == 2 * at} & set((2 * np.lexsort((ids, -near.round(12)))[:5]).tolist()))
+    assert hits >= 0.97 * 200
+
+
 def anchors_of(text):
     """Closed syncmers by hand; hashes by position only, so equality of runs is what is compared."""
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
