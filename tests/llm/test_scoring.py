@@ -290,3 +290,14 @@ def test_long_documents_teach_by_all_their_passages(spark, monkeypatch):
     quality.fit(docs, marked)
     assert [len(x) for x in met] == [130, 1, 1]
     assert np.allclose(met[0], quality.passages([long])[0], atol=1e-5)
+
+
+def test_counts_travel_in_a_byte_and_from_few_tasks(spark):
+    counts = np.array([[0, 1, 254, 255], [256, 1e6, 3, 0]], np.float32)
+    small, large, values = lm_mixing.small_counts(counts)
+    assert small.dtype == np.uint8 and len(large) == 3
+    back = lm_mixing.whole_counts(small, large, values)
+    assert back.dtype == np.float32 and (back == counts).all()
+    rows = spark.range(64).repartition(16)
+    assert bit_stream.in_few_tasks(rows, 64).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert bit_stream.in_few_tasks(rows, 2).rdd.getNumPartitions() == 2
