@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Callable, Iterable
-from itertools import chain
+from collections.abc import Callable
 
 #: A space before a non-space: the pattern starts a piece there.
 CUT = re.compile(r" (?=\S)")
@@ -48,39 +47,47 @@ def packed(ids) -> bytes:
 
 
 class Memory:
-    """Values by key. Once ``kept`` new keys have come, those that were not asked for since the last time are forgotten."""
+    """Values by key. Once ``kept`` new keys have come, those that were not asked for since the last time are forgotten.
 
-    def __init__(self, kept: int) -> None:
-        self.kept = kept
-        self.new: dict[str, bytes] = {}
+    ``learn`` makes the value of a key that is not known; long keys are not kept.
+    """
+
+    def __init__(self, kept: int, learn: Callable[[str], bytes]) -> None:
+        self.kept, self.learn = kept, learn
         self.old: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = _Known(self)
 
     def __len__(self) -> int:
         return len(self.new) + len(self.old)
 
     def turn(self) -> None:
         if len(self.new) > self.kept:
-            self.old, self.new = self.new, {}
+            self.old, self.new = self.new, _Known(self)
+
+
+class _Known(dict):
+    """The new keys of a memory; an absent one is looked for among the old ones, then learned."""
 
-    def missing(self, keys: Iterable[str]) -> list[str]:
-        """The keys that are not known; those that are will be found in ``new``."""
-        absent, new, old = [], self.new, self.old
-        for key in set(keys).difference(new):
-            value = old.pop(key, None)
-            if value is None:
-                absent.append(key)
-            else:
-                new[key] = value
-        return absent
+    def __init__(self, memory: Memory) -> None:
+        self.memory = memory
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.memory.old.pop(key, None)
+        if value is None:
+            value = self.memory.learn(key)
+            if len(key) > KEPT_CHARS:
+                return value
+        self[key] = value
+        return value
 
 
 class Encoder:
-    """Ids of texts as packed bytes. ``many`` encodes a list of strings into a list of packed ids."""
+    """Ids of texts as packed bytes. ``many`` encodes a list of strings into a list of packed ids, ``one`` a single string."""
 
-    def __init__(self, many: Callable[[list[str]], list[bytes]], kept: int = KEPT) -> None:
-        self.many = many
-        self.led = Memory(kept)  # by the chunk without its space
-        self.bare = Memory(kept // 4)
+    def __init__(self, many: Callable[[list[str]], list[bytes]], kept: int = KEPT, one: Callable[[str], bytes] | None = None) -> None:
+        self.many, self.one = many, one or (lambda x: many([x])[0])
+        self.led = Memory(kept, self._learn)  # by the chunk without its space
+        self.bare = Memory(kept // 4, self.one)
         self.feed = many(["\n"])[0]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -90,43 +97,23 @@ class Encoder:
         heads = self.many([x[0] for x in parts])
         for x in parts:
             del x[0]
-        new = self.led.missing(chain.from_iterable(parts))
-        self._learn(new)
-        found = self.led.new
-        out = [head + b"".join(map(found.__getitem__, x)) for head, x in zip(heads, parts, strict=True)]
-        for x in new:
-            if len(x) > KEPT_CHARS:
-                del found[x]
-        return out
-
-    def _learn(self, new: list[str]) -> None:
-        """Make ``new`` chunks known: a line feed, the word, and marks after it are pieces of their own."""
-        words, composed = [], []
-        for x in new:
-            if x.isalpha():
-                words.append(x)
-                continue
-            fed = x[0] == "\n"
-            word = x[1:] if fed else x
-            base = word.rstrip(MARKS)
-            if not base or len(base) == len(word) or base[-1] not in LETTERS:
-                base = word
-            if fed or len(base) < len(word):
-                composed.append((x, fed, base, word[len(base) :]))
-            else:
-                words.append(x)
-        led, bare = self.led, self.bare
-        words += led.missing({base for _, fed, base, _ in composed if not fed}.difference(words))
-        led.new.update(zip(words, self.many([" " + x for x in words]), strict=True))
-        others = bare.missing({base for _, fed, base, _ in composed if fed} | {marks for *_, marks in composed if marks})
-        bare.new.update(zip(others, self.many(others), strict=True))
-        for x, fed, base, marks in composed:
-            ids = self.feed + bare.new[base] if fed else led.new[base]
-            led.new[x] = ids + bare.new[marks] if marks else ids
-        for memory, keys in ((led, {base for _, fed, base, _ in composed if not fed}.difference(new)), (bare, others)):
-            for x in keys:
-                if len(x) > KEPT_CHARS:
-                    del memory.new[x]
+        # Chunks are looked up as they come; the memory learns those it lacks.
+        known = self.led.new.__getitem__
+        return [head + b"".join(map(known, x)) for head, x in zip(heads, parts, strict=True)]
+
+    def _learn(self, chunk: str) -> bytes:
+        """Ids of a new chunk: a line feed, the word, and marks after it are pieces of their own."""
+        if chunk.isalpha():
+            return self.one(" " + chunk)
+        fed = chunk[:1] == "\n"
+        word = chunk[1:] if fed else chunk
+        base = word.rstrip(MARKS)
+        if not base or len(base) == len(word) or base[-1] not in LETTERS:
+            base = word
+        if not fed and len(base) == len(word):
+            return self.one(" " + chunk)
+        ids = self.feed + self.bare.new[base] if fed else self.led.new[base]
+        return ids + self.bare.new[word[len(base) :]] if len(base) < len(word) else ids
 
 
 def byte_pieces(tokenizer) -> Callable[[str], bytes] | None:
@@ -146,7 +133,15 @@ def byte_pieces(tokenizer) -> Callable[[str], bytes] | None:
     hidden = [b for b in range(256) if b not in shown]
     table = {b: chr(0x100 + i) for i, b in enumerate(hidden)}
     tokenize = tokenizer.model.tokenize
-    return lambda text: packed([x.id for x in tokenize(text.encode("utf-8").decode("latin-1").translate(table))])
+    space = table[0x20]
+
+    def ids(text: str) -> bytes:
+        # ASCII letters stand for themselves, and the only space leads.
+        shown = text.replace(" ", space) if text.isascii() else text.encode("utf-8").decode("latin-1").translate(table)
+        found = tokenize(shown)
+        return found[0].id.to_bytes(4, "little") if len(found) == 1 else packed([x.id for x in found])
+
+    return ids
 
 
 _ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
@@ -175,7 +170,10 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
             others = iter(whole([x for x in strings if not ONE_PIECE(x)]))
             return [one_piece(x) if ONE_PIECE(x) else next(others) for x in strings]
 
-        by_chunks = Encoder(many)
+        def one(text: str) -> bytes:
+            return one_piece(text) if one_piece is not None and ONE_PIECE(text) else whole([text])[0]
+
+        by_chunks = Encoder(many, one=one)
 
         def encode(texts: list[str]) -> list[bytes]:
             marked = [i for i, x in enumerate(texts) if any(t in x for t in added)]

@@ -62,6 +62,18 @@ def test_added_tokens_are_those_of_the_plain_call(library):
     assert library_encoder(public_tokenizers.path("byte_bpe_50k.json"))(texts) == [packed(library(x)) for x in texts]
 
 
+def test_chunks_are_learned_once_as_they_come(library):
+    asked = []
+    encoder = Encoder(lambda strings: asked.append(list(strings)) or [packed(library(x)) for x in strings], kept=100)
+    texts = ["one two three. two\nthree, two one", "four " + "x" * 80 + " two " + "x" * 80, "", "four\ntwo three."]
+    for _ in range(2):
+        assert encoder(texts) == [packed(library(x)) for x in texts]
+    # Every short chunk is asked for alone, once; long ones whenever they come; all else are the heads of a call.
+    single = Counter(x[0] for x in asked if len(x) == 1)
+    assert single.pop(" " + "x" * 80) == 4
+    assert single == Counter(["\n", " two", " three", ".", "three", ",", " one", "two"])
+
+
 def test_store_round_trip(spark, docs, library):
     path = token_shards.write_tokens(docs.withColumn("start", F.lit("clash")), new_folder(spark, "t"), bucket_keys=3)
     rows = token_shards.read_tokens(spark, path, token_shards.all_keys(docs)).collect()
