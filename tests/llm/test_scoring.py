@@ -301,3 +301,52 @@ def test_counts_travel_in_a_byte_and_from_few_tasks(spark):
     rows = spark.range(64).repartition(16)
     assert bit_stream.in_few_tasks(rows, 64).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert bit_stream.in_few_tasks(rows, 2).rdd.getNumPartitions() == 2
+
+
+def test_halves_of_bytes_are_counted_once_and_large_counts_reach_the_driver_whole(spark):
+    bits = bit_stream.LEAST_BITS
+    docs = spark.createDataFrame([(f"{w} and {w} again" * 5,) for w in WORDS] + [(None,), ("",)], "text string").repartition(3)
+    tables = bit_stream.tables_of(docs, lm_mixing.words_in, bits)
+    streams = [bit_stream.stream_of(lm_mixing.words_in(r.text or "")) for r in docs.collect()]
+    laid = bit_stream.Layout(streams)
+    for k, table in enumerate(tables):
+        slots = np.concatenate(bit_stream.slots_of(laid.contexts()[k][laid.real], laid.buffer[laid.real].astype(np.uint32), k, bits))
+        want = np.bincount(slots, minlength=1 << bits)
+        assert want.sum() == 2 * sum(map(len, streams)) and (table == bit_stream.coded(want)).all()
+    # Passes over some of the tables each give the same.
+    assert all((a == b).all() for a, b in zip(tables, [t for k in range(6) for t in bit_stream._some_tables(docs, lm_mixing.words_in, range(k, k + 1), bits)]))
+    words = spark.createDataFrame([(bytearray(b"a" * n + b"b"),) for n in range(1, 60)], "word binary")
+    small, large, values = lm_mixing.small_table_counts(words, lm_mixing.SLOTS)
+    counts = lm_mixing.table_counts(words, lm_mixing.SLOTS)
+    assert small.dtype == np.uint8 and len(large) and (counts.reshape(-1)[large] == values).all() and values.min() >= 255
+    spelled = lm_mixing.spelling([bytes(r.word) for r in words.collect()])
+    want = np.zeros_like(counts)
+    for slots in spelled["slots"]:
+        np.add.at(want, (spelled["bit"], slots), 1)
+    assert (counts == want).all()
+
+
+def test_packed_inputs_are_those_of_counted_bits():
+    rng = np.random.default_rng(5)
+    table = np.minimum(rng.poisson(3, 1 << 8), 31).astype(np.uint8)
+    for without in (False, True):
+        made = bit_stream.packed(table, without).view(np.int8).reshape(-1, 16, 4)
+        for line, counts in zip(made, table.reshape(-1, 16).astype(int)):
+            for value in range(16):
+                for level in range(4):
+                    width = 8 >> level
+                    begin = value // (2 * width) * 2 * width
+                    zeros, ones = counts[begin : begin + width].sum(), counts[begin + width : begin + 2 * width].sum()
+                    one = value >> (3 - level) & 1
+                    ones, zeros = max(ones - (without and one), 0), max(zeros - (without and not one), 0)
+                    want = np.log(ones + bit_stream.PRIOR_COUNT) - np.log(zeros + bit_stream.PRIOR_COUNT)
+                    assert abs(line[value, level] / bit_stream.SCALE - np.clip(want, -9, 9)) < 0.6 / bit_stream.SCALE
+
+
+def test_texts_of_like_lengths_move_in_step_and_scores_keep_their_rows():
+    tables = [bit_stream.packed(np.zeros(1 << bit_stream.LEAST_BITS, np.uint8), False)] * bit_stream.TABLES
+    streams = [b"word " * n + b"\n" for n in (40, 1, 700, 0, 3, 40)]
+    start = bit_stream.start_weights()
+    got = bit_stream.stream_log10(streams, tables, start)
+    want = [bit_stream.mix_packed([s], tables, start)[0][0] for s in streams]
+    assert np.allclose(got, want, atol=1e-3) and got[0] == pytest.approx(got[5])
