@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daylog.llm import bit_stream, folds, lm_mixing, quality, toxicity
+from daylog.llm import bit_stream, folds, lm_mixing, quality, tables, toxicity
 from tests.llm.conftest import SCHEMA, TEXTS
 
 WORDS = "the river ran over stones while morning light fell across quiet fields and people walked home slowly".split()
@@ -351,3 +351,65 @@ def test_texts_of_like_lengths_move_in_step_and_scores_keep_their_rows():
     got = bit_stream.stream_log10(streams, tables, start)
     want = [bit_stream.mix_packed([s], tables, start)[0][0] for s in streams]
     assert np.allclose(got, want, atol=1e-3) and got[0] == pytest.approx(got[5])
+
+
+def test_counts_in_a_byte_keep_what_runs_over(monkeypatch):
+    rng = np.random.default_rng(6)
+    tally, want = tables.Tally(1000), np.zeros(1000, np.int64)
+    monkeypatch.setattr(tables.Tally, "KEPT", 3)
+    for n in (0, 5, 70_000, 1, 300_000):
+        at = (rng.random(n) ** 3 * 1000).astype(np.uint32)
+        want += np.bincount(at, minlength=1000)
+        tally.add(at)
+    assert tally.bytes.nbytes == 1000 and want.max() > 30_000
+    halves = [tables.summed([tally.part(a, a + 500), tally.part(a, a + 500)]) for a in (0, 500)]
+    assert (np.concatenate(halves) == 2 * want).all()
+
+
+def test_tasks_map_tables_instead_of_loading_them(spark):
+    out = tables.Mapped((50_000, 8), np.uint32)
+    out.array[:] = np.arange(400_000).reshape(50_000, 8)
+    shared = tables.MappedTables([out.shared(spark.sparkContext)])
+
+    def read(rows):
+        (table,) = shared.value
+        base = table
+        while isinstance(base, np.ndarray):
+            base, last = base.base, base
+        yield int(table.sum()), table.shape, type(base).__name__, bool(table.flags.aligned), bool(table.flags.writeable)
+
+    got = spark.sparkContext.parallelize(range(4), 4).mapPartitions(read).collect()
+    assert got == [(400_000 * 399_999 // 2, (50_000, 8), "mmap", True, False)] * 4
+    shared.destroy()
+
+
+def test_passes_hold_no_more_slots_than_allowed_and_inputs_are_shared_whole(spark, monkeypatch):
+    bits = bit_stream.LEAST_BITS
+    docs = spark.createDataFrame([(f"{w} and {w} again " * 60,) for w in WORDS], "text string").repartition(3)
+    digits = bit_stream.digits_of(bits)
+    whole = bit_stream.tables_of(docs, lm_mixing.words_in, bits)
+    passes, counted = [], bit_stream._pass
+    monkeypatch.setattr(bit_stream, "_pass", lambda d, w, digits, pieces: passes.append(pieces) or counted(d, w, digits, pieces))
+    monkeypatch.setattr(bit_stream, "HELD_SLOTS", 100_000)  # less than the larger tables
+    shared = bit_stream.shared_tables(docs, lm_mixing.words_in, bits).value
+    assert max(sum((1 << digits[k]) // bit_stream.PIECES for k, _ in p) for p in passes) <= 100_000
+    assert sorted(x for p in passes for x in p) == [(k, piece) for k in digits for piece in range(bit_stream.PIECES)]
+    assert all((got.ravel() == table).all() for got, table in zip(shared, whole, strict=True))
+    # The inputs of a block's lines are those of the whole tables.
+    streams, start = [b"and words again\n", b"\n", b"stones " * 90 + b"\n"], bit_stream.start_weights()
+    for without in (False, True):
+        every = [bit_stream.packed(t, without) for t in whole]
+        got, want = bit_stream.mix(streams, shared, start, without), bit_stream.mix_packed(streams, every, start)
+        assert all((a == b).all() for a, b in zip(got, want, strict=True))
+
+
+def test_words_are_counted_in_passes_and_looked_up_in_shared_counts(spark, monkeypatch):
+    words = spark.createDataFrame([(bytearray(b"a" * (n % 60 + 1) + b"%d" % n),) for n in range(3000)], "word binary").repartition(2)
+    counts = lm_mixing.table_counts(words, lm_mixing.SLOTS)
+    monkeypatch.setattr(lm_mixing, "HELD_COUNTS", 1 << 20)
+    small = lm_mixing.small_table_counts(words, lm_mixing.SLOTS)
+    assert (lm_mixing.whole_counts(*small) == counts).all()
+    monkeypatch.setattr(lm_mixing, "MOST", 300)
+    shared = lm_mixing.SharedCounts(spark.sparkContext, *small).value
+    slots = lm_mixing.spelling([bytes(r.word) for r in words.collect()])["slots"]
+    assert counts.max() > 300 and all((shared[kind][slots] == counts[kind][slots]).all() for kind in (0, 1))
