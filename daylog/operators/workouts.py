@@ -261,28 +261,28 @@ def _set_text(number: Column, entry: Column) -> Column:
 def workout_pieces(sets: DataFrame) -> DataFrame:
     """Workout text in pieces of bounded size: one per exercise and position block, in print order.
 
-    Sets meet once, in (day, exercise, block). The small table of piece sizes then tells each piece
-    its first set number and line; it reads the same collected column, so the one shuffle serves both.
+    Sets are placed by user and day once. Where they lie they meet in (day, exercise, block), and windows over these pieces tell
+    each its first set number and line, so nothing is shuffled again, neither here nor when the pieces of a day are joined.
     """
     entry = F.struct("pos", *set_ties(sets))
     cell = [*DAY, "exercise", "block"]
     cells = (
         with_keys(sets.withColumn("block", position_block()), *cell)
-        .repartition(*cell)
+        .repartition(*DAY)
         .groupBy(*cell)
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     )
     noted = F.filter("entries", lambda e: is_truthy_text(e.notes))
     sized = cells.select(
         *cell,
+        "entries",
         F.size("entries").cast("bigint").alias("size"),
         F.element_at("entries", 1).pos.alias("first_pos"),
         F.when(F.size(noted) > 0, F.element_at(noted, -1).notes).alias("note"),
     )
     exercise = Window.partitionBy(*DAY, "exercise")
     earlier = exercise.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # Spread by day once: both kinds of window below are satisfied by it.
-    placed = sized.repartition(*DAY).withColumns(
+    placed = sized.withColumns(
         {
             "before": F.coalesce(F.sum("size").over(earlier), F.lit(0)),
             "opening": F.min("first_pos").over(exercise),
@@ -293,15 +293,13 @@ def workout_pieces(sets: DataFrame) -> DataFrame:
     opens = F.col("before") == 0
     lines = F.col("size") + F.when(opens, 1).otherwise(0)
     above = Window.partitionBy(*DAY).orderBy("opening", "exercise", "block")
-    starts = placed.withColumn(
-        "line", F.coalesce(F.sum(lines).over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select(*cell, "before", "note", "line")
+    line = F.coalesce(F.sum(lines).over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     gap = F.when(F.col("line") > 0, F.lit("\n")).otherwise(F.lit(""))
     quoted = F.coalesce(F.concat(F.lit('\n"'), F.col("note"), F.lit('"')), F.lit(""))
     header = F.when(opens, F.concat(gap, F.col("exercise"), quoted, F.lit("\n"))).otherwise(F.lit(""))
     texts = F.transform("entries", lambda e, i: _set_text(F.col("before") + i + 1, e))
-    return cells.join(starts, cell).select(*DAY, "line", F.concat(header, F.array_join(texts, "\n")).alias("text"))
+    return placed.withColumn("line", line).select(*DAY, "line", F.concat(header, F.array_join(texts, "\n")).alias("text"))
 
 
 def workout_text(sets: DataFrame) -> DataFrame:

@@ -166,6 +166,18 @@ def test_workout_text_equals_brute_force_over_blocks(spark, monkeypatch):
     assert [r.text for r in workouts.workout_text(sets).collect()] == [whole]
 
 
+def test_sets_are_shuffled_once_for_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BLOCK_BITS", 2)
+    days = ["2025-01-01", "2025-01-02", "2025-01-03"]
+    entries = [(user, day, name, float(i), i, note) for user in (1, 2) for day in days for i, (name, note) in enumerate([("B", ""), ("A", "first"), ("B", "x"), ("A", "")] * 5)]
+    sets = training(spark, *entries)
+    texts = workouts.workout_text(sets)
+    got = {(r.user_id, str(r.date)): r.text for r in texts.collect()}
+    assert got == {(u, d): reference_text([e[2:] for e in entries if e[:2] == (u, d)]) for u in (1, 2) for d in days}
+    before, after = (f._jdf.queryExecution().sparkPlan().toString().count("Exchange") + f._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") for f in (sets, texts))
+    assert after - before == 2  # the plan as it was chosen and as it was run hold the one exchange each
+
+
 def test_position_comes_before_ties_of_any_size(spark):
     entries = [(1, "2025-01-01", "Squat", w, 5, n) for w, n in ((1.0, "first"), (2.0, ""), (3.0, "second"))]
     weight = F.col("weight_lbs")
